@@ -19,6 +19,7 @@ from barlake import oracle as O
 from barlake.config import alert_rules
 from barlake.functions.exprs import rounded
 from barlake.operators import alerts as A
+from barlake.operators import ingest as I
 from barlake.operators import metrics as M
 from barlake.operators import refine as R
 from barlake.plans import chains
@@ -165,6 +166,42 @@ def q_alert_rearm(spark, d):
     return A.rearm(A.firing_days(hits), REARM_GAP_DAYS)
 
 
+# --- ingest -----------------------------------------------------------------
+
+def q_last_dates(spark, d):
+    return I.last_dates(FX.sink_bars(spark, d))
+
+
+def q_global_last_date(spark, d):
+    return I.global_last_date(FX.sink_bars(spark, d))
+
+
+def q_high_water_mark(spark, d):
+    return I.high_water_mark(FX.fixture_universe(spark, d), FX.sink_bars(spark, d))
+
+
+def q_ingest_plan(spark, d):
+    hwm = I.high_water_mark(FX.fixture_universe(spark, d), FX.sink_bars(spark, d))
+    return I.ingest_plan(hwm, FX.INGEST_AS_OF)
+
+
+def q_symbol_build(spark, d):
+    u = FX.fixture_universe(spark, d)
+    return u.select("exchange", "ticker", I.symbol(F.col("ticker"), F.col("exchange")).alias("symbol"))
+
+
+def q_dedupe_batch(spark, d):
+    return I.dedupe(FX.update_bars(spark, d))
+
+
+def q_new_rows(spark, d):
+    return I.new_rows(FX.sink_bars(spark, d), FX.update_bars(spark, d))
+
+
+def q_insert_only_upsert(spark, d):
+    return I.insert_only(FX.sink_bars(spark, d), FX.update_bars(spark, d))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_user": q_bars_user,
     "bars_brand": q_bars_brand,
@@ -193,6 +230,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_messages": q_alert_messages,
     "alert_history": q_alert_history,
     "alert_rearm": q_alert_rearm,
+    "last_dates": q_last_dates,
+    "global_last_date": q_global_last_date,
+    "high_water_mark": q_high_water_mark,
+    "ingest_plan": q_ingest_plan,
+    "symbol_build": q_symbol_build,
+    "dedupe_batch": q_dedupe_batch,
+    "new_rows": q_new_rows,
+    "insert_only_upsert": q_insert_only_upsert,
 }
 
 
@@ -302,8 +347,46 @@ rec AS (
 )
 SELECT rule_id, date FROM rec WHERE kept"""
     sql["alert_rearm"] = "WITH RECURSIVE " + sql["alert_rearm"][len("WITH "):]
+    sql.update(_ingest_oracle())
     return sql
 
 
+def _ingest_oracle() -> dict[str, str]:
+    base = O.chain("user", "bars") + """, sink AS (SELECT * FROM bars_user WHERE date <= DATE '2024-01-20'),
+upd AS (
+  SELECT * FROM bars_user WHERE date >= DATE '2024-01-15'
+  UNION ALL SELECT * FROM bars_user WHERE date = DATE '2024-01-25'
+  UNION ALL SELECT ticker, date, open, high, low, close * 2 AS close, volume
+            FROM bars_user WHERE date = DATE '2024-01-16'
+),
+uni AS (SELECT DISTINCT 'US' AS exchange, ticker FROM bars_user
+        UNION ALL SELECT 'US', 'NODATA'),
+ld AS (SELECT ticker, max(date) AS last_date FROM sink GROUP BY ticker),
+hwm AS (SELECT u.exchange, u.ticker, coalesce(ld.last_date, DATE '2023-01-01') AS last_date
+        FROM uni u LEFT JOIN ld ON u.ticker = ld.ticker),
+dd AS (SELECT ticker, date,
+         min({'open': open, 'high': high, 'low': low, 'close': close, 'volume': volume}) AS m
+       FROM upd GROUP BY ticker, date),
+dedup AS (SELECT ticker, date, m.open AS open, m.high AS high, m.low AS low, m.close AS close,
+                 m.volume AS volume FROM dd),
+fresh AS (SELECT * FROM dedup d WHERE NOT EXISTS
+            (SELECT 1 FROM sink s WHERE s.ticker = d.ticker AND s.date = d.date))
+"""
+    return {
+        "last_dates": base + "SELECT * FROM ld",
+        "global_last_date": base + "SELECT coalesce(max(date), DATE '2023-01-01') AS last_date FROM sink",
+        "high_water_mark": base + "SELECT * FROM hwm",
+        "ingest_plan": base + """SELECT exchange, ticker, last_date,
+  upper(ticker) || '.' || upper(exchange) AS symbol,
+  last_date + 1 AS date_from, DATE '2024-01-20' AS date_to,
+  strftime(last_date + 1, '%Y-%m-%d') AS date_from_text, '2024-01-20' AS date_to_text
+FROM hwm WHERE DATE '2024-01-20' > last_date""",
+        "symbol_build": base + "SELECT exchange, ticker, upper(ticker) || '.' || upper(exchange) AS symbol FROM uni",
+        "dedupe_batch": base + "SELECT * FROM dedup",
+        "new_rows": base + "SELECT * FROM fresh",
+        "insert_only_upsert": base + "SELECT * FROM sink UNION ALL SELECT * FROM fresh",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return _oracle()

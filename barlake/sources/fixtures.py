@@ -121,3 +121,14 @@ def update_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = (b.where(F.col("date") == F.lit(CHANGED_DAY).cast("date"))
                .withColumn("close", F.col("close") * 2))
     return batch.unionByName(repeated).unionByName(changed)
+
+
+NO_DATA_TICKER = "NODATA"    # configured ticker with no rows: takes the default date
+INGEST_AS_OF = "2024-01-20"  # load date of the fixture plan: tickers loaded to it are skipped
+
+
+def fixture_universe(spark: SparkSession, sf_dir: str, exchange: str = "US") -> DataFrame:
+    """Every ticker of the user bars plus one that has no data."""
+    tickers = bars_user(spark, sf_dir).select("ticker").distinct()
+    extra = spark.range(1).select(F.lit(NO_DATA_TICKER).alias("ticker"))
+    return tickers.unionByName(extra).select(F.lit(exchange).alias("exchange"), "ticker")
