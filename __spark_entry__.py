@@ -23,7 +23,12 @@ from barlake.operators import ingest as I
 from barlake.operators import metrics as M
 from barlake.operators import refine as R
 from barlake.plans import chains
+from barlake.schema import BARS_SCHEMA
+from barlake.session import scratch_dir
 from barlake.sources import fixtures as FX
+from barlake.sources.landing import read_landing
+from barlake.sources.tables import scan
+from barlake.streaming.landing_stream import run_once
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REARM_GAP_DAYS = 3
@@ -202,6 +207,52 @@ def q_insert_only_upsert(spark, d):
     return I.insert_only(FX.sink_bars(spark, d), FX.update_bars(spark, d))
 
 
+# --- landed files and the stream --------------------------------------------
+
+def q_landing_csv(spark, d):
+    path = FX.write_fixture_landing(spark, d, scratch_dir(spark, "landing"))
+    good, _ = read_landing(spark, path)
+    return good
+
+
+def q_quarantine_bad_rows(spark, d):
+    path = FX.write_fixture_landing(spark, d, scratch_dir(spark, "landing"))
+    _, bad = read_landing(spark, path)
+    return bad.select("ticker", "date_text", "reason")
+
+
+def _stream_raw(spark, d) -> str:
+    """Two scheduled runs of the ingest stream: the first sees the files of
+    the days up to the sink cut, the second the files of the update batch
+    (which repeat six days); returns the raw table's path."""
+    root = scratch_dir(spark, "stream")
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    quarantine, ckpt = f"{root}/quarantine", f"{root}/_checkpoints/ingest"
+    FX.write_fixture_landing(spark, d, f"{landing}/batch=1",
+                             F.col("date") <= F.lit(FX.SINK_CUT).cast("date"))
+    run_once(spark, landing, raw, quarantine, ckpt)
+    FX.write_fixture_landing(spark, d, f"{landing}/batch=2",
+                             F.col("date") >= F.lit(FX.UPDATE_FROM).cast("date"), with_stub=False)
+    run_once(spark, landing, raw, quarantine, ckpt)
+    return raw
+
+
+def q_stream_ingest(spark, d):
+    return scan(spark, _stream_raw(spark, d), BARS_SCHEMA).select(*BARS_SCHEMA.fieldNames())
+
+
+def q_daily_pipeline(spark, d):
+    """Landed files -> stream ingest -> refined + metrics tables -> alert hits."""
+    from barlake.plans.pipeline import refresh_tables
+    root = scratch_dir(spark, "daily")
+    landing = f"{root}/landing"
+    FX.write_fixture_landing(spark, d, landing)
+    run_once(spark, landing, f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoints/ingest")
+    raw = scan(spark, f"{root}/raw", BARS_SCHEMA)
+    _, metrics_path = refresh_tables(spark, raw, root, "r1")
+    return A.rule_hits(scan(spark, metrics_path), alert_rules(spark))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_user": q_bars_user,
     "bars_brand": q_bars_brand,
@@ -238,6 +289,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_batch": q_dedupe_batch,
     "new_rows": q_new_rows,
     "insert_only_upsert": q_insert_only_upsert,
+    "landing_csv": q_landing_csv,
+    "quarantine_bad_rows": q_quarantine_bad_rows,
+    "stream_ingest": q_stream_ingest,
+    "daily_pipeline": q_daily_pipeline,
 }
 
 
@@ -348,9 +403,37 @@ rec AS (
 SELECT rule_id, date FROM rec WHERE kept"""
     sql["alert_rearm"] = "WITH RECURSIVE " + sql["alert_rearm"][len("WITH "):]
     sql.update(_ingest_oracle())
+    sql.update(_landing_oracle())
     return sql
 
 
+def _landing_oracle() -> dict[str, str]:
+    days = "datediff('day', DATE '1995-01-01', date)"
+    n = "CAST(ticker AS BIGINT)"
+
+    def k(offset):
+        return f"(({days} * 7 + {n} * 3 + {offset}) % 23)"
+
+    short, odd = f"{k(6)} = 0", f"{n} % 2 = 1"
+    landed = f"""SELECT ticker, date, open, high,
+       CASE WHEN {short} AND {odd} THEN NULL ELSE low END AS low, close,
+       CASE WHEN {short} AND NOT ({odd}) THEN NULL ELSE volume END AS volume
+FROM dirty_user WHERE {k(5)} <> 0"""
+    base = O.chain("user", "dirty") + f", dirty_landed AS (\n{landed}\n)\n"
+    full = base.rstrip("\n")
+    for name, fn in O.STAGES[2:]:
+        full += f",\n{name}_landed AS (\n{fn('landed')}\n)"
+    full += ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql("landed") + "\n"
+    return {
+        "landing_csv": base + "SELECT *, 'US' AS exchange FROM dirty_landed",
+        "quarantine_bad_rows": O.chain("user", "dirty")
+        + f"SELECT ticker, strftime(date, '%Y/%m/%d') AS date_text, 'bad date' AS reason "
+          f"FROM dirty_user WHERE {k(5)} = 0",
+        "stream_ingest": base + "SELECT * FROM dirty_landed",
+        "daily_pipeline": full + "SELECT rule_id, ticker, date, value FROM hits_landed",
+    }
+
+
 def _ingest_oracle() -> dict[str, str]:
     base = O.chain("user", "bars") + """, sink AS (SELECT * FROM bars_user WHERE date <= DATE '2024-01-20'),
 upd AS (

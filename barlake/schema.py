@@ -23,6 +23,7 @@ BARS_SCHEMA = T.StructType([
 QUARANTINE_SCHEMA = T.StructType([
     T.StructField("file", T.StringType(), True),
     T.StructField("ticker", T.StringType(), True),
+    T.StructField("date_text", T.StringType(), True),
     T.StructField("line", T.StringType(), True),
     T.StructField("reason", T.StringType(), False),
 ])

@@ -132,3 +132,69 @@ def fixture_universe(spark: SparkSession, sf_dir: str, exchange: str = "US") ->
     tickers = bars_user(spark, sf_dir).select("ticker").distinct()
     extra = spark.range(1).select(F.lit(NO_DATA_TICKER).alias("ticker"))
     return tickers.unionByName(extra).select(F.lit(exchange).alias("exchange"), "ticker")
+
+
+# --- Landing fixture (FIXTURES.md F6) -----------------------------------------
+# Faults of the landed text, same rule as above with further offsets:
+#   offset 5, k = 0 -> date written as yyyy/MM/dd (not ISO: quarantined)
+#   offset 6, k = 0 -> the last field of the line is missing (a short row)
+# Odd-numbered tickers use the reordered header below; NULL values are
+# written as the text "bad"; the ticker without data gets a stub file.
+LANDING_BAD_DATE_OFFSET = 5
+LANDING_SHORT_OFFSET = 6
+REORDERED_HEADER = ["date", "close", "volume", "open", "high", "low"]
+BAD_CELL = "bad"
+
+
+def _fault_k(kind: str, offset: int) -> Column:
+    days = F.datediff(F.col("date"), F.lit(FAULT_EPOCH).cast("date"))
+    return F.pmod(days * 7 + ticker_number(kind) * 3 + F.lit(offset), F.lit(FAULT_MOD))
+
+
+def fixture_landing_rows(bars_df: DataFrame, kind: str = "user", exchange: str = "US") -> DataFrame:
+    from barlake.schema import LANDING_FIELDS
+    from barlake.sources.landing import landing_rows
+
+    standard = ["date", "open", "high", "low", "close", "volume"]
+    reordered = F.pmod(ticker_number(kind), F.lit(2)) == 1
+
+    def texts(order):
+        out = []
+        for c in order:
+            if c == "date":
+                out.append(F.when(_fault_k(kind, LANDING_BAD_DATE_OFFSET) == 0,
+                                  F.date_format("date", "yyyy/MM/dd"))
+                           .otherwise(F.date_format("date", "yyyy-MM-dd")))
+            else:
+                out.append(F.coalesce(F.col(c).cast("string"), F.lit(BAD_CELL)))
+        return F.array(*out)
+
+    fields = F.when(reordered, texts(REORDERED_HEADER)).otherwise(texts(standard))
+    short = _fault_k(kind, LANDING_SHORT_OFFSET) == 0
+    fields = F.when(short, F.slice(fields, 1, 5)).otherwise(fields)
+    header = F.when(reordered, F.lit(",".join(LANDING_FIELDS[c] for c in REORDERED_HEADER))) \
+        .otherwise(F.lit(",".join(LANDING_FIELDS[c] for c in standard)))
+    return landing_rows(bars_df, exchange, header=header, line=F.array_join(fields, ","))
+
+
+def stub_rows(spark: SparkSession, exchange: str = "US") -> DataFrame:
+    """The reply for a ticker without data: a file holding only ``Value``."""
+    from barlake.sources.landing import STUB_LINE
+    return spark.range(1).select(F.lit(f"{NO_DATA_TICKER}.{exchange}").alias("symbol"),
+                                 F.lit(0).alias("part"), F.lit(None).cast("date").alias("date"),
+                                 F.lit(STUB_LINE).alias("line"))
+
+
+def write_fixture_landing(spark: SparkSession, sf_dir: str, path: str,
+                          date_filter: Column | None = None, with_stub: bool = True) -> str:
+    """Landed files for the dirty user bars (optionally only some days)."""
+    from barlake.sources.landing import write_symbol_files
+
+    b = dirty_bars(spark, sf_dir, "user")
+    if date_filter is not None:
+        b = b.where(date_filter)
+    rows = fixture_landing_rows(b, "user")
+    if with_stub:
+        rows = rows.unionByName(stub_rows(spark))
+    write_symbol_files(rows, path)
+    return path
