@@ -22,6 +22,7 @@ from barlake.operators import alerts as A
 from barlake.operators import ingest as I
 from barlake.operators import metrics as M
 from barlake.operators import refine as R
+from barlake.operators import segmented as SG
 from barlake.plans import chains
 from barlake.schema import BARS_SCHEMA
 from barlake.session import scratch_dir
@@ -129,6 +130,27 @@ def q_metrics_brand(spark, d):
     return _round_cols(chains.metrics(spark, d, "brand"), ["close_sma_20", "close_sma_200"])
 
 
+# Long-series (skew-safe) variants; small segments and blocks so the brand
+# series (about 1,500 days each at sf0.01) span many segments and blocks.
+LONG_SEG_DAYS = 64
+LONG_BLOCK_ROWS = 512
+
+
+def q_forward_fill_long(spark, d):
+    p1 = R.null_nonpositive(FX.dirty_bars(spark, d, "brand"))
+    return SG.forward_fill_long(p1, seg_days=LONG_SEG_DAYS)
+
+
+def q_refine_prices_long(spark, d):
+    return SG.refine_prices_long(FX.dirty_bars(spark, d, "brand"), seg_days=LONG_SEG_DAYS)
+
+
+def q_metrics_long(spark, d):
+    refined = SG.refine_prices_long(FX.dirty_bars(spark, d, "brand"), seg_days=LONG_SEG_DAYS)
+    out = M.compute_metrics_long(refined, seg_days=LONG_SEG_DAYS, block_rows=LONG_BLOCK_ROWS)
+    return _round_cols(out, ["close_sma_20", "close_sma_200"])
+
+
 # --- alerts -----------------------------------------------------------------
 
 def q_alert_price_5(spark, d):
@@ -272,6 +294,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crossover_200": q_crossover_200,
     "metrics_all": q_metrics_all,
     "metrics_brand": q_metrics_brand,
+    "forward_fill_long": q_forward_fill_long,
+    "refine_prices_long": q_refine_prices_long,
+    "metrics_long": q_metrics_long,
     "alert_price_5": q_alert_price_5,
     "alert_price_10": q_alert_price_10,
     "alert_sma_20": q_alert_sma_20,
@@ -346,6 +371,9 @@ def _oracle() -> dict[str, str]:
         "crossover_200": c("brand", "metrics") + "SELECT ticker, date, close_sma_200_co FROM metrics_brand",
         "metrics_all": c("user", "metrics") + f"SELECT {metrics_cols} FROM metrics_user",
         "metrics_brand": c("brand", "metrics") + f"SELECT {metrics_cols} FROM metrics_brand",
+        "forward_fill_long": c("brand", "filled") + "SELECT * FROM filled_brand",
+        "refine_prices_long": c("brand", "refined") + "SELECT * FROM refined_brand",
+        "metrics_long": c("brand", "metrics") + f"SELECT {metrics_cols} FROM metrics_brand",
         "alert_price_5": c("user", "metrics")
         + f"SELECT ticker, CAST(close_change AS DECIMAL(10,3)) AS close_change FROM metrics_user "
           f"WHERE {latest_user} AND abs(close_change) > 5",

@@ -18,10 +18,11 @@ from barlake.functions.names import change_name, crossover_name, previous_name,
 from barlake.schema import KEY, ORDER
 
 
-def series_window(key: str = KEY, order: str = ORDER) -> Window:
+def series_window(key: str | list[str] = KEY, order: str = ORDER) -> Window:
     if key is None or order is None:
         raise ValueError("key and order are required")
-    return Window.partitionBy(key).orderBy(order)
+    keys = [key] if isinstance(key, str) else list(key)
+    return Window.partitionBy(*keys).orderBy(order)
 
 
 def sma_expr(value: Column, periods: int, w: Window, exact: bool = False,
@@ -106,8 +107,20 @@ def metric_columns(alerts: Iterable[tuple[str, int]], value_col: str = "close")
     return names
 
 
+def lookback_rows(alerts: Iterable[tuple[str, int]]) -> int:
+    """Rows before the current one that the rules read: 1 for a lag, n for an
+    SMA(n) frame, n + 1 for its crossover (the previous row's SMA)."""
+    need = 0
+    for kind, param in alerts:
+        if kind == "eod_change":
+            need = max(need, 1)
+        elif kind == "sma_crossover":
+            need = max(need, int(param) + 1)
+    return need
+
+
 def compute_metrics(df: DataFrame, alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS,
-                    value_col: str = "close", key: str = KEY, order: str = ORDER,
+                    value_col: str = "close", key: str | list[str] = KEY, order: str = ORDER,
                     exact: bool = False, cents: bool = False) -> DataFrame:
     """The columns of every configured rule, computed in two projections
     over one window spec.  Duplicate rules collapse; unknown types are ignored.
@@ -137,3 +150,19 @@ def compute_metrics(df: DataFrame, alerts: Iterable[tuple[str, int]] = DEFAULT_A
           for t, f in flags.items()}
     stage2 = stage1.select(*df.columns, *first.keys(), *[c.alias(n) for n, c in co.items()])
     return stage2.select(*df.columns, *metric_columns(alerts, value_col))
+
+
+def compute_metrics_long(df: DataFrame, alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS,
+                         value_col: str = "close", key: str = KEY, order: str = ORDER,
+                         exact: bool = False, cents: bool = False, seg_days: int = 1024,
+                         block_rows: int = 1_000_000) -> DataFrame:
+    """R1 for series of any length: the same columns as ``compute_metrics``,
+    with no task holding more than ``block_rows`` + look-back rows of one
+    ticker (see ``barlake.operators.segmented``)."""
+    from barlake.operators.segmented import blocks_with_halo, drop_halo
+
+    alerts = list(alerts)
+    halo = lookback_rows(alerts)
+    blocked = blocks_with_halo(df, halo, key, order, seg_days, block_rows)
+    out = compute_metrics(blocked, alerts, value_col, [key, "__blk"], order, exact, cents)
+    return drop_halo(out).select(*df.columns, *metric_columns(alerts, value_col))

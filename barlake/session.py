@@ -33,10 +33,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    tune_listing(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def tune_listing(spark: SparkSession) -> None:
+    """Size the file-listing job to the cluster.
+
+    A folder tree (one folder per symbol or per date) is listed by a Spark
+    job with, by default, up to 10,000 tasks: one per folder.  With many small
+    folders the task overhead dominates, so unless the user set it, use two
+    listing tasks per core of the cluster.
+    """
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.sparkContext.getConf().get(key, None) is None:
+        spark.conf.set(key, str(max(8, 2 * spark.sparkContext.defaultParallelism)))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 

@@ -196,5 +196,5 @@ def write_fixture_landing(spark: SparkSession, sf_dir: str, path: str,
     rows = fixture_landing_rows(b, "user")
     if with_stub:
         rows = rows.unionByName(stub_rows(spark))
-    write_symbol_files(rows, path)
+    write_symbol_files(rows, path).count()
     return path

@@ -1,8 +1,8 @@
 """Landed price files: one CSV text file per symbol, header line first.
 
 Files are named ``{TICKER}.{EXCHANGE}.csv`` (or sit under a
-``symbol={TICKER}.{EXCHANGE}`` folder, the layout Spark's partitioned writer
-produces).  The header names the columns (``Date,Open,High,Low,Close,Volume``
+``symbol={TICKER}.{EXCHANGE}`` folder, the layout Spark's partitioned text
+writer produces).  The header names the columns (``Date,Open,High,Low,Close,Volume``
 in any order); every value arrives as text.  A reply with no data is a stub
 holding the single line ``Value``.
 
@@ -26,7 +26,8 @@ DATE_FORMAT = "yyyy-MM-dd"
 
 
 def symbol_of_path(path: Column) -> Column:
-    """S4 reversed / S5: the symbol a file belongs to, from its path."""
+    """S4 reversed / S5: the symbol a file belongs to, from its path:
+    ``.../NVDA.US.csv`` or ``.../symbol=NVDA.US/part-....txt``."""
     folder = F.regexp_extract(path, r"/symbol=([^/]+)/", 1)
     name = F.regexp_extract(path, r"([^/]+)\.csv$", 1)
     return F.when(folder != "", F.url_decode(folder)).otherwise(name)
@@ -111,13 +112,65 @@ def standard_line() -> Column:
                          ("open", "high", "low", "close", "volume")])
 
 
-def write_symbol_files(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write (symbol, part, date, line) rows as one text file per symbol
-    under ``symbol=...`` folders; part 0 (the header) sorts first."""
-    (lines.repartition("symbol")
-     .sortWithinPartitions("symbol", "part", "date")
-     .select("symbol", "line")
-     .write.mode(mode).partitionBy("symbol").text(path))
+def _arrow_fs(path: str):
+    """pyarrow file system + root for a Spark path (file:, hdfs:, s3a: ...)."""
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    if path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://"):]
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(path)
+
+
+def write_symbol_files(lines: DataFrame, path: str) -> DataFrame:
+    """Write (symbol, part, date, line) rows as one ``{symbol}.csv`` text
+    file per symbol in the folder ``path`` (the price vendor's layout), header
+    first.  Returns one row per written file (symbol, lines).
+
+    Rows are hash-partitioned by symbol and sorted inside each partition, so
+    a task meets each of its symbols as one run of rows (possibly spread over
+    several Arrow batches) and writes that run as one file.  Files are written
+    under a hidden temporary name and renamed, so a reader never sees half a
+    file and a retried task simply rewrites them.  One file holds one
+    symbol's history, bounded by its number of trading days.
+    """
+    import uuid as _uuid
+
+    def write(batches):
+        import pandas as pd
+
+        fs, root = _arrow_fs(path)
+        fs.create_dir(root, recursive=True)
+        done_sym, done_n = [], []
+        current, buffer = None, []
+
+        def flush():
+            if current is None:
+                return
+            data = ("\n".join(buffer) + "\n").encode("utf-8")
+            tmp = f"{root}/.{current}.csv.{_uuid.uuid4().hex}"
+            with fs.open_output_stream(tmp) as out:
+                out.write(data)
+            fs.move(tmp, f"{root}/{current}.csv")
+            done_sym.append(current)
+            done_n.append(len(buffer))
+
+        for pdf in batches:
+            for sym, line in zip(pdf["symbol"].tolist(), pdf["line"].tolist()):
+                if sym != current:
+                    flush()
+                    current, buffer = sym, []
+                buffer.append(line)
+        flush()
+        yield pd.DataFrame({"symbol": done_sym, "lines": done_n})
+
+    return (lines.repartition("symbol")
+            .sortWithinPartitions("symbol", "part", "date")
+            .select("symbol", "line")
+            .mapInPandas(write, "symbol string, lines long"))
 
 
 def landing_rows(bars: DataFrame, exchange: str = "US", header: Column | None = None,
@@ -133,6 +186,7 @@ def landing_rows(bars: DataFrame, exchange: str = "US", header: Column | None =
     return heads.unionByName(rows.select("symbol", F.lit(1).alias("part"), "date", "line"))
 
 
-def write_landing(bars: DataFrame, path: str, exchange: str = "US", mode: str = "overwrite") -> None:
-    """Write bars as landed files in the standard layout."""
-    write_symbol_files(landing_rows(bars, exchange), path, mode)
+def write_landing(bars: DataFrame, path: str, exchange: str = "US") -> int:
+    """Write bars as landed files in the standard layout; returns the number
+    of files written."""
+    return write_symbol_files(landing_rows(bars, exchange), path).count()
