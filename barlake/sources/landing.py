@@ -48,8 +48,9 @@ def landing_lines(spark: SparkSession, path: str) -> DataFrame:
             .where(F.trim(F.col("line")) != ""))
 
 
-def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lines -> (typed rows, quarantined lines).
+def parse_lines(lines: DataFrame, split: bool = True):
+    """Lines -> (typed rows, quarantined lines); with ``split=False`` one frame
+    holding both, told apart by a NULL / non-NULL ``reason``.
 
     ``lines`` has columns ``line`` and ``file``.  The header of a file is the
     line that contains a ``Date`` field; files and headers are joined on the
@@ -86,6 +87,8 @@ def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
               .when((F.col("ticker").isNull()) | (F.col("ticker") == ""), F.lit("no ticker"))
               .when(F.col("date").isNull(), F.lit("bad date")))
     typed = typed.withColumn("reason", reason)
+    if not split:
+        return typed
     good = typed.where(F.col("reason").isNull()).select(
         "ticker", "date", "open", "high", "low", "close", "volume", "exchange")
     bad = typed.where(F.col("reason").isNotNull()).select(

@@ -42,9 +42,18 @@ def initialize_table(spark: SparkSession, path: str, schema: StructType,
     return True
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Group rows by the table's partition columns before a partitioned write,
+    so each partition folder gets a few large files instead of one small file
+    per task.  ``rebalance`` (not ``repartition``) lets AQE split a partition
+    value that holds a large share of the rows (a daily load is mostly one
+    date) and merge small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows to a path table (the insert half of an insert-only merge)."""
-    writer = df.write.mode("append")
+    writer = _rebalanced(df, partition_by).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -53,7 +62,7 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full rewrite of rows and schema.  ``path`` must differ from every
     path ``df`` reads: write a new version and swap readers to it."""
-    writer = df.write.mode("overwrite")
+    writer = _rebalanced(df, partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -28,15 +28,25 @@ QUARANTINE_KEYS = ["file", "line"]
 
 def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine_path: str,
                 partition_by=("date",)) -> None:
-    """Parse one batch of landed lines and merge it into the raw table."""
-    good, bad = parse_lines(lines)
-    bars = good.select(*BARS_SCHEMA.fieldNames())
-    sink = scan(spark, raw_path, BARS_SCHEMA)
-    append(new_rows(sink, bars), raw_path, partition_by)
-    qsink = scan(spark, quarantine_path, QUARANTINE_SCHEMA)
-    fresh_bad = bad.dropDuplicates(QUARANTINE_KEYS).join(
-        qsink.select(*QUARANTINE_KEYS), QUARANTINE_KEYS, "left_anti")
-    append(fresh_bad, quarantine_path)
+    """Parse one batch of landed lines and merge it into the raw table.
+
+    The parsed batch feeds two writes, so it is persisted for the duration of
+    the batch (executor memory, spilling to disk; a lost executor's blocks
+    are recomputed from the batch's files).
+    """
+    parsed = parse_lines(lines, split=False).persist()
+    try:
+        good = parsed.where(F.col("reason").isNull())
+        bars = good.select(*BARS_SCHEMA.fieldNames())
+        sink = scan(spark, raw_path, BARS_SCHEMA)
+        append(new_rows(sink, bars), raw_path, partition_by)
+        bad = parsed.where(F.col("reason").isNotNull()).select(*QUARANTINE_SCHEMA.fieldNames())
+        qsink = scan(spark, quarantine_path, QUARANTINE_SCHEMA)
+        fresh_bad = bad.dropDuplicates(QUARANTINE_KEYS).join(
+            qsink.select(*QUARANTINE_KEYS), QUARANTINE_KEYS, "left_anti")
+        append(fresh_bad, quarantine_path)
+    finally:
+        parsed.unpersist()
 
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
