@@ -19,6 +19,7 @@ from barlake import oracle as O
 from barlake.config import alert_rules
 from barlake.functions.exprs import rounded
 from barlake.operators import alerts as A
+from barlake.operators import incremental as INC
 from barlake.operators import ingest as I
 from barlake.operators import metrics as M
 from barlake.operators import refine as R
@@ -151,6 +152,18 @@ def q_metrics_long(spark, d):
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
+def q_metrics_incremental(spark, d):
+    """Full run over the days up to the sink cut, then one incremental run
+    for the later days; the union equals a full recompute (metrics_all)."""
+    raw = FX.dirty_bars(spark, d, "user")
+    cut = F.col("date") <= F.lit(FX.SINK_CUT).cast("date")
+    old_raw, new_raw = raw.where(cut), raw.where(~cut)
+    old = M.compute_metrics(R.refine_prices(old_raw))
+    carry, tails = INC.initial_state(old_raw, old)
+    new = INC.incremental_metrics(new_raw, carry, tails)
+    return _round_cols(old.unionByName(new), ["close_sma_20", "close_sma_200"])
+
+
 # --- alerts -----------------------------------------------------------------
 
 def q_alert_price_5(spark, d):
@@ -275,6 +288,23 @@ def q_daily_pipeline(spark, d):
     return A.rule_hits(scan(spark, metrics_path), alert_rules(spark))
 
 
+def q_metrics_stream(spark, d):
+    """Raw table filled in three ingest runs; after each, the metrics stream
+    processes only the new raw files incrementally.  The resulting metrics
+    table equals a full recompute over all landed rows."""
+    from barlake.streaming.metrics_stream import run_metrics_once
+    root = scratch_dir(spark, "metrics-stream")
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    cuts = [("1900-01-01", FX.UPDATE_FROM), (FX.UPDATE_FROM, FX.SINK_CUT), (FX.SINK_CUT, "2999-12-31")]
+    for i, (lo, hi) in enumerate(cuts):
+        window = (F.col("date") > F.lit(lo).cast("date")) & (F.col("date") <= F.lit(hi).cast("date"))
+        FX.write_fixture_landing(spark, d, f"{landing}/run={i}", window, with_stub=(i == 0))
+        run_once(spark, landing, raw, f"{root}/quarantine", f"{root}/_checkpoints/ingest")
+        run_metrics_once(spark, raw, root, f"{root}/_checkpoints/metrics")
+    out = scan(spark, f"{root}/metrics").select(*chains.metrics_columns())
+    return _round_cols(out, ["close_sma_20", "close_sma_200"])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_user": q_bars_user,
     "bars_brand": q_bars_brand,
@@ -297,6 +327,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forward_fill_long": q_forward_fill_long,
     "refine_prices_long": q_refine_prices_long,
     "metrics_long": q_metrics_long,
+    "metrics_incremental": q_metrics_incremental,
     "alert_price_5": q_alert_price_5,
     "alert_price_10": q_alert_price_10,
     "alert_sma_20": q_alert_sma_20,
@@ -318,6 +349,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_bad_rows": q_quarantine_bad_rows,
     "stream_ingest": q_stream_ingest,
     "daily_pipeline": q_daily_pipeline,
+    "metrics_stream": q_metrics_stream,
 }
 
 
@@ -371,6 +403,7 @@ def _oracle() -> dict[str, str]:
         "crossover_200": c("brand", "metrics") + "SELECT ticker, date, close_sma_200_co FROM metrics_brand",
         "metrics_all": c("user", "metrics") + f"SELECT {metrics_cols} FROM metrics_user",
         "metrics_brand": c("brand", "metrics") + f"SELECT {metrics_cols} FROM metrics_brand",
+        "metrics_incremental": c("user", "metrics") + f"SELECT {metrics_cols} FROM metrics_user",
         "forward_fill_long": c("brand", "filled") + "SELECT * FROM filled_brand",
         "refine_prices_long": c("brand", "refined") + "SELECT * FROM refined_brand",
         "metrics_long": c("brand", "metrics") + f"SELECT {metrics_cols} FROM metrics_brand",
@@ -459,6 +492,9 @@ FROM dirty_user WHERE {k(5)} <> 0"""
           f"FROM dirty_user WHERE {k(5)} = 0",
         "stream_ingest": base + "SELECT * FROM dirty_landed",
         "daily_pipeline": full + "SELECT rule_id, ticker, date, value FROM hits_landed",
+        "metrics_stream": full + "SELECT ticker, date, open, high, low, close, volume, close_previous, "
+        "close_change, round(close_sma_20 + 1e-8, 6) AS close_sma_20, close_sma_20_co, "
+        "round(close_sma_200 + 1e-8, 6) AS close_sma_200, close_sma_200_co FROM metrics_landed",
     }
 
 

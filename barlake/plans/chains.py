@@ -15,3 +15,10 @@ def refined(spark: SparkSession, sf_dir: str, kind: str = "user") -> DataFrame:
 
 def metrics(spark: SparkSession, sf_dir: str, kind: str = "user", **kw) -> DataFrame:
     return compute_metrics(refined(spark, sf_dir, kind), **kw)
+
+
+def metrics_columns(alerts=None) -> list[str]:
+    from barlake.config import DEFAULT_ALERTS
+    from barlake.operators.metrics import metric_columns
+    from barlake.schema import BARS_SCHEMA
+    return BARS_SCHEMA.fieldNames() + metric_columns(alerts or DEFAULT_ALERTS)
