@@ -305,6 +305,26 @@ def q_metrics_stream(spark, d):
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
+def _metrics_table(spark, d) -> str:
+    """The user metrics written as a date-partitioned parquet table."""
+    from barlake.sources.tables import overwrite
+    path = scratch_dir(spark, "metrics")
+    overwrite(chains.metrics(spark, d, "user"), path, ["date"])
+    return path
+
+
+def q_alert_price_5_sql(spark, d):
+    from barlake.plans import saved_queries as SQ
+    table = SQ.table_ref(_metrics_table(spark, d))
+    return SQ.run_saved(spark, SQ.price_change_sql(table, 5))
+
+
+def q_alert_sma_20_sql(spark, d):
+    from barlake.plans import saved_queries as SQ
+    table = SQ.table_ref(_metrics_table(spark, d))
+    return SQ.run_saved(spark, SQ.sma_cross_sql(table, 20))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_user": q_bars_user,
     "bars_brand": q_bars_brand,
@@ -332,6 +352,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_price_10": q_alert_price_10,
     "alert_sma_20": q_alert_sma_20,
     "alert_sma_200": q_alert_sma_200,
+    "alert_price_5_sql": q_alert_price_5_sql,
+    "alert_sma_20_sql": q_alert_sma_20_sql,
     "alert_hits": q_alert_hits,
     "alert_state": q_alert_state,
     "alert_messages": q_alert_messages,
@@ -420,6 +442,8 @@ def _oracle() -> dict[str, str]:
   CASE WHEN {co} > 0 THEN 'Went above {n} day moving average.'
        WHEN {co} < 0 THEN 'Went below {n} day moving average.' ELSE 'N/A' END AS sma_text
 FROM metrics_user WHERE {latest_user} AND abs({co}) > 0 ORDER BY {co}, ticker"""
+    sql["alert_price_5_sql"] = sql["alert_price_5"]
+    sql["alert_sma_20_sql"] = sql["alert_sma_20"]
     hits = c("user", "metrics") + ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql("user") + "\n"
     hits_all = c("user", "metrics") + ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql("user", False) + "\n"
     state = """state AS (
