@@ -182,6 +182,12 @@ def q_alert_sma_200(spark, d):
     return A.sma_cross_alert(chains.metrics(spark, d, "user"), 200)
 
 
+def q_latest_per_ticker(spark, d):
+    """Q4 variant: each ticker's own latest row and its change."""
+    m = chains.metrics(spark, d, "user")
+    return A.latest_day_per_key(m).select("ticker", "date", "close_change")
+
+
 def q_alert_hits(spark, d):
     return A.rule_hits(chains.metrics(spark, d, "user"), alert_rules(spark))
 
@@ -354,6 +360,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_sma_200": q_alert_sma_200,
     "alert_price_5_sql": q_alert_price_5_sql,
     "alert_sma_20_sql": q_alert_sma_20_sql,
+    "latest_per_ticker": q_latest_per_ticker,
     "alert_hits": q_alert_hits,
     "alert_state": q_alert_state,
     "alert_messages": q_alert_messages,
@@ -442,6 +449,9 @@ def _oracle() -> dict[str, str]:
   CASE WHEN {co} > 0 THEN 'Went above {n} day moving average.'
        WHEN {co} < 0 THEN 'Went below {n} day moving average.' ELSE 'N/A' END AS sma_text
 FROM metrics_user WHERE {latest_user} AND abs({co}) > 0 ORDER BY {co}, ticker"""
+    sql["latest_per_ticker"] = c("user", "metrics") + """SELECT m.ticker, m.date, m.close_change
+FROM metrics_user m JOIN (SELECT ticker, max(date) AS d FROM metrics_user GROUP BY ticker) l
+  ON m.ticker = l.ticker AND m.date = l.d"""
     sql["alert_price_5_sql"] = sql["alert_price_5"]
     sql["alert_sma_20_sql"] = sql["alert_sma_20"]
     hits = c("user", "metrics") + ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql("user") + "\n"

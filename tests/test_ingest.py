@@ -93,3 +93,12 @@ def test_landing_round_trip(spark):
     good, bad = read_landing(spark, path)
     assert bad.count() == 0
     assert sorted(map(tuple, good.drop("exchange").collect())) == sorted(map(tuple, src.collect()))
+
+
+def test_merge_on_date_only_for_one_ticker_table(spark):
+    """A table holding one ticker merges on the date alone."""
+    schema = "date date, close double"
+    sink = spark.createDataFrame([(d(0), 1.0), (d(1), 2.0)], schema)
+    upd = spark.createDataFrame([(d(1), 9.0), (d(2), 3.0), (d(2), 3.0)], schema)
+    out = sorted(tuple(r) for r in I.insert_only(sink, upd, keys=("date",)).collect())
+    assert out == [(d(0), 1.0), (d(1), 2.0), (d(2), 3.0)]
