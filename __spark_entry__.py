@@ -148,6 +148,7 @@ def q_refine_prices_long(spark, d):
 
 def q_metrics_long(spark, d):
     refined = SG.refine_prices_long(FX.dirty_bars(spark, d, "brand"), seg_days=LONG_SEG_DAYS)
+    refined = SG.materialize(refined)
     out = M.compute_metrics_long(refined, seg_days=LONG_SEG_DAYS, block_rows=LONG_BLOCK_ROWS)
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
@@ -282,18 +283,29 @@ def q_stream_ingest(spark, d):
     return scan(spark, _stream_raw(spark, d), BARS_SCHEMA).select(*BARS_SCHEMA.fieldNames())
 
 
-def q_daily_pipeline(spark, d):
-    """Landed files -> stream ingest -> refined + metrics tables -> alert hits."""
+def _daily(spark, d, strategy, **kw):
     from barlake.plans.pipeline import refresh_tables
     root = scratch_dir(spark, "daily")
     landing = f"{root}/landing"
     FX.write_fixture_landing(spark, d, landing)
     run_once(spark, landing, f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoints/ingest")
     raw = scan(spark, f"{root}/raw", BARS_SCHEMA)
-    _, metrics_path = refresh_tables(spark, raw, root, "r1")
+    _, metrics_path = refresh_tables(spark, raw, root, "r1", strategy=strategy, **kw)
     return A.rule_hits(scan(spark, metrics_path), alert_rules(spark))
 
 
+def q_daily_pipeline(spark, d):
+    """Landed files -> stream ingest -> refined + metrics tables -> alert hits."""
+    return _daily(spark, d, "key")
+
+
+def q_daily_pipeline_long(spark, d):
+    """The same run with the long-series (skew-safe) operators.  Week-long
+    segments split each 30-day user series; blocks are at least the 201-row
+    look-back, so halos are exercised by ``metrics_long`` instead."""
+    return _daily(spark, d, "long", seg_days=7, block_rows=8)
+
+
 def q_metrics_stream(spark, d):
     """Raw table filled in three ingest runs; after each, the metrics stream
     processes only the new raw files incrementally.  The resulting metrics
@@ -378,6 +390,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_bad_rows": q_quarantine_bad_rows,
     "stream_ingest": q_stream_ingest,
     "daily_pipeline": q_daily_pipeline,
+    "daily_pipeline_long": q_daily_pipeline_long,
     "metrics_stream": q_metrics_stream,
 }
 
@@ -526,6 +539,7 @@ FROM dirty_user WHERE {k(5)} <> 0"""
           f"FROM dirty_user WHERE {k(5)} = 0",
         "stream_ingest": base + "SELECT * FROM dirty_landed",
         "daily_pipeline": full + "SELECT rule_id, ticker, date, value FROM hits_landed",
+        "daily_pipeline_long": full + "SELECT rule_id, ticker, date, value FROM hits_landed",
         "metrics_stream": full + "SELECT ticker, date, open, high, low, close, volume, close_previous, "
         "close_change, round(close_sma_20 + 1e-8, 6) AS close_sma_20, close_sma_20_co, "
         "round(close_sma_200 + 1e-8, 6) AS close_sma_200, close_sma_200_co FROM metrics_landed",

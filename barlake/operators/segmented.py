@@ -18,6 +18,9 @@ holds more than a bounded slice of any ticker:
 
 Big data is shuffled twice (by ``(ticker, segment)`` and by
 ``(ticker, block)``); everything else moves only per-segment summary rows.
+The summaries are partial aggregations over the same input, so the input is
+scanned again but never re-sorted or re-windowed; ``materialize`` cuts the
+lineage where an input is expensive to recompute.
 """
 
 from __future__ import annotations
@@ -51,11 +54,10 @@ def forward_fill_long(df: DataFrame, columns: Sequence[str] = MEASURES, order: s
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = seg.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols
                          else F.col(c) for c in seg.columns])
-    # The last row of a segment holds the segment's last non-NULL values.
-    # (Same partitioning as the window above: no new shuffle of the rows.)
-    tail = (inner.groupBy(key, SEG)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("__t"))
-            .select(key, SEG, *[F.col("__t")[c].alias(c) for c in cols]))
+    # Each segment's last non-NULL value per column, aggregated straight from
+    # the input (a partial aggregation; the filled rows are not read twice).
+    tail = seg.groupBy(key, SEG).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in cols])
     before = (Window.partitionBy(key).orderBy(SEG)
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = tail.select(key, SEG, *[F.last(F.col(c), ignorenulls=True).over(before).alias(f"__c_{c}")
@@ -102,3 +104,15 @@ def blocks_with_halo(df: DataFrame, halo: int, key: str = KEY, order: str = ORDE
 
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.where(~F.col(HALO)).drop(BLK, HALO)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` to the session's reliable checkpoint
+    folder (shared storage on a cluster) and continue from the written copy.
+    Used before a pass that reads its input more than once (row numbering
+    reads it for the segment counts and for the rows), so a deep input plan
+    is computed once and a lost executor does not recompute it."""
+    from barlake.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

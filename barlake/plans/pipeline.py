@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from barlake.config import DEFAULT_ALERTS, alert_rules
 from barlake.operators.alerts import rule_hits
-from barlake.operators.metrics import compute_metrics
+from barlake.operators.metrics import compute_metrics, compute_metrics_long
 from barlake.operators.refine import refine_prices
+from barlake.operators.segmented import refine_prices_long
 from barlake.schema import BARS_SCHEMA
 from barlake.sources.tables import overwrite, scan
 from barlake.streaming.landing_stream import run_once
@@ -63,24 +64,39 @@ def current(spark: SparkSession, table_root: str) -> str:
 
 
 def refresh_tables(spark: SparkSession, raw: DataFrame, root: str, run_id: str,
-                   alerts=DEFAULT_ALERTS) -> tuple[str, str]:
-    """Refined + metrics for one run from the raw rows; returns both paths."""
+                   alerts=DEFAULT_ALERTS, strategy: str = "key",
+                   seg_days: int = 1024, block_rows: int = 1_000_000) -> tuple[str, str]:
+    """Refined + metrics for one run from the raw rows; returns both paths.
+
+    ``strategy="key"``: one lineage, one shuffle on the ticker (a ticker's
+    history is bounded by its trading days).  ``strategy="long"``: the
+    segmented operators, so no task holds more than a block of one ticker;
+    refined is written first and metrics are computed from the written table.
+    """
     version = f"v={run_id}"
     metrics_path = f"{root}/metrics/{version}"
     refined_path = f"{root}/refined/{version}"
-    overwrite(compute_metrics(refine_prices(raw), alerts), metrics_path, ["date"])
-    written = scan(spark, metrics_path)
-    overwrite(written.select(*BARS_SCHEMA.fieldNames()), refined_path, ["date"])
+    if strategy == "key":
+        overwrite(compute_metrics(refine_prices(raw), alerts), metrics_path, ["date"])
+        written = scan(spark, metrics_path)
+        overwrite(written.select(*BARS_SCHEMA.fieldNames()), refined_path, ["date"])
+    elif strategy == "long":
+        overwrite(refine_prices_long(raw, seg_days=seg_days), refined_path, ["date"])
+        refined = scan(spark, refined_path, BARS_SCHEMA)
+        overwrite(compute_metrics_long(refined, alerts, seg_days=seg_days, block_rows=block_rows),
+                  metrics_path, ["date"])
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
     publish(spark, f"{root}/metrics", version)
     publish(spark, f"{root}/refined", version)
     return refined_path, metrics_path
 
 
 def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | None = None,
-              alerts=DEFAULT_ALERTS) -> DataFrame:
+              alerts=DEFAULT_ALERTS, strategy: str = "key") -> DataFrame:
     """One scheduled run; returns the alert hits of the latest day."""
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     run_once(spark, landing_dir, f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoints/ingest")
     raw = scan(spark, f"{root}/raw", BARS_SCHEMA)
-    _, metrics_path = refresh_tables(spark, raw, root, run_id, alerts)
+    _, metrics_path = refresh_tables(spark, raw, root, run_id, alerts, strategy)
     return rule_hits(scan(spark, metrics_path), alert_rules(spark, alerts))
