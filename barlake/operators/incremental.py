@@ -63,16 +63,26 @@ def update_carry(carry: DataFrame, new_raw: DataFrame, measures=MEASURES, key: s
 
 def incremental_metrics(new_raw: DataFrame, carry: DataFrame, tails: DataFrame,
                         alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS, value_col: str = "close",
-                        measures=MEASURES, key: str = KEY, order: str = ORDER) -> DataFrame:
+                        measures=MEASURES, key: str = KEY, order: str = ORDER,
+                        strategy: str = "key", seg_days: int = 1024,
+                        block_rows: int = 1_000_000) -> DataFrame:
     """Metrics rows for ``new_raw`` (days after each ticker's last day),
-    equal to the rows a full recompute would give for those days."""
+    equal to the rows a full recompute would give for those days.
+
+    A daily batch holds a few rows per ticker (``strategy="key"``); for a
+    large back-fill use ``"long"``, which bounds every task by ``block_rows``
+    rows of a ticker."""
     alerts = list(alerts)
     clean = null_nonpositive(new_raw, measures)
     # Fill: inside the new rows, then from the carry for what is still NULL.
-    w = (Window.partitionBy(key).orderBy(order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = clean.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in measures
-                           else F.col(c) for c in clean.columns])
+    if strategy == "long":
+        from barlake.operators.segmented import forward_fill_long
+        inner = forward_fill_long(clean, measures, order, key, seg_days)
+    else:
+        w = (Window.partitionBy(key).orderBy(order)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        inner = clean.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c)
+                               if c in measures else F.col(c) for c in clean.columns])
     c = carry.select(key, *[F.col(m).alias(f"__c_{m}") for m in measures])
     filled = inner.join(c, key, "left").select(
         *[F.coalesce(F.col(m), F.col(f"__c_{m}")).alias(m) if m in measures else F.col(m)
@@ -82,17 +92,23 @@ def incremental_metrics(new_raw: DataFrame, carry: DataFrame, tails: DataFrame,
     base_cols = refined.columns
     context = tails.select(*base_cols).withColumn(TAIL, F.lit(True))
     both = context.unionByName(refined.withColumn(TAIL, F.lit(False)))
-    out = compute_metrics(both, alerts, value_col, key, order)
+    if strategy == "long":
+        from barlake.operators.metrics import compute_metrics_long
+        from barlake.operators.segmented import materialize
+        out = compute_metrics_long(materialize(both), alerts, value_col, key, order,
+                                   seg_days=seg_days, block_rows=block_rows)
+    else:
+        out = compute_metrics(both, alerts, value_col, key, order)
     return out.where(~F.col(TAIL)).select(*base_cols, *metric_columns(alerts, value_col))
 
 
 def next_tails(tails: DataFrame, new_metrics: DataFrame, lookback: int, key: str = KEY,
-               order: str = ORDER) -> DataFrame:
-    """Tail state after the run: the last ``lookback`` rows of old tail plus
-    new rows (at most ``lookback`` + new rows per ticker in one window)."""
+               order: str = ORDER, seg_days: int = 1024) -> DataFrame:
+    """Tail state after the run: the last ``lookback`` rows of the old tail
+    plus the new rows, numbered by segment offsets (a back-fill of one ticker
+    is not put in one task)."""
     both = tails.unionByName(new_metrics.select(*tails.columns))
-    w = Window.partitionBy(key).orderBy(F.col(order).desc())
-    return both.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= lookback).drop("__rn")
+    return tail_state(both, lookback, key, order, seg_days)
 
 
 def initial_state(raw: DataFrame, metrics: DataFrame, alerts=DEFAULT_ALERTS,

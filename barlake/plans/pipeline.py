@@ -64,7 +64,7 @@ def current(spark: SparkSession, table_root: str) -> str:
 
 
 def refresh_tables(spark: SparkSession, raw: DataFrame, root: str, run_id: str,
-                   alerts=DEFAULT_ALERTS, strategy: str = "key",
+                   alerts=DEFAULT_ALERTS, strategy: str = "auto",
                    seg_days: int = 1024, block_rows: int = 1_000_000) -> tuple[str, str]:
     """Refined + metrics for one run from the raw rows; returns both paths.
 
@@ -72,7 +72,11 @@ def refresh_tables(spark: SparkSession, raw: DataFrame, root: str, run_id: str,
     history is bounded by its trading days).  ``strategy="long"``: the
     segmented operators, so no task holds more than a block of one ticker;
     refined is written first and metrics are computed from the written table.
+    ``strategy="auto"`` picks one from the size of the largest ticker.
     """
+    from barlake.plans.strategy import choose
+
+    strategy = choose(raw, strategy)
     version = f"v={run_id}"
     metrics_path = f"{root}/metrics/{version}"
     refined_path = f"{root}/refined/{version}"
@@ -93,7 +97,7 @@ def refresh_tables(spark: SparkSession, raw: DataFrame, root: str, run_id: str,
 
 
 def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | None = None,
-              alerts=DEFAULT_ALERTS, strategy: str = "key") -> DataFrame:
+              alerts=DEFAULT_ALERTS, strategy: str = "auto") -> DataFrame:
     """One scheduled run; returns the alert hits of the latest day."""
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     run_once(spark, landing_dir, f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoints/ingest")

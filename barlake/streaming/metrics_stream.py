@@ -24,15 +24,15 @@ from pyspark.sql import functions as F
 from barlake.config import DEFAULT_ALERTS
 from barlake.operators import incremental as INC
 from barlake.operators.ingest import new_rows
-from barlake.operators.metrics import compute_metrics, lookback_rows
-from barlake.operators.refine import refine_prices
+from barlake.operators.metrics import lookback_rows
 from barlake.plans.pipeline import current, publish
+from barlake.plans.strategy import build_metrics, choose
 from barlake.schema import BARS_SCHEMA, KEY, ORDER
 from barlake.sources.tables import append, overwrite, path_exists, scan
 
 
 def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id: int,
-                  alerts=DEFAULT_ALERTS) -> None:
+                  alerts=DEFAULT_ALERTS, strategy: str = "auto") -> None:
     alerts = list(alerts)
     lookback = max(lookback_rows(alerts), 1)
     metrics_path = f"{root}/metrics"
@@ -40,7 +40,7 @@ def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id
     raw_batch = raw_batch.select(*BARS_SCHEMA.fieldNames())
     if not path_exists(spark, f"{carry_root}/_current"):
         batch = raw_batch.persist()
-        fresh = compute_metrics(refine_prices(batch), alerts).persist()
+        fresh = build_metrics(batch, alerts, strategy).persist()
         carry, tails = INC.initial_state(batch, fresh, alerts)
     else:
         carry = scan(spark, current(spark, carry_root))
@@ -49,7 +49,8 @@ def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id
                  .where(F.col("last_date").isNull() | (F.col(ORDER) > F.col("last_date")))
                  .drop("last_date"))
         batch = later.persist()
-        fresh = INC.incremental_metrics(batch, carry, tails, alerts).persist()
+        fresh = INC.incremental_metrics(batch, carry, tails, alerts,
+                                        strategy=choose(batch, strategy)).persist()
         carry = INC.update_carry(carry, batch)
         tails = INC.next_tails(tails, fresh, lookback)
     try:
@@ -68,12 +69,12 @@ def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id
 
 
 def run_metrics_once(spark: SparkSession, raw_path: str, root: str, checkpoint: str,
-                     alerts=DEFAULT_ALERTS) -> None:
+                     alerts=DEFAULT_ALERTS, strategy: str = "auto") -> None:
     """Process every raw file added since the last run, then stop."""
     stream = spark.readStream.schema(BARS_SCHEMA).parquet(raw_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch.sparkSession, batch, root, batch_id, alerts)
+        process_batch(batch.sparkSession, batch, root, batch_id, alerts, strategy)
 
     q = (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from barlake.session import get_session
 
-    s = get_session("local[*]", 8, app_name="barlake-tests")
+    s = get_session("local[*]", 8, app_name="barlake-tests",
+                    extra={"spark.driver.memory": "6g"})
     yield s
 
 
