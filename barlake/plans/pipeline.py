@@ -41,26 +41,45 @@ def _fs(spark: SparkSession, path: str):
 
 
 def publish(spark: SparkSession, table_root: str, version: str) -> None:
-    """Point ``{table_root}/_current`` at ``version`` (write new, then rename)."""
+    """Point ``{table_root}/_current`` at ``version``.
+
+    The pointer is written under a temporary name and renamed over the old
+    one in one step (``FileContext.rename`` with OVERWRITE), so readers see
+    either the old or the new version, never a missing pointer.
+    """
     fs, _ = _fs(spark, table_root)
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{table_root}/_current.{uuid.uuid4().hex}")
+    Path = jvm.org.apache.hadoop.fs.Path
+    tmp = Path(f"{table_root}/_current.{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     out.write(bytearray(version.encode("utf-8")))
     out.close()
-    cur = jvm.org.apache.hadoop.fs.Path(f"{table_root}/_current")
-    fs.delete(cur, False)
-    fs.rename(tmp, cur)
+    cur = Path(f"{table_root}/_current")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(cur.toUri(), conf)
+    opts = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    fc.rename(fc.makeQualified(tmp), fc.makeQualified(cur), opts)
 
 
 def current(spark: SparkSession, table_root: str) -> str:
+    """Path of the published version; without a pointer, the newest version
+    folder whose write completed (has ``_SUCCESS``)."""
     fs, _ = _fs(spark, table_root)
     jvm = spark.sparkContext._jvm
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{table_root}/_current"))
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    version = reader.readLine()
-    reader.close()
-    return f"{table_root}/{version}"
+    Path = jvm.org.apache.hadoop.fs.Path
+    pointer = Path(f"{table_root}/_current")
+    if fs.exists(pointer):
+        stream = fs.open(pointer)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        version = reader.readLine()
+        reader.close()
+        return f"{table_root}/{version}"
+    done = [st.getPath().getName() for st in fs.listStatus(Path(table_root))
+            if st.isDirectory() and fs.exists(Path(st.getPath(), "_SUCCESS"))]
+    if not done:
+        raise FileNotFoundError(f"no completed version under {table_root}")
+    return f"{table_root}/{max(done)}"
 
 
 def refresh_tables(spark: SparkSession, raw: DataFrame, root: str, run_id: str,

@@ -78,3 +78,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/barlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` of input.
+
+    Aim at ~``partition_bytes`` per task so partitions fit in executor memory
+    without spilling: scans split files at that size; the initial shuffle
+    partition count covers the input at that size (at least 2 waves of the
+    cluster's cores), and AQE coalesces the small ones and splits skewed
+    ones at run time.
+    """
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(2 * cores),
+    }

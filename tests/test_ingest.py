@@ -102,3 +102,24 @@ def test_merge_on_date_only_for_one_ticker_table(spark):
     upd = spark.createDataFrame([(d(1), 9.0), (d(2), 3.0), (d(2), 3.0)], schema)
     out = sorted(tuple(r) for r in I.insert_only(sink, upd, keys=("date",)).collect())
     assert out == [(d(0), 1.0), (d(1), 2.0), (d(2), 3.0)]
+
+
+def test_publish_and_current(spark):
+    from barlake.plans.pipeline import current, publish
+
+    root = tempfile.mkdtemp(prefix="barlake-pub-")
+    for v in ("v=1", "v=2"):
+        bars(spark, [("A", d(0), 1.0, 1.0, 1.0, 1.0, 1)]).write.parquet(f"{root}/{v}")
+    assert current(spark, root) == f"{root}/v=2"        # no pointer: newest completed
+    publish(spark, root, "v=1")
+    assert current(spark, root) == f"{root}/v=1"
+    publish(spark, root, "v=2")
+    assert current(spark, root) == f"{root}/v=2"
+
+
+def test_cluster_conf_sizes_partitions():
+    from barlake.session import cluster_conf
+
+    conf = cluster_conf(100 * 2**40, 4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
