@@ -141,3 +141,29 @@ def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | No
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return rule_hits(scan(spark, metrics_path), alert_rules(spark, alerts))
+
+
+def main(argv=None) -> None:
+    """``python -m barlake.plans.pipeline --landing DIR --root DIR``: one
+    scheduled run (ingest, metrics, alerts); prints the alert state."""
+    import argparse
+
+    from barlake.operators.alerts import alert_state
+    from barlake.session import get_session
+
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    ap.add_argument("--landing", required=True, help="folder of landed {SYMBOL}.{EXCHANGE}.csv files")
+    ap.add_argument("--root", required=True, help="folder of the raw / metrics / state tables")
+    ap.add_argument("--mode", default="incremental", choices=["incremental", "full"])
+    ap.add_argument("--strategy", default="auto", choices=["auto", "key", "long"])
+    ap.add_argument("--exchange", default="US")
+    ap.add_argument("--run-id", default=None)
+    args = ap.parse_args(argv)
+    spark = get_session()
+    hits = run_daily(spark, args.landing, args.root, args.run_id, strategy=args.strategy,
+                     mode=args.mode)
+    alert_state(alert_rules(spark), hits, args.exchange).show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()
