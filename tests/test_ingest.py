@@ -123,3 +123,13 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * 2**40, 4000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_landing_crlf_and_extra_columns(spark):
+    path = tempfile.mkdtemp(prefix="barlake-landing-")
+    _write(path, "MU.US.csv", "Date,Open,High,Low,Close,Adjusted_close,Volume\r\n"
+                              "2024-01-02,1.0,2.0,0.5,1.5,1.4,7\r\n")
+    good, bad = read_landing(spark, path)
+    r = good.collect()
+    assert len(r) == 1 and (r[0].ticker, r[0].close, r[0].volume) == ("MU", 1.5, 7)
+    assert bad.count() == 0
