@@ -30,9 +30,11 @@ def latest_day(df: DataFrame, order: str = ORDER) -> DataFrame:
 
 
 def latest_day_per_key(df: DataFrame, key: str = KEY, order: str = ORDER) -> DataFrame:
-    """Per-ticker variant (Q4): each ticker's own latest row."""
-    last = df.groupBy(key).agg(F.max(order).alias("__last"))
-    return (df.join(last, key).where(F.col(order) == F.col("__last")).drop("__last"))
+    """Per-ticker variant (Q4): each ticker's own latest row.  The join is on
+    (ticker, date), so a ticker with a long history is not one join
+    partition."""
+    last = df.groupBy(key).agg(F.max(order).alias(order))
+    return df.join(last, [key, order], "left_semi")
 
 
 def price_change_alert(metrics: DataFrame, threshold: float, value_col: str = "close",
@@ -58,7 +60,7 @@ def sma_cross_alert(metrics: DataFrame, periods: int, value_col: str = "close",
 
 def _rules_side(rules: DataFrame) -> tuple[DataFrame, bool]:
     """The rules table, with a broadcast hint only when its size is checked."""
-    small = rules.count() <= MAX_BROADCAST_RULES
+    small = rules.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
     return (F.broadcast(rules) if small else rules), small
 
 

@@ -44,10 +44,8 @@ def tail_state(metrics: DataFrame, lookback: int, key: str = KEY, order: str = O
                seg_days: int = 1024) -> DataFrame:
     """The last ``lookback`` rows of every ticker's metrics, found without
     putting a whole ticker in one task (row numbers by segment offsets)."""
-    idx = row_index(metrics, key, order, seg_days)
-    total = idx.groupBy(key).agg(F.max(IDX).alias("__last"))
-    return (idx.join(total, key).where(F.col(IDX) > F.col("__last") - lookback)
-            .drop(IDX, SEG, "__last"))
+    idx = row_index(metrics, key, order, seg_days, min_tail=lookback)
+    return idx.where(F.col(IDX) >= F.col("__total") - lookback).drop(IDX, SEG, "__total")
 
 
 def update_carry(carry: DataFrame, new_raw: DataFrame, measures=MEASURES, key: str = KEY,

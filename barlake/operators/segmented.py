@@ -74,15 +74,31 @@ def refine_prices_long(df: DataFrame, measures: Sequence[str] = MEASURES, key: s
                                              order, key, seg_days))
 
 
-def row_index(df: DataFrame, key: str = KEY, order: str = ORDER, seg_days: int = 1024) -> DataFrame:
+def row_index(df: DataFrame, key: str = KEY, order: str = ORDER, seg_days: int = 1024,
+              with_total: bool = False, min_tail: int | None = None) -> DataFrame:
     """Adds ``__idx``: the 0-based position of the row in its ticker's series,
-    without ever placing a whole ticker in one task."""
+    without ever placing a whole ticker in one task.
+
+    Segment row counts go into a small (ticker, segment) table; running sums
+    over it give each segment's first position (and, with ``with_total``,
+    the ticker's row count as ``__total``).  The rows join it on (ticker,
+    segment), so no join or window is keyed by the ticker alone.  With
+    ``min_tail`` only segments holding some of the last ``min_tail`` rows of
+    their ticker are kept (before the join).
+    """
     seg = df.withColumn(SEG, segment_of(F.col(order), seg_days))
     counts = seg.groupBy(key, SEG).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(key).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, SEG, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    by_key = Window.partitionBy(key).orderBy(SEG)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = counts.select(key, SEG, "__n", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
+                            F.sum("__n").over(whole).alias("__total"))
+    if min_tail is not None:
+        offsets = offsets.where(F.col("__start") + F.col("__n") > F.col("__total") - min_tail)
+    if not (with_total or min_tail is not None):
+        offsets = offsets.drop("__total")
     w = Window.partitionBy(key, SEG).orderBy(order)
-    return (seg.join(offsets, [key, SEG], "inner")
+    return (seg.join(offsets.drop("__n"), [key, SEG], "inner")
             .withColumn(IDX, F.col("__start") + F.row_number().over(w) - 1)
             .drop("__start"))
 
