@@ -40,6 +40,27 @@ def sma_expr(value: Column, periods: int, w: Window, exact: bool = False,
     return F.avg(value).over(frame)
 
 
+# Whole-cent SMAs from running integer sums: a running sum/count is an
+# incremental frame (O(1) per row), and the frame total is the running value
+# minus the running value ``back + 1`` rows earlier.  Integer sums are exact,
+# so this equals summing the frame directly, without re-adding up to
+# ``periods + 1`` values for every row as a sliding frame does.
+CENTS_SUM, CENTS_COUNT = "__cents_sum", "__cents_count"
+
+
+def cents_running(value: Column, w: Window) -> dict[str, Column]:
+    whole = F.round(value * 100).cast("bigint")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return {CENTS_SUM: F.sum(whole).over(running), CENTS_COUNT: F.count(whole).over(running)}
+
+
+def cents_sma_from_running(periods: int, w: Window, exact: bool = False) -> Column:
+    back = (periods - 1 if exact else periods) + 1
+    total = F.col(CENTS_SUM) - F.coalesce(F.lag(F.col(CENTS_SUM), back).over(w), F.lit(0))
+    n = F.col(CENTS_COUNT) - F.coalesce(F.lag(F.col(CENTS_COUNT), back).over(w), F.lit(0))
+    return F.try_divide(total.cast("double"), F.lit(100.0) * n)
+
+
 # --- The reference's single-metric building blocks -------------------------
 
 def previous_value(df: DataFrame, column: str, key: str = KEY,
@@ -59,8 +80,12 @@ def simple_moving_average(df: DataFrame, column: str, periods: int, key: str = K
                           cents: bool = False) -> tuple[DataFrame, str]:
     """Adds ``{column}_sma_{periods}``."""
     name = sma_name(column, periods)
-    expr = sma_expr(F.col(column), periods, series_window(key, order), exact, cents)
-    return df.withColumn(name, expr), name
+    w = series_window(key, order)
+    if cents:
+        running = df.select("*", *[c.alias(n) for n, c in cents_running(F.col(column), w).items()])
+        out = running.withColumn(name, cents_sma_from_running(periods, w, exact))
+        return out.drop(CENTS_SUM, CENTS_COUNT), name
+    return df.withColumn(name, sma_expr(F.col(column), periods, w, exact)), name
 
 
 def crossover(df: DataFrame, trend_col: str, value_col: str, key: str = KEY,
@@ -128,6 +153,9 @@ def compute_metrics(df: DataFrame, alerts: Iterable[tuple[str, int]] = DEFAULT_A
     alerts = list(alerts)
     w = series_window(key, order)
     value = F.col(value_col)
+    base = df
+    if cents and any(kind == "sma_crossover" for kind, _ in alerts):
+        base = df.select("*", *[c.alias(n) for n, c in cents_running(value, w).items()])
     first: dict[str, Column] = {}
     flags: dict[str, str] = {}
     for kind, param in alerts:
@@ -139,12 +167,13 @@ def compute_metrics(df: DataFrame, alerts: Iterable[tuple[str, int]] = DEFAULT_A
             n = int(param)
             trend = sma_name(value_col, n)
             if trend not in first:
-                first[trend] = sma_expr(value, n, w, exact, cents)
+                first[trend] = (cents_sma_from_running(n, w, exact) if cents
+                                else sma_expr(value, n, w, exact))
                 flags[trend] = f"__{trend}_above"
     # Pass 1: lag/change/SMA values; the above-flags need the SMA, so they
     # are computed on top of pass 1 and lagged in pass 2 (same window spec:
     # no second shuffle or sort).
-    stage1 = df.select(*df.columns, *[c.alias(n) for n, c in first.items()])
+    stage1 = base.select(*df.columns, *[c.alias(n) for n, c in first.items()])
     stage1 = stage1.select("*", *[above_flag(value, F.col(t)).alias(f) for t, f in flags.items()])
     co = {crossover_name(t): crossover_sign(F.col(f), F.lag(F.col(f), 1).over(w))
           for t, f in flags.items()}

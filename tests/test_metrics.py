@@ -156,3 +156,17 @@ def test_auto_strategy_picks_long_for_a_hot_key(spark):
     df = frame(spark, [1.0] * 30, "HOT").unionByName(frame(spark, [1.0] * 3, "COLD"))
     assert choose(df, "auto", max_key_rows=10) == "long"
     assert choose(df, "auto", max_key_rows=100) == "key"
+
+
+def test_cents_running_sums_equal_direct_frames(spark):
+    """Whole-cent SMAs from running sums equal the direct frame sums."""
+    from pyspark.sql import functions as F
+
+    closes = [1.01, None, 2.37, 2.37, 5.5, 0.01, 7.77, None, 3.33, 4.44]
+    df = frame(spark, closes)
+    w = M.series_window()
+    for n, exact in ((1, False), (3, False), (3, True), (20, False)):
+        fast, name = M.simple_moving_average(df, "close", n, cents=True, exact=exact)
+        direct = df.withColumn(name, M.sma_expr(F.col("close"), n, w, exact, cents=True))
+        key = lambda r: (r.date, r[name])
+        assert sorted(map(key, fast.collect())) == sorted(map(key, direct.collect()))
