@@ -29,7 +29,7 @@ from barlake.schema import BARS_SCHEMA
 from barlake.session import scratch_dir
 from barlake.sources import fixtures as FX
 from barlake.sources.landing import read_landing
-from barlake.sources.tables import scan
+from barlake.sources.tables import read_table, scan
 from barlake.streaming.landing_stream import run_once
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -165,6 +165,31 @@ def q_metrics_incremental(spark, d):
     return _round_cols(old.unionByName(new), ["close_sma_20", "close_sma_200"])
 
 
+# Hot keys: every event as a tick of its event type's series (5 keys, each
+# about a fifth of all rows), ordered by its unique timestamp.
+TICK_SEG_DAYS = 1
+TICK_BLOCK_ROWS = 1024
+
+
+def _ticks(spark, d):
+    ev = read_table(spark, d, "events")
+    return ev.select(F.col("event_type").alias("ticker"), "ts", F.col("value").alias("close"))
+
+
+def q_metrics_ticks(spark, d):
+    """Metrics per event-type tick series with the per-key windows."""
+    out = M.compute_metrics(_ticks(spark, d), order="ts")
+    return _round_cols(out, ["close_sma_20", "close_sma_200"])
+
+
+def q_metrics_ticks_long(spark, d):
+    """The same with the segmented operators: no task holds more than a
+    block (plus look-back) of a hot key."""
+    out = M.compute_metrics_long(_ticks(spark, d), order="ts", seg_days=TICK_SEG_DAYS,
+                                 block_rows=TICK_BLOCK_ROWS)
+    return _round_cols(out, ["close_sma_20", "close_sma_200"])
+
+
 # --- alerts -----------------------------------------------------------------
 
 def q_alert_price_5(spark, d):
@@ -379,6 +404,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refine_prices_long": q_refine_prices_long,
     "metrics_long": q_metrics_long,
     "metrics_incremental": q_metrics_incremental,
+    "metrics_ticks": q_metrics_ticks,
+    "metrics_ticks_long": q_metrics_ticks_long,
     "alert_price_5": q_alert_price_5,
     "alert_price_10": q_alert_price_10,
     "alert_sma_20": q_alert_sma_20,
@@ -479,6 +506,24 @@ FROM metrics_user WHERE {latest_user} AND abs({co}) > 0 ORDER BY {co}, ticker"""
     sql["latest_per_ticker"] = c("user", "metrics") + """SELECT m.ticker, m.date, m.close_change
 FROM metrics_user m JOIN (SELECT ticker, max(date) AS d FROM metrics_user GROUP BY ticker) l
   ON m.ticker = l.ticker AND m.date = l.d"""
+    wt = "(PARTITION BY ticker ORDER BY ts)"
+    ticks = f"""WITH t AS (SELECT event_type AS ticker, ts, value AS close FROM events),
+t1 AS (SELECT *, lag(close) OVER {wt} AS close_previous,
+         (close - lag(close) OVER {wt}) / nullif(lag(close) OVER {wt}, 0) * 100 AS close_change,
+         avg(close) OVER (PARTITION BY ticker ORDER BY ts ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS s20,
+         avg(close) OVER (PARTITION BY ticker ORDER BY ts ROWS BETWEEN 200 PRECEDING AND CURRENT ROW) AS s200
+       FROM t),
+t2 AS (SELECT *, CASE WHEN close >= s20 THEN 1 ELSE -1 END AS f20,
+              CASE WHEN close >= s200 THEN 1 ELSE -1 END AS f200 FROM t1)
+SELECT ticker, ts, close, close_previous, close_change, {r('s20')} AS close_sma_20,
+  CASE WHEN f20 > 0 AND f20 <> lag(f20) OVER {wt} THEN 1
+       WHEN f20 < 0 AND f20 <> lag(f20) OVER {wt} THEN -1 ELSE 0 END AS close_sma_20_co,
+  {r('s200')} AS close_sma_200,
+  CASE WHEN f200 > 0 AND f200 <> lag(f200) OVER {wt} THEN 1
+       WHEN f200 < 0 AND f200 <> lag(f200) OVER {wt} THEN -1 ELSE 0 END AS close_sma_200_co
+FROM t2"""
+    sql["metrics_ticks"] = ticks
+    sql["metrics_ticks_long"] = ticks
     sql["alert_price_5_sql"] = sql["alert_price_5"]
     sql["alert_sma_20_sql"] = sql["alert_sma_20"]
     hits = c("user", "metrics") + ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql("user") + "\n"
