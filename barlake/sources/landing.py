@@ -57,8 +57,9 @@ def parse_lines(lines: DataFrame, split: bool = True):
     file path (one header row per file; AQE broadcasts that side at run time
     when it is small).
     """
-    fields = F.split(F.col("line"), ",")
-    trimmed = F.transform(fields, lambda x: F.trim(x))
+    # Fields with surrounding blanks removed (a regex split keeps this a
+    # plain codegen'd expression; no per-element lambda).
+    trimmed = F.split(F.trim(F.col("line")), r"\s*,\s*")
     is_header = F.array_contains(trimmed, LANDING_FIELDS["date"])
     tagged = lines.select("file", "line", trimmed.alias("fields"), is_header.alias("is_header"))
     headers = (tagged.where("is_header").groupBy("file")
