@@ -238,6 +238,22 @@ def q_alert_rearm(spark, d):
     return A.rearm(A.firing_days(hits), REARM_GAP_DAYS)
 
 
+def q_alert_rearm_stream(spark, d):
+    """R5 on a stream: the firing days arrive in three daily-run chunks; the
+    last kept day per rule lives in the stream's state store."""
+    from barlake.streaming.rearm_stream import run_rearm_once
+    hits = A.rule_hits(chains.metrics(spark, d, "user"), alert_rules(spark), latest_only=False)
+    firings = A.firing_days(hits).select("rule_id", "date")
+    root = scratch_dir(spark, "rearm")
+    bounds = [("1900-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2999-12-31")]
+    for i, (lo, hi) in enumerate(bounds):
+        chunk = firings.where((F.col("date") > F.lit(lo).cast("date")) & (F.col("date") <= F.lit(hi).cast("date")))
+        chunk.write.mode("overwrite").parquet(f"{root}/firings/run={i}")
+        run_rearm_once(spark, f"{root}/firings", f"{root}/kept", f"{root}/_checkpoints/rearm",
+                       REARM_GAP_DAYS)
+    return spark.read.schema("rule_id string, date date").parquet(f"{root}/kept")
+
+
 # --- ingest -----------------------------------------------------------------
 
 def q_last_dates(spark, d):
@@ -418,6 +434,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_messages": q_alert_messages,
     "alert_history": q_alert_history,
     "alert_rearm": q_alert_rearm,
+    "alert_rearm_stream": q_alert_rearm_stream,
     "last_dates": q_last_dates,
     "global_last_date": q_global_last_date,
     "high_water_mark": q_high_water_mark,
@@ -569,6 +586,7 @@ rec AS (
 )
 SELECT rule_id, date FROM rec WHERE kept"""
     sql["alert_rearm"] = "WITH RECURSIVE " + sql["alert_rearm"][len("WITH "):]
+    sql["alert_rearm_stream"] = sql["alert_rearm"]
     sql.update(_ingest_oracle())
     sql.update(_landing_oracle())
     return sql
