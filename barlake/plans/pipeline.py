@@ -116,7 +116,8 @@ def refresh_tables(spark: SparkSession, raw: DataFrame, root: str, run_id: str,
 
 
 def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | None = None,
-              alerts=DEFAULT_ALERTS, strategy: str = "auto", mode: str = "incremental") -> DataFrame:
+              alerts=DEFAULT_ALERTS, strategy: str = "auto", mode: str = "incremental",
+              exchange: str | None = None) -> DataFrame:
     """One scheduled run; returns the alert hits of the latest day.
 
     ``mode="incremental"`` (the default): the ingest stream appends the new
@@ -130,7 +131,8 @@ def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | No
 
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     raw_path = f"{root}/raw"
-    run_once(spark, landing_dir, raw_path, f"{root}/quarantine", f"{root}/_checkpoints/ingest")
+    run_once(spark, landing_dir, raw_path, f"{root}/quarantine", f"{root}/_checkpoints/ingest",
+             exchange=exchange)
     if mode == "incremental":
         run_metrics_once(spark, raw_path, f"{root}/incremental", f"{root}/_checkpoints/metrics",
                          alerts, strategy)
@@ -161,7 +163,7 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = get_session()
     hits = run_daily(spark, args.landing, args.root, args.run_id, strategy=args.strategy,
-                     mode=args.mode)
+                     mode=args.mode, exchange=args.exchange)
     alert_state(alert_rules(spark), hits, args.exchange).show(truncate=False)
 
 

@@ -27,7 +27,7 @@ QUARANTINE_KEYS = ["file", "line"]
 
 
 def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine_path: str,
-                partition_by=("date",)) -> None:
+                partition_by=("date",), exchange: str | None = None) -> None:
     """Parse one batch of landed lines and merge it into the raw table.
 
     The parsed batch feeds two writes, so it is persisted for the duration of
@@ -37,6 +37,9 @@ def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine
     parsed = parse_lines(lines, split=False).persist()
     try:
         good = parsed.where(F.col("reason").isNull())
+        if exchange:
+            # One raw table per exchange (tickers are only unique within one).
+            good = good.where(F.upper(F.col("exchange")) == exchange.upper())
         bars = good.select(*BARS_SCHEMA.fieldNames())
         sink = scan(spark, raw_path, BARS_SCHEMA)
         append(new_rows(sink, bars), raw_path, partition_by)
@@ -51,7 +54,8 @@ def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
                          quarantine_path: str, checkpoint: str, available_now: bool = True,
-                         max_files_per_trigger: int | None = None, partition_by=("date",)):
+                         max_files_per_trigger: int | None = None, partition_by=("date",),
+                         exchange: str | None = None):
     """Start the ingest stream; returns the StreamingQuery."""
     initialize_table(spark, raw_path, BARS_SCHEMA, partition_by)
     initialize_table(spark, quarantine_path, QUARANTINE_SCHEMA)
@@ -63,7 +67,7 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
               .where(F.trim(F.col("line")) != ""))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, raw_path, quarantine_path, partition_by)
+        merge_batch(batch.sparkSession, batch, raw_path, quarantine_path, partition_by, exchange)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -27,3 +27,16 @@ def test_stream_runs_equal_batch(spark, sf_small):
     batch = good.select(*BARS_SCHEMA.fieldNames()).distinct()
     assert raw.count() == batch.count()
     assert raw.exceptAll(batch).count() == 0 and batch.exceptAll(raw).count() == 0
+
+
+def test_stream_keeps_one_exchange(spark):
+    import os
+
+    root = tempfile.mkdtemp(prefix="barlake-ex-")
+    os.makedirs(f"{root}/landing")
+    for name, close in (("ABC.US.csv", 1.0), ("ABC.LSE.csv", 2.0)):
+        with open(f"{root}/landing/{name}", "w") as f:
+            f.write(f"Date,Open,High,Low,Close,Volume\n2024-01-02,1,1,1,{close},1\n")
+    run_once(spark, f"{root}/landing", f"{root}/raw", f"{root}/q", f"{root}/ck", exchange="US")
+    got = [(r.ticker, r.close) for r in scan(spark, f"{root}/raw", BARS_SCHEMA).collect()]
+    assert got == [("ABC", 1.0)]
