@@ -133,3 +133,16 @@ def test_landing_crlf_and_extra_columns(spark):
     r = good.collect()
     assert len(r) == 1 and (r[0].ticker, r[0].close, r[0].volume) == ("MU", 1.5, 7)
     assert bad.count() == 0
+
+
+def test_merge_prunes_sink_to_batch_dates(spark):
+    """The anti join reads only the sink partitions the batch can touch."""
+    root = tempfile.mkdtemp(prefix="barlake-prune-")
+    sink_rows = [("A", d(i), 1.0, 1.0, 1.0, 1.0, 1) for i in range(10)]
+    append(bars(spark, sink_rows), f"{root}/raw", ["date"])
+    sink = scan(spark, f"{root}/raw", BARS_SCHEMA)
+    upd = bars(spark, [("A", d(9), 2.0, 2.0, 2.0, 2.0, 2), ("A", d(10), 3.0, 3.0, 3.0, 3.0, 3)])
+    out = I.new_rows(sink, upd)
+    assert [r.date for r in out.collect()] == [d(10)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "Subquery" in plan
