@@ -1,0 +1,25 @@
+"""The reference-named functions give the same values as barlake's."""
+
+import datetime as dt
+
+from barlake import compat as C
+from barlake.operators import metrics as M
+
+
+def d(i):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=i)
+
+
+def test_compat_names_and_values(spark):
+    df = spark.createDataFrame([("A", d(i), c) for i, c in enumerate([5.0, 4.0, 6.0, 6.0, 3.0])],
+                               "Ticker string, Date date, Close double")
+    out, change = C.add_eod_change_column(df, "Close", "Date", "Ticker")
+    out, co = C.add_crossover_column(out, "Close", 1, "Ticker", "Date")
+    assert (change, co) == ("Close_change", "Close_SMA_1_CO")
+    assert out.columns == ["Ticker", "Date", "Close", "Close_previous", "Close_change",
+                           "Close_SMA_1", "Close_SMA_1_CO"]
+    ref = M.compute_metrics(df.toDF("ticker", "date", "close"), [("eod_change", 5), ("sma_crossover", 1)])
+    a = sorted(tuple(r) for r in out.collect())
+    b = sorted(tuple(r) for r in ref.collect())
+    assert a == b
+    assert C.loader_selector("nope") is None
