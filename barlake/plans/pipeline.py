@@ -22,7 +22,6 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from barlake.config import DEFAULT_ALERTS, alert_rules
 from barlake.operators.alerts import rule_hits

@@ -4,7 +4,6 @@ import datetime as dt
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from barlake.config import universe
 from barlake.operators import ingest as I

@@ -5,7 +5,6 @@ import math
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from barlake.operators import refine as R
 from barlake.operators import segmented as SG
