@@ -373,7 +373,8 @@ def q_metrics_stream(spark, d):
         FX.write_fixture_landing(spark, d, f"{landing}/run={i}", window, with_stub=(i == 0))
         run_once(spark, landing, raw, f"{root}/quarantine", f"{root}/_checkpoints/ingest")
         run_metrics_once(spark, raw, root, f"{root}/_checkpoints/metrics")
-    out = scan(spark, f"{root}/metrics").select(*chains.metrics_columns())
+    from barlake.plans.pipeline import current
+    out = scan(spark, current(spark, f"{root}/metrics")).select(*chains.metrics_columns())
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 

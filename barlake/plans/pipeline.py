@@ -135,7 +135,7 @@ def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | No
     if mode == "incremental":
         run_metrics_once(spark, raw_path, f"{root}/incremental", f"{root}/_checkpoints/metrics",
                          alerts, strategy)
-        metrics_path = f"{root}/incremental/metrics"
+        metrics_path = current(spark, f"{root}/incremental/metrics")
     elif mode == "full":
         raw = scan(spark, raw_path, BARS_SCHEMA)
         _, metrics_path = refresh_tables(spark, raw, root, run_id, alerts, strategy)

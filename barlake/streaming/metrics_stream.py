@@ -3,17 +3,18 @@
 Every ingest run appends new parquet files to the raw table; a file-source
 stream over that table sees exactly those files.  Each micro-batch:
 
-1. drops rows not after their ticker's last processed day (a replayed batch,
-   or back-dated rows, which only a full refresh can place),
-2. computes the metrics of the new rows from the carry / tail state
-   (``barlake.operators.incremental``),
-3. appends them to the metrics table (insert-only on ticker+date, so a replay
-   appends nothing twice),
+1. checks for back-dated rows (a day not after its ticker's last processed
+   day); if there are any, metrics and state are rebuilt from the whole raw
+   table into a new version (rare: ingest only requests later days),
+2. otherwise computes the metrics of the new rows from the carry / tail
+   state (``barlake.operators.incremental``),
+3. appends them to the current metrics version (insert-only on ticker+date,
+   so a replay appends nothing twice),
 4. writes the next state under a version named by the batch id and publishes
    it by replacing a small pointer file.
 
 The first batch (no state yet) is a full computation that also builds the
-state.
+state.  Readers find the metrics table with ``pipeline.current``.
 """
 
 from __future__ import annotations
@@ -31,36 +32,58 @@ from barlake.schema import BARS_SCHEMA, KEY, ORDER
 from barlake.sources.tables import append, overwrite, path_exists, scan
 
 
+def _rebuild(spark: SparkSession, raw: DataFrame, root: str, version: str, alerts,
+             strategy: str) -> None:
+    """Full computation from ``raw`` into a new metrics version + state."""
+    metrics_root, carry_root, tails_root = (f"{root}/metrics", f"{root}/state/carry",
+                                            f"{root}/state/tails")
+    # A whole new version: overwrite, so a replayed batch rewrites it.
+    overwrite(build_metrics(raw, alerts, strategy), f"{metrics_root}/{version}", ["date"])
+    metrics = scan(spark, f"{metrics_root}/{version}")
+    carry, tails = INC.initial_state(raw, metrics, alerts)
+    overwrite(carry, f"{carry_root}/{version}")
+    overwrite(tails, f"{tails_root}/{version}")
+    publish(spark, tails_root, version)
+    publish(spark, carry_root, version)
+    publish(spark, metrics_root, version)
+
+
 def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id: int,
-                  alerts=DEFAULT_ALERTS, strategy: str = "auto") -> None:
+                  alerts=DEFAULT_ALERTS, strategy: str = "auto",
+                  raw_path: str | None = None) -> None:
     alerts = list(alerts)
     lookback = max(lookback_rows(alerts), 1)
-    metrics_path = f"{root}/metrics"
+    metrics_root = f"{root}/metrics"
     carry_root, tails_root = f"{root}/state/carry", f"{root}/state/tails"
+    version = f"v={batch_id}"
     raw_batch = raw_batch.select(*BARS_SCHEMA.fieldNames())
     if not path_exists(spark, f"{carry_root}/_current"):
+        # First batch: everything in the raw table so far.
         batch = raw_batch.persist()
-        fresh = build_metrics(batch, alerts, strategy).persist()
-        carry, tails = INC.initial_state(batch, fresh, alerts)
-    else:
-        carry = scan(spark, current(spark, carry_root))
-        tails = scan(spark, current(spark, tails_root))
-        later = (raw_batch.join(carry.select(KEY, "last_date"), KEY, "left")
-                 .where(F.col("last_date").isNull() | (F.col(ORDER) > F.col("last_date")))
-                 .drop("last_date"))
-        batch = later.persist()
-        fresh = INC.incremental_metrics(batch, carry, tails, alerts,
-                                        strategy=choose(batch, strategy)).persist()
-        carry = INC.update_carry(carry, batch)
-        tails = INC.next_tails(tails, fresh, lookback)
+        try:
+            _rebuild(spark, batch, root, version, alerts, strategy)
+        finally:
+            batch.unpersist()
+        return
+    carry = scan(spark, current(spark, carry_root))
+    tails = scan(spark, current(spark, tails_root))
+    tagged = raw_batch.join(carry.select(KEY, "last_date"), KEY, "left")
+    is_new = F.col("last_date").isNull() | (F.col(ORDER) > F.col("last_date"))
+    if raw_path is not None and not tagged.where(~is_new).isEmpty():
+        # Back-dated rows change later fills and windows of their tickers:
+        # rebuild from the whole raw table (it already holds this batch) into
+        # a new version, published atomically.  Rare: ingest requests only
+        # days after the last loaded one.
+        _rebuild(spark, scan(spark, raw_path, BARS_SCHEMA), root, version, alerts, strategy)
+        return
+    batch = tagged.where(is_new).drop("last_date").persist()
+    fresh = INC.incremental_metrics(batch, carry, tails, alerts,
+                                    strategy=choose(batch, strategy)).persist()
     try:
-        if path_exists(spark, metrics_path):
-            append(new_rows(scan(spark, metrics_path), fresh, dedupe_batch=False), metrics_path, ["date"])
-        else:
-            append(fresh, metrics_path, ["date"])
-        version = f"v={batch_id}"
-        overwrite(carry, f"{carry_root}/{version}")
-        overwrite(tails, f"{tails_root}/{version}")
+        target = current(spark, metrics_root)
+        append(new_rows(scan(spark, target), fresh, dedupe_batch=False), target, ["date"])
+        overwrite(INC.update_carry(carry, batch), f"{carry_root}/{version}")
+        overwrite(INC.next_tails(tails, fresh, lookback), f"{tails_root}/{version}")
         publish(spark, tails_root, version)
         publish(spark, carry_root, version)
     finally:
@@ -74,7 +97,7 @@ def run_metrics_once(spark: SparkSession, raw_path: str, root: str, checkpoint:
     stream = spark.readStream.schema(BARS_SCHEMA).parquet(raw_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch.sparkSession, batch, root, batch_id, alerts, strategy)
+        process_batch(batch.sparkSession, batch, root, batch_id, alerts, strategy, raw_path)
 
     q = (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
