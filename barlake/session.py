@@ -41,13 +41,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def tune_listing(spark: SparkSession) -> None:
     """Size the file-listing job to the cluster.
 
-    A folder tree (one folder per symbol or per date) is listed by a Spark
-    job with, by default, up to 10,000 tasks: one per folder.  With many small
+    A folder tree (one folder per symbol or per date), or a stream batch's
+    list of new files, is listed by a Spark job with, by default, up to 10,000
+    tasks: one per folder or file.  With many small
     folders the task overhead dominates, so unless the user set it, use two
     listing tasks per core of the cluster.
     """
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    if spark.sparkContext.getConf().get(key, None) is None:
+    if spark.sparkContext.getConf().get(key, None) is None and spark.conf.get(key, None) in (None, "10000"):
         spark.conf.set(key, str(max(8, 2 * spark.sparkContext.defaultParallelism)))
 
 

@@ -22,6 +22,7 @@ from barlake.operators.ingest import new_rows
 from barlake.schema import BARS_SCHEMA, QUARANTINE_SCHEMA
 from barlake.sources.landing import parse_lines
 from barlake.sources.tables import append, initialize_table, scan
+from barlake.session import tune_listing
 
 QUARANTINE_KEYS = ["file", "line"]
 
@@ -57,6 +58,7 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
                          max_files_per_trigger: int | None = None, partition_by=("date",),
                          exchange: str | None = None):
     """Start the ingest stream; returns the StreamingQuery."""
+    tune_listing(spark)  # a batch's new files are listed by a Spark job
     initialize_table(spark, raw_path, BARS_SCHEMA, partition_by)
     initialize_table(spark, quarantine_path, QUARANTINE_SCHEMA)
     reader = spark.readStream.format("text")

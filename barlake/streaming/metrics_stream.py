@@ -30,6 +30,7 @@ from barlake.plans.pipeline import current, publish
 from barlake.plans.strategy import build_metrics, choose
 from barlake.schema import BARS_SCHEMA, KEY, ORDER
 from barlake.sources.tables import append, overwrite, path_exists, scan
+from barlake.session import tune_listing
 
 
 def _rebuild(spark: SparkSession, raw: DataFrame, root: str, version: str, alerts,
@@ -94,6 +95,7 @@ def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id
 def run_metrics_once(spark: SparkSession, raw_path: str, root: str, checkpoint: str,
                      alerts=DEFAULT_ALERTS, strategy: str = "auto") -> None:
     """Process every raw file added since the last run, then stop."""
+    tune_listing(spark)  # a batch's new files are listed by a Spark job
     stream = spark.readStream.schema(BARS_SCHEMA).parquet(raw_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:

@@ -16,6 +16,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupStateTimeout
+from barlake.session import tune_listing
 
 FIRINGS_SCHEMA = "rule_id string, date date"
 EPOCH = dt.date(1970, 1, 1)
@@ -50,6 +51,7 @@ def rearm_stream(firings: DataFrame, gap_days: int) -> DataFrame:
 def run_rearm_once(spark: SparkSession, firings_dir: str, out_dir: str, checkpoint: str,
                    gap_days: int) -> None:
     """Process every firing file added since the last run, then stop."""
+    tune_listing(spark)  # a batch's new files are listed by a Spark job
     src = spark.readStream.schema(FIRINGS_SCHEMA).parquet(firings_dir)
     q = (rearm_stream(src, gap_days).writeStream.format("parquet")
          .option("path", out_dir).option("checkpointLocation", checkpoint)
