@@ -4,8 +4,9 @@ Every ingest run appends new parquet files to the raw table; a file-source
 stream over that table sees exactly those files.  Each micro-batch:
 
 1. checks for back-dated rows (a day not after its ticker's last processed
-   day); if there are any, metrics and state are rebuilt from the whole raw
-   table into a new version (rare: ingest only requests later days),
+   day); the tickers that have any are recomputed from their whole raw
+   history into a new version, together with the other tickers' current
+   and incremental rows (rare: ingest only requests later days),
 2. otherwise computes the metrics of the new rows from the carry / tail
    state (``barlake.operators.incremental``),
 3. appends them to the current metrics version (insert-only on ticker+date,
@@ -49,6 +50,43 @@ def _rebuild(spark: SparkSession, raw: DataFrame, root: str, version: str, alert
     publish(spark, metrics_root, version)
 
 
+def _rebuild_tickers(spark: SparkSession, raw_batch: DataFrame, late: DataFrame, carry: DataFrame,
+                     tails: DataFrame, root: str, version: str, alerts, strategy: str,
+                     raw_path: str, lookback: int) -> None:
+    """Back-dated rows change the later fills and windows of their tickers
+    only.  The new version holds the current rows of every other ticker, a
+    full recompute of the ``late`` tickers from the raw table (which already
+    holds this batch), and the incremental rows of the other tickers.
+    ``late`` has one row per ticker, so the semi/anti joins against it are
+    broadcast by AQE when small and skew-split otherwise."""
+    metrics_root, carry_root, tails_root = (f"{root}/metrics", f"{root}/state/carry",
+                                            f"{root}/state/tails")
+    raw_late = scan(spark, raw_path, BARS_SCHEMA).join(late, KEY, "left_semi")
+    batch_rest = raw_batch.join(late, KEY, "left_anti").persist()
+    carry_rest = carry.join(late, KEY, "left_anti")
+    tails_rest = tails.join(late, KEY, "left_anti")
+    fresh_rest = INC.incremental_metrics(batch_rest, carry_rest, tails_rest, alerts,
+                                         strategy=choose(batch_rest, strategy)).persist()
+    try:
+        kept = scan(spark, current(spark, metrics_root)).join(late, KEY, "left_anti")
+        target = f"{metrics_root}/{version}"
+        rebuilt = build_metrics(raw_late, alerts, strategy)
+        overwrite(kept.unionByName(rebuilt).unionByName(fresh_rest), target, ["date"])
+        late_metrics = scan(spark, target).join(late, KEY, "left_semi")
+        overwrite(INC.update_carry(carry_rest, batch_rest)
+                  .unionByName(INC.carry_state(raw_late)), f"{carry_root}/{version}")
+        overwrite(INC.next_tails(tails_rest, fresh_rest, lookback)
+                  .unionByName(INC.tail_state(late_metrics.select(*tails.columns), lookback)),
+                  f"{tails_root}/{version}")
+        publish(spark, tails_root, version)
+        publish(spark, carry_root, version)
+        publish(spark, metrics_root, version)
+    finally:
+        fresh_rest.unpersist()
+        batch_rest.unpersist()
+        late.unpersist()
+
+
 def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id: int,
                   alerts=DEFAULT_ALERTS, strategy: str = "auto",
                   raw_path: str | None = None) -> None:
@@ -70,12 +108,10 @@ def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id
     tails = scan(spark, current(spark, tails_root))
     tagged = raw_batch.join(carry.select(KEY, "last_date"), KEY, "left")
     is_new = F.col("last_date").isNull() | (F.col(ORDER) > F.col("last_date"))
-    if raw_path is not None and not tagged.where(~is_new).isEmpty():
-        # Back-dated rows change later fills and windows of their tickers:
-        # rebuild from the whole raw table (it already holds this batch) into
-        # a new version, published atomically.  Rare: ingest requests only
-        # days after the last loaded one.
-        _rebuild(spark, scan(spark, raw_path, BARS_SCHEMA), root, version, alerts, strategy)
+    late = tagged.where(~is_new).select(KEY).distinct()
+    if raw_path is not None and not late.isEmpty():
+        _rebuild_tickers(spark, raw_batch, late.persist(), carry, tails, root, version, alerts,
+                         strategy, raw_path, lookback)
         return
     batch = tagged.where(is_new).drop("last_date").persist()
     fresh = INC.incremental_metrics(batch, carry, tails, alerts,

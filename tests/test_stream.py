@@ -43,30 +43,51 @@ def test_stream_keeps_one_exchange(spark):
 
 
 def test_metrics_stream_back_dated_rows_rebuild(spark):
-    """A day that lands after later days of its ticker triggers a rebuild;
-    the metrics then equal a full computation over all rows."""
+    """A day that lands after later days of its ticker makes the metrics
+    stream recompute that ticker; the other ticker goes on incrementally, and
+    a later ordinary run reads the state the recompute wrote.  After every run
+    the metrics equal a full computation over the raw table."""
     import os
 
     from barlake.operators.metrics import compute_metrics
     from barlake.operators.refine import refine_prices
     from barlake.plans.pipeline import current
-    from barlake.streaming.metrics_stream import run_metrics_once
+    from barlake.streaming import metrics_stream as MS
 
     root = tempfile.mkdtemp(prefix="barlake-late-")
-    os.makedirs(f"{root}/landing/run=0")
-    os.makedirs(f"{root}/landing/run=1")
     head = "Date,Open,High,Low,Close,Volume\n"
-    with open(f"{root}/landing/run=0/A.US.csv", "w") as f:
-        f.write(head + "2024-01-01,1,2,1,1.5,10\n2024-01-02,1,2,1,1.7,10\n2024-01-04,1,2,1,1.2,10\n")
-    with open(f"{root}/landing/run=1/A.US.csv", "w") as f:
-        f.write(head + "2024-01-03,1,2,1,9.0,10\n2024-01-05,1,2,1,1.1,10\n")
-    for _ in range(2):
-        run_once(spark, f"{root}/landing", f"{root}/raw", f"{root}/q", f"{root}/ck")
-        run_metrics_once(spark, f"{root}/raw", f"{root}/inc", f"{root}/ck-m")
-    got = scan(spark, current(spark, f"{root}/inc/metrics"))
-    raw = scan(spark, f"{root}/raw", BARS_SCHEMA)
-    want = compute_metrics(refine_prices(raw))
-    cols = want.columns
-    assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
-        sorted(tuple(r) for r in want.collect())
-    assert got.count() == 5
+    runs = [
+        {"A": ["2024-01-01,1,2,1,1.5,10", "2024-01-02,1,2,1,1.7,10", "2024-01-04,1,2,1,1.2,10"],
+         "B": ["2024-01-01,1,2,1,2.5,10", "2024-01-02,1,2,1,0,10", "2024-01-03,1,2,1,2.9,10"]},
+        # A's 2024-01-03 is back-dated; B only moves forward.
+        {"A": ["2024-01-03,1,2,1,9.0,10", "2024-01-05,1,2,1,1.1,10"],
+         "B": ["2024-01-04,1,2,1,3.5,10", "2024-01-05,1,2,1,2.0,10"]},
+        {"A": ["2024-01-06,1,2,1,1.9,10", "2024-01-07,1,2,1,2.4,10"],
+         "B": ["2024-01-06,1,2,1,1.8,10", "2024-01-07,1,2,1,2.2,10"]},
+    ]
+    late_runs = []
+    original = MS._rebuild_tickers
+
+    def spy(spark_, raw_batch, late, *a, **k):
+        late_runs.append(sorted(r.ticker for r in late.collect()))
+        return original(spark_, raw_batch, late, *a, **k)
+
+    MS._rebuild_tickers = spy
+    try:
+        for i, files in enumerate(runs):
+            os.makedirs(f"{root}/landing/run={i}")
+            for t, lines in files.items():
+                with open(f"{root}/landing/run={i}/{t}.US.csv", "w") as f:
+                    f.write(head + "\n".join(lines) + "\n")
+            run_once(spark, f"{root}/landing", f"{root}/raw", f"{root}/q", f"{root}/ck")
+            MS.run_metrics_once(spark, f"{root}/raw", f"{root}/inc", f"{root}/ck-m")
+            got = scan(spark, current(spark, f"{root}/inc/metrics"))
+            want = compute_metrics(refine_prices(scan(spark, f"{root}/raw", BARS_SCHEMA)))
+            assert sorted(tuple(r) for r in got.select(*want.columns).collect()) == \
+                sorted(tuple(r) for r in want.collect())
+    finally:
+        MS._rebuild_tickers = original
+    assert late_runs == [["A"]]
+    carry = scan(spark, current(spark, f"{root}/inc/state/carry"))
+    assert sorted((r.ticker, str(r.last_date)) for r in carry.collect()) == \
+        [("A", "2024-01-07"), ("B", "2024-01-07")]
