@@ -145,3 +145,12 @@ def test_merge_prunes_sink_to_batch_dates(spark):
     assert [r.date for r in out.collect()] == [d(10)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "Subquery" in plan
+
+
+def test_landing_file_without_header_is_quarantined(spark):
+    path = tempfile.mkdtemp(prefix="barlake-landing-")
+    _write(path, "ABC.US.csv", "2024-01-02,1.0,2.0,0.5,1.5,7\n")
+    _write(path, "XYZ.csv", "Date,Open,High,Low,Close,Volume\n2024-01-02,1.0,2.0,0.5,1.5,7\n")
+    good, bad = read_landing(spark, path)
+    assert [(r.ticker, r.exchange) for r in good.collect()] == [("XYZ", None)]
+    assert [(r.ticker, r.reason) for r in bad.collect()] == [("ABC", "no header")]
