@@ -122,12 +122,21 @@ def sink_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def update_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update batch: every bar from UPDATE_FROM on, plus a second copy
+    of the REPEATED_DAY bars and a close-doubled copy of the CHANGED_DAY
+    bars.  Built from one aggregation: each bar is fanned out to its copies
+    (0 = batch, 1 = repeated, 2 = changed) and the copies it does not have
+    are filtered away."""
     b = bars_user(spark, sf_dir)
-    batch = b.where(F.col("date") >= F.lit(UPDATE_FROM).cast("date"))
-    repeated = b.where(F.col("date") == F.lit(REPEATED_DAY).cast("date"))
-    changed = (b.where(F.col("date") == F.lit(CHANGED_DAY).cast("date"))
-               .withColumn("close", F.col("close") * 2))
-    return batch.unionByName(repeated).unionByName(changed)
+    day = F.col("date")
+    copy = F.col("__copy")
+    fan = b.withColumn("__copy", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    keep = (((copy == 0) & (day >= F.lit(UPDATE_FROM).cast("date")))
+            | ((copy == 1) & (day == F.lit(REPEATED_DAY).cast("date")))
+            | ((copy == 2) & (day == F.lit(CHANGED_DAY).cast("date"))))
+    return (fan.where(keep)
+            .withColumn("close", F.when(copy == 2, F.col("close") * 2).otherwise(F.col("close")))
+            .select(*b.columns))
 
 
 NO_DATA_TICKER = "NODATA"    # configured ticker with no rows: takes the default date
