@@ -159,7 +159,9 @@ def q_metrics_incremental(spark, d):
     raw = FX.dirty_bars(spark, d, "user")
     cut = F.col("date") <= F.lit(FX.SINK_CUT).cast("date")
     old_raw, new_raw = raw.where(cut), raw.where(~cut)
-    old = M.compute_metrics(R.refine_prices(old_raw))
+    # The first run's metrics are a written table in real use; checkpoint them
+    # so the union, the carry and the tails read them instead of recomputing.
+    old = SG.materialize(M.compute_metrics(R.refine_prices(old_raw)))
     carry, tails = INC.initial_state(old_raw, old)
     new = INC.incremental_metrics(new_raw, carry, tails)
     return _round_cols(old.unionByName(new), ["close_sma_20", "close_sma_200"])
