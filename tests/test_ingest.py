@@ -154,3 +154,27 @@ def test_landing_file_without_header_is_quarantined(spark):
     good, bad = read_landing(spark, path)
     assert [(r.ticker, r.exchange) for r in good.collect()] == [("XYZ", None)]
     assert [(r.ticker, r.reason) for r in bad.collect()] == [("ABC", "no header")]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+FIELDS = ["Date", "Open", "High", "Low", "Close", "Volume"]
+
+
+@settings(max_examples=8, deadline=None)
+@given(order=st.permutations(FIELDS), extra=st.booleans())
+def test_landing_any_column_order(spark, order, extra):
+    """Fields are picked by header name: any column order (and an unknown
+    extra column) decodes to the same bars."""
+    values = {"Date": "2024-01-02", "Open": "1.25", "High": "2.5", "Low": "0.75",
+              "Close": "1.5", "Volume": "4200000000"}
+    header = list(order) + (["Adjusted_close"] if extra else [])
+    line = [values[f] for f in order] + (["9.9"] if extra else [])
+    path = tempfile.mkdtemp(prefix="barlake-perm-")
+    _write(path, "Q.US.csv", ",".join(header) + "\n" + ",".join(line) + "\n")
+    good, bad = read_landing(spark, path)
+    r = good.collect()
+    assert bad.count() == 0 and len(r) == 1
+    assert (r[0].date, r[0].open, r[0].high, r[0].low, r[0].close, r[0].volume) == \
+        (d(1), 1.25, 2.5, 0.75, 1.5, 4200000000)
