@@ -30,7 +30,10 @@ def symbol_of_path(path: Column) -> Column:
     ``.../NVDA.US.csv`` or ``.../symbol=NVDA.US/part-....txt``."""
     folder = F.regexp_extract(path, r"/symbol=([^/]+)/", 1)
     name = F.regexp_extract(path, r"([^/]+)\.csv$", 1)
-    return F.when(folder != "", F.url_decode(folder)).otherwise(name)
+    # Symbols in file and folder names are percent-encoded (a share class such
+    # as BRK/B holds a slash; Spark's partitioned writer escapes '#' and the
+    # like), and Spark reports file paths URL-encoded once more: decode twice.
+    return F.url_decode(F.url_decode(F.when(folder != "", folder).otherwise(name)))
 
 
 def split_symbol(sym: Column) -> tuple[Column, Column]:
@@ -144,6 +147,8 @@ def write_symbol_files(lines: DataFrame, path: str) -> DataFrame:
     import uuid as _uuid
 
     def write(batches):
+        from urllib.parse import quote
+
         import pandas as pd
 
         fs, root = _arrow_fs(path)
@@ -155,10 +160,11 @@ def write_symbol_files(lines: DataFrame, path: str) -> DataFrame:
             if current is None:
                 return
             data = ("\n".join(buffer) + "\n").encode("utf-8")
-            tmp = f"{root}/.{current}.csv.{_uuid.uuid4().hex}"
+            name = quote(current, safe=".-_")  # no slashes or spaces in file names
+            tmp = f"{root}/.{name}.csv.{_uuid.uuid4().hex}"
             with fs.open_output_stream(tmp) as out:
                 out.write(data)
-            fs.move(tmp, f"{root}/{current}.csv")
+            fs.move(tmp, f"{root}/{name}.csv")
             done_sym.append(current)
             done_n.append(len(buffer))
 

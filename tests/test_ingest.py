@@ -86,9 +86,10 @@ def test_landing_edge_files(spark):
 def test_landing_round_trip(spark):
     path = tempfile.mkdtemp(prefix="barlake-landing-")
     src = bars(spark, [("A", d(i), 1.0 + i / 3, 2.0, 0.5, 1.25, 10 + i) for i in range(5)]
-               + [("B.X", d(0), 0.1, 0.2, 0.3, 0.4, 5)])
-    assert write_landing(src, path) == 2
-    assert sorted(os.listdir(path)) == ["A.US.csv", "B.X.US.csv"]
+               + [("B.X", d(0), 0.1, 0.2, 0.3, 0.4, 5), ("BRK/B", d(0), 1.0, 1.0, 1.0, 1.0, 1),
+                  ("BRAND#7", d(0), 2.0, 2.0, 2.0, 2.0, 2)])
+    assert write_landing(src, path) == 4
+    assert sorted(os.listdir(path)) == ["A.US.csv", "B.X.US.csv", "BRAND%237.US.csv", "BRK%2FB.US.csv"]
     good, bad = read_landing(spark, path)
     assert bad.count() == 0
     assert sorted(map(tuple, good.drop("exchange").collect())) == sorted(map(tuple, src.collect()))
@@ -178,3 +179,15 @@ def test_landing_any_column_order(spark, order, extra):
     assert bad.count() == 0 and len(r) == 1
     assert (r[0].date, r[0].open, r[0].high, r[0].low, r[0].close, r[0].volume) == \
         (d(1), 1.25, 2.5, 0.75, 1.5, 4200000000)
+
+
+def test_landing_partitioned_folder_layout(spark):
+    """Files under symbol=... folders, as Spark's partitioned text writer
+    lays them out (it escapes '#' in folder names)."""
+    path = tempfile.mkdtemp(prefix="barlake-folders-") + "/landing"
+    rows = [("BRAND#7.US", "Date,Open,High,Low,Close,Volume"), ("BRAND#7.US", "2024-01-02,1,2,0.5,1.5,3")]
+    spark.createDataFrame(rows, "symbol string, line string").coalesce(1) \
+        .write.partitionBy("symbol").text(path)
+    good, bad = read_landing(spark, path)
+    assert [(r.ticker, r.exchange, r.close) for r in good.collect()] == [("BRAND#7", "US", 1.5)]
+    assert bad.count() == 0
