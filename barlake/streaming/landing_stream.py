@@ -28,7 +28,8 @@ QUARANTINE_KEYS = ["file", "line"]
 
 
 def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine_path: str,
-                partition_by=("date",), exchange: str | None = None) -> None:
+                partition_by=("date",), exchange: str | None = None,
+                universe: DataFrame | None = None) -> None:
     """Parse one batch of landed lines and merge it into the raw table.
 
     The parsed batch feeds two writes, so it is persisted for the duration of
@@ -41,6 +42,10 @@ def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine
         if exchange:
             # One raw table per exchange (tickers are only unique within one).
             good = good.where(F.upper(F.col("exchange")) == exchange.upper())
+        if universe is not None:
+            # Only configured tickers are loaded (a semi join with the
+            # config-sized universe; AQE broadcasts it).
+            good = good.join(universe.select("ticker").distinct(), "ticker", "left_semi")
         bars = good.select(*BARS_SCHEMA.fieldNames())
         sink = scan(spark, raw_path, BARS_SCHEMA)
         append(new_rows(sink, bars), raw_path, partition_by)
@@ -56,7 +61,7 @@ def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine
 def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
                          quarantine_path: str, checkpoint: str, available_now: bool = True,
                          max_files_per_trigger: int | None = None, partition_by=("date",),
-                         exchange: str | None = None):
+                         exchange: str | None = None, universe: DataFrame | None = None):
     """Start the ingest stream; returns the StreamingQuery."""
     tune_listing(spark)  # a batch's new files are listed by a Spark job
     initialize_table(spark, raw_path, BARS_SCHEMA, partition_by)
@@ -69,7 +74,8 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
               .where(F.trim(F.col("line")) != ""))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, raw_path, quarantine_path, partition_by, exchange)
+        merge_batch(batch.sparkSession, batch, raw_path, quarantine_path, partition_by, exchange,
+                    universe)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -29,7 +29,7 @@ def test_stream_runs_equal_batch(spark, sf_small):
     assert raw.exceptAll(batch).count() == 0 and batch.exceptAll(raw).count() == 0
 
 
-def test_stream_keeps_one_exchange(spark):
+def test_stream_keeps_one_exchange_and_configured_tickers(spark):
     import os
 
     root = tempfile.mkdtemp(prefix="barlake-ex-")
@@ -37,7 +37,11 @@ def test_stream_keeps_one_exchange(spark):
     for name, close in (("ABC.US.csv", 1.0), ("ABC.LSE.csv", 2.0)):
         with open(f"{root}/landing/{name}", "w") as f:
             f.write(f"Date,Open,High,Low,Close,Volume\n2024-01-02,1,1,1,{close},1\n")
-    run_once(spark, f"{root}/landing", f"{root}/raw", f"{root}/q", f"{root}/ck", exchange="US")
+    with open(f"{root}/landing/XYZ.US.csv", "w") as f:   # not configured
+        f.write("Date,Open,High,Low,Close,Volume\n2024-01-02,1,1,1,5.0,1\n")
+    from barlake.config import universe
+    run_once(spark, f"{root}/landing", f"{root}/raw", f"{root}/q", f"{root}/ck", exchange="US",
+             universe=universe(spark, ["ABC", "NVDA"]))
     got = [(r.ticker, r.close) for r in scan(spark, f"{root}/raw", BARS_SCHEMA).collect()]
     assert got == [("ABC", 1.0)]
 
