@@ -116,7 +116,7 @@ def refresh_tables(spark: SparkSession, raw: DataFrame, root: str, run_id: str,
 
 def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | None = None,
               alerts=DEFAULT_ALERTS, strategy: str = "auto", mode: str = "incremental",
-              exchange: str | None = None) -> DataFrame:
+              exchange: str | None = None, universe: DataFrame | None = None) -> DataFrame:
     """One scheduled run; returns the alert hits of the latest day.
 
     ``mode="incremental"`` (the default): the ingest stream appends the new
@@ -131,7 +131,7 @@ def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | No
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     raw_path = f"{root}/raw"
     run_once(spark, landing_dir, raw_path, f"{root}/quarantine", f"{root}/_checkpoints/ingest",
-             exchange=exchange)
+             exchange=exchange, universe=universe)
     if mode == "incremental":
         run_metrics_once(spark, raw_path, f"{root}/incremental", f"{root}/_checkpoints/metrics",
                          alerts, strategy)
