@@ -32,6 +32,15 @@ from barlake.sources.landing import read_landing
 from barlake.sources.tables import read_table, scan
 from barlake.streaming.landing_stream import run_once
 
+try:
+    from barlake.llm import queries as LLM
+except ImportError:  # the package also works without that subpackage
+    LLM = None
+try:
+    import corpus_pipeline as PIPELINE
+except ImportError:
+    PIPELINE = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 REARM_GAP_DAYS = 3
 
@@ -463,7 +472,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = dict(_QUERIES)
+    if LLM is not None:
+        out.update(LLM.QUERIES)
+    if PIPELINE is not None:
+        out["pipeline"] = PIPELINE.run
+    return out
 
 
 # --- oracle SQL ---------------------------------------------------------------
@@ -665,4 +679,9 @@ FROM hwm WHERE DATE '2024-01-20' > last_date""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle()
+    out = _oracle()
+    if LLM is not None:
+        out.update(LLM.ORACLE_SQL)
+    if PIPELINE is not None and PIPELINE.ORACLE_SQL:
+        out["pipeline"] = PIPELINE.ORACLE_SQL
+    return out
