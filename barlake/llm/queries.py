@@ -5,11 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, packing, token_cache
+from barlake.llm import credentials, packing, token_cache, warc
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
 
+def q_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, d, "pages"), scratch_dir(spark, "llm-warc"))
+
+
 def q_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"))
 
@@ -23,6 +27,7 @@ def q_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chunked_warc": q_warc,
     "op2_harmonic_packing": q_packing,
     "op7_token_cache": q_token_counts,
     "op8_credential_linking": q_secrets,
