@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, embedding_lsh, packing, token_cache, warc
+from barlake.llm import credentials, decontam, embedding_lsh, packing, token_cache, warc
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
@@ -30,9 +30,14 @@ def q_embeddings(spark: SparkSession, d: str) -> DataFrame:
     return embedding_lsh.near_duplicates(table(spark, d, "embeddings"))
 
 
+def q_decontam(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {
     "op1_chunked_warc": q_warc,
     "op2_harmonic_packing": q_packing,
+    "op4_suffix_decontamination": q_decontam,
     "op7_token_cache": q_token_counts,
     "op8_credential_linking": q_secrets,
     "op9_embedding_near_dedup": q_embeddings,
