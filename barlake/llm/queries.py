@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, decontam, embedding_lsh, packing, token_cache, warc
+from barlake.llm import credentials, decontam, embedding_lsh, packing, quality_cnn, token_cache, warc
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
@@ -34,9 +34,14 @@ def q_decontam(spark: SparkSession, d: str) -> DataFrame:
     return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def q_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality_cnn.score_quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES = {
     "op1_chunked_warc": q_warc,
     "op2_harmonic_packing": q_packing,
+    "op3_quality_cnn": q_quality,
     "op4_suffix_decontamination": q_decontam,
     "op7_token_cache": q_token_counts,
     "op8_credential_linking": q_secrets,
