@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, decontam, embedding_lsh, langid_crf, packing, quality_cnn, token_cache, warc
+from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, langid_crf, packing, quality_cnn, token_cache, warc
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
@@ -42,11 +42,16 @@ def q_language(spark: SparkSession, d: str) -> DataFrame:
     return langid_crf.predict_languages(table(spark, d, "documents"))
 
 
+def q_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_rtree.near_duplicates(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_chunked_warc": q_warc,
     "op2_harmonic_packing": q_packing,
     "op3_quality_cnn": q_quality,
     "op4_suffix_decontamination": q_decontam,
+    "op5_jaccard_rtree": q_jaccard,
     "op6_language_crf": q_language,
     "op7_token_cache": q_token_counts,
     "op8_credential_linking": q_secrets,
