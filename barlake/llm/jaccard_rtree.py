@@ -292,7 +292,7 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     once = F.coalesce(F.col("b.zone") == F.col("b.main"), F.lit(False)) | (F.col("a.leaf") <= F.col("b.leaf"))
     apart = (F.col("a.zone") != F.col("b.zone")) | (F.col("a.zone") < 0)
     sized = (F.col("a.n1") * t.whole >= F.col("b.n0") * t.part) & (F.col("b.n1") * t.whole >= F.col("a.n0") * t.part)
-    bound = F.aggregate(F.zip_with("a.corner", "b.corner", F.least), F.lit(0).cast("long"), lambda s, x: s + x)
+    bound = F.aggregate(F.zip_with("a.corner", "b.corner", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
     meets = bound * (t.whole + t.part) >= (F.col("a.n0") + F.col("b.n0")) * t.part
     pairs = a.join(b, F.col("a.blob") == F.col("b.blob")).where(once & apart & sized & meets).select(
         F.col("a.blob").alias("blob"), F.col("a.leaf").alias("x"), F.col("b.leaf").alias("y"))
