@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, langid_crf, packing, quality_cnn, token_cache, warc
+from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, katz, langid_crf, packing, quality_cnn, token_cache, warc
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
@@ -46,6 +46,10 @@ def q_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return jaccard_rtree.near_duplicates(table(spark, d, "documents"))
 
 
+def q_katz(spark: SparkSession, d: str) -> DataFrame:
+    return katz.score_documents(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_chunked_warc": q_warc,
     "op2_harmonic_packing": q_packing,
@@ -56,6 +60,7 @@ QUERIES = {
     "op7_token_cache": q_token_counts,
     "op8_credential_linking": q_secrets,
     "op9_embedding_near_dedup": q_embeddings,
+    "op10_katz_backoff": q_katz,
 }
 
 ORACLE_SQL: dict[str, str] = {}
