@@ -13,8 +13,10 @@ tokens, so of d + 1 + e hash groups at least e + 1 hold the same tokens in
 both: classes that share (size band, group, signature of the group's tokens)
 are candidates, everything else cannot link.  ``e`` covers groups that are
 empty in a document, which give no signature; a document with more empty
-groups than that signs those as well.  Components of this candidate graph
-("blobs") are joined apart from each other.
+groups than that signs those as well.  Signatures travel as packed sorted
+arrays, one entry per signature and block of documents, so a signature of
+many documents is no hot key.  Components of the candidate graph ("blobs") are
+joined apart from each other.
 
 A blob of up to ``LEAF`` classes is one tree.  Larger blobs are packed into
 leaves of ``LEAF`` classes by (component so far, size); a first pass compares
@@ -40,6 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.llm.components import connected_components
+from barlake.llm.packed import pack, pack_keys, runs, unpack, unpack_keys
 from barlake.llm.storage import materialise, spare
 from barlake.llm.words import mix, shingle_set, word_hashes
 
@@ -53,6 +56,9 @@ LEAF_TOKENS = 2_000_000
 #: (24 bytes each), and joined by a shuffle beyond.
 BROADCAST_ROWS = 200_000
 TEXT_BATCH = 512
+#: Signatures a task sorts at once, and tokens per range of keys, about.
+KEY_BLOCK = 2_000_000
+KEY_PART = 1_000_000
 
 
 class Threshold:
@@ -75,16 +81,39 @@ class Threshold:
     def bands(self, n: int) -> list[tuple[int, int, int]]:
         """(band, groups, spare groups) of the schemes a set of ``n`` tokens
         signs by: those of every size its larger partner may have."""
+        if n not in _BANDS.setdefault((self.part, self.whole), {}):
+            _BANDS[self.part, self.whole][n] = self._bands(n)
+        return _BANDS[self.part, self.whole][n]
+
+    def _bands(self, n: int) -> list[tuple[int, int, int]]:
         out, lo, band = [], 1, 0
         while lo <= self.largest(n):
             hi = max(lo, lo * 5 // 4)
             d = self.differ(2 * hi)
             if hi >= n and d > 0:
-                extra = 2 + d // 50
+                extra = self.spare(d, -(-lo * self.part // self.whole))
                 out.append((band, d + 1 + extra, extra))
             lo, band = hi + 1, band + 1
         return out
 
+    @staticmethod
+    def spare(d: int, least: int) -> int:
+        """Groups to add so that few sets of ``least`` tokens leave more groups
+        empty than that (three standard deviations of the occupancy)."""
+        extra = 1
+        while extra < least:
+            m = d + 1 + extra
+            p1, p2 = (1 - 1 / m) ** least, max(0.0, 1 - 2 / m) ** least
+            mean = m * p1
+            spread = max(0.0, mean + m * (m - 1) * p2 - mean * mean) ** 0.5
+            if extra >= mean + 3 * spread:
+                break
+            extra += 1
+        return extra
+
+
+_BANDS: dict = {}
+
 
 def signatures(tokens: np.ndarray, t: Threshold) -> np.ndarray:
     """Candidate keys of a sorted token set."""
@@ -103,23 +132,92 @@ def signatures(tokens: np.ndarray, t: Threshold) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
-def _sketch_batches(width: int, t: Threshold):
+def node_of(digest: bytes) -> int:
+    """Candidate-graph node of a set.  Sets that share a node by chance only
+    meet in one blob; they are told apart by their digests."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _sketch_batches(width: int):
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, TEXT_BATCH):
                 part = b.slice(at, TEXT_BATCH)
-                n, digest, keys = [], [], []
-                for words in word_hashes(part.column("text").to_pylist()):
-                    tokens = shingle_set(words, width)
-                    n.append(len(tokens))
-                    digest.append(hashlib.md5(tokens.tobytes()).digest() if len(tokens) else None)
-                    keys.append(signatures(tokens, t).view(np.int64))
+                sets = [shingle_set(w, width) for w in word_hashes(part.column("text").to_pylist())]
+                digest = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in ("uid", "doc_id", "h")], pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                     pa.array(keys, pa.list_(pa.int64()))], ["uid", "doc_id", "h", "n", "digest", "keys"])
+                    [*[part.column(c) for c in ("uid", "doc_id", "h")], pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(digest, pa.binary()), pa.array([d and node_of(d) for d in digest], pa.int64())],
+                    ["uid", "doc_id", "h", "n", "digest", "node"])
+    return run
+
+
+_SIGNED = "bucket long, keys binary, pivots binary, nodes binary"
+
+
+def _key_batches(width: int, t: Threshold, bits: int):
+    """Signatures of about ``KEY_BLOCK`` keys at a time: one entry per key with
+    the least node that has it, and an edge from every other such node to it
+    (bucket null).  A key of many documents is one entry per block."""
+    schema = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("pivots", pa.binary()), ("nodes", pa.binary())])
+
+    def rows(keys: list, nodes: list):
+        names = np.array(nodes, dtype=np.int64)
+        key = np.concatenate(keys)
+        of = np.repeat(names, [len(k) for k in keys])
+        order = np.lexsort((of, key))
+        key, of = key[order], of[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        pivot = np.repeat(of[first], np.diff(np.append(first, len(key))))
+        rest = of != pivot
+        edges = np.unique(np.stack([of[rest], pivot[rest]]), axis=1)
+        out = [{"pivots": pack(edges[1]), "nodes": pack(edges[0])}] if edges.shape[1] else []
+        known, number = np.unique(of[first], return_inverse=True)
+        for bucket, lo, hi in runs(key[first], bits):
+            used, local = np.unique(number[lo:hi], return_inverse=True)
+            out.append({"bucket": bucket, "keys": pack_keys(key[first][lo:hi]), "pivots": pack(local.astype(np.uint32)),
+                        "nodes": pack(known[used])})
+        return pa.RecordBatch.from_pylist(out, schema=schema)
+
+    def run(batches):
+        keys, nodes, size = [], [], 0
+        for b in batches:
+            for at in range(0, b.num_rows, TEXT_BATCH):
+                for words in word_hashes(b.slice(at, TEXT_BATCH).column("text").to_pylist()):
+                    tokens = shingle_set(words, width)
+                    k = signatures(tokens, t)
+                    if not len(k):
+                        continue
+                    keys.append(k)
+                    nodes.append(node_of(hashlib.md5(tokens.tobytes()).digest()))
+                    size += len(k)
+                    if size >= KEY_BLOCK:
+                        yield rows(keys, nodes)
+                        keys, nodes, size = [], [], 0
+        if keys:
+            yield rows(keys, nodes)
     return run
 
 
+def _edge_group(table: pa.Table) -> pa.Table:
+    """Edges of one range of keys: each block's pivot of a key to the least of
+    all blocks' pivots."""
+    rows = table.select(["bucket", "keys", "pivots", "nodes"]).to_pylist()
+    edges = [np.stack([unpack(r["nodes"], np.int64), unpack(r["pivots"], np.int64)]) for r in rows if r["keys"] is None]
+    rows = [r for r in rows if r["keys"] is not None]
+    if rows:
+        key = np.concatenate([unpack_keys(r["keys"]) for r in rows])
+        of = np.concatenate([unpack(r["nodes"], np.int64)[unpack(r["pivots"], np.uint32)] for r in rows])
+        order = np.lexsort((of, key))
+        key, of = key[order], of[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        pivot = np.repeat(of[first], np.diff(np.append(first, len(key))))
+        rest = of != pivot
+        edges.append(np.stack([of[rest], pivot[rest]]))
+    a, b = np.unique(np.concatenate(edges, axis=1), axis=1)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _set_batches(width: int):
     """Token set and count vector of each candidate; once for repeated rows
     that meet in a task."""
@@ -238,13 +336,11 @@ def _pivot_batches(t: Threshold):
     return run
 
 
-def _candidates(sketch: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): each class with the least class of each bucket it is in."""
-    keyed = (sketch.join(classes.select(F.col("cid").alias("uid")), "uid", "left_semi")
-             .select(F.col("uid").alias("cid"), F.explode("keys").alias("key")))
-    shared = keyed.groupBy("key").agg(F.min("cid").alias("pivot"), F.max("cid").alias("top")).where("pivot < top")
-    return (keyed.join(shared.select("key", "pivot"), "key").where("cid != pivot")
-            .select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct())
+def _candidates(docs: DataFrame, width: int, t: Threshold, bits: int) -> DataFrame:
+    """(a, b): edges whose components hold every pair of sets that may link."""
+    signed = docs.select("text").mapInArrow(_key_batches(width, t, bits), _SIGNED)
+    spread = F.coalesce(F.col("bucket"), F.pmod(F.xxhash64("nodes"), F.lit(1 << bits)))
+    return signed.withColumn("bucket_", spread).groupBy("bucket_").applyInArrow(_edge_group, "a long, b long").distinct()
 
 
 def _ranked(rows: DataFrame, *keys: str) -> DataFrame:
@@ -317,14 +413,18 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
     mark = F.col(uid) if uid else F.monotonically_increasing_id()
     rows = docs.select(mark.alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), hashed, "text")
     sketch = materialise(spark, rows.mapInArrow(
-        _sketch_batches(shingle, t), "uid long, doc_id long, h long, n long, digest binary, keys array<long>"), "sketch")
+        _sketch_batches(shingle), "uid long, doc_id long, h long, n long, digest binary, node long"), "sketch")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid"))
     classes = materialise(spark, sketch.where("n > 0").groupBy("digest").agg(
-        F.min("uid").alias("cid"), best.alias("best")).select("digest", "cid", "best"), "classes")
-    edges = materialise(spark, _candidates(sketch, classes), "candidates")
-    blobs = materialise(spark, connected_components(edges).select(F.col("node").alias("cid"), F.col("root").alias("blob")), "blobs")
-    wanted = sketch.select(F.col("uid").alias("cid"), F.col("doc_id").alias("want_id"), F.col("h").alias("want_h")).join(blobs, "cid")
-    if blobs.count() <= BROADCAST_ROWS:
+        F.min(F.struct("uid", "doc_id", "h", "node")).alias("c"), best.alias("best")).select(
+        "digest", F.col("c.uid").alias("cid"), F.col("c.doc_id").alias("want_id"), F.col("c.h").alias("want_h"),
+        F.col("c.node").alias("node"), "best"), "classes")
+    tokens = sketch.agg(F.sum("n")).first()[0] or 0
+    bits = max(width - 1, tokens // KEY_PART).bit_length()
+    edges = materialise(spark, _candidates(docs, shingle, t, bits), "candidates")
+    blobs = connected_components(edges).select("node", F.col("root").alias("blob"))
+    wanted = materialise(spark, classes.join(blobs, "node").select("cid", "blob", "want_id", "want_h"), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), hashed, "text")
              .join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("h") == F.col("want_h")))
@@ -342,7 +442,7 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
     if not count.where("NOT fits").isEmpty():
         links = links.unionByName(_large_blobs(sets, count.where("NOT fits").select("blob"), t, leaf, width))
     roots = connected_components(materialise(spark, links, "links")).select(F.col("node").alias("cid"), "root")
-    joined = classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    joined = classes.select("digest", "cid", "best").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     firsts = joined.groupBy("root").agg(F.min("best").alias("best_of"))
     named = materialise(spark, joined.join(firsts, "root").select(
         "digest", F.col("best_of.doc_id").alias("component"), F.col("best_of.uid").alias("first")), "components")

@@ -30,10 +30,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.llm.packed import pack, pack_keys, runs, unpack, unpack_keys
 from barlake.llm.storage import materialise
 from barlake.llm.words import mix, word_hashes
 
@@ -47,28 +47,6 @@ START = np.uint64(0x14057B7EF767814F)
 _PAIR = np.uint64(0xA0761D6478BD642F)
 
 
-def pack(a: np.ndarray) -> bytes:
-    """Compressed bytes of an array, byte planes apart."""
-    raw = np.ascontiguousarray(a)
-    planes = raw.view(np.uint8).reshape(len(raw), raw.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack(data: bytes, dtype) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(dtype)
-
-
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as packed differences."""
-    return pack(np.diff(keys, prepend=np.uint64(0)))
-
-
-def unpack_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
-
-
 # --- blocks -------------------------------------------------------------------
 
 _BLOCKS = "block long, n_tokens long, doc_ids array<long>, uids binary, lengths binary, train binary, vocab binary, tokens binary"
@@ -148,13 +126,6 @@ class Block:
         return keys[new], counts, order[new], inverse
 
 
-def _runs(keys: np.ndarray, bits: int):
-    """(bucket, from, to) of sorted keys by their leading bits."""
-    bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), dtype=np.uint64)
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(keys) else np.zeros(1, dtype=int)
-    return [(int(bucket[lo]), int(lo), int(hi)) for lo, hi in zip(cuts[:-1], cuts[1:])]
-
-
 # --- counts -------------------------------------------------------------------
 
 _ASKED = "level int, bucket long, block long, keys binary, counts binary"
@@ -172,7 +143,7 @@ def _ask_batches(bits: int):
                 block = Block(r["lengths"], r["train"], r["vocab"], r["tokens"])
                 for level, (keys, counts) in ((1, block.words()), (2, block.pairs()[:2])):
                     rows = [(level, k, r["block"], pack_keys(keys[lo:hi]), pack(counts[lo:hi].astype(np.uint32)))
-                            for k, lo, hi in _runs(keys, bits)]
+                            for k, lo, hi in runs(keys, bits)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
     return run
 
@@ -294,7 +265,7 @@ def _score_batches(totals, bits: int):
         place[some] = np.arange(len(some))
         order = np.argsort(place[use_ctx], kind="stable")
         use_at, use_doc, n = place[use_ctx][order], use_doc[order], n[order]
-        for k, lo, hi in _runs(hist[some], bits):
+        for k, lo, hi in runs(hist[some], bits):
             a, z = np.searchsorted(use_at, [lo, hi])
             cut = some[lo:hi]
             yield {"bucket": k, "keys": pack_keys(hist[cut]), "seen": pack(seen_ctx[cut]), "mass": pack(mass[cut]),
