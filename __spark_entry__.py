@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import oracle as O
-from barlake.config import alert_rules
-from barlake.functions.exprs import rounded
+from barlake.config import DEFAULT_ALERTS, DEFAULT_REARM, alert_rules
+from barlake.functions.exprs import rounded, to_decimal_10_3
+from barlake.functions.text import sma_text
 from barlake.operators import alerts as A
 from barlake.operators import incremental as INC
 from barlake.operators import ingest as I
@@ -202,21 +203,35 @@ def q_metrics_ticks_long(spark, d):
 
 
 # --- alerts -----------------------------------------------------------------
+# Latest-day alerts read the written metrics table: the chain runs once and
+# the newest date is one partition of it.
+
+def _metrics_table(spark, d) -> str:
+    """The user metrics written as a date-partitioned parquet table."""
+    from barlake.sources.tables import overwrite
+    path = scratch_dir(spark, "metrics")
+    overwrite(chains.metrics(spark, d, "user"), path, ["date"])
+    return path
+
+
+def _written_metrics(spark, d) -> DataFrame:
+    return scan(spark, _metrics_table(spark, d), chains.metrics(spark, d, "user").schema)
+
 
 def q_alert_price_5(spark, d):
-    return A.price_change_alert(chains.metrics(spark, d, "user"), 5)
+    return A.price_change_alert(_written_metrics(spark, d), 5)
 
 
 def q_alert_price_10(spark, d):
-    return A.price_change_alert(chains.metrics(spark, d, "user"), 10)
+    return A.price_change_alert(_written_metrics(spark, d), 10)
 
 
 def q_alert_sma_20(spark, d):
-    return A.sma_cross_alert(chains.metrics(spark, d, "user"), 20)
+    return A.sma_cross_alert(_written_metrics(spark, d), 20)
 
 
 def q_alert_sma_200(spark, d):
-    return A.sma_cross_alert(chains.metrics(spark, d, "user"), 200)
+    return A.sma_cross_alert(_written_metrics(spark, d), 200)
 
 
 def q_latest_per_ticker(spark, d):
@@ -226,17 +241,25 @@ def q_latest_per_ticker(spark, d):
 
 
 def q_alert_hits(spark, d):
-    return A.rule_hits(chains.metrics(spark, d, "user"), alert_rules(spark))
+    return A.rule_hits(_written_metrics(spark, d), alert_rules(spark))
+
+
+def q_rules_many(spark, d):
+    """As many change rules as there are parts: thresholds from ``part``."""
+    part = read_table(spark, d, "part")
+    rules = part.select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("rule_id"),
+                        F.lit("close_change").alias("metric"), (F.col("p_retailprice").cast("double") / 100).alias("threshold"))
+    return A.rule_hits(_written_metrics(spark, d), rules)
 
 
 def q_alert_state(spark, d):
     rules = alert_rules(spark)
-    return A.alert_state(rules, A.rule_hits(chains.metrics(spark, d, "user"), rules))
+    return A.alert_state(rules, A.rule_hits(_written_metrics(spark, d), rules))
 
 
 def q_alert_messages(spark, d):
     rules = alert_rules(spark)
-    return A.alert_messages(rules, A.rule_hits(chains.metrics(spark, d, "user"), rules))
+    return A.alert_messages(rules, A.rule_hits(_written_metrics(spark, d), rules))
 
 
 def q_alert_history(spark, d):
@@ -249,6 +272,18 @@ def q_alert_rearm(spark, d):
     return A.rearm(A.firing_days(hits), REARM_GAP_DAYS)
 
 
+def q_alert_rearm_100(spark, d):
+    """R5 with the configured gap, over the longer brand series."""
+    hits = A.rule_hits(chains.metrics(spark, d, "brand"), alert_rules(spark), latest_only=False)
+    return A.rearm(A.firing_days(hits), DEFAULT_REARM)
+
+
+def q_alert_message_rows(spark, d):
+    """the whole message body as rows: its text, then one row per hit."""
+    rules = alert_rules(spark)
+    return A.message_rows(rules, A.rule_hits(_written_metrics(spark, d), rules))
+
+
 def q_alert_rearm_stream(spark, d):
     """R5 on a stream: the firing days arrive in three daily-run chunks; the
     last kept day per rule lives in the stream's state store."""
@@ -301,6 +336,24 @@ def q_insert_only_upsert(spark, d):
     return I.insert_only(FX.sink_bars(spark, d), FX.update_bars(spark, d))
 
 
+def q_upsert_update(spark, d):
+    """The merge with corrections: the batch's row replaces the loaded one."""
+    return I.upsert(FX.sink_bars(spark, d), FX.update_bars(spark, d), on_match="update")
+
+
+def q_dedupe_nulls(spark, d):
+    """A broken copy of every bar (no prices) never beats the whole one."""
+    b = FX.update_bars(spark, d)
+    broken = b.select("ticker", "date", *[F.lit(None).cast("double").alias(c) for c in ("open", "high", "low", "close")], "volume")
+    return I.dedupe(b.unionByName(broken))
+
+
+def q_merge_date_only(spark, d):
+    """One ticker's table, merged on the date alone."""
+    one = F.col("ticker") == FX.bars_user(spark, d).select(F.min("ticker")).scalar()
+    return I.insert_only(FX.sink_bars(spark, d).where(one), FX.update_bars(spark, d).where(one), keys=["date"])
+
+
 # --- landed files and the stream --------------------------------------------
 
 def q_landing_csv(spark, d):
@@ -389,24 +442,24 @@ def q_metrics_stream(spark, d):
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
-def _metrics_table(spark, d) -> str:
-    """The user metrics written as a date-partitioned parquet table."""
-    from barlake.sources.tables import overwrite
-    path = scratch_dir(spark, "metrics")
-    overwrite(chains.metrics(spark, d, "user"), path, ["date"])
-    return path
+def _saved_hits(spark, d, alerts) -> DataFrame:
+    from barlake.plans import saved_queries as SQ
+    return SQ.run_saved(spark, SQ.hits_statement(SQ.table_ref(_metrics_table(spark, d)), alerts))
 
 
 def q_alert_price_5_sql(spark, d):
-    from barlake.plans import saved_queries as SQ
-    table = SQ.table_ref(_metrics_table(spark, d))
-    return SQ.run_saved(spark, SQ.price_change_sql(table, 5))
+    hits = _saved_hits(spark, d, [("eod_change", 5)])
+    return hits.select("ticker", to_decimal_10_3(F.col("value")).alias("close_change"))
 
 
 def q_alert_sma_20_sql(spark, d):
-    from barlake.plans import saved_queries as SQ
-    table = SQ.table_ref(_metrics_table(spark, d))
-    return SQ.run_saved(spark, SQ.sma_cross_sql(table, 20))
+    hits = _saved_hits(spark, d, [("sma_crossover", 20)])
+    return hits.orderBy("value", "ticker").select("ticker", sma_text(F.col("value"), 20).alias("sma_text"))
+
+
+def q_alert_rules_sql(spark, d):
+    """All configured rules by one generated statement."""
+    return _saved_hits(spark, d, DEFAULT_ALERTS)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -440,12 +493,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_sma_200": q_alert_sma_200,
     "alert_price_5_sql": q_alert_price_5_sql,
     "alert_sma_20_sql": q_alert_sma_20_sql,
+    "alert_rules_sql": q_alert_rules_sql,
     "latest_per_ticker": q_latest_per_ticker,
     "alert_hits": q_alert_hits,
+    "rules_many": q_rules_many,
     "alert_state": q_alert_state,
     "alert_messages": q_alert_messages,
     "alert_history": q_alert_history,
     "alert_rearm": q_alert_rearm,
+    "alert_rearm_100": q_alert_rearm_100,
+    "alert_message_rows": q_alert_message_rows,
     "alert_rearm_stream": q_alert_rearm_stream,
     "last_dates": q_last_dates,
     "global_last_date": q_global_last_date,
@@ -455,6 +512,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_batch": q_dedupe_batch,
     "new_rows": q_new_rows,
     "insert_only_upsert": q_insert_only_upsert,
+    "upsert_update": q_upsert_update,
+    "dedupe_nulls": q_dedupe_nulls,
+    "merge_date_only": q_merge_date_only,
     "landing_csv": q_landing_csv,
     "quarantine_bad_rows": q_quarantine_bad_rows,
     "stream_ingest": q_stream_ingest,
@@ -573,6 +633,7 @@ FROM t2"""
 )
 """
     sql["alert_hits"] = hits + "SELECT rule_id, ticker, date, value FROM hits_user"
+    sql["alert_rules_sql"] = sql["alert_hits"]
     sql["alert_state"] = hits + ", " + state + """SELECT rule_id, query_name,
   'Alert - ' || query_name AS alert_name, n_hits,
   CASE WHEN n_hits > 0 THEN 'TRIGGERED' ELSE 'UNKNOWN' END AS state FROM state"""
@@ -589,24 +650,35 @@ FROM t2"""
 FROM state WHERE n_hits > 0"""
     firing = ", firing AS (SELECT rule_id, date, count(*) AS n_hits FROM hits_user GROUP BY rule_id, date)\n"
     sql["alert_history"] = hits_all + firing + "SELECT * FROM firing"
-    sql["alert_rearm"] = hits_all + firing.replace(", firing", ", firing0").replace(
-        "SELECT rule_id, date, count(*)", "SELECT rule_id, date, count(*)") + f""", f AS (
-  SELECT rule_id, date, row_number() OVER (PARTITION BY rule_id ORDER BY date) AS rn FROM firing0
-),
+    sql["alert_rearm"] = _rearm_oracle("user", REARM_GAP_DAYS)
+    sql["alert_rearm_100"] = _rearm_oracle("brand", DEFAULT_REARM)
+    sql["rules_many"] = c("user", "metrics") + f"""SELECT 'part_' || p_partkey AS rule_id, ticker, date, close_change AS value
+FROM metrics_user JOIN part ON abs(close_change) > CAST(p_retailprice AS DOUBLE) / 100 WHERE {latest_user}"""
+    said = sql["alert_messages"]
+    sql["alert_message_rows"] = f"""WITH m AS ({said}), h AS ({sql["alert_hits"]})
+SELECT rule_id, 0 AS part, CAST(NULL AS VARCHAR) AS ticker, subject AS text FROM m
+UNION ALL SELECT rule_id, 1, NULL, body FROM m
+UNION ALL SELECT rule_id, 2, ticker, ticker || ' ' || CAST(date AS VARCHAR) || ' ' || CAST(CAST(value AS DECIMAL(10,3)) AS VARCHAR) FROM h"""
+    sql["alert_rearm_stream"] = sql["alert_rearm"]
+    sql.update(_ingest_oracle())
+    sql.update(_landing_oracle())
+    return sql
+
+
+def _rearm_oracle(kind: str, gap: int) -> str:
+    chain = O.chain(kind, "metrics") + ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql(kind, False)
+    return "WITH RECURSIVE " + chain[len("WITH "):] + f""",
+f AS (SELECT rule_id, date, row_number() OVER (PARTITION BY rule_id ORDER BY date) AS rn
+      FROM (SELECT DISTINCT rule_id, date FROM hits_{kind})),
 rec AS (
   SELECT rule_id, rn, date, date AS last_kept, true AS kept FROM f WHERE rn = 1
   UNION ALL
   SELECT f.rule_id, f.rn, f.date,
-         CASE WHEN f.date >= rec.last_kept + {REARM_GAP_DAYS} THEN f.date ELSE rec.last_kept END,
-         f.date >= rec.last_kept + {REARM_GAP_DAYS}
+         CASE WHEN f.date >= rec.last_kept + {gap} THEN f.date ELSE rec.last_kept END,
+         f.date >= rec.last_kept + {gap}
   FROM rec JOIN f ON f.rule_id = rec.rule_id AND f.rn = rec.rn + 1
 )
 SELECT rule_id, date FROM rec WHERE kept"""
-    sql["alert_rearm"] = "WITH RECURSIVE " + sql["alert_rearm"][len("WITH "):]
-    sql["alert_rearm_stream"] = sql["alert_rearm"]
-    sql.update(_ingest_oracle())
-    sql.update(_landing_oracle())
-    return sql
 
 
 def _landing_oracle() -> dict[str, str]:
@@ -675,6 +747,11 @@ FROM hwm WHERE DATE '2024-01-20' > last_date""",
         "dedupe_batch": base + "SELECT * FROM dedup",
         "new_rows": base + "SELECT * FROM fresh",
         "insert_only_upsert": base + "SELECT * FROM sink UNION ALL SELECT * FROM fresh",
+        "upsert_update": base + """SELECT * FROM sink s WHERE NOT EXISTS
+  (SELECT 1 FROM dedup d WHERE d.ticker = s.ticker AND d.date = s.date) UNION ALL SELECT * FROM dedup""",
+        "dedupe_nulls": base + "SELECT * FROM dedup",
+        "merge_date_only": base + """, one AS (SELECT min(ticker) AS t FROM bars_user)
+SELECT s.* FROM sink s, one WHERE ticker = t UNION ALL SELECT f.* FROM fresh f, one WHERE ticker = t""",
     }
 
 

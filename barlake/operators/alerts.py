@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from barlake.config import DEFAULT_EXCHANGE
 from barlake.functions import text
@@ -18,9 +19,9 @@ from barlake.functions.exprs import to_decimal_10_3
 from barlake.functions.names import change_name, crossover_name, sma_name
 from barlake.schema import KEY, ORDER
 
-# The rules table comes from configuration.  Broadcasting it is safe only
-# while it stays small, so its size is checked before the hint is added.
-MAX_BROADCAST_RULES = 10_000
+# Rules and metric rows meet on (metric, bucket): few metrics exist, so the
+# bucket spreads the rows of one metric when the rules are too many to broadcast.
+RULE_BUCKETS = 16
 
 
 def latest_day(df: DataFrame, order: str = ORDER) -> DataFrame:
@@ -30,11 +31,11 @@ def latest_day(df: DataFrame, order: str = ORDER) -> DataFrame:
 
 
 def latest_day_per_key(df: DataFrame, key: str = KEY, order: str = ORDER) -> DataFrame:
-    """Per-ticker variant (Q4): each ticker's own latest row.  The join is on
-    (ticker, date), so a ticker with a long history is not one join
-    partition."""
-    last = df.groupBy(key).agg(F.max(order).alias(order))
-    return df.join(last, [key, order], "left_semi")
+    """Per-ticker variant (Q4): each ticker's own latest row, by one partial
+    aggregation over one scan."""
+    rest = [c for c in df.columns if c not in (key, order)]
+    newest = df.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("__row"))
+    return newest.select(*[F.col(key) if c == key else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def price_change_alert(metrics: DataFrame, threshold: float, value_col: str = "close",
@@ -58,12 +59,6 @@ def sma_cross_alert(metrics: DataFrame, periods: int, value_col: str = "close",
             .select(F.col(key), text.sma_text(F.col(co), periods).alias("sma_text")))
 
 
-def _rules_side(rules: DataFrame) -> tuple[DataFrame, bool]:
-    """The rules table, with a broadcast hint only when its size is checked."""
-    small = rules.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
-    return (F.broadcast(rules) if small else rules), small
-
-
 def metric_long(metrics: DataFrame, metric_cols: list[str], key: str = KEY,
                 order: str = ORDER) -> DataFrame:
     """Metric columns as (ticker, date, metric, value) rows."""
@@ -80,17 +75,15 @@ def rule_hits(metrics: DataFrame, rules: DataFrame, key: str = KEY, order: str =
     evaluated (the saved-query semantics); without it every day is, which is
     the history the rearm logic replays.
     """
-    r, small = _rules_side(rules.select("rule_id", "metric", "threshold"))
-    if small:
-        # Unpivot only the metrics some rule watches (a config-sized list).
-        watched = {row.metric for row in rules.select("metric").distinct().collect()}
-        metric_cols = [c for c in metrics.columns if c in watched]
-    else:
-        metric_cols = [c for c in metrics.columns if c not in (key, order)]
     src = latest_day(metrics, order) if latest_only else metrics
-    long = metric_long(src, metric_cols, key, order)
-    hits = long.join(r, (long.metric == r.metric) & (F.abs(long.value) > r.threshold), "inner")
-    return hits.select("rule_id", key, order, long.value.alias("value"))
+    numbers = [f.name for f in metrics.schema if isinstance(f.dataType, NumericType) and f.name not in (key, order)]
+    long = metric_long(src, numbers, key, order).where(F.col("value").isNotNull()).withColumn(
+        "__bucket", F.pmod(F.xxhash64(key, order), F.lit(RULE_BUCKETS)))
+    r = rules.select("rule_id", F.col("metric").alias("__metric"), "threshold", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(RULE_BUCKETS - 1).cast("long"))).alias("__b"))
+    hits = long.join(r, (F.col("metric") == F.col("__metric")) & (F.col("__bucket") == F.col("__b"))
+                     & (F.abs(F.col("value")) > F.col("threshold")))
+    return hits.select("rule_id", key, order, "value")
 
 
 def alert_state(rules: DataFrame, hits: DataFrame, exchange: str = DEFAULT_EXCHANGE) -> DataFrame:
@@ -123,6 +116,19 @@ def alert_messages(rules: DataFrame, hits: DataFrame, exchange: str = DEFAULT_EX
     )
 
 
+def message_rows(rules: DataFrame, hits: DataFrame, exchange: str = DEFAULT_EXCHANGE, key: str = KEY,
+                 order: str = ORDER) -> DataFrame:
+    """every triggered alert's message as rows, (rule_id, part, ticker,
+    text): part 0 the subject, 1 the first body line, 2 one line per hit, so
+    that no rule's hits are gathered in one row."""
+    head = alert_messages(rules, hits, exchange)
+    none = F.lit(None).cast("string")
+    lines = head.select("rule_id", F.lit(0).alias("part"), none.alias(key), F.col("subject").alias("text")).unionByName(
+        head.select("rule_id", F.lit(1).alias("part"), none.alias(key), F.col("body").alias("text")))
+    value = to_decimal_10_3(F.col("value")).cast("string")
+    return lines.unionByName(hits.select("rule_id", F.lit(2).alias("part"), key, F.concat_ws(" ", key, F.col(order).cast("string"), value).alias("text")))
+
+
 def firing_days(hits: DataFrame, order: str = ORDER) -> DataFrame:
     """Days on which each rule's query returned at least one row."""
     return hits.groupBy("rule_id", order).agg(F.count(F.lit(1)).alias("n_hits"))
@@ -136,7 +142,7 @@ def rearm(firings: DataFrame, gap_days: int, order: str = ORDER) -> DataFrame:
     by the calendar, not by the data volume; the fold runs as one
     higher-order expression per rule, without a UDF.
     """
-    days = F.array_sort(F.collect_list(F.col(order)))
+    days = F.array_sort(F.collect_set(F.col(order)))
     init = F.struct(F.lit(None).cast("date").alias("last"),
                     F.array().cast("array<date>").alias("kept"))
 

@@ -68,18 +68,20 @@ def ingest_plan(hwm: DataFrame, as_of=None) -> DataFrame:
 
 
 def dedupe(batch: DataFrame, keys=(KEY, ORDER)) -> DataFrame:
-    """A3: one row per key.  Among rows with equal keys the smallest by the
-    remaining columns (in column order) wins, so the choice is deterministic.
+    """A3: one row per key.  Among rows with equal keys the one with the most
+    non-NULL values wins, then the smallest by the remaining columns in
+    column order, NULL last, so a broken copy never beats a whole one.
 
-    Written as ``groupBy(keys).agg(min(struct(rest)))``: a partial
-    aggregation, so even a key repeated in a third of the batch is reduced on
-    every mapper before the shuffle.
+    A partial aggregation: even a key repeated in a third of the batch is
+    reduced on every mapper before the shuffle.
     """
     keys = list(keys)
     rest = [c for c in batch.columns if c not in keys]
     if not rest:
         return batch.select(*keys).distinct()
-    best = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
+    gaps = sum((F.col(c).isNull().cast("int") for c in rest), F.lit(0))
+    ranked = [x for c in rest for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    best = batch.groupBy(*keys).agg(F.min(F.struct(gaps.alias("__gaps"), *ranked)).alias("__row"))
     return best.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*batch.columns)
 
 
@@ -88,19 +90,31 @@ def new_rows(sink: DataFrame, updates: DataFrame, keys=(KEY, ORDER),
     """Rows of ``updates`` whose key is not yet in ``sink``.
 
     Matched keys are left as they are (corrections to loaded days are
-    ignored).  The sink side is first cut to the batch's date range, so a
-    date-partitioned sink only scans the partitions the batch can touch and
-    the anti join shuffles only those rows.
+    ignored).  The sink side is first cut to the batch's own dates, so one
+    back-dated row opens one date partition, not all since.
     """
     keys = list(keys)
     batch = dedupe(updates, keys) if dedupe_batch else updates
     target = sink.select(*keys)
     if ORDER in keys:
-        low = updates.select(F.min(ORDER)).scalar()
-        target = target.where(F.col(ORDER) >= low)
+        target = target.join(updates.select(ORDER).distinct(), ORDER, "left_semi")
     return batch.join(target, keys, "left_anti")
 
 
 def insert_only(sink: DataFrame, updates: DataFrame, keys=(KEY, ORDER)) -> DataFrame:
     """The sink as it is after the merge: old rows plus the new ones."""
     return sink.unionByName(new_rows(sink, updates, keys))
+
+
+def upsert(sink: DataFrame, updates: DataFrame, keys=(KEY, ORDER), on_match: str = "ignore") -> DataFrame:
+    """The sink after a merge of ``updates``: new keys are inserted; with
+    ``on_match="update"`` the batch's row replaces the sink's row of an equal
+    key (a correction of a loaded day), with ``"ignore"`` the sink's row
+    stays."""
+    if on_match == "ignore":
+        return insert_only(sink, updates, keys)
+    if on_match != "update":
+        raise ValueError(f"unknown on_match {on_match!r}")
+    keys = list(keys)
+    batch = dedupe(updates, keys)
+    return sink.join(batch.select(*keys), keys, "left_anti").select(*sink.columns).unionByName(batch.select(*sink.columns))
