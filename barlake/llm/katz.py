@@ -38,7 +38,7 @@ from barlake.llm.storage import materialise
 from barlake.llm.words import mix, word_hashes
 
 GT_MAX = 7
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 #: Tokens per partition of the n-gram tables, about.
 PART_TOKENS = 500_000
 TEXT_BATCH = 512
