@@ -26,10 +26,10 @@ from barlake.operators import metrics as M
 from barlake.operators import refine as R
 from barlake.operators import segmented as SG
 from barlake.plans import chains
-from barlake.schema import BARS_SCHEMA
+from barlake.schema import BARS_SCHEMA, LANDING_FIELDS, QUARANTINE_SCHEMA
 from barlake.session import scratch_dir
 from barlake.sources import fixtures as FX
-from barlake.sources.landing import read_landing
+from barlake.sources.landing import STUB_LINE, landing_lines, read_landing, split_symbol, symbol_of_path
 from barlake.sources.tables import read_table, scan
 from barlake.streaming.landing_stream import run_once
 
@@ -141,25 +141,23 @@ def q_metrics_brand(spark, d):
     return _round_cols(chains.metrics(spark, d, "brand"), ["close_sma_20", "close_sma_200"])
 
 
-# Long-series (skew-safe) variants; small segments and blocks so the brand
-# series (about 1,500 days each at sf0.01) span many segments and blocks.
-LONG_SEG_DAYS = 64
-LONG_BLOCK_ROWS = 512
+# Long-series (skew-safe) variants; small blocks so the brand series (about
+# 1,500 days each at sf0.01) span many segments and blocks.
+LONG_BLOCK_ROWS = 2048
 
 
 def q_forward_fill_long(spark, d):
     p1 = R.null_nonpositive(FX.dirty_bars(spark, d, "brand"))
-    return SG.forward_fill_long(p1, seg_days=LONG_SEG_DAYS)
+    return SG.forward_fill_long(p1, block_rows=LONG_BLOCK_ROWS)
 
 
 def q_refine_prices_long(spark, d):
-    return SG.refine_prices_long(FX.dirty_bars(spark, d, "brand"), seg_days=LONG_SEG_DAYS)
+    return SG.refine_prices_long(FX.dirty_bars(spark, d, "brand"), block_rows=LONG_BLOCK_ROWS)
 
 
 def q_metrics_long(spark, d):
-    refined = SG.refine_prices_long(FX.dirty_bars(spark, d, "brand"), seg_days=LONG_SEG_DAYS)
-    refined = SG.materialize(refined)
-    out = M.compute_metrics_long(refined, seg_days=LONG_SEG_DAYS, block_rows=LONG_BLOCK_ROWS)
+    refined = SG.refine_prices_long(FX.dirty_bars(spark, d, "brand"), block_rows=LONG_BLOCK_ROWS, keep_segments=True)
+    out = M.compute_metrics_long(refined, block_rows=LONG_BLOCK_ROWS)
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
@@ -179,7 +177,6 @@ def q_metrics_incremental(spark, d):
 
 # Hot keys: every event as a tick of its event type's series (5 keys, each
 # about a fifth of all rows), ordered by its unique timestamp.
-TICK_SEG_DAYS = 1
 TICK_BLOCK_ROWS = 1024
 
 
@@ -189,16 +186,15 @@ def _ticks(spark, d):
 
 
 def q_metrics_ticks(spark, d):
-    """Metrics per event-type tick series with the per-key windows."""
-    out = M.compute_metrics(_ticks(spark, d), order="ts")
+    """Metrics per event-type tick series, in blocks of the production size."""
+    out = M.compute_metrics_long(_ticks(spark, d), order="ts")
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
 def q_metrics_ticks_long(spark, d):
-    """The same with the segmented operators: no task holds more than a
-    block (plus look-back) of a hot key."""
-    out = M.compute_metrics_long(_ticks(spark, d), order="ts", seg_days=TICK_SEG_DAYS,
-                                 block_rows=TICK_BLOCK_ROWS)
+    """The same in small blocks: no task holds more than a block (plus
+    look-back) of a hot key."""
+    out = M.compute_metrics_long(_ticks(spark, d), order="ts", block_rows=TICK_BLOCK_ROWS)
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
@@ -285,19 +281,19 @@ def q_alert_message_rows(spark, d):
 
 
 def q_alert_rearm_stream(spark, d):
-    """R5 on a stream: the firing days arrive in three daily-run chunks; the
-    last kept day per rule lives in the stream's state store."""
-    from barlake.streaming.rearm_stream import run_rearm_once
+    """R5 on a stream: the firing days arrive in three chunks, the second
+    before the first, and the kept days equal the batch operator's."""
+    from barlake.streaming.rearm_stream import kept_table, run_rearm_once
     hits = A.rule_hits(chains.metrics(spark, d, "user"), alert_rules(spark), latest_only=False)
-    firings = A.firing_days(hits).select("rule_id", "date")
     root = scratch_dir(spark, "rearm")
-    bounds = [("1900-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2999-12-31")]
+    A.firing_days(hits).select("rule_id", "date").write.parquet(f"{root}/all")
+    firings = spark.read.parquet(f"{root}/all")
+    bounds = [("2024-01-10", "2024-01-20"), ("1900-01-01", "2024-01-10"), ("2024-01-20", "2999-12-31")]
     for i, (lo, hi) in enumerate(bounds):
         chunk = firings.where((F.col("date") > F.lit(lo).cast("date")) & (F.col("date") <= F.lit(hi).cast("date")))
         chunk.write.mode("overwrite").parquet(f"{root}/firings/run={i}")
-        run_rearm_once(spark, f"{root}/firings", f"{root}/kept", f"{root}/_checkpoints/rearm",
-                       REARM_GAP_DAYS)
-    return spark.read.schema("rule_id string, date date").parquet(f"{root}/kept")
+        run_rearm_once(spark, f"{root}/firings", f"{root}/out", f"{root}/_checkpoints/rearm", REARM_GAP_DAYS)
+    return kept_table(spark, f"{root}/out")
 
 
 # --- ingest -----------------------------------------------------------------
@@ -368,24 +364,36 @@ def q_quarantine_bad_rows(spark, d):
     return bad.select("ticker", "date_text", "reason")
 
 
-def _stream_raw(spark, d) -> str:
+def _stream_root(spark, d) -> str:
     """Two scheduled runs of the ingest stream: the first sees the files of
     the days up to the sink cut, the second the files of the update batch
-    (which repeat six days); returns the raw table's path."""
+    (which repeat six days); returns the folder of its tables."""
     root = scratch_dir(spark, "stream")
-    landing, raw = f"{root}/landing", f"{root}/raw"
-    quarantine, ckpt = f"{root}/quarantine", f"{root}/_checkpoints/ingest"
+    landing, ckpt = f"{root}/landing", f"{root}/_checkpoints/ingest"
     FX.write_fixture_landing(spark, d, f"{landing}/batch=1",
                              F.col("date") <= F.lit(FX.SINK_CUT).cast("date"))
-    run_once(spark, landing, raw, quarantine, ckpt)
+    run_once(spark, landing, f"{root}/raw", f"{root}/quarantine", ckpt)
     FX.write_fixture_landing(spark, d, f"{landing}/batch=2",
                              F.col("date") >= F.lit(FX.UPDATE_FROM).cast("date"), with_stub=False)
-    run_once(spark, landing, raw, quarantine, ckpt)
-    return raw
+    run_once(spark, landing, f"{root}/raw", f"{root}/quarantine", ckpt)
+    return root
+
+
+def q_landing_reconcile(spark, d):
+    """Every landed data line is in the raw table, a duplicate of a row there,
+    or in quarantine; counted per ticker."""
+    root = _stream_root(spark, d)
+    header = F.col("line").contains(LANDING_FIELDS["date"]) | (F.trim(F.col("line")) == STUB_LINE)
+    lines = landing_lines(spark, f"{root}/landing").where(~header)
+    landed = lines.groupBy(split_symbol(symbol_of_path(F.col("file")))[0].alias("ticker")).agg(F.count(F.lit(1)).alias("n_lines"))
+    raw = scan(spark, f"{root}/raw", BARS_SCHEMA).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_raw"))
+    bad = scan(spark, f"{root}/quarantine", QUARANTINE_SCHEMA).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_quarantined"))
+    joined = landed.join(raw, "ticker", "left").join(bad, "ticker", "left").na.fill(0)
+    return joined.withColumn("n_duplicates", F.col("n_lines") - F.col("n_raw") - F.col("n_quarantined"))
 
 
 def q_stream_ingest(spark, d):
-    return scan(spark, _stream_raw(spark, d), BARS_SCHEMA).select(*BARS_SCHEMA.fieldNames())
+    return scan(spark, f"{_stream_root(spark, d)}/raw", BARS_SCHEMA).select(*BARS_SCHEMA.fieldNames())
 
 
 def _daily(spark, d, strategy, **kw):
@@ -418,17 +426,15 @@ def q_daily_incremental(spark, d):
 
 
 def q_daily_pipeline_long(spark, d):
-    """The same run with the long-series (skew-safe) operators.  Week-long
-    segments split each 30-day user series; blocks are at least the 201-row
-    look-back, so halos are exercised by ``metrics_long`` instead."""
-    return _daily(spark, d, "long", seg_days=7, block_rows=8)
+    """The same run with the long-series (skew-safe) operators."""
+    return _daily(spark, d, "long", block_rows=512)
 
 
 def q_metrics_stream(spark, d):
     """Raw table filled in three ingest runs; after each, the metrics stream
     processes only the new raw files incrementally.  The resulting metrics
     table equals a full recompute over all landed rows."""
-    from barlake.streaming.metrics_stream import run_metrics_once
+    from barlake.streaming.metrics_stream import metrics_table, run_metrics_once
     root = scratch_dir(spark, "metrics-stream")
     landing, raw = f"{root}/landing", f"{root}/raw"
     cuts = [("1900-01-01", FX.UPDATE_FROM), (FX.UPDATE_FROM, FX.SINK_CUT), (FX.SINK_CUT, "2999-12-31")]
@@ -437,8 +443,7 @@ def q_metrics_stream(spark, d):
         FX.write_fixture_landing(spark, d, f"{landing}/run={i}", window, with_stub=(i == 0))
         run_once(spark, landing, raw, f"{root}/quarantine", f"{root}/_checkpoints/ingest")
         run_metrics_once(spark, raw, root, f"{root}/_checkpoints/metrics")
-    from barlake.plans.pipeline import current
-    out = scan(spark, current(spark, f"{root}/metrics")).select(*chains.metrics_columns())
+    out = metrics_table(spark, root).select(*chains.metrics_columns())
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
@@ -518,6 +523,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_csv": q_landing_csv,
     "quarantine_bad_rows": q_quarantine_bad_rows,
     "stream_ingest": q_stream_ingest,
+    "landing_reconcile": q_landing_reconcile,
     "daily_pipeline": q_daily_pipeline,
     "daily_pipeline_long": q_daily_pipeline_long,
     "daily_incremental": q_daily_incremental,
@@ -704,6 +710,13 @@ FROM dirty_user WHERE {k(5)} <> 0"""
         + f"SELECT ticker, strftime(date, '%Y/%m/%d') AS date_text, 'bad date' AS reason "
           f"FROM dirty_user WHERE {k(5)} = 0",
         "stream_ingest": base + "SELECT * FROM dirty_landed",
+        "landing_reconcile": O.chain("user", "dirty") + f""", lines AS (
+  SELECT ticker, date, {k(5)} = 0 AS bad FROM dirty_user WHERE date <= DATE '2024-01-20'
+  UNION ALL SELECT ticker, date, {k(5)} = 0 FROM dirty_user WHERE date >= DATE '2024-01-15')
+SELECT ticker, count(*) AS n_lines, count(DISTINCT date) FILTER (NOT bad) AS n_raw,
+       count(*) FILTER (bad) AS n_quarantined,
+       count(*) FILTER (NOT bad) - count(DISTINCT date) FILTER (NOT bad) AS n_duplicates
+FROM lines GROUP BY ticker""",
         "daily_pipeline": full + "SELECT rule_id, ticker, date, value FROM hits_landed",
         "daily_pipeline_long": full + "SELECT rule_id, ticker, date, value FROM hits_landed",
         "daily_incremental": full + "SELECT rule_id, ticker, date, value FROM hits_landed",

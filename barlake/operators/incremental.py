@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.config import DEFAULT_ALERTS
-from barlake.operators.metrics import compute_metrics, lookback_rows, metric_columns
-from barlake.operators.refine import drop_incomplete, null_nonpositive
-from barlake.operators.segmented import IDX, SEG, row_index
+from barlake.operators.metrics import compute_metrics, compute_metrics_long, lookback_rows, metric_columns
+from barlake.operators.refine import drop_incomplete, forward_fill, null_nonpositive
+from barlake.operators.segmented import BLOCK_ROWS, IDX, SEG, forward_fill_long, row_index
 from barlake.schema import KEY, MEASURES, ORDER
 
 TAIL = "__tail"
@@ -41,10 +41,13 @@ def carry_state(raw: DataFrame, measures=MEASURES, key: str = KEY, order: str =
 
 
 def tail_state(metrics: DataFrame, lookback: int, key: str = KEY, order: str = ORDER,
-               seg_days: int = 1024) -> DataFrame:
-    """The last ``lookback`` rows of every ticker's metrics, found without
-    putting a whole ticker in one task (row numbers by segment offsets)."""
-    idx = row_index(metrics, key, order, seg_days, min_tail=lookback)
+               strategy: str = "key", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The last ``lookback`` rows of every ticker's metrics; ``"long"`` finds
+    them by row numbers over bounded segments."""
+    if strategy == "key":
+        back = F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))
+        return metrics.withColumn(IDX, back).where(F.col(IDX) <= lookback).drop(IDX)
+    idx = row_index(metrics, key, order, block_rows, min_tail=lookback)
     return idx.where(F.col(IDX) >= F.col("__total") - lookback).drop(IDX, SEG, "__total")
 
 
@@ -62,25 +65,19 @@ def update_carry(carry: DataFrame, new_raw: DataFrame, measures=MEASURES, key: s
 def incremental_metrics(new_raw: DataFrame, carry: DataFrame, tails: DataFrame,
                         alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS, value_col: str = "close",
                         measures=MEASURES, key: str = KEY, order: str = ORDER,
-                        strategy: str = "key", seg_days: int = 1024,
-                        block_rows: int = 1_000_000) -> DataFrame:
+                        strategy: str = "key", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Metrics rows for ``new_raw`` (days after each ticker's last day),
     equal to the rows a full recompute would give for those days.
 
-    A daily batch holds a few rows per ticker (``strategy="key"``); for a
-    large back-fill use ``"long"``, which bounds every task by ``block_rows``
-    rows of a ticker."""
+    A ticker has one row a day, so ``"key"`` windows are bounded by the
+    calendar; ``"long"`` runs both windows on bounded segments, for series
+    without such a bound."""
     alerts = list(alerts)
     clean = null_nonpositive(new_raw, measures)
     # Fill: inside the new rows, then from the carry for what is still NULL.
-    if strategy == "long":
-        from barlake.operators.segmented import forward_fill_long
-        inner = forward_fill_long(clean, measures, order, key, seg_days)
-    else:
-        w = (Window.partitionBy(key).orderBy(order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        inner = clean.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c)
-                               if c in measures else F.col(c) for c in clean.columns])
+    fill = {"key": lambda: forward_fill(clean, measures, order, key),
+            "long": lambda: forward_fill_long(clean, measures, order, key, block_rows)}
+    inner = fill[strategy]()
     c = carry.select(key, *[F.col(m).alias(f"__c_{m}") for m in measures])
     filled = inner.join(c, key, "left").select(
         *[F.coalesce(F.col(m), F.col(f"__c_{m}")).alias(m) if m in measures else F.col(m)
@@ -91,26 +88,22 @@ def incremental_metrics(new_raw: DataFrame, carry: DataFrame, tails: DataFrame,
     context = tails.select(*base_cols).withColumn(TAIL, F.lit(True))
     both = context.unionByName(refined.withColumn(TAIL, F.lit(False)))
     if strategy == "long":
-        from barlake.operators.metrics import compute_metrics_long
-        from barlake.operators.segmented import materialize
-        out = compute_metrics_long(materialize(both), alerts, value_col, key, order,
-                                   seg_days=seg_days, block_rows=block_rows)
+        out = compute_metrics_long(both, alerts, value_col, key, order, block_rows=block_rows)
     else:
         out = compute_metrics(both, alerts, value_col, key, order)
     return out.where(~F.col(TAIL)).select(*base_cols, *metric_columns(alerts, value_col))
 
 
 def next_tails(tails: DataFrame, new_metrics: DataFrame, lookback: int, key: str = KEY,
-               order: str = ORDER, seg_days: int = 1024) -> DataFrame:
+               order: str = ORDER, strategy: str = "key", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Tail state after the run: the last ``lookback`` rows of the old tail
-    plus the new rows, numbered by segment offsets (a back-fill of one ticker
-    is not put in one task)."""
+    plus the new rows."""
     both = tails.unionByName(new_metrics.select(*tails.columns))
-    return tail_state(both, lookback, key, order, seg_days)
+    return tail_state(both, lookback, key, order, strategy, block_rows)
 
 
-def initial_state(raw: DataFrame, metrics: DataFrame, alerts=DEFAULT_ALERTS,
-                  key: str = KEY, order: str = ORDER) -> tuple[DataFrame, DataFrame]:
+def initial_state(raw: DataFrame, metrics: DataFrame, alerts=DEFAULT_ALERTS, key: str = KEY,
+                  order: str = ORDER, strategy: str = "key") -> tuple[DataFrame, DataFrame]:
     """State after a full run: (carry, tails)."""
     lookback = max(lookback_rows(alerts), 1)
-    return carry_state(raw, MEASURES, key, order), tail_state(metrics, lookback, key, order)
+    return carry_state(raw, MEASURES, key, order), tail_state(metrics, lookback, key, order, strategy)

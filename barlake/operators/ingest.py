@@ -97,7 +97,9 @@ def new_rows(sink: DataFrame, updates: DataFrame, keys=(KEY, ORDER),
     batch = dedupe(updates, keys) if dedupe_batch else updates
     target = sink.select(*keys)
     if ORDER in keys:
-        target = target.join(updates.select(ORDER).distinct(), ORDER, "left_semi")
+        # A set of calendar days: small whatever the batch.
+        days = updates.select(F.collect_set(ORDER)).scalar()
+        target = target.where(F.array_contains(days, F.col(ORDER)))
     return batch.join(target, keys, "left_anti")
 
 

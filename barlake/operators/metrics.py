@@ -35,7 +35,7 @@ def sma_expr(value: Column, periods: int, w: Window, exact: bool = False,
     back = periods - 1 if exact else periods
     frame = w.rowsBetween(-back, Window.currentRow)
     if cents:
-        whole = F.round(value * 100).cast("bigint")
+        whole = F.round(value * 100).try_cast("bigint")
         return F.sum(whole).over(frame) / (F.lit(100.0) * F.count(whole).over(frame))
     return F.avg(value).over(frame)
 
@@ -49,7 +49,7 @@ CENTS_SUM, CENTS_COUNT = "__cents_sum", "__cents_count"
 
 
 def cents_running(value: Column, w: Window) -> dict[str, Column]:
-    whole = F.round(value * 100).cast("bigint")
+    whole = F.round(value * 100).try_cast("bigint")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return {CENTS_SUM: F.sum(whole).over(running), CENTS_COUNT: F.count(whole).over(running)}
 
@@ -183,15 +183,14 @@ def compute_metrics(df: DataFrame, alerts: Iterable[tuple[str, int]] = DEFAULT_A
 
 def compute_metrics_long(df: DataFrame, alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS,
                          value_col: str = "close", key: str = KEY, order: str = ORDER,
-                         exact: bool = False, cents: bool = False, seg_days: int = 1024,
-                         block_rows: int = 1_000_000) -> DataFrame:
+                         exact: bool = False, cents: bool = False, block_rows: int = 1_000_000) -> DataFrame:
     """R1 for series of any length: the same columns as ``compute_metrics``,
     with no task holding more than ``block_rows`` + look-back rows of one
-    ticker (see ``barlake.operators.segmented``)."""
-    from barlake.operators.segmented import blocks_with_halo, drop_halo
+    key (see ``barlake.operators.segmented``)."""
+    from barlake.operators.segmented import SEG, blocks_with_halo, drop_halo
 
     alerts = list(alerts)
-    halo = lookback_rows(alerts)
-    blocked = blocks_with_halo(df, halo, key, order, seg_days, block_rows)
+    cols = [c for c in df.columns if c != SEG]
+    blocked = blocks_with_halo(df, lookback_rows(alerts), key, order, block_rows)
     out = compute_metrics(blocked, alerts, value_col, [key, "__blk"], order, exact, cents)
-    return drop_halo(out).select(*df.columns, *metric_columns(alerts, value_col))
+    return drop_halo(out).select(*cols, *metric_columns(alerts, value_col))

@@ -1,46 +1,27 @@
-"""Choosing between the per-ticker windows and the long-series operators.
-
-``key``: every window is ``partitionBy(ticker)``, one shuffle; a task holds
-whole tickers.  ``long``: segmented operators, two shuffles; no task holds
-more than ``block_rows`` (+ look-back) rows of one ticker.  ``auto`` looks
-at the input once (rows of the largest ticker: a partial aggregation whose
-result is a single number) and picks ``long`` only when some ticker is
-larger than ``max_key_rows``.
+"""Raw rows to metrics rows: per-key windows or bounded segments.
+
+``key`` is one window per ticker and one shuffle.  Raw bars are unique by
+(ticker, date), so a task holds at most a ticker's trading days: a bound the
+calendar gives, whatever the number of tickers.  ``long`` deals rows into
+segments and blocks of a bounded size, for series without such a bound (ticks,
+or any key that holds a large share of the rows).  Both give the same rows; the
+caller says which, nothing switches by size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from barlake.schema import KEY
-
-# A ticker with more rows than this is not given to a single task.
-MAX_KEY_ROWS = 2_000_000
 
+from barlake.operators.metrics import compute_metrics, compute_metrics_long
+from barlake.operators.refine import refine_prices
+from barlake.operators.segmented import BLOCK_ROWS, refine_prices_long
 
-def largest_key_rows(df: DataFrame, key: str = KEY) -> int:
-    row = df.groupBy(key).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
 
-
-def choose(df: DataFrame, strategy: str = "auto", key: str = KEY,
-           max_key_rows: int = MAX_KEY_ROWS) -> str:
-    if strategy in ("key", "long"):
-        return strategy
-    if strategy != "auto":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return "long" if largest_key_rows(df, key) > max_key_rows else "key"
-
-
-def build_metrics(raw: DataFrame, alerts, strategy: str = "auto", seg_days: int = 1024,
-                  block_rows: int = 1_000_000, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
-    """Raw rows -> metrics rows (refine + all rules) with the chosen strategy."""
-    from barlake.operators.metrics import compute_metrics, compute_metrics_long
-    from barlake.operators.refine import refine_prices
-    from barlake.operators.segmented import materialize, refine_prices_long
-
-    if choose(raw, strategy, max_key_rows=max_key_rows) == "key":
+def build_metrics(raw: DataFrame, alerts, strategy: str = "key", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Raw rows -> metrics rows (refine + all rules)."""
+    if strategy == "key":
         return compute_metrics(refine_prices(raw), alerts)
-    refined = materialize(refine_prices_long(raw, seg_days=seg_days))
-    return compute_metrics_long(refined, alerts, seg_days=seg_days, block_rows=block_rows)
+    if strategy != "long":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    refined = refine_prices_long(raw, block_rows=block_rows, keep_segments=True)
+    return compute_metrics_long(refined, alerts, block_rows=block_rows)

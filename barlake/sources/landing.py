@@ -63,12 +63,15 @@ def parse_lines(lines: DataFrame, split: bool = True):
     # Fields with surrounding blanks removed (a regex split keeps this a
     # plain codegen'd expression; no per-element lambda).
     trimmed = F.split(F.trim(F.col("line")), r"\s*,\s*")
-    is_header = F.array_contains(trimmed, LANDING_FIELDS["date"])
-    tagged = lines.select("file", "line", trimmed.alias("fields"), is_header.alias("is_header"))
-    headers = (tagged.where("is_header").groupBy("file")
-               .agg(F.min(F.col("fields")).alias("header")))
-    data = tagged.where(~F.col("is_header") & (F.trim(F.col("line")) != STUB_LINE))
-    joined = data.join(headers, "file", "left")
+    named = F.array_contains(trimmed, LANDING_FIELDS["date"])
+    known = F.size(F.array_intersect(trimmed, F.array(*[F.lit(n) for n in LANDING_FIELDS.values()])))
+    tagged = lines.select("file", "line", trimmed.alias("fields"), named.alias("named"), known.alias("known"))
+    # The header is the line that names most columns; any other line with a
+    # field "Date" is a line like the rest and ends in quarantine.
+    headers = (tagged.where("named").groupBy("file")
+               .agg(F.max(F.struct("known", "fields")).alias("h")).select("file", F.col("h.fields").alias("header")))
+    joined = tagged.where(F.trim(F.col("line")) != STUB_LINE).join(headers, "file", "left")
+    joined = joined.where(~F.col("named") | (F.col("fields") != F.col("header")))
 
     def field(name: str) -> Column:
         pos = F.array_position(F.col("header"), LANDING_FIELDS[name]).cast("int")
@@ -79,7 +82,7 @@ def parse_lines(lines: DataFrame, split: bool = True):
     date_text = field("date")
     volume_text = field("volume")
     typed = joined.select(
-        "file", "line", "header",
+        "file", "line", "header", "named",
         ticker.alias("ticker"), exchange.alias("exchange"),
         date_text.alias("date_text"),
         F.try_to_date(date_text, DATE_FORMAT).alias("date"),
@@ -87,7 +90,8 @@ def parse_lines(lines: DataFrame, split: bool = True):
         F.coalesce(volume_text.try_cast("bigint"),
                    volume_text.try_cast("double").try_cast("bigint")).alias("volume"),
     )
-    reason = (F.when(F.col("header").isNull(), F.lit("no header"))
+    reason = (F.when(F.col("named"), F.lit("stray header"))
+              .when(F.col("header").isNull(), F.lit("no header"))
               .when((F.col("ticker").isNull()) | (F.col("ticker") == ""), F.lit("no ticker"))
               .when(F.col("date").isNull(), F.lit("bad date")))
     typed = typed.withColumn("reason", reason)
@@ -119,68 +123,12 @@ def standard_line() -> Column:
                          ("open", "high", "low", "close", "volume")])
 
 
-def _arrow_fs(path: str):
-    """pyarrow file system + root for a Spark path (file:, hdfs:, s3a: ...)."""
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    if path.startswith("s3a://"):
-        path = "s3://" + path[len("s3a://"):]
-    if "://" not in path:
-        return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path)
-
-
-def write_symbol_files(lines: DataFrame, path: str) -> DataFrame:
-    """Write (symbol, part, date, line) rows as one ``{symbol}.csv`` text
-    file per symbol in the folder ``path`` (the price vendor's layout), header
-    first.  Returns one row per written file (symbol, lines).
-
-    Rows are hash-partitioned by symbol and sorted inside each partition, so
-    a task meets each of its symbols as one run of rows (possibly spread over
-    several Arrow batches) and writes that run as one file.  Files are written
-    under a hidden temporary name and renamed, so a reader never sees half a
-    file and a retried task simply rewrites them.  One file holds one
-    symbol's history, bounded by its number of trading days.
-    """
-    import uuid as _uuid
-
-    def write(batches):
-        from urllib.parse import quote
-
-        import pandas as pd
-
-        fs, root = _arrow_fs(path)
-        fs.create_dir(root, recursive=True)
-        done_sym, done_n = [], []
-        current, buffer = None, []
-
-        def flush():
-            if current is None:
-                return
-            data = ("\n".join(buffer) + "\n").encode("utf-8")
-            name = quote(current, safe=".-_")  # no slashes or spaces in file names
-            tmp = f"{root}/.{name}.csv.{_uuid.uuid4().hex}"
-            with fs.open_output_stream(tmp) as out:
-                out.write(data)
-            fs.move(tmp, f"{root}/{name}.csv")
-            done_sym.append(current)
-            done_n.append(len(buffer))
-
-        for pdf in batches:
-            for sym, line in zip(pdf["symbol"].tolist(), pdf["line"].tolist()):
-                if sym != current:
-                    flush()
-                    current, buffer = sym, []
-                buffer.append(line)
-        flush()
-        yield pd.DataFrame({"symbol": done_sym, "lines": done_n})
-
-    return (lines.repartition("symbol")
-            .sortWithinPartitions("symbol", "part", "date")
-            .select("symbol", "line")
-            .mapInPandas(write, "symbol string, lines long"))
+def write_symbol_files(lines: DataFrame, path: str) -> None:
+    """Write (symbol, part, date, line) rows as one text file per symbol under
+    ``path/symbol={symbol}/``, header first, with Spark's partitioned writer.
+    One file holds one symbol's history, bounded by its trading days."""
+    (lines.repartition("symbol").sortWithinPartitions("symbol", "part", "date")
+     .select("symbol", "line").write.mode("append").partitionBy("symbol").text(path))
 
 
 def landing_rows(bars: DataFrame, exchange: str = "US", header: Column | None = None,
@@ -196,7 +144,10 @@ def landing_rows(bars: DataFrame, exchange: str = "US", header: Column | None =
     return heads.unionByName(rows.select("symbol", F.lit(1).alias("part"), "date", "line"))
 
 
-def write_landing(bars: DataFrame, path: str, exchange: str = "US") -> int:
-    """Write bars as landed files in the standard layout; returns the number
-    of files written."""
-    return write_symbol_files(landing_rows(bars, exchange), path).count()
+def write_landing(bars: DataFrame, path: str, exchange: str = "US") -> None:
+    """Write bars as landed files in the standard layout."""
+    write_symbol_files(landing_rows(bars, exchange), path)
+
+
+#: Landed-file readers by name, for jobs that take the source as a setting.
+READERS = {"csv": read_landing}

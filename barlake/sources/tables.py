@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+#: File streams ignore files older than this against the newest one they saw
+#: (Spark's default is a week): no back-fill is that old.
+MAX_FILE_AGE = "36500d"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one of the driver's tables (``{dir}/{name}.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

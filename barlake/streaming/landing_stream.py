@@ -2,15 +2,19 @@
 
 The landing folder is read as a text stream; each micro-batch holds whole
 new files, so a file's header and its data lines arrive together.  Every
-batch is parsed, de-duplicated and merged insert-only into the raw table;
-unparseable lines go to a quarantine table.  Run with
-``trigger(availableNow=True)`` on a schedule: each run processes the files
-that landed since the last one and stops; the checkpoint (in the shared
+batch is parsed, de-duplicated and merged insert-only into the raw table of
+one exchange; every other line goes to the quarantine table with the reason.
+Run with ``trigger(availableNow=True)`` on a schedule: each run processes the
+files that landed since the last one and stops; the checkpoint (in the shared
 checkpoint folder) records which files are done.
 
-Replays are harmless: if a batch is re-run after a failure, the anti join
-against the raw table (and against the quarantine table) drops everything
-the first attempt already wrote.
+A file source never reads a path twice, so a delivery must not reuse a path.
+Each batch notes its files with their modification times, and a run that finds
+a noted path with another time stops before it starts.
+
+Replays are harmless: the anti join against the raw table drops what a first
+attempt already wrote, and quarantine and file notes go to folders named by
+the batch id, which a replay overwrites.
 """
 
 from __future__ import annotations
@@ -21,61 +25,82 @@ from pyspark.sql import functions as F
 from barlake.operators.ingest import new_rows
 from barlake.schema import BARS_SCHEMA, QUARANTINE_SCHEMA
 from barlake.sources.landing import parse_lines
-from barlake.sources.tables import append, initialize_table, scan
+from barlake.sources.tables import MAX_FILE_AGE, append, initialize_table, overwrite, path_exists, scan
 from barlake.session import tune_listing
 
-QUARANTINE_KEYS = ["file", "line"]
+FILES_SCHEMA = "file string, modified timestamp"
+
+
+class RewrittenFiles(ValueError):
+    """A landed path was delivered again."""
+
+
+def _reason(exchange: str, universe: DataFrame | None):
+    """Why a parsed line does not belong in the raw table of ``exchange``."""
+    reason = F.when(F.col("reason").isNotNull(), F.col("reason")).when(
+        F.coalesce(F.upper(F.col("exchange")), F.lit("")) != exchange.upper(), F.lit("other exchange"))
+    return reason.when(~F.col("configured"), F.lit("not configured")) if universe is not None else reason
 
 
 def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine_path: str,
-                partition_by=("date",), exchange: str | None = None,
-                universe: DataFrame | None = None) -> None:
+                partition_by=("date",), exchange: str = "", universe: DataFrame | None = None,
+                batch_id: int = 0) -> None:
     """Parse one batch of landed lines and merge it into the raw table.
 
     The parsed batch feeds two writes, so it is persisted for the duration of
     the batch (executor memory, spilling to disk; a lost executor's blocks
     are recomputed from the batch's files).
     """
-    parsed = parse_lines(lines, split=False).persist()
+    parsed = parse_lines(lines, split=False)
+    if universe is not None:
+        known = universe.select("ticker", F.lit(True).alias("configured")).distinct()
+        parsed = parsed.join(known, "ticker", "left").withColumn("configured", F.coalesce("configured", F.lit(False)))
+    parsed = parsed.withColumn("reason", _reason(exchange, universe)).persist()
     try:
-        good = parsed.where(F.col("reason").isNull())
-        if exchange:
-            # One raw table per exchange (tickers are only unique within one).
-            good = good.where(F.upper(F.col("exchange")) == exchange.upper())
-        if universe is not None:
-            # Only configured tickers are loaded (a semi join with the
-            # config-sized universe; AQE broadcasts it).
-            good = good.join(universe.select("ticker").distinct(), "ticker", "left_semi")
-        bars = good.select(*BARS_SCHEMA.fieldNames())
+        bars = parsed.where(F.col("reason").isNull()).select(*BARS_SCHEMA.fieldNames())
         sink = scan(spark, raw_path, BARS_SCHEMA)
         append(new_rows(sink, bars), raw_path, partition_by)
         bad = parsed.where(F.col("reason").isNotNull()).select(*QUARANTINE_SCHEMA.fieldNames())
-        qsink = scan(spark, quarantine_path, QUARANTINE_SCHEMA)
-        fresh_bad = bad.dropDuplicates(QUARANTINE_KEYS).join(
-            qsink.select(*QUARANTINE_KEYS), QUARANTINE_KEYS, "left_anti")
-        append(fresh_bad, quarantine_path)
+        overwrite(bad, f"{quarantine_path}/batch={batch_id}")
     finally:
         parsed.unpersist()
 
 
+def check_delivery(spark: SparkSession, landing_dir: str, files_path: str) -> None:
+    """Stop when a path that was loaded has changed since."""
+    if not path_exists(spark, files_path) or not path_exists(spark, landing_dir):
+        return
+    now = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing_dir)
+           .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("now")))
+    noted = scan(spark, files_path, spark.createDataFrame([], FILES_SCHEMA).schema).select("file", "modified")
+    changed = now.join(noted, "file").where("now != modified").select("file").limit(5).collect()
+    if changed:
+        raise RewrittenFiles("delivered again under a loaded path; use a new folder or name: "
+                             + ", ".join(r["file"] for r in changed))
+
+
 def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
                          quarantine_path: str, checkpoint: str, available_now: bool = True,
                          max_files_per_trigger: int | None = None, partition_by=("date",),
-                         exchange: str | None = None, universe: DataFrame | None = None):
-    """Start the ingest stream; returns the StreamingQuery."""
+                         exchange: str = "US", universe: DataFrame | None = None):
+    """Start the ingest stream of one exchange; returns the StreamingQuery."""
     tune_listing(spark)  # a batch's new files are listed by a Spark job
+    files_path = f"{raw_path.rstrip('/')}-files"
+    check_delivery(spark, landing_dir, files_path)
     initialize_table(spark, raw_path, BARS_SCHEMA, partition_by)
-    initialize_table(spark, quarantine_path, QUARANTINE_SCHEMA)
-    reader = spark.readStream.format("text")
+    reader = (spark.readStream.format("text").option("maxFileAge", MAX_FILE_AGE)
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = (reader.load(landing_dir)
-              .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
-              .where(F.trim(F.col("line")) != ""))
+    stream = reader.load(landing_dir).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, raw_path, quarantine_path, partition_by, exchange,
-                    universe)
+        session = batch.sparkSession
+        lines = batch.where(F.trim(F.col("line")) != "").select("line", "file")
+        merge_batch(session, lines, raw_path, quarantine_path, partition_by, exchange, universe, epoch_id)
+        overwrite(batch.groupBy("file").agg(F.max("modified").alias("modified")), f"{files_path}/batch={epoch_id}")
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

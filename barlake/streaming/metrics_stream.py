@@ -1,21 +1,20 @@
 """Incremental metrics as a stream over the raw table.
 
 Every ingest run appends new parquet files to the raw table; a file-source
-stream over that table sees exactly those files.  Each micro-batch:
+stream over that table sees exactly those files.  Each micro-batch reads the
+state of the newest commit below its batch id, and
 
 1. checks for back-dated rows (a day not after its ticker's last processed
-   day); the tickers that have any are recomputed from their whole raw
-   history into a new version, together with the other tickers' current
-   and incremental rows (rare: ingest only requests later days),
-2. otherwise computes the metrics of the new rows from the carry / tail
-   state (``barlake.operators.incremental``),
-3. appends them to the current metrics version (insert-only on ticker+date,
-   so a replay appends nothing twice),
-4. writes the next state under a version named by the batch id and publishes
-   it by replacing a small pointer file.
-
-The first batch (no state yet) is a full computation that also builds the
-state.  Readers find the metrics table with ``pipeline.current``.
+   day); the tickers that have any are recomputed from their whole raw history
+   (rare: ingest only requests later days),
+2. computes the metrics of the other new rows from the carry / tail state
+   (``barlake.operators.incremental``),
+3. writes metrics rows and next state to folders named by the batch id, and
+4. makes them current, all three together, with one commit.
+
+A batch that is run again after a crash anywhere starts from the same commit
+and overwrites its own folders, never one it reads, so every crash ends in the
+same tables.  The first batch (no commit yet) is a full computation.
 """
 
 from __future__ import annotations
@@ -25,114 +24,84 @@ from pyspark.sql import functions as F
 
 from barlake.config import DEFAULT_ALERTS
 from barlake.operators import incremental as INC
-from barlake.operators.ingest import new_rows
 from barlake.operators.metrics import lookback_rows
-from barlake.plans.pipeline import current, publish
-from barlake.plans.strategy import build_metrics, choose
+from barlake.plans.strategy import build_metrics
 from barlake.schema import BARS_SCHEMA, KEY, ORDER
-from barlake.sources.tables import append, overwrite, path_exists, scan
 from barlake.session import tune_listing
+from barlake.sources.commits import commit, committed
+from barlake.sources.tables import MAX_FILE_AGE, overwrite, scan
 
 
-def _rebuild(spark: SparkSession, raw: DataFrame, root: str, version: str, alerts,
-             strategy: str) -> None:
-    """Full computation from ``raw`` into a new metrics version + state."""
-    metrics_root, carry_root, tails_root = (f"{root}/metrics", f"{root}/state/carry",
-                                            f"{root}/state/tails")
-    # A whole new version: overwrite, so a replayed batch rewrites it.
-    overwrite(build_metrics(raw, alerts, strategy), f"{metrics_root}/{version}", ["date"])
-    metrics = scan(spark, f"{metrics_root}/{version}")
-    carry, tails = INC.initial_state(raw, metrics, alerts)
-    overwrite(carry, f"{carry_root}/{version}")
-    overwrite(tails, f"{tails_root}/{version}")
-    publish(spark, tails_root, version)
-    publish(spark, carry_root, version)
-    publish(spark, metrics_root, version)
-
-
-def _rebuild_tickers(spark: SparkSession, raw_batch: DataFrame, late: DataFrame, carry: DataFrame,
-                     tails: DataFrame, root: str, version: str, alerts, strategy: str,
-                     raw_path: str, lookback: int) -> None:
-    """Back-dated rows change the later fills and windows of their tickers
-    only.  The new version holds the current rows of every other ticker, a
-    full recompute of the ``late`` tickers from the raw table (which already
-    holds this batch), and the incremental rows of the other tickers.
-    ``late`` has one row per ticker, so the semi/anti joins against it are
-    broadcast by AQE when small and skew-split otherwise."""
-    metrics_root, carry_root, tails_root = (f"{root}/metrics", f"{root}/state/carry",
-                                            f"{root}/state/tails")
-    raw_late = scan(spark, raw_path, BARS_SCHEMA).join(late, KEY, "left_semi")
-    batch_rest = raw_batch.join(late, KEY, "left_anti").persist()
-    carry_rest = carry.join(late, KEY, "left_anti")
-    tails_rest = tails.join(late, KEY, "left_anti")
-    fresh_rest = INC.incremental_metrics(batch_rest, carry_rest, tails_rest, alerts,
-                                         strategy=choose(batch_rest, strategy)).persist()
-    try:
-        kept = scan(spark, current(spark, metrics_root)).join(late, KEY, "left_anti")
-        target = f"{metrics_root}/{version}"
-        rebuilt = build_metrics(raw_late, alerts, strategy)
-        overwrite(kept.unionByName(rebuilt).unionByName(fresh_rest), target, ["date"])
-        late_metrics = scan(spark, target).join(late, KEY, "left_semi")
-        overwrite(INC.update_carry(carry_rest, batch_rest)
-                  .unionByName(INC.carry_state(raw_late)), f"{carry_root}/{version}")
-        overwrite(INC.next_tails(tails_rest, fresh_rest, lookback)
-                  .unionByName(INC.tail_state(late_metrics.select(*tails.columns), lookback)),
-                  f"{tails_root}/{version}")
-        publish(spark, tails_root, version)
-        publish(spark, carry_root, version)
-        publish(spark, metrics_root, version)
-    finally:
-        fresh_rest.unpersist()
-        batch_rest.unpersist()
-        late.unpersist()
+def _rows(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    return spark.read.option("basePath", f"{root}/metrics").parquet(*folders).drop("v")
+
+
+def metrics_table(spark: SparkSession, root: str) -> DataFrame:
+    """The current metrics rows."""
+    return _rows(spark, root, committed(spark, root)["metrics"])
+
+
+def state_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current ``carry`` or ``tails`` state."""
+    return spark.read.parquet(*committed(spark, root)[name])
 
 
 def process_batch(spark: SparkSession, raw_batch: DataFrame, root: str, batch_id: int,
-                  alerts=DEFAULT_ALERTS, strategy: str = "auto",
-                  raw_path: str | None = None) -> None:
+                  alerts=DEFAULT_ALERTS, strategy: str = "key", raw_path: str | None = None) -> None:
     alerts = list(alerts)
     lookback = max(lookback_rows(alerts), 1)
-    metrics_root = f"{root}/metrics"
-    carry_root, tails_root = f"{root}/state/carry", f"{root}/state/tails"
-    version = f"v={batch_id}"
-    raw_batch = raw_batch.select(*BARS_SCHEMA.fieldNames())
-    if not path_exists(spark, f"{carry_root}/_current"):
-        # First batch: everything in the raw table so far.
-        batch = raw_batch.persist()
-        try:
-            _rebuild(spark, batch, root, version, alerts, strategy)
-        finally:
-            batch.unpersist()
-        return
-    carry = scan(spark, current(spark, carry_root))
-    tails = scan(spark, current(spark, tails_root))
+    target = {name: f"{root}/{name}/v={batch_id}" for name in ("metrics", "carry", "tails")}
+    raw_batch = raw_batch.select(*BARS_SCHEMA.fieldNames()).persist()
+    before = committed(spark, root, before=batch_id)
+    try:
+        if before is None:
+            overwrite(build_metrics(raw_batch, alerts, strategy), target["metrics"], ["date"])
+            carry, tails = INC.initial_state(raw_batch, scan(spark, target["metrics"]), alerts, strategy=strategy)
+            folders = [target["metrics"]]
+        else:
+            folders, carry, tails = _next(spark, root, raw_batch, before, target, alerts, strategy, raw_path, lookback)
+        overwrite(carry, target["carry"])
+        overwrite(tails, target["tails"])
+        commit(spark, root, batch_id, metrics=folders, carry=[target["carry"]], tails=[target["tails"]])
+    finally:
+        raw_batch.unpersist()
+
+
+def _next(spark, root, raw_batch, before, target, alerts, strategy, raw_path, lookback):
+    """Write the batch's metrics; returns (metrics folders, carry, tails)."""
+    carry, tails = scan(spark, before["carry"][0]), scan(spark, before["tails"][0])
     tagged = raw_batch.join(carry.select(KEY, "last_date"), KEY, "left")
     is_new = F.col("last_date").isNull() | (F.col(ORDER) > F.col("last_date"))
     late = tagged.where(~is_new).select(KEY).distinct()
-    if raw_path is not None and not late.isEmpty():
-        _rebuild_tickers(spark, raw_batch, late.persist(), carry, tails, root, version, alerts,
-                         strategy, raw_path, lookback)
-        return
-    batch = tagged.where(is_new).drop("last_date").persist()
-    fresh = INC.incremental_metrics(batch, carry, tails, alerts,
-                                    strategy=choose(batch, strategy)).persist()
-    try:
-        target = current(spark, metrics_root)
-        append(new_rows(scan(spark, target), fresh, dedupe_batch=False), target, ["date"])
-        overwrite(INC.update_carry(carry, batch), f"{carry_root}/{version}")
-        overwrite(INC.next_tails(tails, fresh, lookback), f"{tails_root}/{version}")
-        publish(spark, tails_root, version)
-        publish(spark, carry_root, version)
-    finally:
-        fresh.unpersist()
-        batch.unpersist()
+    any_late = raw_path is not None and not late.isEmpty()
+    batch = tagged.where(is_new).drop("last_date")
+    if any_late:
+        batch, carry_rest, tails_rest = (x.join(late, KEY, "left_anti") for x in (raw_batch, carry, tails))
+    else:
+        carry_rest, tails_rest = carry, tails
+    fresh = INC.incremental_metrics(batch, carry_rest, tails_rest, alerts, strategy=strategy)
+    if not any_late:
+        overwrite(fresh, target["metrics"], ["date"])
+        written = scan(spark, target["metrics"], fresh.schema)
+        return ([*before["metrics"], target["metrics"]], INC.update_carry(carry, batch),
+                INC.next_tails(tails, written, lookback, strategy=strategy))
+    # Back-dated rows change the later fills and windows of their tickers
+    # only: those are recomputed from the raw table (which holds this batch),
+    # all other rows are taken over.
+    raw_late = scan(spark, raw_path, BARS_SCHEMA).join(late, KEY, "left_semi")
+    kept = _rows(spark, root, before["metrics"]).join(late, KEY, "left_anti")
+    rebuilt = build_metrics(raw_late, alerts, strategy)
+    overwrite(kept.unionByName(rebuilt).unionByName(fresh), target["metrics"], ["date"])
+    written = scan(spark, target["metrics"], rebuilt.schema)
+    next_carry = INC.update_carry(carry_rest, batch).unionByName(INC.carry_state(raw_late))
+    return [target["metrics"]], next_carry, INC.tail_state(written.select(*tails.columns), lookback, strategy=strategy)
 
 
 def run_metrics_once(spark: SparkSession, raw_path: str, root: str, checkpoint: str,
-                     alerts=DEFAULT_ALERTS, strategy: str = "auto") -> None:
+                     alerts=DEFAULT_ALERTS, strategy: str = "key") -> None:
     """Process every raw file added since the last run, then stop."""
     tune_listing(spark)  # a batch's new files are listed by a Spark job
-    stream = spark.readStream.schema(BARS_SCHEMA).parquet(raw_path)
+    stream = spark.readStream.schema(BARS_SCHEMA).option("maxFileAge", MAX_FILE_AGE).parquet(raw_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch.sparkSession, batch, root, batch_id, alerts, strategy, raw_path)

@@ -1,61 +1,55 @@
-"""Alert rearm (R5) as keyed state on a stream of firing days.
+"""Alert rearm (R5) on a stream of firing days.
 
 A rule's notice is kept only if it comes at least ``gap_days`` after the last
-*kept* notice of the same rule.  Across runs that needs one value per rule,
-the last kept day, which ``applyInPandasWithState`` keeps in the stream's
-state store (checkpointed with the query, so it survives restarts and lost
-executors).  Inside a micro-batch a rule's new firing days are folded in date
-order; a group holds one rule's firings of one batch (at most one per day).
-Firing days must arrive in date order across batches, as the daily runs
-produce them.
+*kept* notice of the same rule.  A firing day that arrives late may change
+which later days are kept, so each batch folds the whole firing history of the
+rules it touches again (one entry per rule and day, bounded by the calendar)
+and takes over the kept days of all other rules.  The result goes to a folder
+named by the batch id and becomes current with one commit, so the kept days
+always equal the batch operator's over everything seen, in whatever order it
+came and however often a batch is run again.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.state import GroupStateTimeout
+
+from barlake.operators.alerts import rearm
 from barlake.session import tune_listing
+from barlake.sources.commits import commit, committed
+from barlake.sources.tables import MAX_FILE_AGE, overwrite
 
 FIRINGS_SCHEMA = "rule_id string, date date"
-EPOCH = dt.date(1970, 1, 1)
-
-
-def _fold(gap_days: int):
-    def fold(key, frames, state):
-        import pandas as pd
-
-        last = state.get[0] if state.exists else None
-        days = sorted({(pd.Timestamp(d).date() - EPOCH).days
-                       for f in frames for d in f["date"].tolist()})
-        kept = []
-        for day in days:
-            if last is None or day >= last + gap_days:
-                kept.append(day)
-                last = day
-        if last is not None:
-            state.update((last,))
-        yield pd.DataFrame({"rule_id": [key[0]] * len(kept),
-                            "date": [EPOCH + dt.timedelta(days=k) for k in kept]})
-
-    return fold
 
 
-def rearm_stream(firings: DataFrame, gap_days: int) -> DataFrame:
-    """Streaming (rule_id, date) firings -> kept notices (append mode)."""
-    return firings.groupBy("rule_id").applyInPandasWithState(
-        _fold(gap_days), FIRINGS_SCHEMA, "last_day long", "append", GroupStateTimeout.NoTimeout)
+def kept_table(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(rule_id, date) of the notices kept so far."""
+    now = committed(spark, out_dir)
+    if now is None:
+        return spark.createDataFrame([], FIRINGS_SCHEMA)
+    return spark.read.schema(FIRINGS_SCHEMA).parquet(*now["kept"])
 
 
-def run_rearm_once(spark: SparkSession, firings_dir: str, out_dir: str, checkpoint: str,
-                   gap_days: int) -> None:
+def run_rearm_once(spark: SparkSession, firings_dir: str, out_dir: str, checkpoint: str, gap_days: int) -> None:
     """Process every firing file added since the last run, then stop."""
     tune_listing(spark)  # a batch's new files are listed by a Spark job
-    src = spark.readStream.schema(FIRINGS_SCHEMA).parquet(firings_dir)
-    q = (rearm_stream(src, gap_days).writeStream.format("parquet")
-         .option("path", out_dir).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    source = spark.readStream.schema(FIRINGS_SCHEMA).option("maxFileAge", MAX_FILE_AGE).parquet(firings_dir)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        touched = batch.select("rule_id").distinct()
+        history = session.read.schema(FIRINGS_SCHEMA).parquet(firings_dir).join(touched, "rule_id", "left_semi")
+        kept = rearm(history.select("rule_id", "date"), gap_days)
+        before = committed(session, out_dir, before=batch_id)
+        if before is not None:
+            rest = session.read.schema(FIRINGS_SCHEMA).parquet(*before["kept"]).join(touched, "rule_id", "left_anti")
+            kept = kept.unionByName(rest)
+        target = f"{out_dir}/kept/v={batch_id}"
+        overwrite(kept, target)
+        commit(session, out_dir, batch_id, kept=[target])
+
+    q = (source.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

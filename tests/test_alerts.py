@@ -58,3 +58,14 @@ def test_rearm_keeps_gap_from_last_kept(spark):
     firings = spark.createDataFrame([("r", d(i)) for i in (1, 2, 3, 4, 5, 9)], "rule_id string, date date")
     kept = sorted(r.date for r in A.rearm(firings, 3).collect())
     assert kept == [d(1), d(4), d(9)]
+
+
+def test_rules_of_any_number_give_the_same_rows(spark):
+    """One path whether rules are few or many, and whatever other columns the
+    metrics have."""
+    m = spark.createDataFrame([("A", "x", 7.0, 1), ("B", "y", -2.0, 0)], "ticker string, note string, close_change double, close_sma_20_co int") \
+        .selectExpr("ticker", "date'2024-01-01' AS date", "note", "close_change", "close_sma_20_co")
+    few = spark.createDataFrame([("r5", "close_change", 5.0), ("c", "close_sma_20_co", 0.0)], "rule_id string, metric string, threshold double")
+    many = few.unionByName(spark.range(20_000).selectExpr("concat('z', id) AS rule_id", "'close_change' AS metric", "1000.0D AS threshold"))
+    got = [sorted(map(tuple, A.rule_hits(m, r).collect())) for r in (few, many)]
+    assert got[0] == got[1] and [x[0] for x in got[0]] == ["c", "r5"]

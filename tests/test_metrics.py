@@ -83,7 +83,7 @@ def test_sma_matches_loop_and_long_series_equal(spark, a, b, n):
         assert all(abs(x - y) < 1e-9 for x, y in zip(got, want))
     alerts = [("eod_change", 5), ("sma_crossover", n), ("sma_crossover", n + 2)]
     base = M.compute_metrics(df, alerts)
-    long = M.compute_metrics_long(df, alerts, seg_days=3, block_rows=4)
+    long = M.compute_metrics_long(df, alerts, block_rows=4)
     key = lambda r: tuple(r)
     assert sorted(map(key, base.collect())) == sorted(map(key, long.collect()))
     # Non-zero crossovers of one ticker alternate in sign.
@@ -144,18 +144,40 @@ def test_incremental_long_strategy_equals_full(spark, sf_small):
     old = M.compute_metrics(refine_prices(first), alerts)
     carry, tails = INC.initial_state(first, old, alerts)
     new = INC.incremental_metrics(raw.where(F.col("date") > "2024-01-05"), carry, tails, alerts,
-                                  strategy="long", seg_days=3, block_rows=4)
+                                  strategy="long", block_rows=4)
     r9 = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
     got = sorted(map(r9, old.unionByName(new).collect()))
     assert got == sorted(map(r9, full.collect()))
 
 
-def test_auto_strategy_picks_long_for_a_hot_key(spark):
-    from barlake.plans.strategy import choose
+def test_hot_key_of_one_day_is_cut_into_bounded_segments(spark):
+    """One key with nine tenths of all rows, all within one day: no segment
+    and no block (plus look-back) is larger than asked, rows with a NULL key
+    stay, and the metrics equal the plain windows."""
+    from pyspark.sql import functions as F
+
+    from barlake.operators import segmented as SG
+
+    block, alerts = 200, [("eod_change", 5), ("sma_crossover", 5)]
+    n = 4000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 > 0, F.lit("HOT")).when(F.col("id") % 20 == 0, F.lit("COLD")).alias("ticker"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"), ((F.col("id") * 7919) % 101).cast("double").alias("close"))
+    sizes = SG.segmented(df, order="ts", block_rows=block).groupBy("ticker", SG.SEG).count().agg(F.max("count")).first()[0]
+    assert sizes <= block
+    halo = M.lookback_rows(alerts)
+    blocks = SG.blocks_with_halo(df, halo, order="ts", block_rows=block).groupBy("ticker", SG.BLK).count()
+    assert blocks.agg(F.max("count")).first()[0] <= block + halo
+    r9 = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+    want = M.compute_metrics(df, alerts, order="ts")
+    got = M.compute_metrics_long(df, alerts, order="ts", block_rows=block)
+    assert sorted(map(str, map(r9, got.collect()))) == sorted(map(str, map(r9, want.collect())))
+
 
-    df = frame(spark, [1.0] * 30, "HOT").unionByName(frame(spark, [1.0] * 3, "COLD"))
-    assert choose(df, "auto", max_key_rows=10) == "long"
-    assert choose(df, "auto", max_key_rows=100) == "key"
+def test_whole_cents_of_odd_values_are_null_not_an_error(spark):
+    df = frame(spark, [1.0, float("nan"), 1e300, 2.0])
+    out, name = M.simple_moving_average(df, "close", 1, cents=True)
+    assert [r[name] for r in out.orderBy("date").collect()] == [1.0, 1.0, None, 2.0]
 
 
 def test_cents_running_sums_equal_direct_frames(spark):

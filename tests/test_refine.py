@@ -63,7 +63,7 @@ def test_fill_idempotent_and_segmented_equal(spark, a, b):
     once = R.forward_fill(df, ["close"])
     twice = R.forward_fill(once, ["close"])
     assert rows(once) == rows(twice)
-    seg = SG.forward_fill_long(df, ["close"], seg_days=3)
+    seg = SG.forward_fill_long(df, ["close"], block_rows=6)
     assert rows(seg) == rows(once)
-    assert rows(SG.refine_prices_long(df, ["close"], seg_days=2)) == \
+    assert rows(SG.refine_prices_long(df, ["close"], block_rows=4)) == \
         rows(R.refine_prices(df, ["close"]))
