@@ -46,7 +46,7 @@ from barlake.llm.packed import pack, pack_keys, runs, unpack, unpack_keys
 from barlake.llm.storage import materialise, spare
 from barlake.llm.words import mix, shingle_set, word_hashes
 
-GROUPS = 64
+GROUPS = 128
 LEAF = 1024
 NODE = 32
 PIVOTS = 4
@@ -57,7 +57,7 @@ LEAF_TOKENS = 2_000_000
 BROADCAST_ROWS = 200_000
 TEXT_BATCH = 512
 #: Signatures a task sorts at once, and tokens per range of keys, about.
-KEY_BLOCK = 2_000_000
+KEY_BLOCK = 400_000
 KEY_PART = 1_000_000
 
 
@@ -293,14 +293,9 @@ def links_in(sets: list[np.ndarray], points: np.ndarray, comp: np.ndarray, side:
     return out
 
 
-def _unit_batches(t: Threshold):
-    """Rows sorted by unit, then size: the links of each unit."""
-    def work(part: pa.RecordBatch):
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in part.column("tokens").to_pylist()]
-        points = part.column("point").flatten().to_numpy(zero_copy_only=False).reshape(-1, GROUPS)
-        cid, comp, side = (part.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "comp", "side"))
-        return [(int(cid[i]), int(cid[j])) for i, j in links_in(sets, points, comp, side, t)]
-
+def _by_unit(work):
+    """A batch function that hands ``work`` each run of rows of one (blob,
+    unit), over batches; ``work`` gives a record batch or None."""
     def run(batches):
         held = None
         for b in batches:
@@ -308,18 +303,53 @@ def _unit_batches(t: Threshold):
             unit = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ("blob", "unit")])
             cuts = (np.flatnonzero((unit[:, 1:] != unit[:, :-1]).any(axis=0)) + 1).tolist()
             bounds = [0, *cuts, b.num_rows]
-            out = [x for lo, hi in zip(bounds[:-2], bounds[1:-1]) if hi - lo > 1 for x in work(b.slice(lo, hi - lo))]
+            for lo, hi in zip(bounds[:-2], bounds[1:-1]):
+                if hi - lo > 1 and (out := work(b.slice(lo, hi - lo))) is not None:
+                    yield out
             held = b.slice(bounds[-2])
-            yield _edges(out)
-        if held is not None and held.num_rows > 1:
-            yield _edges(work(held))
-
-    def _edges(out):
-        a, b = zip(*out) if out else ([], [])
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        if held is not None and held.num_rows > 1 and (out := work(held)) is not None:
+            yield out
     return run
 
 
+def _points(part: pa.RecordBatch) -> np.ndarray:
+    return part.column("point").flatten().to_numpy(zero_copy_only=False).reshape(-1, GROUPS)
+
+
+def _unit_batches(t: Threshold):
+    """Rows sorted by unit, then size: the links of each unit."""
+    def work(part: pa.RecordBatch):
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in part.column("tokens").to_pylist()]
+        cid, comp, side = (part.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "comp", "side"))
+        out = links_in(sets, _points(part), comp, side, t)
+        if not out:
+            return None
+        a, b = (pa.array(cid[list(x)], pa.int64()) for x in zip(*out))
+        return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+    return _by_unit(work)
+
+
+def _bound_batches(t: Threshold):
+    """Rows sorted by unit, then size: those whose overlap bound allows a link
+    with a row of another component."""
+    def work(part: pa.RecordBatch):
+        n, comp, side = (part.column(c).to_numpy(zero_copy_only=False) for c in ("n", "comp", "side"))
+        tree, two = CountTree(_points(part), n), bool(side.any())
+        keep = np.zeros(len(n), dtype=bool)
+        for i in range(1, len(n)):
+            rows = tree.below(i, t)
+            rows = rows[comp[rows] != comp[i]]
+            if two:
+                rows = rows[side[rows] != side[i]]
+            if len(rows):
+                keep[i] = True
+                keep[rows] = True
+        if not keep.any():
+            return None
+        return part.select(["blob", "unit", "n", "cid", "side", "comp"]).filter(pa.array(keep))
+    return _by_unit(work)
+
+
 def _pivot_batches(t: Threshold):
     """Members of large blobs beside the sets of their blob's pivots."""
     def run(batches):
@@ -357,14 +387,20 @@ def _ranked(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width: int) -> DataFrame:
-    """Links of blobs too large for one tree."""
+    """Links of blobs too large for one tree.
+
+    Places in leaves are worked out on (blob, cid, n) alone; leaf pairs first
+    meet with their points, and only classes whose bound some partner passes
+    bring their sets."""
     spark = sets.sparkSession
-    members = materialise(spark, _ranked(sets.join(big, "blob", "left_semi"), "blob").drop("members", "tokens_all"), "large-blobs")
+    mine = sets.join(F.broadcast(big) if big.count() <= BROADCAST_ROWS else big, "blob", "left_semi")
+    members = materialise(spark, _ranked(mine.select("blob", "cid", "n"), "blob").drop("members", "tokens_all"), "large-blobs")
     # Pivots at even ranks of size, so that every size has one near.
     marks = (members.groupBy("blob", F.floor(F.col("rank") * PIVOTS).alias("part"))
              .agg(F.min(F.struct(F.xxhash64("cid").alias("pick"), F.col("cid"))).alias("m")).select("blob", F.col("m.cid").alias("cid")))
-    pivots = members.join(marks, ["blob", "cid"]).groupBy("blob").agg(F.collect_set(F.struct("cid", "tokens")).alias("pivots"))
-    first = materialise(spark, members.select("blob", "cid", "tokens").join(pivots, "blob")
+    pivots = sets.join(marks, ["blob", "cid"]).groupBy("blob").agg(F.collect_set(F.struct("cid", "tokens")).alias("pivots"))
+    pivots = materialise(spark, pivots, "pivots")
+    first = materialise(spark, mine.select("blob", "cid", "tokens").join(pivots, "blob")
                         .select("cid", "tokens", "pivots").mapInArrow(_pivot_batches(t), "a long, b long"), "pivot-links")
     comps = connected_components(first).withColumnRenamed("node", "cid")
     members = members.drop("rank").join(comps, "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
@@ -376,10 +412,11 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     leaves_of = F.greatest(F.ceil(F.col("members") / leaf), F.ceil(F.col("tokens_all") / LEAF_TOKENS))
     members = materialise(spark, _ranked(members, "blob", "zone").withColumn(
         "leaf", F.xxhash64("zone", F.floor(F.col("rank") * leaves_of))).select(
-        "blob", "leaf", "zone", "members", "cid", "comp", "n", "tokens", "point"), "leaves")
+        "blob", "leaf", "zone", "members", "cid", "comp", "n"), "leaves")
+    pointed = materialise(spark, members.join(mine.select("cid", "point"), "cid"), "leaf-points")
     # Leaves with the corner of their points, and each blob's largest zone.
     corners = [F.max(F.col("point")[i]).alias(f"c{i}") for i in range(GROUPS)]
-    leaves = members.groupBy("blob", "leaf").agg(F.min("zone").alias("zone"), F.min("n").alias("n0"), F.max("n").alias("n1"), *corners)
+    leaves = pointed.groupBy("blob", "leaf").agg(F.min("zone").alias("zone"), F.min("n").alias("n0"), F.max("n").alias("n1"), *corners)
     leaves = leaves.select("blob", "leaf", "zone", "n0", "n1", F.array(*[f"c{i}" for i in range(GROUPS)]).alias("corner"))
     main = members.where("zone >= 0").groupBy("blob").agg(F.max(F.struct("members", "zone")).alias("m")).select("blob", F.col("m.zone").alias("main"))
     leaves = materialise(spark, leaves.join(main, "blob", "left"), "corners")
@@ -395,9 +432,13 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     pairs = materialise(spark, pairs.withColumn("unit", F.xxhash64("x", "y")), "leaf-pairs")
     ends = pairs.select("blob", "unit", F.col("x").alias("leaf"), F.lit(0).alias("side")).unionByName(
         pairs.where("x != y").select("blob", "unit", F.col("y").alias("leaf"), F.lit(1).alias("side")))
-    units = ends.join(members, ["blob", "leaf"]).select("blob", "unit", "side", "cid", "comp", "n", "tokens", "point")
-    found = units.repartition(width, "blob", "unit").sortWithinPartitions("blob", "unit", "n", "cid").mapInArrow(
-        _unit_batches(t), "a long, b long")
+    order = ("blob", "unit", "n", "cid")
+    units = ends.join(pointed, ["blob", "leaf"]).select(*order, "side", "comp", "point")
+    passed = units.repartition(width, "blob", "unit").sortWithinPartitions(*order).mapInArrow(
+        _bound_batches(t), "blob long, unit long, n long, cid long, side int, comp long")
+    passed = materialise(spark, passed, "leaf-candidates")
+    found = passed.join(mine.select("cid", "tokens", "point"), "cid").select(*order, "side", "comp", "tokens", "point")
+    found = found.repartition(width, "blob", "unit").sortWithinPartitions(*order).mapInArrow(_unit_batches(t), "a long, b long")
     return first.unionByName(found)
 
 
