@@ -42,11 +42,14 @@ def read_cache(spark: SparkSession, cache_path: str, version: str) -> DataFrame:
 
 
 def _count_batches(path: str, version: str):
+    """Counts of the digests of a task, once for repeated rows (the join puts
+    them in one task)."""
     def run(batches):
-        enc = encoder(path)
+        enc, seen = encoder(path), set()
         for b in batches:
-            texts = b.column("text").to_pylist()
-            counts = [len(ids) // 4 for ids in enc.encode(texts)]
+            new = [i for i, d in enumerate(b.column("digest").to_pylist()) if not (d in seen or seen.add(d))]
+            b = b.take(pa.array(new, pa.int32()))
+            counts = [len(ids) // 4 for ids in enc.encode(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("digest").cast(pa.binary()), pa.array([version] * len(counts), pa.string()), pa.array(counts, pa.int64())],
                 ["digest", "version", "n_tokens"])
