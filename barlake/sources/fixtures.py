@@ -59,19 +59,16 @@ def bars_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     # (l_orderkey, l_linenumber) is not unique: the price itself completes the
-    # order key, so rows that tie have the same value.  With the price as the
-    # key's last field, min_by(price, key) is min(key).price (one comparison
-    # per row instead of a value/key pair).
-    key = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
+    # order key, so rows that tie have the same value.  The three are packed
+    # into one decimal (7 digits of line and whole price, 4 of its decimals),
+    # which a hash aggregation can hold, where a struct would sort all rows.
     price = F.col("l_extendedprice")
-    joined = li.join(part, li.l_partkey == part.p_partkey, "inner")
-    return (joined.groupBy(F.col("p_brand").alias("ticker"),
-                           F.col("l_shipdate").cast("date").alias("date"))
-            .agg(F.min(key).alias("__first"), F.max(price).alias("high"),
-                 F.min(price).alias("low"), F.max(key).alias("__last"),
-                 F.count(F.lit(1)).alias("volume"))
-            .select("ticker", "date", F.col("__first.l_extendedprice").alias("open"), "high", "low",
-                    F.col("__last.l_extendedprice").alias("close"), "volume"))
+    key = (F.col("l_orderkey").cast("decimal(18,0)") * F.lit(10 ** 15).cast("decimal(16,0)")
+           + (F.col("l_linenumber").cast("decimal(4,0)") * F.lit(10 ** 12).cast("decimal(13,0)")
+              + F.round(price * 10_000).cast("decimal(12,0)")))
+    joined = li.join(part, li.l_partkey == part.p_partkey, "inner").withColumn("key", key)
+    return (joined.groupBy(F.col("p_brand").alias("ticker"), F.col("l_shipdate").cast("date").alias("date"))
+            .agg(*_ohlcv(price, F.col("key"))))
 
 
 BAR_KINDS = {"user": bars_user, "brand": bars_brand, "event_type": bars_event_type}
