@@ -11,7 +11,8 @@ from barlake.session import scratch_dir
 
 
 def q_warc(spark: SparkSession, d: str) -> DataFrame:
-    return warc.archive_round_trip(table(spark, d, "pages"), scratch_dir(spark, "llm-warc"))
+    records = warc.archive_round_trip(table(spark, d, "pages"), scratch_dir(spark, "llm-warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def q_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -31,7 +32,7 @@ def q_embeddings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_decontam(spark: SparkSession, d: str) -> DataFrame:
-    return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("longest")
 
 
 def q_quality(spark: SparkSession, d: str) -> DataFrame:
@@ -63,4 +64,58 @@ QUERIES = {
     "op10_katz_backoff": q_katz,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_COMPONENTS = """, edge AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(id, r) AS (SELECT {id}, {id} FROM {nodes} UNION SELECT b.y, reach.r FROM reach JOIN edge b ON b.x = reach.id),
+comp AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_chunked_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(x, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT) + 1, 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to
+FROM t""",
+    "op4_suffix_decontamination": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_ASCII.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item,
+        regexp_extract_all({_ASCII.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS t
+       FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+found AS (SELECT dw.doc_id, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.t = bw.t),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM
+        (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS pos FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said
+          FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(said, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op5_jaccard_rtree": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_ASCII.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+sh AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM sh a JOIN sh b ON a.t = b.t AND a.doc_id < b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*)))
+{_COMPONENTS.format(id="doc_id", nodes="documents")}
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN comp ON id = doc_id""",
+    "op9_embedding_near_dedup": f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98)
+{_COMPONENTS.format(id="vec_id", nodes="embeddings")},
+n AS (SELECT x, count(*) AS n_links FROM edge GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN comp ON id = vec_id LEFT JOIN n ON n.x = vec_id""",
+}
