@@ -351,19 +351,20 @@ def _bound_batches(t: Threshold):
 
 
 def _pivot_batches(t: Threshold):
-    """Members of large blobs beside the sets of their blob's pivots."""
-    def run(batches):
-        for b in batches:
-            out = []
-            for cid, x, pivots in zip(b.column("cid").to_pylist(), b.column("tokens").to_pylist(), b.column("pivots").to_pylist()):
-                mine = np.frombuffer(x, dtype=np.uint64)
-                for p in pivots:
-                    other = np.frombuffer(p["tokens"], dtype=np.uint64)
-                    if p["cid"] != cid and overlap(mine, other) >= t.needs(len(mine), len(other)):
-                        out.append((cid, p["cid"]))
-            a, c = zip(*out) if out else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
-    return run
+    """Rows sorted by unit: the links of its members (side 0) with the pivots
+    of its blob (side 1)."""
+    def work(part: pa.RecordBatch):
+        side = part.column("side").to_pylist()
+        cid = part.column("cid").to_pylist()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in part.column("tokens").to_pylist()]
+        pivots = [i for i, x in enumerate(side) if x]
+        out = [(cid[i], cid[p]) for i, x in enumerate(side) if not x for p in pivots
+               if cid[i] != cid[p] and overlap(sets[i], sets[p]) >= t.needs(len(sets[i]), len(sets[p]))]
+        if not out:
+            return None
+        a, c = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+    return _by_unit(work)
 
 
 def _candidates(docs: DataFrame, width: int, t: Threshold, bits: int) -> DataFrame:
@@ -398,10 +399,14 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     # Pivots at even ranks of size, so that every size has one near.
     marks = (members.groupBy("blob", F.floor(F.col("rank") * PIVOTS).alias("part"))
              .agg(F.min(F.struct(F.xxhash64("cid").alias("pick"), F.col("cid"))).alias("m")).select("blob", F.col("m.cid").alias("cid")))
-    pivots = sets.join(marks, ["blob", "cid"]).groupBy("blob").agg(F.collect_set(F.struct("cid", "tokens")).alias("pivots"))
-    pivots = materialise(spark, pivots, "pivots")
-    first = materialise(spark, mine.select("blob", "cid", "tokens").join(pivots, "blob")
-                        .select("cid", "tokens", "pivots").mapInArrow(_pivot_batches(t), "a long, b long"), "pivot-links")
+    # Members are dealt in chunks, and each chunk gets its blob's pivots.
+    chunks = members.groupBy("blob").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("chunks"))
+    own = F.pmod(F.xxhash64("cid"), F.col("chunks"))
+    dealt = mine.join(chunks, "blob").select("blob", own.alias("unit"), F.lit(0).alias("side"), "cid", "tokens")
+    pivots = mine.join(marks, ["blob", "cid"]).join(chunks, "blob").select(
+        "blob", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("unit"), F.lit(1).alias("side"), "cid", "tokens")
+    first = dealt.unionByName(pivots).repartition(width, "blob", "unit").sortWithinPartitions("blob", "unit", "side", "cid")
+    first = materialise(spark, first.mapInArrow(_pivot_batches(t), "a long, b long"), "pivot-links")
     comps = connected_components(first).withColumnRenamed("node", "cid")
     members = members.drop("rank").join(comps, "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
     # A component that fills a leaf has leaves of its own (its zone); the rest
