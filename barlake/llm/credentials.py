@@ -44,12 +44,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGN_WORDS = (b"passw", b"secret", b"token", b"api")
 # Weak candidates.
-_IDENT = re.compile(r"""\b(?:user_?(?:name|id)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?([\w.@-]{3,64})""",
+_IDENT = re.compile(r"""\b(?:user_?(?:name|id)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?([\w.@-]{3,})""",
                     re.IGNORECASE | re.ASCII)
 _IDENT_WORDS = (b"user", b"login", b"account", b"client")
-_ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc|postgres(?:ql)?|mysql|redis|amqps?|mongodb)://[^\s"'<>]{3,256}""",
+_ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc|postgres(?:ql)?|mysql|redis|amqps?|mongodb)://[^\s"'<>]{3,}""",
                        re.IGNORECASE | re.ASCII)
-_BLOB = re.compile(r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{32,256}(?![A-Za-z0-9/+])")
+_BLOB = re.compile(r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{32,}(?![A-Za-z0-9/+])")
 _BREAK = re.compile(r"\n[ \t\r]*\n")
 KINDS = ("assign", "access", "hex", "ident", "blob", "endpoint")
 REACH = 400

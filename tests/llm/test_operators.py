@@ -293,6 +293,15 @@ def test_secrets_redacted(spark):
     assert text[6].count("[REDACTED]") == 3 and all(r["n_chars"] == len(r["text"]) for r in rows if r["doc_id"] == 6)
 
 
+def test_secrets_of_any_length(spark):
+    blob, url, login = "Ab3" * 100, "https://h.example/x?sig=" + "q1" * 200, "n" * 90
+    t = f"login: {login} key {blob} at {url} end"
+    at = {k: f"{n}:{t.index(x)}:{t.index(x) + len(x)}" for k, n, x in (("i", "ident", login), ("b", "blob", blob), ("u", "endpoint", url))}
+    df = docs(spark, [(1, t)])
+    assert credentials.scan_secrets(df).first()["spans"] == ",".join([at["i"], at["b"], at["u"]])
+    assert credentials.redact(df).first()["text"] == "login: [REDACTED] key [REDACTED] at [REDACTED] end"
+
+
 # --- embeddings and components ----------------------------------------------------------------
 
 def expected_links(rows, least=0.98):
