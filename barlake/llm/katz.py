@@ -1,22 +1,27 @@
-"""Katz backoff bigram model over a corpus, and every document's score by it.
-
-A token is a word or the end of its document.  P(w | h) is the discounted
-count of (h, w) over the count of h where the pair was seen, and otherwise
-alpha(h) * P(w); P(w) is the discounted count of w over all tokens, and an
-unseen word gets an equal share of what the discounts leave, one share for
-each word seen once.  alpha(h) is what the seen pairs of h leave, over what
-their words leave in P, so that every context adds up to one.  Counts up to
+"""Katz backoff model of any order over a corpus, and every document's score by
+it.
+
+A token is a word or the end of its document; its history h is the ``order`` - 1
+tokens before it, or all of them and a start mark where there are fewer.
+P(w | h) is the discounted count of (h, w) over the count of h where the n-gram
+was seen, and otherwise alpha(h) * P(w | h'), h' being h without its first
+token; alpha of a history that was not seen is 1.  P(w) is the discounted count
+of w over all tokens, and an unseen word gets an equal share of what the
+discounts leave, one share for each word seen once.  alpha(h) is what the seen
+n-grams of h leave, over what their words leave in P(. | h'), so that every
+context adds up to one.  Each level has its own discounts.  Counts up to
 ``GT_MAX`` get Good-Turing discounts with Katz's correction (from all counts of
 counts); larger counts give up as much as ``GT_MAX`` does, so that each context
 has something left to back off with.  Where counts of counts allow no valid
 discount, every count gives up one half.
 
-Counts, pairs and backoff weights are tables partitioned by n-gram hash.  The
+Counts of each level and backoff weights are tables partitioned by n-gram hash.  The
 corpus is written as blocks of about ``BLOCK_TOKENS`` tokens with a vocabulary
 each; a block asks the tables once for each distinct n-gram it holds, as packed
 sorted arrays, and gets the counts back in that order.  One block of those that
-hold a pair owns it and adds its discounted count and P(w) to the pair's
-context.  Hot words and passages are one request per block, so no partition
+hold an n-gram owns it and adds its discounted count and P(w | h') to its
+context; w was seen after h' too, so no weight of a lower level is needed for
+it.  Hot words and passages are one request per block, so no partition
 grows with a frequent key, and nothing but counts of counts and totals comes to
 the driver.
 
@@ -28,6 +33,8 @@ are ignored.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -104,6 +111,7 @@ class Block:
         # The context of a token is the word before it; number len(vocab) is the start.
         self.context = np.concatenate([[len(self.vocab)], self.tokens[:-1]])
         self.context[self.starts] = len(self.vocab)
+        self.offset = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
         self.order1 = np.argsort(self.vocab)
 
     def words(self):
@@ -111,19 +119,27 @@ class Block:
         counts = np.bincount(self.tokens[self.trained], minlength=len(self.vocab))
         return self.vocab[self.order1], counts[self.order1]
 
-    def pairs(self):
-        """(sorted keys, training counts, first position, number per token) of
-        the distinct pairs."""
-        hist = np.append(self.vocab, START)
-        keys = mix(hist[self.context] * _PAIR + self.vocab[self.tokens])
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        new = np.concatenate([[True], keys[1:] != keys[:-1]])
-        number = np.cumsum(new) - 1
-        inverse = np.empty(len(keys), dtype=np.int64)
-        inverse[order] = number
-        counts = np.bincount(number, weights=self.trained[order], minlength=int(number[-1]) + 1).astype(np.int64)
-        return keys[new], counts, order[new], inverse
+    def grams(self, order: int):
+        """(level, sorted keys, training counts, first position, number per
+        token) of the distinct n-grams of each level from 2 to ``order``; a token
+        whose history would pass the start mark has number -1."""
+        word = self.vocab[self.tokens]
+        before = np.append(self.vocab, START)[self.context]
+        for level in range(2, order + 1):
+            at_token = mix(before * _PAIR + word)
+            has = np.flatnonzero(self.offset >= level - 2)
+            if not len(has):
+                yield level, at_token[:0], np.zeros(0, np.int64), has, np.full(len(word), -1)
+            else:
+                by = has[np.argsort(at_token[has], kind="stable")]
+                keys = at_token[by]
+                new = np.concatenate([[True], keys[1:] != keys[:-1]])
+                number = np.cumsum(new) - 1
+                inverse = np.full(len(word), -1, dtype=np.int64)
+                inverse[by] = number
+                counts = np.bincount(number, weights=self.trained[by], minlength=int(number[-1]) + 1).astype(np.int64)
+                yield level, keys[new], counts, by[new], inverse
+            before = np.concatenate([[START], at_token[:-1]])
 
 
 # --- counts -------------------------------------------------------------------
@@ -133,7 +149,7 @@ _COUNTED = ("kind string, level int, bucket long, block long, keys binary, count
             "spectrum array<long>")
 
 
-def _ask_batches(bits: int):
+def _ask_batches(bits: int, order: int):
     schema = pa.schema([("level", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()),
                         ("keys", pa.binary()), ("counts", pa.binary())])
 
@@ -141,10 +157,11 @@ def _ask_batches(bits: int):
         for b in batches:
             for r in b.to_pylist():
                 block = Block(r["lengths"], r["train"], r["vocab"], r["tokens"])
-                for level, (keys, counts) in ((1, block.words()), (2, block.pairs()[:2])):
+                for level, keys, counts in chain([(1, *block.words())], (x[:3] for x in block.grams(order))):
                     rows = [(level, k, r["block"], pack_keys(keys[lo:hi]), pack(counts[lo:hi].astype(np.uint32)))
                             for k, lo, hi in runs(keys, bits)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
     return run
 
 
@@ -202,11 +219,12 @@ class Discount:
 class Totals:
     """What all tasks need of the whole corpus: a few numbers."""
 
-    def __init__(self, spectra: dict[int, list[int]], documents: int):
+    def __init__(self, spectra: dict[int, list[int]], documents: int, order: int):
         none = [0] * (GT_MAX + 4)
-        one, two = spectra.get(1, none), spectra.get(2, none)
-        self.tokens, self.types, self.documents = one[-1], sum(one[1:-1]), documents
-        self.one, self.two = Discount(one), Discount(two)
+        one = spectra.get(1, none)
+        self.tokens, self.types, self.documents, self.order = one[-1], sum(one[1:-1]), documents, order
+        self.one = Discount(one)
+        self.discount = {level: Discount(spectra.get(level, none)) for level in range(2, order + 1)}
         kept = sum(n * float(self.one(np.array(r))) for r, n in enumerate(one[:GT_MAX + 1]))
         large = self.types - sum(one[1:GT_MAX + 1])
         kept += self.tokens - sum(r * n for r, n in enumerate(one[:GT_MAX + 1])) - self.one.less * large
@@ -218,57 +236,71 @@ class Totals:
 
 # --- scores -------------------------------------------------------------------
 
-_SENT = ("bucket long, keys binary, seen binary, mass binary, lower binary, use_context binary, use_uid binary, "
+_SENT = ("level int, bucket long, keys binary, seen binary, mass binary, lower binary, use_context binary, use_uid binary, "
          "use_n binary, uid binary, n_tokens binary, n_known binary, base binary, score binary")
-_SCORED = "uid long, n_tokens long, n_known long, base double, score double, bucket long, keys binary, weights binary"
+_SCORED = "uid long, n_tokens long, n_known long, base double, score double, level int, bucket long, keys binary, weights binary"
 
 
 def _score_batches(totals, bits: int):
     names = [c.split()[0] for c in _SENT.split(", ")]
-    schema = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in names[1:]]])
+    schema = pa.schema([("level", pa.int32()), ("bucket", pa.int64()), *[(c, pa.binary()) for c in names[2:]]])
 
     def rows_of(r: dict, t: Totals):
         block = Block(r["lengths"], r["train"], r["vocab"], r["tokens"])
-        got = {level: sorted((x for x in r["replies"] if x["level"] == level), key=lambda x: x["bucket"]) for level in (1, 2)}
+        got = {level: sorted((x for x in r["replies"] if x["level"] == level), key=lambda x: x["bucket"]) for level in range(1, t.order + 1)}
+
+        def replied(level: int, col: str, dtype):
+            return np.concatenate([np.zeros(0, dtype), *[unpack(x[col], dtype) for x in got[level]]])
+
         c1 = np.empty(len(block.vocab), dtype=np.int64)
-        c1[block.order1] = np.concatenate([unpack(x["counts"], np.uint64) for x in got[1]]).astype(np.int64)
-        c2 = np.concatenate([unpack(x["counts"], np.uint64) for x in got[2]]).astype(np.int64)
-        own = np.concatenate([unpack(x["own"], np.uint8) for x in got[2]]).astype(bool) & (c2 > 0)
-        keys2, _, first, inverse = block.pairs()
-        assert len(keys2) == len(c2), "replies to another block"
-        tok, ctx, starts = block.tokens, block.context, block.starts
+        c1[block.order1] = replied(1, "counts", np.uint64).astype(np.int64)
+        tok, starts = block.tokens, block.starts
+        uid = unpack(r["uids"], np.int64)
         p1 = t.unigram(c1)
-        seen_ctx = np.append(c1, t.documents)
         base = np.log10((c1 + 0.5) / (t.tokens + 0.5 * (t.types + 1)))[tok]
-        pair = c2[inverse]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.where(pair > 0, np.log10(t.two(pair)) - np.log10(seen_ctx[ctx]), np.log10(p1)[tok])
-        uid = unpack(r["uids"], np.int64)
-        yield {"bucket": None, "uid": pack(uid), "n_tokens": pack(block.lengths),
+        score = np.log10(p1)[tok]
+        # Contexts of a level: the number of each token's, their keys and counts;
+        # below is P(w | h') where (h', w) was seen.
+        ctx, hist, seen_ctx, below = block.context, np.append(block.vocab, START), np.append(c1, t.documents), p1[tok]
+        for level, keys, _, first, inverse in block.grams(t.order):
+            c = replied(level, "counts", np.uint64).astype(np.int64)
+            own = replied(level, "own", np.uint8).astype(bool) & (c > 0)
+            assert len(keys) == len(c), "replies to another block"
+            yield from contexts(level, block, uid, t.discount[level], c, own, first, inverse, ctx, hist, seen_ctx, below)
+            has = np.flatnonzero(inverse >= 0)
+            has = has[c[inverse[has]] > 0]
+            below = np.zeros(len(tok))
+            below[has] = t.discount[level](c[inverse[has]]) / seen_ctx[ctx[has]]
+            score[has] = np.log10(below[has])
+            ctx, hist, seen_ctx = np.concatenate([[-1], inverse[:-1]]), keys, c
+        yield {"level": 1, "bucket": r["block"] % (1 << bits), "uid": pack(uid), "n_tokens": pack(block.lengths),
                "n_known": pack(np.add.reduceat((c1 > 0)[tok].astype(np.int64), starts)),
                "base": pack(np.add.reduceat(base, starts)), "score": pack(np.add.reduceat(score, starts))}
-        # What this block knows of its contexts, and where it backs off.
+
+    def contexts(level, block, uid, discount, c, own, first, inverse, ctx, hist, seen_ctx, below):
+        """What this block knows of its contexts of a level, and where it backs
+        off from them."""
         size = len(seen_ctx)
         at = first[own]
-        mass = np.bincount(ctx[at], weights=t.two(c2[own]), minlength=size)
-        lower = np.bincount(ctx[at], weights=p1[tok[at]], minlength=size)
-        off = np.flatnonzero((pair == 0) & (seen_ctx[ctx] > 0))
-        doc = np.searchsorted(starts, off, "right") - 1
+        mass = np.bincount(ctx[at], weights=discount(c[own]), minlength=size)
+        lower = np.bincount(ctx[at], weights=below[at], minlength=size)
+        off = np.flatnonzero(inverse >= 0)
+        off = off[(c[inverse[off]] == 0) & (seen_ctx[ctx[off]] > 0)]
+        doc = np.searchsorted(block.starts, off, "right") - 1
         uses, n = np.unique(ctx[off] * len(uid) + doc, return_counts=True)
         use_ctx, use_doc = uses // len(uid), uses % len(uid)
         wanted = np.zeros(size, dtype=bool)
         wanted[use_ctx] = True
         some = np.flatnonzero(wanted | (mass > 0))
-        hist = np.append(block.vocab, START)
         some = some[np.argsort(hist[some])]
         place = np.full(size, -1, dtype=np.int64)
         place[some] = np.arange(len(some))
-        order = np.argsort(place[use_ctx], kind="stable")
-        use_at, use_doc, n = place[use_ctx][order], use_doc[order], n[order]
+        by = np.argsort(place[use_ctx], kind="stable")
+        use_at, use_doc, n = place[use_ctx][by], use_doc[by], n[by]
         for k, lo, hi in runs(hist[some], bits):
             a, z = np.searchsorted(use_at, [lo, hi])
             cut = some[lo:hi]
-            yield {"bucket": k, "keys": pack_keys(hist[cut]), "seen": pack(seen_ctx[cut]), "mass": pack(mass[cut]),
+            yield {"level": level, "bucket": k, "keys": pack_keys(hist[cut]), "seen": pack(seen_ctx[cut]), "mass": pack(mass[cut]),
                    "lower": pack(lower[cut]), "use_context": pack((use_at[a:z] - lo).astype(np.uint32)),
                    "use_uid": pack(uid[use_doc[a:z]]), "use_n": pack(n[a:z].astype(np.uint32))}
 
@@ -277,9 +309,7 @@ def _score_batches(totals, bits: int):
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
-                rows = list(rows_of(r, t))
-                rows[0]["bucket"] = r["block"] % (1 << bits)
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                yield pa.RecordBatch.from_pylist(list(rows_of(r, t)), schema=schema)
     return run
 
 
@@ -287,7 +317,7 @@ def _backoff_group(table: pa.Table) -> pa.Table:
     """Backoff weights of one partition's contexts, what they add to the
     documents that back off there, and the blocks' own sums passed on."""
     names = [c.split()[0] for c in _SCORED.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
     out = []
 
     def add(n, **cols):
@@ -315,13 +345,16 @@ def _backoff_group(table: pa.Table) -> pa.Table:
         docs, of = np.unique(uid, return_inverse=True)
         sums = np.bincount(of, weights=alpha[inverse[at]] * n, minlength=len(docs))
         add(len(docs), uid=docs, score=sums)
-        add(1, bucket=[rows[0]["bucket"]], keys=[pack_keys(keys)], weights=[pack(alpha)])
+        add(1, level=[rows[0]["level"]], bucket=[rows[0]["bucket"]], keys=[pack_keys(keys)], weights=[pack(alpha)])
     return pa.concat_tables(out)
 
 
-def score_documents(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, order: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
-    of every document, learned from the folds other than ``held``."""
+    of every document by the model of ``order``, learned from the folds other than
+    ``held``."""
+    if order < 1:
+        raise ValueError("order must be 1 or more")
     spark = docs.sparkSession
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"), (~out).alias("train"), "text")
@@ -332,18 +365,18 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame
     size = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = max(width - 1, size // PART_TOKENS).bit_length()
-    asked = blocks.drop("doc_ids").mapInArrow(_ask_batches(bits), _ASKED)
+    asked = blocks.drop("doc_ids").mapInArrow(_ask_batches(bits, order), _ASKED)
     counted = materialise(spark, asked.groupBy("level", "bucket").applyInArrow(_count_group, _COUNTED), "lm-counts")
     spectra = counted.where("kind = 'spectrum'").select("level", F.posexplode("spectrum").alias("r", "n"))
     spectra = spectra.groupBy("level", "r").agg(F.sum("n").alias("n")).collect()
     by_level: dict[int, list[int]] = {}
     for r in sorted(spectra, key=lambda r: (r["level"], r["r"])):
         by_level.setdefault(r["level"], []).append(r["n"])
-    totals = Totals(by_level, documents)
+    totals = Totals(by_level, documents, order)
     replies = counted.where("kind = 'reply'").groupBy("block").agg(
         F.collect_list(F.struct("level", "bucket", "counts", "own")).alias("replies"))
     sent = blocks.drop("doc_ids").join(replies, "block").mapInArrow(_score_batches(spark.sparkContext.broadcast(totals), bits), _SENT)
-    scored = materialise(spark, sent.groupBy("bucket").applyInArrow(_backoff_group, _SCORED), "lm-scores")
+    scored = materialise(spark, sent.groupBy("level", "bucket").applyInArrow(_backoff_group, _SCORED), "lm-scores")
     sums = scored.where("uid IS NOT NULL").groupBy("uid").agg(
         F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"),
         F.sum("score").alias("score"))

@@ -51,6 +51,10 @@ def q_katz(spark: SparkSession, d: str) -> DataFrame:
     return katz.score_documents(table(spark, d, "documents"))
 
 
+def q_katz_trigram(spark: SparkSession, d: str) -> DataFrame:
+    return katz.score_documents(table(spark, d, "documents"), order=3)
+
+
 QUERIES = {
     "op1_chunked_warc": q_warc,
     "op2_harmonic_packing": q_packing,
@@ -62,6 +66,7 @@ QUERIES = {
     "op8_credential_linking": q_secrets,
     "op9_embedding_near_dedup": q_embeddings,
     "op10_katz_backoff": q_katz,
+    "op10_katz_trigram": q_katz_trigram,
 }
 
 _ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -1,5 +1,6 @@
 """The scores against a plain Katz model over the same documents."""
 
+import functools
 import math
 import re
 import zlib
@@ -95,3 +96,62 @@ def test_packed_arrays_round_trip():
     keys = np.sort(rng.integers(0, 2**64, 1000, dtype=np.uint64))
     assert (katz.unpack_keys(katz.pack_keys(keys)) == keys).all()
     assert len(katz.unpack(katz.pack(np.zeros(0)), np.float64)) == 0
+
+
+def plain_scores_of_order(rows, order, folds=5, held=1):
+    """plain_scores' rows by recursion over histories."""
+    rows = [(d, zlib.crc32(str(d).encode()) % folds == held if d is not None else False, tokens(t)) for d, t in rows]
+
+    def steps(d):
+        return [(tuple(["<start>", *d][max(0, i + 2 - order):i + 1]) if order > 1 else (), w) for i, w in enumerate(d)]
+
+    seen = [defaultdict(Counter) for _ in range(order)]
+    for _, o, d in rows:
+        if not o:
+            for h, w in steps(d):
+                for k in range(len(h) + 1):
+                    seen[k][h[len(h) - k:]][w] += 1
+    one = seen[0][()]
+    total = sum(one.values())
+    cut = []
+    for level in seen:
+        s = [0] * (katz.GT_MAX + 4)
+        for c in (c for x in level.values() for c in x.values()):
+            s[min(c, katz.GT_MAX + 2)] += 1
+        cut.append(katz.Discount(s))
+    left = 1 - sum(float(cut[0](np.array(c))) for c in one.values()) / total
+    unseen = left / max(1, sum(c == 1 for c in one.values()))
+
+    size = [{h: sum(x.values()) for h, x in level.items()} for level in seen]
+
+    @functools.cache
+    def known(h, w):
+        return float(cut[len(h)](np.array(seen[len(h)][h][w]))) / size[len(h)][h]
+
+    @functools.cache
+    def alpha(h):
+        words = seen[len(h)][h]
+        return (1 - sum(known(h, w) for w in words)) / (1 - sum(p(h[1:], w) for w in words))
+
+    def p(h, w):
+        if seen[len(h)].get(h, {}).get(w):
+            return known(h, w)
+        if not h:
+            return unseen
+        return (alpha(h) if h in seen[len(h)] else 1.0) * p(h[1:], w)
+
+    return [(i, o, len(d), sum(one[w] > 0 for w in d), total, sum(math.log10((one[w] + 0.5) / (total + 0.5 * (len(one) + 1))) for w in d),
+             sum(math.log10(p(h, w)) for h, w in steps(d))) for i, o, d in rows]
+
+
+def test_trigram_query_against_plain_recursion(spark, sf_small):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
+    close(QUERIES["op10_katz_trigram"](spark, sf_small).collect(), plain_scores_of_order(rows, 3))
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_orders_on_edge_rows_in_small_blocks(spark, order):
+    rows = [(1, "a b a b c"), (2, None), (3, ""), (4, "A b\tz  " * 50), (4, "A b\tz  " * 50), (None, "x y"), (7, "é É b"), (8, "q"),
+            *[(i, f"a b {'a b c'[:i % 5]} z b a {i % 3} b c") for i in range(20, 60)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    close(katz.score_documents(df, order=order).collect(), plain_scores_of_order(rows, order))
