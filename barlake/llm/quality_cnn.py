@@ -11,8 +11,7 @@ logistic unit combines the two.
 
 The network is fitted by Adam on at most ``SAMPLE`` labelled documents a
 class, drawn by a hash of their id from all labelled rows of the training
-folds, with at most ``SAMPLE_CHUNKS`` chunks of each, spread over the document.
-That bound is the only one: scoring reads whole texts.
+folds.  That bound is the only one: fitting and scoring read whole texts.
 
 Edge cases: null and empty texts have no chunk and score the unit's offset;
 labels that are null or contradict each other for an id are not learned; with
@@ -36,7 +35,6 @@ EMBED = 8
 LAGS = 32
 PAD = 512
 SAMPLE = 800
-SAMPLE_CHUNKS = 4
 EPOCHS = 12
 #: Small samples are gone through more often, up to so many steps in all.
 STEPS = 800
@@ -61,16 +59,10 @@ def symbols(data: bytes) -> np.ndarray:
     return out
 
 
-def chunks(data: bytes, most: int | None = None) -> list[np.ndarray]:
-    """Symbol chunks with the overlap (or padding) the filters need; at most
-    ``most`` of them, spread evenly."""
-    if not data:
-        return []
-    starts = range(0, len(data), CHUNK)
-    if most is not None and len(starts) > most:
-        starts = [starts[i] for i in np.linspace(0, len(starts) - 1, most).round().astype(int)]
+def chunks(data: bytes) -> list[np.ndarray]:
+    """Symbol chunks with the overlap (or padding) the filters need."""
     out = []
-    for s in starts:
+    for s in range(0, len(data), CHUNK):
         # With LAGS bytes before and 7 after it, a chunk's symbols are those
         # it has in the whole text.
         before = min(s, LAGS)
@@ -196,13 +188,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, sample: i
         some = clean.where(F.col("quality") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "quality")
         ids = some if ids is None else ids.unionByName(some)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").mapInArrow(
-        _crops, "doc_id long, data array<binary>, quality int")
+        _whole, "doc_id long, data array<binary>, quality int")
     return sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
 
 
-def _crops(batches):
+def _whole(batches):
     for b in batches:
-        data = [[c.tobytes() for c in chunks((t or "").encode("utf-8", "surrogatepass"), SAMPLE_CHUNKS)]
+        data = [[c.tobytes() for c in chunks((t or "").encode("utf-8", "surrogatepass"))]
                 for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(data, pa.list_(pa.binary())),
                                           b.column("quality").cast(pa.int32())], ["doc_id", "data", "quality"])

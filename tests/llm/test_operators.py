@@ -88,6 +88,14 @@ def test_quality_edge_rows(spark):
     assert quality_cnn.score_quality(docs(spark, []), labels.limit(0)).collect() == []
 
 
+def test_quality_learns_from_whole_sampled_texts(spark):
+    long = "".join(f"line {i} of a long text\n" for i in range(2000)).encode()
+    labels = frame(spark, [(1, 1), (2, 0)], "doc_id long, quality int")
+    got = quality_cnn.labelled_sample(docs(spark, [(1, long.decode()), (2, "short")]), labels, labels["doc_id"] > 0)
+    assert [bytes(c) for c in got[0]["data"]] == [c.tobytes() for c in quality_cnn.chunks(long)]
+    assert len(got[0]["data"]) == -(-len(long) // quality_cnn.CHUNK) > 4
+
+
 def test_symbols_of_chunks_are_those_of_the_whole_text():
     data = (b"abc abc abc abc " * 700) + bytes(range(256)) * 20
     whole = quality_cnn.symbols(data)
