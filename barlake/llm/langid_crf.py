@@ -285,7 +285,7 @@ def _window_batches(batches):
 
 def fit_language(docs: DataFrame, train: Column, sample: int = SAMPLE) -> Chain:
     """The field learned from ``docs`` where ``train`` holds and ``lang`` is set."""
-    known = docs.where(train & F.col("lang").isNotNull()).select("doc_id", "lang")
+    known = docs.where(train & F.col("lang").isNotNull()).select("doc_id", "lang").distinct()
     labels = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     ids = None
     for lang in labels:
@@ -294,9 +294,10 @@ def fit_language(docs: DataFrame, train: Column, sample: int = SAMPLE) -> Chain:
     chain = Chain(labels)
     if ids is None:
         return chain
-    ids = ids.distinct()
+    # Of rows that repeat an id, one is learned; none without words if another has some.
     rows = (docs.select("doc_id", "text", "lang").join(F.broadcast(ids), ["doc_id", "lang"])
-            .mapInArrow(_window_batches, "doc_id long, lang string, windows array<binary>").collect())
+            .mapInArrow(_window_batches, "doc_id long, lang string, windows array<binary>")
+            .groupBy("doc_id", "lang").agg(F.max("windows").alias("windows")).collect())
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["lang"], [bytes(w) for w in r["windows"]]))
     number = {x: i for i, x in enumerate(labels)}
     return chain.fit([(number[r["lang"]], bytes(w).split(b" ")) for r in rows for w in r["windows"]])

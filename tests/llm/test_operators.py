@@ -124,6 +124,16 @@ def test_language_edge_rows_and_switches(spark):
     assert langid_crf.predict_languages(df.limit(0)).collect() == []
 
 
+def test_language_sample_is_of_distinct_documents(spark, monkeypatch):
+    first = spark.range(20).selectExpr("min_by(id, xxhash64(id))").first()[0]
+    rows = [(i, "wort" + "abcdefghijklmnopqrst"[i], "de") for i in range(20)] + [(first, "kopie", "de")] * 30 + [(first, "", "de"), (50, "word", "en")]
+    seen = []
+    monkeypatch.setattr(langid_crf.Chain, "fit", lambda self, windows: seen.extend(windows))
+    df = frame(spark, rows, "doc_id long, text string, lang string")
+    langid_crf.fit_language(df, df["doc_id"] >= 0, sample=5)
+    assert len(seen) == 6 and len({tuple(w) for _, w in seen}) == 6
+
+
 def test_marginals_against_all_paths():
     rng = np.random.default_rng(0)
     chain = langid_crf.Chain(["a", "b", "c"])
