@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, katz, langid_crf, packing, quality_cnn, token_cache, warc
+from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, katz, langid_crf, mixing, packing, quality_cnn, token_cache, warc
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
@@ -55,6 +55,10 @@ def q_katz_trigram(spark: SparkSession, d: str) -> DataFrame:
     return katz.score_documents(table(spark, d, "documents"), order=3)
 
 
+def q_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents")).drop("uid")
+
+
 QUERIES = {
     "op1_chunked_warc": q_warc,
     "op2_harmonic_packing": q_packing,
@@ -67,6 +71,7 @@ QUERIES = {
     "op9_embedding_near_dedup": q_embeddings,
     "op10_katz_backoff": q_katz,
     "op10_katz_trigram": q_katz_trigram,
+    "op13_pareto_mixing": q_mixing,
 }
 
 _ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -75,7 +80,47 @@ reach(id, r) AS (SELECT {id}, {id} FROM {nodes} UNION SELECT b.y, reach.r FROM r
 comp AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
 """
 
+
+def _mixing_sql() -> str:
+    """The strata of the sample as one common table each."""
+    levels = range(len(mixing.STRATA) + 1)
+    stratum = " + ".join(f"CAST(size * {k} < rest AS BIGINT)" for k in mixing.STRATA)
+    cuts, last = [], "goal"
+    for s in levels:
+        due = f"CASE WHEN rest > 0 THEN CAST(rest AS HUGEINT) * coalesce((SELECT sum(size) FROM o WHERE o.source_no = g.source_no AND stratum <= {s}), 0) // source_size ELSE 0 END"
+        cuts.append(f"""m{s} AS (SELECT g.*, {due} - given{s} AS may{s} FROM {last} g),
+e{s} AS (SELECT g.*, coalesce((SELECT max(upto) FROM o WHERE o.source_no = g.source_no AND stratum = {s} AND g.rest > 0 AND upto <= may{s}), 0) AS cut{s} FROM m{s} g),
+c{s} AS (SELECT *, given{s} + cut{s} AS given{s + 1} FROM e{s})""")
+        last = f"c{s}"
+    cut = "[" + ", ".join(f"cut{s}" for s in levels) + "][stratum + 1]"
+    return f"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no,
+      {list(mixing.WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight,
+      {mixing.LIMIT} * source_size AS cap FROM s),
+x AS (SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0) AS DOUBLE)
+      / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS rate FROM w
+      WINDOW before AS (ORDER BY CAST(cap AS DOUBLE) / weight, source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT rate FROM x WHERE cap > weight * rate ORDER BY CAST(cap AS DOUBLE) / weight, source_no LIMIT 1),
+t AS (SELECT source_no, source, source_size, least(CAST(cap AS DOUBLE), weight * coalesce((SELECT rate FROM level), 1e300)) AS target FROM w),
+goal AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS whole,
+      CAST(floor(target + 0.5) AS BIGINT) - whole * source_size AS rest, 0 AS given0 FROM t),
+o AS (SELECT *, sum(size) OVER (PARTITION BY source_no, stratum ORDER BY rank, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS upto FROM
+      (SELECT d.doc_id, d.size, goal.source_no, {stratum} AS stratum,
+         u / (1 - u) / (CASE WHEN rest > 0 THEN CAST(rest AS DOUBLE) / source_size / (1 - CAST(rest AS DOUBLE) / source_size) ELSE 1 END) AS rank
+       FROM (SELECT *, (CAST(CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
+               / {1 << 52}.0::DOUBLE AS u FROM d) d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source)),
+{", ".join(cuts)},
+j AS (SELECT o.*, c.source, source_size, target, whole, rest - given{len(cuts)} AS remains, upto <= {cut} AS inside FROM o JOIN {last} c USING (source_no)),
+one AS (SELECT source_no, min((abs(remains - size), stratum, upto)) AS k FROM j WHERE remains > 0 AND size > 0 AND NOT inside AND size < 2 * remains GROUP BY source_no),
+z AS (SELECT j.*, CASE WHEN size > 0 THEN whole + CAST(inside OR coalesce(stratum = k[2] AND upto = k[3], false) AS BIGINT) ELSE 0 END AS copies
+      FROM j LEFT JOIN one USING (source_no))
+SELECT doc_id, source, size, source_size, target, CAST(copies AS BIGINT) AS copies, CAST(copies * size AS BIGINT) AS taken FROM z"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_pareto_mixing": _mixing_sql(),
     "op1_chunked_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
 t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
