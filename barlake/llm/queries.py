@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, katz, langid_crf, mixing, packing, quality_cnn, token_cache, warc
+from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, katz, langid_crf, mixing, packing, quality_cnn, token_cache, warc, whitening
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
@@ -55,6 +55,10 @@ def q_katz_trigram(spark: SparkSession, d: str) -> DataFrame:
     return katz.score_documents(table(spark, d, "documents"), order=3)
 
 
+def q_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings"), components=32)
+
+
 def q_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).drop("uid")
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op9_embedding_near_dedup": q_embeddings,
     "op10_katz_backoff": q_katz,
     "op10_katz_trigram": q_katz_trigram,
+    "op12_cholesky_whitening": q_whitening,
     "op13_pareto_mixing": q_mixing,
 }
 
