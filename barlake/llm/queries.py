@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, katz, langid_crf, mixing, packing, quality_cnn, token_cache, warc, whitening
+from barlake.llm import credentials, decontam, embedding_lsh, jaccard_rtree, katz, langid_crf, mixing, packing, prefix_trie, quality_cnn, token_cache, warc, whitening
 from barlake.llm.storage import table
 from barlake.session import scratch_dir
 
@@ -55,6 +55,10 @@ def q_katz_trigram(spark: SparkSession, d: str) -> DataFrame:
     return katz.score_documents(table(spark, d, "documents"), order=3)
 
 
+def q_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, d, "conversations")).drop("id")
+
+
 def q_whitening(spark: SparkSession, d: str) -> DataFrame:
     return whitening.whiten(table(spark, d, "embeddings"), components=32)
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op9_embedding_near_dedup": q_embeddings,
     "op10_katz_backoff": q_katz,
     "op10_katz_trigram": q_katz_trigram,
+    "op11_prefix_trie": q_trie,
     "op12_cholesky_whitening": q_whitening,
     "op13_pareto_mixing": q_mixing,
 }
@@ -124,7 +129,34 @@ z AS (SELECT j.*, CASE WHEN size > 0 THEN whole + CAST(inside OR coalesce(stratu
 SELECT doc_id, source, size, source_size, target, CAST(copies AS BIGINT) AS copies, CAST(copies * size AS BIGINT) AS taken FROM z"""
 
 
+#: CRC-32 of a decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], range(0, 8 * len({s}))), lambda crc, i:
+  list_transform([xor(crc, CASE WHEN i % 8 = 0 THEN ascii({s}[CAST(i // 8 + 1 AS INT)]) ELSE 0 END)],
+                 lambda v: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))[1]))"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_prefix_trie": f"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) - 1 AS i FROM r),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, h, n FROM (SELECT conv_id, count(*) AS n,
+        {_CRC32.format(s="CAST(conv_id AS VARCHAR)")} % 6 AS h FROM r GROUP BY conv_id)),
+k AS (SELECT c.*, least(h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN (SELECT conv_id, n FROM c) b ON b.conv_id = c.base),
+m AS (SELECT k.conv_id, t.i AS place, role, text FROM k JOIN t ON t.conv_id = k.base AND t.i < h
+      UNION ALL SELECT k.conv_id, t.i - h + taken, role, text FROM k JOIN t ON t.conv_id = k.conv_id AND t.i >= h),
+p AS (SELECT conv_id, place + 1 AS depth, length(text) AS points, string_agg(length(role) || ':' || length(text) || ':' || role || text, '')
+        OVER (PARTITION BY conv_id ORDER BY place) AS path FROM m),
+q AS (SELECT conv_id, depth, points, path, lag(path, 1, '') OVER (PARTITION BY conv_id ORDER BY depth) AS up FROM p
+      UNION ALL SELECT conv_id, 0, 0, '', NULL FROM c),
+node AS (SELECT path, min(up) AS up, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(points) AS points FROM q GROUP BY path, depth),
+fan AS (SELECT up, count(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up),
+own AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN fan ON fan.up = node.path),
+total AS (SELECT q.path, count(*) FILTER (own.n_children = 0) AS n_leaves, sum((own.n_convs - 1) * own.points) AS saved_tokens
+          FROM own JOIN q ON q.conv_id = own.conv_id AND q.depth <= own.depth GROUP BY q.path),
+ends AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+         FROM (SELECT conv_id, arg_max(path, depth) AS path FROM q GROUP BY conv_id) GROUP BY path)
+SELECT own.conv_id, CAST(own.depth AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM own JOIN total USING (path) LEFT JOIN node parent ON parent.path = own.up LEFT JOIN ends ON ends.path = own.path""",
     "op13_pareto_mixing": _mixing_sql(),
     "op1_chunked_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
