@@ -56,6 +56,9 @@ LEAF_TOKENS = 2_000_000
 #: (24 bytes each), and joined by a shuffle beyond.
 BROADCAST_ROWS = 200_000
 TEXT_BATCH = 512
+#: Bytes of an Arrow batch, about; a task holds a few at a time.
+BATCH_BYTES = "8m"
+_BATCH_BYTES, _DEFAULT_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: Signatures a task sorts at once, and tokens per range of keys, about.
 KEY_BLOCK = 400_000
 KEY_PART = 1_000_000
@@ -312,6 +315,15 @@ def _by_unit(work):
     return run
 
 
+def _sets(part: pa.RecordBatch) -> list[np.ndarray]:
+    """Token sets as views of the batch's own buffer."""
+    col = part.column("tokens")
+    _, offsets, data = col.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[col.offset:col.offset + len(col) + 1]
+    return [np.frombuffer(data, dtype=np.uint64, count=(hi - lo) // 8, offset=lo) if hi > lo else np.zeros(0, dtype=np.uint64)
+            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
 def _points(part: pa.RecordBatch) -> np.ndarray:
     return part.column("point").flatten().to_numpy(zero_copy_only=False).reshape(-1, GROUPS)
 
@@ -319,9 +331,9 @@ def _points(part: pa.RecordBatch) -> np.ndarray:
 def _unit_batches(t: Threshold):
     """Rows sorted by unit, then size: the links of each unit."""
     def work(part: pa.RecordBatch):
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in part.column("tokens").to_pylist()]
+        sets = _sets(part)
         cid, comp, side = (part.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "comp", "side"))
-        out = links_in(sets, _points(part), comp, side, t)
+        out = links_in(sets, np.stack([point(s) for s in sets]), comp, side, t)
         if not out:
             return None
         a, b = (pa.array(cid[list(x)], pa.int64()) for x in zip(*out))
@@ -356,7 +368,7 @@ def _pivot_batches(t: Threshold):
     def work(part: pa.RecordBatch):
         side = part.column("side").to_pylist()
         cid = part.column("cid").to_pylist()
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in part.column("tokens").to_pylist()]
+        sets = _sets(part)
         pivots = [i for i, x in enumerate(side) if x]
         out = [(cid[i], cid[p]) for i, x in enumerate(side) if not x for p in pivots
                if cid[i] != cid[p] and overlap(sets[i], sets[p]) >= t.needs(len(sets[i]), len(sets[p]))]
@@ -442,7 +454,7 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     passed = units.repartition(width, "blob", "unit").sortWithinPartitions(*order).mapInArrow(
         _bound_batches(t), "blob long, unit long, n long, cid long, side int, comp long")
     passed = materialise(spark, passed, "leaf-candidates")
-    found = passed.join(mine.select("cid", "tokens", "point"), "cid").select(*order, "side", "comp", "tokens", "point")
+    found = passed.join(mine.select("cid", "tokens"), "cid").select(*order, "side", "comp", "tokens")
     found = found.repartition(width, "blob", "unit").sortWithinPartitions(*order).mapInArrow(_unit_batches(t), "a long, b long")
     return first.unionByName(found)
 
@@ -454,6 +466,9 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
     uid of the row that stands for the component.  ``uid`` names a column with
     a distinct long per row; without it one is made."""
     spark, t = docs.sparkSession, Threshold(part, whole)
+    # Sets are long rows: batches of them are cut by size, unless the session has a size of its own.
+    if spark.conf.get(_BATCH_BYTES) == _DEFAULT_BYTES:
+        spark.conf.set(_BATCH_BYTES, BATCH_BYTES)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hashed = F.xxhash64("text").alias("h")
     mark = F.col(uid) if uid else F.monotonically_increasing_id()
@@ -481,8 +496,7 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
     fits = (F.col("k") <= leaf) & (F.col("all") <= 2 * LEAF_TOKENS)
     count = materialise(spark, count.select("blob", fits.alias("fits")), "blob-sizes")
     small = sets.join(count.where("fits").select("blob"), "blob", "left_semi")
-    small = small.select("blob", F.lit(0).cast("long").alias("unit"), F.lit(0).alias("side"), "cid", F.col("cid").alias("comp"), "n",
-                         "tokens", "point")
+    small = small.select("blob", F.lit(0).cast("long").alias("unit"), F.lit(0).alias("side"), "cid", F.col("cid").alias("comp"), "n", "tokens")
     links = small.repartition(width, "blob").sortWithinPartitions("blob", "unit", "n", "cid").mapInArrow(
         _unit_batches(t), "a long, b long")
     if not count.where("NOT fits").isEmpty():
