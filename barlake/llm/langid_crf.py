@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 TABLE_BITS = 16
 SAMPLE = 500
-WINDOWS, WINDOW_WORDS = 3, 80
 SEQUENCE = 96
 STEPS = 300
 BATCH = 24
@@ -44,12 +43,13 @@ STRETCH = 1 << 18
 BATCH_WORDS = 1 << 18
 
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Words of letters (any byte beyond ASCII counts), in lower case."""
-    if not text or not _LETTER.search(text):
+    """Words of letters (any byte beyond ASCII counts), in lower case; none in
+    a text without a letter (number characters such as a half are none)."""
+    if not text or not any(m[0].isalpha() for m in _MAYBE.finditer(text)):
         return []
     return _WORD.findall(text.lower().encode("utf-8", "surrogatepass"))
 
@@ -272,15 +272,11 @@ class Chain:
         return got, pair.sum(axis=(0, 1))
 
 
-def _window_batches(batches):
+def _word_batches(batches):
     for b in batches:
-        rows = []
-        for t in b.column("text").to_pylist():
-            w = words_of(t)
-            at = np.unique(np.linspace(0, max(0, len(w) - WINDOW_WORDS), WINDOWS).round().astype(int)) if w else []
-            rows.append([b" ".join(w[i:i + WINDOW_WORDS]) for i in at])
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("lang"), pa.array(rows, pa.list_(pa.binary()))],
-                                         ["doc_id", "lang", "windows"])
+        rows = [b" ".join(words_of(t)) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("lang"), pa.array(rows, pa.binary())],
+                                         ["doc_id", "lang", "words"])
 
 
 def fit_language(docs: DataFrame, train: Column, sample: int = SAMPLE) -> Chain:
@@ -294,13 +290,13 @@ def fit_language(docs: DataFrame, train: Column, sample: int = SAMPLE) -> Chain:
     chain = Chain(labels)
     if ids is None:
         return chain
-    # Of rows that repeat an id, one is learned; none without words if another has some.
+    # Of rows that repeat an id, one is learned; one without words if no other has some.
     rows = (docs.select("doc_id", "text", "lang").join(F.broadcast(ids), ["doc_id", "lang"])
-            .mapInArrow(_window_batches, "doc_id long, lang string, windows array<binary>")
-            .groupBy("doc_id", "lang").agg(F.max("windows").alias("windows")).collect())
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["lang"], [bytes(w) for w in r["windows"]]))
+            .mapInArrow(_word_batches, "doc_id long, lang string, words binary")
+            .groupBy("doc_id", "lang").agg(F.max("words").alias("words")).collect())
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["lang"]))
     number = {x: i for i, x in enumerate(labels)}
-    return chain.fit([(number[r["lang"]], bytes(w).split(b" ")) for r in rows for w in r["windows"]])
+    return chain.fit([(number[r["lang"]], bytes(r["words"]).split()) for r in rows])
 
 
 def identify(docs: DataFrame, chain: Chain) -> DataFrame:
