@@ -12,11 +12,11 @@ document):
 * ``ident`` needs a secret (``assign``, ``hex`` or ``blob``),
 * ``endpoint`` needs both an identifier and a secret.
 
-Linking is an interval join on (row, scope, stretch of ``reach`` characters):
-parts are placed in each stretch their reach touches, candidates in each
-stretch they cover, and semi joins keep the candidates with a part near
-enough.  A stretch holds at most ``reach`` parts, so no group grows with the
-data.
+Linking joins candidates with the intervals of text, the scopes, that hold
+them: the first identifier and the first secret of each (row, scope) decide
+for all its candidates, without pairs of parts.  ``reach`` asks for parts at most so many characters away as well; parts are then placed in each
+stretch of ``reach`` characters they touch, candidates in each stretch they
+cover, and semi joins keep the candidates with a part near enough.
 
 Edge cases: null text counts as empty; a document without spans has counts 0,
 empty ``spans`` and the digest of the empty string; repeated rows are scanned
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 
 import pandas as pd
@@ -52,7 +53,6 @@ _ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc|postgres(?:ql)?|mysql|redis|a
 _BLOB = re.compile(r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{32,}(?![A-Za-z0-9/+])")
 _BREAK = re.compile(r"\n[ \t\r]*\n")
 KINDS = ("assign", "access", "hex", "ident", "blob", "endpoint")
-REACH = 400
 
 _SPAN = "array<struct<start:long,ord:int,end:long>>"
 _WEAK = "array<struct<start:long,ord:int,end:long,scope:long>>"
@@ -77,19 +77,19 @@ def weak_spans(text: str, base: list) -> list[tuple[int, int, int]]:
     idents = [(m.start(1), 3, m.end(1)) for m in _IDENT.finditer(text)] if any(w in low for w in _IDENT_WORDS) else []
     if not idents and not any(k == 1 for _, k, _ in base):
         return []
-    taken = [(s, e) for s, _, e in base]
-    starts = [s for s, _ in taken]
+    starts = [s for s, _, _ in base]
+    ends = list(itertools.accumulate((e for _, _, e in base), max))
 
     def free(s: int, e: int) -> bool:
         i = bisect.bisect_left(starts, e)
-        return not any(b > s for _, b in taken[max(0, i - 3):i])
+        return not i or ends[i - 1] <= s
 
     blobs = [(m.start(), 4, m.end()) for m in _BLOB.finditer(text)
              if free(m.start(), m.end()) and re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0])]
     if not blobs and all(k == 1 for _, k, _ in base):
         return []
-    ends = [(m.start(), 5, m.end()) for m in _ENDPOINT.finditer(text)] if b"://" in low else []
-    return sorted([x for x in idents if free(x[0], x[2])] + blobs + ends)
+    places = [(m.start(), 5, m.end()) for m in _ENDPOINT.finditer(text)] if b"://" in low else []
+    return sorted([x for x in idents if free(x[0], x[2])] + blobs + places)
 
 
 def _digest(spans: list) -> str:
@@ -129,7 +129,18 @@ def credential_parts(docs: DataFrame) -> DataFrame:
     return materialise(docs.sparkSession, found, "credential-parts")
 
 
-def link_credentials(parts: DataFrame, reach: int = REACH) -> DataFrame:
+def link_in_scopes(parts: DataFrame) -> DataFrame:
+    """The weak candidates of (uid, scope, start, ord, end) rows that have the
+    parts they lack somewhere in their scope."""
+    first_id = F.min(F.when(F.col("ord").isin(1, 3), F.col("start"))).alias("first_id")
+    first_secret = F.min(F.when(F.col("ord").isin(0, 2, 4), F.col("start"))).alias("first_secret")
+    scopes = parts.where("ord < 5").groupBy("uid", "scope").agg(first_id, first_secret)
+    lacks = ("CASE ord WHEN 3 THEN first_secret IS NULL WHEN 4 THEN first_id IS NULL "
+             "ELSE first_id IS NULL OR first_secret IS NULL END")
+    return parts.where("ord >= 3").join(scopes, ["uid", "scope"]).where(f"NOT ({lacks})").select("uid", "start", "ord", "end")
+
+
+def link_credentials(parts: DataFrame, reach: int) -> DataFrame:
     """The weak candidates of (uid, scope, start, ord, end) rows that have the
     parts they lack within ``reach`` characters."""
     def stretch(lo: Column, hi: Column) -> Column:
@@ -155,15 +166,15 @@ def link_credentials(parts: DataFrame, reach: int = REACH) -> DataFrame:
     return blobs.unionByName(idents).unionByName(both)
 
 
-def _linked(found: DataFrame, reach: int) -> DataFrame:
+def _linked(found: DataFrame, reach: int | None) -> DataFrame:
     parts = found.where(F.size("parts") > 0).select("uid", F.inline("parts"))
-    weak = link_credentials(parts, reach).groupBy("uid").agg(F.collect_list(F.struct("start", "ord", "end")).alias("weak"))
+    weak = (link_in_scopes(parts) if reach is None else link_credentials(parts, reach)).groupBy("uid").agg(F.collect_list(F.struct("start", "ord", "end")).alias("weak"))
     none = F.array().cast(_SPAN)
     return found.join(weak, "uid", "left").withColumn(
         "all", F.array_sort(F.concat("base", F.coalesce("weak", none))))
 
 
-def scan_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def scan_secrets(docs: DataFrame, reach: int | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) per row."""
     found = credential_parts(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"))
     kinds = F.array(*[F.lit(k) for k in KINDS])
@@ -172,7 +183,7 @@ def scan_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
                                         F.concat_ws(",", said).alias("spans"))
 
 
-def redact(docs: DataFrame, reach: int = REACH, mark: str = "[REDACTED]") -> DataFrame:
+def redact(docs: DataFrame, reach: int | None = None, mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mark``; all rows and
     columns stay, ``n_chars`` follows the new text where the column exists."""
     spark = docs.sparkSession
