@@ -11,8 +11,9 @@ A suffix that leaves the benchmark's vocabulary before the shortest window
 ends cannot match, so such suffixes are not entered; this changes no result.
 
 The benchmark is taken in blocks of at most about ``BLOCK_WORDS`` words, each
-sent to the executors on its own; longer items are cut into overlapping
-stretches.  A benchmark of one block, the usual case, needs no shuffle.
+sent to the executors on its own; an item stays in one block, however long,
+so no match is cut.  A benchmark of one block, the usual case, needs no
+shuffle.  ``verbatim_matches`` gives the matches themselves.
 
 Edge cases: null or empty text has no words (0 counts, not contaminated);
 items without words have no windows; repeated items count once; an item
@@ -129,19 +130,18 @@ def search_shard(block: TestBlock, ids: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def longest_matches(block: TestBlock, pos: np.ndarray, win: np.ndarray) -> list[tuple[int, int, str, int]]:
     """(training start, words, item, item start) of the maximal verbatim
-    matches among the occurrences of one document."""
-    pairs = [(int(p), int(s)) for p, w in zip(pos, win) for s in block.members[w]]
-    pairs = sorted((p - int(block.start[s]), p, s) for p, s in pairs)
+    matches among the occurrences of one document, by item and diagonal: an
+    item's stretches follow each other without a gap."""
+    hits = [(int(block.item[t]), int(p) - int(block.place[t]), int(p), int(block.width[s]))
+            for p, w in zip(pos, win) for s in block.members[w] for t in (block.start[s],)]
     out: list[list] = []
     last = None
-    for diag, p, s in pairs:
-        width = int(block.width[s])
-        if last and last[0] == diag and p == last[1] + 1:
+    for item, diag, p, width in sorted(set(hits)):
+        if last == (item, diag, p - 1):
             out[-1][1] = p + width - out[-1][0]
         else:
-            t = int(block.start[s])
-            out.append([p, width, block.names[block.item[t]], int(block.place[t])])
-        last = (diag, p)
+            out.append([p, width, block.names[item], p - diag])
+        last = (item, diag, p)
     return [tuple(x) for x in out]
 
 
@@ -155,8 +155,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _judge(block: TestBlock, docs: list[list[bytes]]) -> list[tuple]:
-    """(hit spans, items, longest match) of each document of a shard."""
+def _numbered(block: TestBlock, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each document, word numbers with 0 between documents)."""
     lens = np.array([len(d) for d in docs], dtype=np.int64)
     first = np.cumsum(lens + 1) - (lens + 1)
     ids = np.zeros(int((lens + 1).sum()), dtype=np.int32)
@@ -164,6 +164,12 @@ def _judge(block: TestBlock, docs: list[list[bytes]]) -> list[tuple]:
     for at, d in zip(first.tolist(), docs):
         if d:
             ids[at:at + len(d)] = np.fromiter(map(get, d, repeat(0)), dtype=np.int32, count=len(d))
+    return first, ids
+
+
+def _judge(block: TestBlock, docs: list[list[bytes]]) -> list[tuple]:
+    """(hit spans, items, longest match) of each document of a shard."""
+    first, ids = _numbered(block, docs)
     pos, win = search_shard(block, ids)
     out: list[tuple] = [([], [], 0)] * len(docs)
     if not len(pos):
@@ -224,15 +230,16 @@ def _search_batches(block, state: str, text: str):
 
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
-    """Yield the benchmark as lists of stretches of about ``block_words``
-    words together; never more of it is on the driver at once."""
+    """Yield the benchmark as lists of stretches of whole items, of about
+    ``block_words`` words together (or one item); never more of it is on the
+    driver at once."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
     cut = materialise(benchmark.sparkSession,
                       items.mapInArrow(_stretch_batches, "item string, start long, n long, words binary").distinct(), "benchmark")
     total = cut.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // block_words)
     for i in range(blocks):
-        yield cut.where(F.pmod(F.xxhash64("item", "start"), F.lit(blocks)) == i).collect()
+        yield cut.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == i).collect()
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, prefix: str = "", text: str = "text",
@@ -253,6 +260,44 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, prefix: str = "", text: str
     return out
 
 
+_MATCH = "doc_start long, words long, item_id string, item_start long"
+
+
+def _match_batches(block, keep: list[str], text: str):
+    def run(batches):
+        index = block.value
+        for b in batches:
+            for at, docs in _shards(b.column(text).to_pylist()):
+                first, ids = _numbered(index, docs)
+                pos, win = search_shard(index, ids)
+                order = np.argsort(pos, kind="stable")
+                pos, win = pos[order], win[order]
+                of = np.searchsorted(first, pos, "right") - 1
+                cuts = np.searchsorted(of, np.arange(len(docs) + 1))
+                rows = [(at + d, m) for d in np.flatnonzero(np.diff(cuts))
+                        for m in longest_matches(index, pos[cuts[d]:cuts[d + 1]] - first[d], win[cuts[d]:cuts[d + 1]])]
+                if rows:
+                    of_row = pa.array([i for i, _ in rows], pa.int64())
+                    cols = [pa.array(c, t) for c, t in zip(zip(*(m for _, m in rows)), (pa.int64(), pa.int64(), pa.string(), pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([*[b.column(c).take(of_row) for c in keep], *cols],
+                                                     [*keep, *(c.split()[0] for c in _MATCH.split(", "))])
+    return run
+
+
+def verbatim_matches(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text",
+                     block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(``keep``, doc_start, words, item_id, item_start): one row per longest
+    verbatim match of a window or more between a document and an item, with
+    its places in words."""
+    spark, keep = docs.sparkSession, list(keep)
+    held = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    out = spark.createDataFrame([], f"{held}, {_MATCH}")
+    for rows in benchmark_blocks(benchmark, block_words):
+        block = spark.sparkContext.broadcast(TestBlock(rows))
+        out = out.unionByName(docs.select(*keep, text).mapInArrow(_match_batches(block, keep, text), f"{held}, {_MATCH}"))
+    return out
+
+
 def _n_hit(hits: str):
     return F.aggregate(hits, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
 
