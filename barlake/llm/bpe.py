@@ -9,10 +9,12 @@ and starts afresh beyond that.
 
 A single piece is costly in ``tokenizers``, which tracks offsets.  Where the
 vocabulary file's merges are in id order, ``tiktoken`` does the same merges
-from the same file several times faster, so plain pieces go there.  That
-is checked when the file is loaded, and again on the first pieces of each
-worker, which both libraries encode; if either fails, and for pieces that hold
-a special string, ``tokenizers`` does the work.
+from the same file several times faster, so plain pieces go there.  Beyond
+ASCII the two could still differ in the class they give a character: each such
+character is put through both among letters, digits, marks and white space
+when a worker first meets it, and pieces that hold one with different ids,
+or a special string, always go to ``tokenizers``.  Which library a piece goes
+to depends on its characters alone, never on the worker or the order of texts.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from array import array
 
 #: Pieces one worker remembers (about 200 bytes each).
 CACHE_PIECES = 800_000
-#: So many pieces of each worker are encoded by both libraries.
-COMPARED = 2_000
+#: Surroundings in which both libraries must agree on a character.
+PROBES = ("{c}", "a{c}", "{c}a", "1{c}", "{c}1", "!{c}", "{c}!", " {c}", "{c} ", "a{c}a", "1{c}1", "!{c}!", " {c}{c} a", "{c}{c}{c}", "'{c}s", "a {c}1!{c}  {c}a")
 #: Texts whose new pieces go to the library together.
 GROUP = 256
 
@@ -88,24 +90,29 @@ class PieceEncoder:
         self._tok.no_padding()
         self._special = re.compile("|".join(re.escape(t.content) for t in self._tok.get_added_tokens_decoder().values()) or r"(?!)")
         self._quick = _fast(path)
-        self._compared = 0
+        self._same: set = set()    # characters beyond ASCII on which both agree
+        self._differ: set = set()  # and the others
         self._spaced: dict = {}   # piece after a space; None: it ends in white space
         self._bare: dict = {}     # piece as it stands
 
     def _slow(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _probe(self, chars: set) -> None:
+        """Sort characters not met before into those both libraries treat alike
+        and the rest."""
+        new = sorted(c for c in chars - self._same - self._differ if c > "\x7f")
+        probes = [p.format(c=c) for c in new for p in PROBES]
+        alike = [a == array("I", self._quick(t)).tobytes() for t, a in zip(probes, self._slow(probes))] if new else []
+        for i, c in enumerate(new):
+            (self._same if all(alike[i * len(PROBES):(i + 1) * len(PROBES)]) else self._differ).add(c)
+
     def _library(self, texts: list[str]) -> list[bytes]:
         if self._quick is None:
             return self._slow(texts)
-        quick, odd = self._quick, self._special.search
-        out = [None if odd(t) else array("I", quick(t)).tobytes() for t in texts]
-        if self._compared < COMPARED:
-            sure = self._slow(texts[:COMPARED])
-            self._compared += len(sure)
-            if any(a is not None and a != b for a, b in zip(out, sure)):
-                self._quick = None
-                return self._slow(texts)
+        self._probe({c for t in texts if not t.isascii() for c in t})
+        quick, special, differ = self._quick, self._special.search, self._differ
+        out = [None if special(t) or differ and not differ.isdisjoint(t) else array("I", quick(t)).tobytes() for t in texts]
         left = [i for i, x in enumerate(out) if x is None]
         for i, x in zip(left, self._slow([texts[i] for i in left])):
             out[i] = x
