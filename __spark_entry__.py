@@ -447,6 +447,35 @@ def q_metrics_stream(spark, d):
     return _round_cols(out, ["close_sma_20", "close_sma_200"])
 
 
+def q_metrics_state_stream(spark, d):
+    """Metrics from keyed state: the user bars arrive in three chunks of days;
+    every batch touches the state of its own tickers only."""
+    from barlake.streaming.state_metrics import run_state_metrics_once, state_metrics_table
+    root = scratch_dir(spark, "state-metrics")
+    raw = FX.dirty_bars(spark, d, "user")
+    cuts = [("1900-01-01", FX.UPDATE_FROM), (FX.UPDATE_FROM, FX.SINK_CUT), (FX.SINK_CUT, "2999-12-31")]
+    for i, (lo, hi) in enumerate(cuts):
+        days = (F.col("date") > F.lit(lo).cast("date")) & (F.col("date") <= F.lit(hi).cast("date"))
+        raw.where(days).write.parquet(f"{root}/raw/run={i}")
+        run_state_metrics_once(spark, f"{root}/raw", f"{root}/out", f"{root}/_checkpoints/state")
+    return _round_cols(state_metrics_table(spark, f"{root}/out"), ["close_sma_20", "close_sma_200"])
+
+
+def q_alert_rearm_state(spark, d):
+    """R5 on state: the brand series' firing days arrive in two chunks, the
+    kept notices equal the batch operator's."""
+    from barlake.streaming.state_metrics import notices_table, run_state_rearm_once
+    hits = A.rule_hits(chains.metrics(spark, d, "brand"), alert_rules(spark), latest_only=False)
+    root = scratch_dir(spark, "state-rearm")
+    A.firing_days(hits).select("rule_id", "date").write.parquet(f"{root}/all")
+    firings = spark.read.parquet(f"{root}/all")
+    half = F.col("date") <= F.lit("1995-06-30").cast("date")
+    for i, chunk in enumerate((half, ~half)):
+        firings.where(chunk).write.parquet(f"{root}/firings/run={i}")
+        run_state_rearm_once(spark, f"{root}/firings", f"{root}/out", f"{root}/_checkpoints/rearm", DEFAULT_REARM)
+    return notices_table(spark, f"{root}/out").where("kind = 'kept'").select("rule_id", "date")
+
+
 def _saved_hits(spark, d, alerts) -> DataFrame:
     from barlake.plans import saved_queries as SQ
     return SQ.run_saved(spark, SQ.hits_statement(SQ.table_ref(_metrics_table(spark, d)), alerts))
@@ -528,6 +557,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_pipeline_long": q_daily_pipeline_long,
     "daily_incremental": q_daily_incremental,
     "metrics_stream": q_metrics_stream,
+    "metrics_state_stream": q_metrics_state_stream,
+    "alert_rearm_state": q_alert_rearm_state,
 }
 
 
@@ -666,6 +697,8 @@ SELECT rule_id, 0 AS part, CAST(NULL AS VARCHAR) AS ticker, subject AS text FROM
 UNION ALL SELECT rule_id, 1, NULL, body FROM m
 UNION ALL SELECT rule_id, 2, ticker, ticker || ' ' || CAST(date AS VARCHAR) || ' ' || CAST(CAST(value AS DECIMAL(10,3)) AS VARCHAR) FROM h"""
     sql["alert_rearm_stream"] = sql["alert_rearm"]
+    sql["alert_rearm_state"] = sql["alert_rearm_100"]
+    sql["metrics_state_stream"] = sql["metrics_all"]
     sql.update(_ingest_oracle())
     sql.update(_landing_oracle())
     return sql
