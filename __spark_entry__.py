@@ -20,6 +20,7 @@ from barlake.config import DEFAULT_ALERTS, DEFAULT_REARM, alert_rules
 from barlake.functions.exprs import rounded, to_decimal_10_3
 from barlake.functions.text import sma_text
 from barlake.operators import alerts as A
+from barlake.operators import exact as EX
 from barlake.operators import incremental as INC
 from barlake.operators import ingest as I
 from barlake.operators import metrics as M
@@ -125,6 +126,24 @@ def _crossover(spark, d, periods):
     return df.select("ticker", "date", name)
 
 
+def q_sma_exact_double(spark, d):
+    """Both SMAs as exact quotients of exact sums."""
+    out = EX.compute_metrics_exact(chains.refined(spark, d, "brand"), [("sma_crossover", 20), ("sma_crossover", 200)])
+    return _round_cols(out.select("ticker", "date", "close_sma_20", "close_sma_200"), ["close_sma_20", "close_sma_200"])
+
+
+def q_crossover_exact_double(spark, d):
+    """Crossovers decided by integers: no rounding makes or hides one."""
+    out = EX.compute_metrics_exact(chains.refined(spark, d, "brand"), [("sma_crossover", 20), ("sma_crossover", 200)])
+    return out.select("ticker", "date", "close_sma_20_co", "close_sma_200_co")
+
+
+def q_metrics_ticks_exact(spark, d):
+    """Every event as a tick of its type's series, exact, in blocks."""
+    out = EX.compute_metrics_exact_long(_ticks(spark, d), order="ts")
+    return _round_cols(out, ["close_sma_20", "close_sma_200"])
+
+
 def q_crossover_20(spark, d):
     return _crossover(spark, d, 20)
 
@@ -511,6 +530,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sma_200": q_sma_200,
     "sma_exact": q_sma_exact,
     "sma_cents": q_sma_cents,
+    "sma_exact_double": q_sma_exact_double,
+    "crossover_exact_double": q_crossover_exact_double,
     "crossover_20": q_crossover_20,
     "crossover_200": q_crossover_200,
     "metrics_all": q_metrics_all,
@@ -521,6 +542,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_incremental": q_metrics_incremental,
     "metrics_ticks": q_metrics_ticks,
     "metrics_ticks_long": q_metrics_ticks_long,
+    "metrics_ticks_exact": q_metrics_ticks_exact,
     "alert_price_5": q_alert_price_5,
     "alert_price_10": q_alert_price_10,
     "alert_sma_20": q_alert_sma_20,
@@ -653,6 +675,15 @@ SELECT ticker, ts, close, close_previous, close_change, {r('s20')} AS close_sma_
   CASE WHEN f200 > 0 AND f200 <> lag(f200) OVER {wt} THEN 1
        WHEN f200 < 0 AND f200 <> lag(f200) OVER {wt} THEN -1 ELSE 0 END AS close_sma_200_co
 FROM t2"""
+    exact = c("brand", "refined") + ", " + O.exact_flags("refined_brand", "date")
+    sql["sma_exact_double"] = exact + f"SELECT ticker, date, {r('s20')} AS close_sma_20, {r('s200')} AS close_sma_200 FROM e2"
+    sql["crossover_exact_double"] = exact + f"""SELECT ticker, date, {O._co('f20')} AS close_sma_20_co,
+  {O._co('f200')} AS close_sma_200_co FROM e2"""
+    sql["metrics_ticks_exact"] = ("WITH t AS (SELECT event_type AS ticker, ts, value AS close FROM events), " + O.exact_flags("t", "ts")
+                                  + f"""SELECT ticker, ts, close, lag(close) OVER {wt} AS close_previous,
+  (close - lag(close) OVER {wt}) / nullif(lag(close) OVER {wt}, 0) * 100 AS close_change,
+  {r('s20')} AS close_sma_20, {O._co('f20').replace(O.W, wt)} AS close_sma_20_co,
+  {r('s200')} AS close_sma_200, {O._co('f200').replace(O.W, wt)} AS close_sma_200_co FROM e2""")
     sql["metrics_ticks"] = ticks
     sql["metrics_ticks_long"] = ticks
     sql["alert_price_5_sql"] = sql["alert_price_5"]

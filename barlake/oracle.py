@@ -98,6 +98,16 @@ def _co(flag: str) -> str:
             f"WHEN {flag} < 0 AND {flag} <> {prev} THEN -1 ELSE 0 END")
 
 
+def exact_flags(table: str, order: str) -> str:
+    """Averages and flags from integers: a close is a whole number of 2**-60."""
+    frames = ", ".join(f"sum(x) OVER (PARTITION BY ticker ORDER BY {order} ROWS BETWEEN {n} PRECEDING AND CURRENT ROW) AS t{n}, "
+                       f"count(x) OVER (PARTITION BY ticker ORDER BY {order} ROWS BETWEEN {n} PRECEDING AND CURRENT ROW) AS n{n}" for n in (20, 200))
+    unit = f"{1 << 60}.0"
+    means = ", ".join(f"CAST(t{n} AS DOUBLE) / n{n} / CAST({unit} AS DOUBLE) AS s{n}, CASE WHEN x * n{n} >= t{n} THEN 1 ELSE -1 END AS f{n}" for n in (20, 200))
+    return (f"e0 AS (SELECT *, CAST(CAST(close AS DOUBLE) * CAST({unit} AS DOUBLE) AS HUGEINT) AS x FROM {table}),\n"
+            f"e1 AS (SELECT *, {frames} FROM e0),\ne2 AS (SELECT *, {means} FROM e1)\n")
+
+
 def _metrics(kind: str) -> str:
     return f"""SELECT ticker, date, open, high, low, close, volume, close_previous, close_change,
        close_sma_20, {_co('f20')} AS close_sma_20_co,
