@@ -31,7 +31,9 @@ from barlake.schema import BARS_SCHEMA, LANDING_FIELDS, QUARANTINE_SCHEMA
 from barlake.session import scratch_dir
 from barlake.sources import fixtures as FX
 from barlake.sources.landing import STUB_LINE, landing_lines, read_landing, split_symbol, symbol_of_path
-from barlake.sources.tables import read_table, scan
+from barlake.sources.merge import upsert_table
+from barlake.sources.catalog import save_bucketed
+from barlake.sources.tables import overwrite, read_table, scan
 from barlake.streaming.landing_stream import run_once
 
 try:
@@ -223,7 +225,6 @@ def q_metrics_ticks_long(spark, d):
 
 def _metrics_table(spark, d) -> str:
     """The user metrics written as a date-partitioned parquet table."""
-    from barlake.sources.tables import overwrite
     path = scratch_dir(spark, "metrics")
     overwrite(chains.metrics(spark, d, "user"), path, ["date"])
     return path
@@ -356,6 +357,22 @@ def q_upsert_update(spark, d):
     return I.upsert(FX.sink_bars(spark, d), FX.update_bars(spark, d), on_match="update")
 
 
+def q_upsert_table(spark, d):
+    """The merge into the stored table, with the close of one loaded day
+    corrected to half: only days with changes are rewritten."""
+    path = f"{scratch_dir(spark, 'upsert')}/raw"
+    overwrite(FX.sink_bars(spark, d), path, ["date"])
+    upsert_table(spark, path, FX.corrected_bars(spark, d))
+    return scan(spark, path, BARS_SCHEMA).select(*BARS_SCHEMA.fieldNames())
+
+
+def q_metrics_bucketed(spark, d):
+    """All metrics over a bucketed table: no exchange, no sort."""
+    path = scratch_dir(spark, "bucketed")
+    table = save_bucketed(FX.dirty_bars(spark, d, "user"), f"bars_{path[-12:]}", path, 8)
+    return _round_cols(M.compute_metrics(R.refine_prices(table)), ["close_sma_20", "close_sma_200"])
+
+
 def q_dedupe_nulls(spark, d):
     """A broken copy of every bar (no prices) never beats the whole one."""
     b = FX.update_bars(spark, d)
@@ -364,9 +381,13 @@ def q_dedupe_nulls(spark, d):
 
 
 def q_merge_date_only(spark, d):
-    """One ticker's table, merged on the date alone."""
-    one = F.col("ticker") == FX.bars_user(spark, d).select(F.min("ticker")).scalar()
-    return I.insert_only(FX.sink_bars(spark, d).where(one), FX.update_bars(spark, d).where(one), keys=["date"])
+    """A table of one series, all events of a day as one bar, merged on the
+    date alone."""
+    days = FX.bars_whole(spark, d)
+    day = F.col("date")
+    changed = days.where(day == F.lit(FX.CHANGED_DAY).cast("date")).withColumn("close", F.col("close") * 2)
+    batch = days.where(day >= F.lit(FX.UPDATE_FROM).cast("date")).unionByName(changed)
+    return I.insert_only(days.where(day <= F.lit(FX.SINK_CUT).cast("date")), batch, keys=["date"])
 
 
 # --- landed files and the stream --------------------------------------------
@@ -569,6 +590,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_rows": q_new_rows,
     "insert_only_upsert": q_insert_only_upsert,
     "upsert_update": q_upsert_update,
+    "upsert_table": q_upsert_table,
+    "metrics_bucketed": q_metrics_bucketed,
     "dedupe_nulls": q_dedupe_nulls,
     "merge_date_only": q_merge_date_only,
     "landing_csv": q_landing_csv,
@@ -730,6 +753,7 @@ UNION ALL SELECT rule_id, 2, ticker, ticker || ' ' || CAST(date AS VARCHAR) || '
     sql["alert_rearm_stream"] = sql["alert_rearm"]
     sql["alert_rearm_state"] = sql["alert_rearm_100"]
     sql["metrics_state_stream"] = sql["metrics_all"]
+    sql["metrics_bucketed"] = sql["metrics_all"]
     sql.update(_ingest_oracle())
     sql.update(_landing_oracle())
     return sql
@@ -824,11 +848,19 @@ FROM hwm WHERE DATE '2024-01-20' > last_date""",
         "dedupe_batch": base + "SELECT * FROM dedup",
         "new_rows": base + "SELECT * FROM fresh",
         "insert_only_upsert": base + "SELECT * FROM sink UNION ALL SELECT * FROM fresh",
+        "upsert_table": base.replace("UNION ALL SELECT ticker, date, open, high, low, close * 2 AS close, volume",
+                                     "UNION ALL SELECT ticker, date, open, high, low, close / 2 AS close, volume") + """SELECT * FROM sink s WHERE NOT EXISTS
+  (SELECT 1 FROM dedup d WHERE d.ticker = s.ticker AND d.date = s.date) UNION ALL SELECT * FROM dedup""",
         "upsert_update": base + """SELECT * FROM sink s WHERE NOT EXISTS
   (SELECT 1 FROM dedup d WHERE d.ticker = s.ticker AND d.date = s.date) UNION ALL SELECT * FROM dedup""",
         "dedupe_nulls": base + "SELECT * FROM dedup",
-        "merge_date_only": base + """, one AS (SELECT min(ticker) AS t FROM bars_user)
-SELECT s.* FROM sink s, one WHERE ticker = t UNION ALL SELECT f.* FROM fresh f, one WHERE ticker = t""",
+        "merge_date_only": """WITH days AS (SELECT 'ALL' AS ticker, CAST(ts AS DATE) AS date, arg_min(value, row(ts, user_id, value)) AS open,
+  max(value) AS high, min(value) AS low, arg_max(value, row(ts, user_id, value)) AS close, count(*) AS volume FROM events GROUP BY 2),
+upd AS (SELECT * FROM days WHERE date >= DATE '2024-01-15'
+        UNION ALL SELECT ticker, date, open, high, low, close * 2, volume FROM days WHERE date = DATE '2024-01-16'),
+dd AS (SELECT date, min({'open': open, 'high': high, 'low': low, 'close': close, 'volume': volume}) AS m FROM upd GROUP BY date)
+SELECT * FROM days WHERE date <= DATE '2024-01-20'
+UNION ALL SELECT 'ALL', date, m.open, m.high, m.low, m.close, m.volume FROM dd WHERE date > DATE '2024-01-20'""",
     }
 
 

@@ -54,6 +54,13 @@ def bars_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(*_ohlcv(F.col("value"), F.col("ts"))))
 
 
+def bars_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of a day as one bar of one series."""
+    ev = read_table(spark, sf_dir, "events").select("ts", "user_id", "value")
+    return ev.groupBy(F.lit("ALL").alias("ticker"), F.col("ts").cast("date").alias("date")).agg(
+        *_ohlcv(F.col("value"), F.struct("ts", "user_id", "value")))
+
+
 def bars_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate")
@@ -136,6 +143,15 @@ def update_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(*b.columns))
 
 
+def corrected_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update batch with the loaded CHANGED_DAY corrected: a copy of its
+    bars with half the close, which wins over the plain copy."""
+    b = update_bars(spark, sf_dir)
+    day = bars_user(spark, sf_dir).where(F.col("date") == F.lit(CHANGED_DAY).cast("date"))
+    plain = b.where((F.col("date") != F.lit(CHANGED_DAY).cast("date")))
+    return plain.unionByName(day).unionByName(day.withColumn("close", F.col("close") / 2))
+
+
 NO_DATA_TICKER = "NODATA"    # configured ticker with no rows: takes the default date
 INGEST_AS_OF = "2024-01-20"  # load date of the fixture plan: tickers loaded to it are skipped
 

@@ -13,7 +13,8 @@ are exchanged, is finished from the noted folder by the next merge (or by
 Edge cases: repeats of a key in the batch count once (``ingest.dedupe``); a
 batch row equal to the stored one is no change, NULL equals NULL; a partition
 value not stored yet becomes a new partition; an empty batch does nothing; a
-batch with other columns than the table is refused.
+batch with other columns than the table is refused; partition values are not
+null.
 """
 
 from __future__ import annotations
@@ -57,6 +58,14 @@ def _note(spark: SparkSession, path: str, staged: str | None, n: int) -> None:
     spark.createDataFrame([(said, n)], "merge string, n long").coalesce(1).write.mode("append").parquet(_aside(path, "pending"))
 
 
+def _cut_to(table: DataFrame, some: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows in the partitions of ``some``.  Its values per partition column (for
+    dates, a set of calendar days) become a partition filter of the scan."""
+    for c in by:
+        table = table.where(F.array_contains(some.select(F.collect_set(c)).scalar(), F.col(c)))
+    return table.join(some.select(*by).distinct(), list(by), "left_semi") if len(by) > 1 else table
+
+
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str] = (KEY, ORDER), on_match: str = "update",
                  schema: StructType = BARS_SCHEMA, partition_by: Sequence[str] = (ORDER,)) -> int:
     """Merge ``updates`` into the table at ``path``: new keys are inserted, and
@@ -76,7 +85,7 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     batch_path, staged_path = (f"{_aside(path, 'merges')}/n={number}/{x}" for x in ("batch", "staged"))
     batch.write.parquet(batch_path)
     batch = spark.read.schema(schema).parquet(batch_path)
-    stored = scan(spark, path, schema).join(batch.select(*by).distinct(), by, "left_semi").select(*columns)
+    stored = _cut_to(scan(spark, path, schema), batch, by).select(*columns)
     old = stored.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("__old"))
     new = batch.join(old.withColumn("__stored", F.lit(True)), list(keys), "left")
     rest = [c for c in columns if c not in keys]
@@ -89,7 +98,7 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     n = touched.count()
     if not n:
         return 0
-    kept = stored.join(touched, by, "left_semi").join(changes.select(*keys), list(keys), "left_anti").select(*columns)
+    kept = _cut_to(scan(spark, path, schema), touched, by).select(*columns).join(changes.select(*keys), list(keys), "left_anti").select(*columns)
     kept.unionByName(changes).write.parquet(staged_path)
     _note(spark, path, staged_path, number)
     finish_merge(spark, path, schema, partition_by)
