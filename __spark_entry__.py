@@ -30,7 +30,7 @@ from barlake.plans import chains
 from barlake.schema import BARS_SCHEMA, LANDING_FIELDS, QUARANTINE_SCHEMA
 from barlake.session import scratch_dir
 from barlake.sources import fixtures as FX
-from barlake.sources.landing import STUB_LINE, landing_lines, read_landing, split_symbol, symbol_of_path
+from barlake.sources.landing import STUB_LINE, landing_lines, read_landing, read_landing_source, split_symbol, symbol_of_path
 from barlake.sources.merge import upsert_table
 from barlake.sources.catalog import save_bucketed
 from barlake.sources.tables import overwrite, read_table, scan
@@ -398,6 +398,12 @@ def q_landing_csv(spark, d):
     return good
 
 
+def q_landing_source(spark, d):
+    """The same files through the ``eod_landing`` data source."""
+    path = FX.write_fixture_landing(spark, d, scratch_dir(spark, "landing"))
+    return read_landing_source(spark, path)[0]
+
+
 def q_quarantine_bad_rows(spark, d):
     path = FX.write_fixture_landing(spark, d, scratch_dir(spark, "landing"))
     _, bad = read_landing(spark, path)
@@ -595,6 +601,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_nulls": q_dedupe_nulls,
     "merge_date_only": q_merge_date_only,
     "landing_csv": q_landing_csv,
+    "landing_source": q_landing_source,
     "quarantine_bad_rows": q_quarantine_bad_rows,
     "stream_ingest": q_stream_ingest,
     "landing_reconcile": q_landing_reconcile,
@@ -794,6 +801,7 @@ FROM dirty_user WHERE {k(5)} <> 0"""
     full += ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql("landed") + "\n"
     return {
         "landing_csv": base + "SELECT *, 'US' AS exchange FROM dirty_landed",
+        "landing_source": base + "SELECT *, 'US' AS exchange FROM dirty_landed",
         "quarantine_bad_rows": O.chain("user", "dirty")
         + f"SELECT ticker, strftime(date, '%Y/%m/%d') AS date_text, 'bad date' AS reason "
           f"FROM dirty_user WHERE {k(5)} = 0",

@@ -76,7 +76,8 @@ def notices(metrics: DataFrame, rules: DataFrame, gap_days: int = DEFAULT_REARM)
 
 def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | None = None,
               alerts=DEFAULT_ALERTS, strategy: str = "key", mode: str = "incremental",
-              exchange: str = DEFAULT_EXCHANGE, universe: DataFrame | None = None) -> DataFrame:
+              exchange: str = DEFAULT_EXCHANGE, universe: DataFrame | None = None,
+              loader: str = "text", on_match: str = "ignore") -> DataFrame:
     """One scheduled run; returns the alert hits of the latest day.
 
     ``mode="incremental"`` (the default): the ingest stream appends the new
@@ -85,14 +86,15 @@ def run_daily(spark: SparkSession, landing_dir: str, root: str, run_id: str | No
     date partition of the metrics table.  ``mode="full"``: rewrite refined
     and metrics from the whole raw table (the reference's behaviour) into
     new folders.  ``root`` holds one exchange; its universe and its alert rules
-    are arguments.
+    are arguments.  ``loader`` names the reader of landed files, and
+    ``on_match="update"`` lets a landed row correct a loaded one.
     """
     from barlake.streaming.metrics_stream import metrics_table, run_metrics_once
 
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     raw_path = f"{root}/raw"
     run_once(spark, landing_dir, raw_path, f"{root}/quarantine", f"{root}/_checkpoints/ingest",
-             exchange=exchange, universe=universe)
+             exchange=exchange, universe=universe, loader=loader, on_match=on_match)
     if mode == "incremental":
         run_metrics_once(spark, raw_path, f"{root}/incremental", f"{root}/_checkpoints/metrics",
                          alerts, strategy)
@@ -124,6 +126,8 @@ def main(argv=None) -> None:
     ap.add_argument("--exchange", default=DEFAULT_EXCHANGE)
     ap.add_argument("--tickers", default=",".join(DEFAULT_TICKERS), help="comma-separated universe of the exchange")
     ap.add_argument("--as-of", default=None, help="load date, yyyy-mm-dd; today unless given")
+    ap.add_argument("--loader", default="text", help="reader of landed files, by name")
+    ap.add_argument("--on-match", default="ignore", choices=["ignore", "update"], help="what a landed row does to a loaded row of its day")
     ap.add_argument("--rearm", type=int, default=DEFAULT_REARM, help="days between two notices of a rule")
     ap.add_argument("--run-id", default=None)
     args = ap.parse_args(argv)
@@ -131,7 +135,7 @@ def main(argv=None) -> None:
     tickers = configured(spark, args.tickers.split(","), args.exchange)
     load_plan(spark, args.root, tickers, args.as_of).show(truncate=False)
     hits = run_daily(spark, args.landing, args.root, args.run_id, strategy=args.strategy,
-                     exchange=args.exchange, universe=tickers)
+                     exchange=args.exchange, universe=tickers, loader=args.loader, on_match=args.on_match)
     alert_state(alert_rules(spark), hits, args.exchange).show(truncate=False)
     notices(metrics_table(spark, f"{args.root}/incremental"), alert_rules(spark), args.rearm).show(truncate=False)
 

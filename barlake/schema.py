@@ -28,7 +28,7 @@ QUARANTINE_SCHEMA = T.StructType([
     T.StructField("reason", T.StringType(), False),
 ])
 
-# Landed file header names, as the price vendor writes them.
+# Landed file header names, as the price vendor writes them.
 LANDING_FIELDS = {
     "date": "Date",
     "open": "Open",

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.schema import LANDING_FIELDS
+from barlake.sources.tables import MAX_FILE_AGE
 
 STUB_LINE = "Value"
 DATE_FORMAT = "yyyy-MM-dd"
@@ -56,34 +57,39 @@ def parse_lines(lines: DataFrame, split: bool = True):
     holding both, told apart by a NULL / non-NULL ``reason``.
 
     ``lines`` has columns ``line`` and ``file``.  The header of a file is the
-    line that contains a ``Date`` field; files and headers are joined on the
-    file path (one header row per file; AQE broadcasts that side at run time
-    when it is small).
+    line that names most columns, among them ``Date``; only lines that hold
+    that word are looked at.  Headers and lines are joined on the file path
+    (one header row per file; AQE broadcasts that side at run time when it is
+    small, and splits the lines of a long file when it is not).  Lines of the
+    ``eod_landing`` source bring their header, ticker and exchange along.
     """
     # Fields with surrounding blanks removed (a regex split keeps this a
     # plain codegen'd expression; no per-element lambda).
-    trimmed = F.split(F.trim(F.col("line")), r"\s*,\s*")
-    named = F.array_contains(trimmed, LANDING_FIELDS["date"])
-    known = F.size(F.array_intersect(trimmed, F.array(*[F.lit(n) for n in LANDING_FIELDS.values()])))
-    tagged = lines.select("file", "line", trimmed.alias("fields"), named.alias("named"), known.alias("known"))
-    # The header is the line that names most columns; any other line with a
-    # field "Date" is a line like the rest and ends in quarantine.
-    headers = (tagged.where("named").groupBy("file")
-               .agg(F.max(F.struct("known", "fields")).alias("h")).select("file", F.col("h.fields").alias("header")))
-    joined = tagged.where(F.trim(F.col("line")) != STUB_LINE).join(headers, "file", "left")
-    joined = joined.where(~F.col("named") | (F.col("fields") != F.col("header")))
+    fields = F.split(F.trim(F.col("line")), r"\s*,\s*")
+    named = F.col("line").contains(LANDING_FIELDS["date"]) & F.array_contains(fields, LANDING_FIELDS["date"])
+    data = lines.where(F.trim(F.col("line")) != STUB_LINE)
+    if "header" in lines.columns:
+        joined = data.select("file", "line", "header", "ticker", "exchange", fields.alias("fields"), named.alias("named"))
+    else:
+        # Any other line with a field "Date" than the header is a line like the
+        # rest and ends in quarantine.
+        known = F.size(F.array_intersect(fields, F.array(*[F.lit(n) for n in LANDING_FIELDS.values()])))
+        headers = (lines.where(named).groupBy("file").agg(F.max(F.struct(known.alias("known"), fields.alias("fields"))).alias("h"))
+                   .select("file", F.col("h.fields").alias("header")))
+        ticker, exchange = split_symbol(symbol_of_path(F.col("file")))
+        joined = (data.select("file", "line", fields.alias("fields"), named.alias("named")).join(headers, "file", "left")
+                  .withColumns({"ticker": ticker, "exchange": exchange}))
+    joined = joined.where(~F.col("named") | ~F.col("fields").eqNullSafe(F.col("header")))
 
     def field(name: str) -> Column:
         pos = F.array_position(F.col("header"), LANDING_FIELDS[name]).cast("int")
         return F.when(pos > 0, F.try_element_at(F.col("fields"), pos))
 
-    sym = symbol_of_path(F.col("file"))
-    ticker, exchange = split_symbol(sym)
     date_text = field("date")
     volume_text = field("volume")
     typed = joined.select(
         "file", "line", "header", "named",
-        ticker.alias("ticker"), exchange.alias("exchange"),
+        "ticker", "exchange",
         date_text.alias("date_text"),
         F.try_to_date(date_text, DATE_FORMAT).alias("date"),
         *[field(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close")],
@@ -149,5 +155,37 @@ def write_landing(bars: DataFrame, path: str, exchange: str = "US") -> None:
     write_symbol_files(landing_rows(bars, exchange), path)
 
 
-#: Landed-file readers by name, for jobs that take the source as a setting.
-READERS = {"csv": read_landing}
+def read_landing_source(spark: SparkSession, path: str, tickers: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The same through the ``eod_landing`` data source, of some tickers if asked."""
+    from barlake.sources.eod_source import landing_rows_of
+
+    return parse_lines(landing_rows_of(spark, path, tickers))
+
+
+def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Landed lines as a stream of Spark's text source: (line, file, modified)."""
+    reader = spark.readStream.format("text").option("maxFileAge", MAX_FILE_AGE).option("recursiveFileLookup", "true")
+    reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+    return reader.load(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                                    F.col("_metadata.file_modification_time").alias("modified"))
+
+
+def source_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Landed lines as a stream of the ``eod_landing`` source, headers along."""
+    from barlake.sources.eod_source import FORMAT, register
+
+    register(spark)
+    reader = spark.readStream.format(FORMAT)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
+
+
+#: Loaders by name, for jobs that take the source as a setting: how a folder is
+#: read at once, and as a stream.
+LOADERS = {"text": (read_landing, text_stream), "eod_landing": (read_landing_source, source_stream)}
+
+
+def loader(name: str):
+    """(batch reader, stream reader) of a loader."""
+    if name not in LOADERS:
+        raise ValueError(f"unknown loader {name!r}; known: {', '.join(sorted(LOADERS))}")
+    return LOADERS[name]

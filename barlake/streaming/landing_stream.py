@@ -14,7 +14,12 @@ a noted path with another time stops before it starts.
 
 Replays are harmless: the anti join against the raw table drops what a first
 attempt already wrote, and quarantine and file notes go to folders named by
-the batch id, which a replay overwrites.
+the batch id, which a replay overwrites.  With ``on_match="update"`` the merge
+rewrites days (``sources.merge``); a metrics run that died must then be
+finished before the next ingest, as it may still read files of the old days.
+
+The ``eod_landing`` loader tells deliveries apart by their time, so it notes no
+files and takes a path that is delivered again as a new delivery.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from pyspark.sql import functions as F
 
 from barlake.operators.ingest import new_rows
 from barlake.schema import BARS_SCHEMA, QUARANTINE_SCHEMA
+from barlake.sources import landing
 from barlake.sources.landing import parse_lines
+from barlake.sources.merge import upsert_table
 from barlake.sources.tables import MAX_FILE_AGE, append, initialize_table, overwrite, path_exists, scan
 from barlake.session import tune_listing
 
@@ -44,8 +51,9 @@ def _reason(exchange: str, universe: DataFrame | None):
 
 def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine_path: str,
                 partition_by=("date",), exchange: str = "", universe: DataFrame | None = None,
-                batch_id: int = 0) -> None:
-    """Parse one batch of landed lines and merge it into the raw table.
+                batch_id: int = 0, on_match: str = "ignore") -> None:
+    """Parse one batch of landed lines and merge it into the raw table; with
+    ``on_match="update"`` a landed row corrects the loaded row of its day.
 
     The parsed batch feeds two writes, so it is persisted for the duration of
     the batch (executor memory, spilling to disk; a lost executor's blocks
@@ -58,8 +66,10 @@ def merge_batch(spark: SparkSession, lines: DataFrame, raw_path: str, quarantine
     parsed = parsed.withColumn("reason", _reason(exchange, universe)).persist()
     try:
         bars = parsed.where(F.col("reason").isNull()).select(*BARS_SCHEMA.fieldNames())
-        sink = scan(spark, raw_path, BARS_SCHEMA)
-        append(new_rows(sink, bars), raw_path, partition_by)
+        if on_match == "update":
+            upsert_table(spark, raw_path, bars, partition_by=partition_by)
+        else:
+            append(new_rows(scan(spark, raw_path, BARS_SCHEMA), bars), raw_path, partition_by)
         bad = parsed.where(F.col("reason").isNotNull()).select(*QUARANTINE_SCHEMA.fieldNames())
         overwrite(bad, f"{quarantine_path}/batch={batch_id}")
     finally:
@@ -82,25 +92,26 @@ def check_delivery(spark: SparkSession, landing_dir: str, files_path: str) -> No
 def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
                          quarantine_path: str, checkpoint: str, available_now: bool = True,
                          max_files_per_trigger: int | None = None, partition_by=("date",),
-                         exchange: str = "US", universe: DataFrame | None = None):
-    """Start the ingest stream of one exchange; returns the StreamingQuery."""
+                         exchange: str = "US", universe: DataFrame | None = None,
+                         loader: str = "text", on_match: str = "ignore"):
+    """Start the ingest stream of one exchange; returns the StreamingQuery.
+    ``loader`` names the reader of landed files (``landing.LOADERS``)."""
     tune_listing(spark)  # a batch's new files are listed by a Spark job
     files_path = f"{raw_path.rstrip('/')}-files"
-    check_delivery(spark, landing_dir, files_path)
+    if loader == "text":
+        check_delivery(spark, landing_dir, files_path)
     initialize_table(spark, raw_path, BARS_SCHEMA, partition_by)
-    reader = (spark.readStream.format("text").option("maxFileAge", MAX_FILE_AGE)
-              .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_dir).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_modification_time").alias("modified"))
+    stream = landing.loader(loader)[1](spark, landing_dir, max_files_per_trigger)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        lines = batch.where(F.trim(F.col("line")) != "").select("line", "file")
-        merge_batch(session, lines, raw_path, quarantine_path, partition_by, exchange, universe, epoch_id)
-        overwrite(batch.groupBy("file").agg(F.max("modified").alias("modified")), f"{files_path}/batch={epoch_id}")
+        batch = batch.where(F.trim(F.col("line")) != "").persist()  # files are read once
+        try:
+            merge_batch(session, batch.drop("modified"), raw_path, quarantine_path, partition_by, exchange, universe, epoch_id, on_match)
+            if "modified" in batch.columns:
+                overwrite(batch.groupBy("file").agg(F.max("modified").alias("modified")), f"{files_path}/batch={epoch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
