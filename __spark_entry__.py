@@ -20,17 +20,22 @@ from barlake.config import DEFAULT_ALERTS, DEFAULT_REARM, alert_rules
 from barlake.functions.exprs import rounded, to_decimal_10_3
 from barlake.functions.text import sma_text
 from barlake.operators import alerts as A
+from barlake.operators import corrections as CO
 from barlake.operators import exact as EX
 from barlake.operators import incremental as INC
 from barlake.operators import ingest as I
 from barlake.operators import metrics as M
 from barlake.operators import refine as R
+from barlake.operators import rule_index as RX
 from barlake.operators import segmented as SG
+from barlake.operators.rearm import rearm_long
 from barlake.plans import chains
 from barlake.schema import BARS_SCHEMA, LANDING_FIELDS, QUARANTINE_SCHEMA
 from barlake.session import scratch_dir
 from barlake.sources import fixtures as FX
-from barlake.sources.landing import STUB_LINE, landing_lines, read_landing, read_landing_source, split_symbol, symbol_of_path
+from barlake.sources import footers
+from barlake.sources.landing import STUB_LINE, landing_lines, read_landing, read_landing_source, split_symbol, symbol_of_path, union_landing
+from barlake.sources.layout import write_clustered
 from barlake.sources.merge import upsert_table
 from barlake.sources.catalog import save_bucketed
 from barlake.sources.tables import overwrite, read_table, scan
@@ -196,6 +201,16 @@ def q_metrics_incremental(spark, d):
     return _round_cols(old.unionByName(new), ["close_sma_20", "close_sma_200"])
 
 
+def q_metrics_corrected(spark, d):
+    """Metrics of all days but one week, that week's bars then delivered late:
+    only the rows they reach are recomputed; equal to a full run."""
+    raw = FX.dirty_bars(spark, d, "user")
+    late = F.col("date").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-12").cast("date"))
+    stored = SG.materialize(M.compute_metrics(R.refine_prices(raw.where(~late))))
+    rows, gone = CO.corrected_metrics(stored, SG.materialize(raw), raw.where(late).select("ticker", "date"))
+    return _round_cols(CO.apply_corrections(stored, rows, gone), ["close_sma_20", "close_sma_200"])
+
+
 # Hot keys: every event as a tick of its event type's series (5 keys, each
 # about a fifth of all rows), ordered by its unique timestamp.
 TICK_BLOCK_ROWS = 1024
@@ -262,10 +277,7 @@ def q_alert_hits(spark, d):
 
 def q_rules_many(spark, d):
     """As many change rules as there are parts: thresholds from ``part``."""
-    part = read_table(spark, d, "part")
-    rules = part.select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("rule_id"),
-                        F.lit("close_change").alias("metric"), (F.col("p_retailprice").cast("double") / 100).alias("threshold"))
-    return A.rule_hits(_written_metrics(spark, d), rules)
+    return A.rule_hits(_written_metrics(spark, d), _part_rules(spark, d))
 
 
 def q_alert_state(spark, d):
@@ -294,6 +306,35 @@ def q_alert_rearm_100(spark, d):
     return A.rearm(A.firing_days(hits), DEFAULT_REARM)
 
 
+def q_alert_rearm_long(spark, d):
+    """R5 without a list per rule: successors and pointer doubling."""
+    hits = A.rule_hits(chains.metrics(spark, d, "brand"), alert_rules(spark), latest_only=False)
+    return rearm_long(A.firing_days(hits), DEFAULT_REARM)
+
+
+def q_alert_rearm_events(spark, d):
+    """The same for a rule that every event fires, rearmed after six hours."""
+    ev = read_table(spark, d, "events").select(F.lit("any_event").alias("rule_id"), "ts")
+    return rearm_long(ev, 0.25, order="ts")
+
+
+def _part_rules(spark, d) -> DataFrame:
+    part = read_table(spark, d, "part")
+    return part.select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("rule_id"),
+                       F.lit("close_change").alias("metric"), (F.col("p_retailprice").cast("double") / 100).alias("threshold"))
+
+
+def q_rules_ranked(spark, d):
+    """As many change rules as parts: a hit carries how many it fires."""
+    return RX.ranked_hits(_written_metrics(spark, d), _part_rules(spark, d))
+
+
+def q_rules_fired(spark, d):
+    """Hits per rule, from the ranks alone."""
+    rules = _part_rules(spark, d)
+    return RX.fired_counts(RX.ranked_hits(_written_metrics(spark, d), rules), RX.rule_ranks(rules))
+
+
 def q_alert_message_rows(spark, d):
     """the whole message body as rows: its text, then one row per hit."""
     rules = alert_rules(spark)
@@ -322,6 +363,29 @@ def q_last_dates(spark, d):
     return I.last_dates(FX.sink_bars(spark, d))
 
 
+def q_last_dates_footers(spark, d):
+    """A1 over a table partitioned by ticker, from file footers alone."""
+    path = scratch_dir(spark, "footers")
+    overwrite(FX.bars(spark, d, "event_type"), path, ["ticker"])
+    return footers.last_dates(spark, path, BARS_SCHEMA)
+
+
+def q_global_last_date_footers(spark, d):
+    """A2 from file footers."""
+    path = scratch_dir(spark, "footers")
+    overwrite(FX.sink_bars(spark, d), path)
+    return footers.global_last_date(spark, path, BARS_SCHEMA)
+
+
+def q_landing_drift(spark, d):
+    """Landed files whose headers differ: odd tickers carry an extra column,
+    even ones lack the volume; one table by name, extras kept."""
+    path = FX.write_drift_landing(spark, d, scratch_dir(spark, "drift"))
+    rows, _ = union_landing(spark, path)
+    said = F.array_join(F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return rows.select(*BARS_SCHEMA.fieldNames(), said.alias("extra"))
+
+
 def q_global_last_date(spark, d):
     return I.global_last_date(FX.sink_bars(spark, d))
 
@@ -373,6 +437,13 @@ def q_metrics_bucketed(spark, d):
     return _round_cols(M.compute_metrics(R.refine_prices(table)), ["close_sma_20", "close_sma_200"])
 
 
+def q_bars_clustered(spark, d):
+    """The brand bars written along the (ticker, date) curve and read back."""
+    path = scratch_dir(spark, "clustered")
+    write_clustered(FX.bars(spark, d, "brand"), path, file_rows=4096)
+    return spark.read.parquet(path)
+
+
 def q_dedupe_nulls(spark, d):
     """A broken copy of every bar (no prices) never beats the whole one."""
     b = FX.update_bars(spark, d)
@@ -567,6 +638,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refine_prices_long": q_refine_prices_long,
     "metrics_long": q_metrics_long,
     "metrics_incremental": q_metrics_incremental,
+    "metrics_corrected": q_metrics_corrected,
     "metrics_ticks": q_metrics_ticks,
     "metrics_ticks_long": q_metrics_ticks_long,
     "metrics_ticks_exact": q_metrics_ticks_exact,
@@ -585,10 +657,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_history": q_alert_history,
     "alert_rearm": q_alert_rearm,
     "alert_rearm_100": q_alert_rearm_100,
+    "alert_rearm_long": q_alert_rearm_long,
+    "alert_rearm_events": q_alert_rearm_events,
+    "rules_ranked": q_rules_ranked,
+    "rules_fired": q_rules_fired,
     "alert_message_rows": q_alert_message_rows,
     "alert_rearm_stream": q_alert_rearm_stream,
     "last_dates": q_last_dates,
     "global_last_date": q_global_last_date,
+    "last_dates_footers": q_last_dates_footers,
+    "global_last_date_footers": q_global_last_date_footers,
+    "landing_drift": q_landing_drift,
     "high_water_mark": q_high_water_mark,
     "ingest_plan": q_ingest_plan,
     "symbol_build": q_symbol_build,
@@ -598,6 +677,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_update": q_upsert_update,
     "upsert_table": q_upsert_table,
     "metrics_bucketed": q_metrics_bucketed,
+    "bars_clustered": q_bars_clustered,
     "dedupe_nulls": q_dedupe_nulls,
     "merge_date_only": q_merge_date_only,
     "landing_csv": q_landing_csv,
@@ -759,7 +839,18 @@ UNION ALL SELECT rule_id, 1, NULL, body FROM m
 UNION ALL SELECT rule_id, 2, ticker, ticker || ' ' || CAST(date AS VARCHAR) || ' ' || CAST(CAST(value AS DECIMAL(10,3)) AS VARCHAR) FROM h"""
     sql["alert_rearm_stream"] = sql["alert_rearm"]
     sql["alert_rearm_state"] = sql["alert_rearm_100"]
+    sql["alert_rearm_long"] = sql["alert_rearm_100"]
+    sql["alert_rearm_events"] = """WITH RECURSIVE kept AS (SELECT min(ts) AS ts FROM events
+  UNION ALL SELECT (SELECT min(e.ts) FROM events e WHERE e.ts >= kept.ts + INTERVAL 6 HOUR) FROM kept WHERE kept.ts IS NOT NULL)
+SELECT 'any_event' AS rule_id, ts FROM kept WHERE ts IS NOT NULL"""
+    sql["rules_ranked"] = c("user", "metrics") + f"""SELECT 'close_change' AS metric, ticker, date, close_change AS value, count(*) AS n_rules
+FROM metrics_user JOIN part ON abs(close_change) > CAST(p_retailprice AS DOUBLE) / 100 WHERE {latest_user} GROUP BY ticker, date, close_change"""
+    sql["rules_fired"] = c("user", "metrics") + f"""SELECT 'part_' || p_partkey AS rule_id, count(close_change) AS n_hits
+FROM part LEFT JOIN (SELECT close_change FROM metrics_user WHERE {latest_user}) ON abs(close_change) > CAST(p_retailprice AS DOUBLE) / 100
+GROUP BY p_partkey"""
     sql["metrics_state_stream"] = sql["metrics_all"]
+    sql["bars_clustered"] = sql["bars_brand"]
+    sql["metrics_corrected"] = sql["metrics_all"]
     sql["metrics_bucketed"] = sql["metrics_all"]
     sql.update(_ingest_oracle())
     sql.update(_landing_oracle())
@@ -801,6 +892,8 @@ FROM dirty_user WHERE {k(5)} <> 0"""
     full += ",\n" + O.RULES_VALUES + ",\n" + O.hits_sql("landed") + "\n"
     return {
         "landing_csv": base + "SELECT *, 'US' AS exchange FROM dirty_landed",
+        "landing_drift": O.chain("user", "bars") + f"""SELECT ticker, date, open, high, low, close,
+  CASE WHEN {odd} THEN volume END AS volume, CASE WHEN {odd} THEN 'Trades=' || (volume * 3) ELSE '' END AS extra FROM bars_user""",
         "landing_source": base + "SELECT *, 'US' AS exchange FROM dirty_landed",
         "quarantine_bad_rows": O.chain("user", "dirty")
         + f"SELECT ticker, strftime(date, '%Y/%m/%d') AS date_text, 'bad date' AS reason "
@@ -846,6 +939,8 @@ fresh AS (SELECT * FROM dedup d WHERE NOT EXISTS
     return {
         "last_dates": base + "SELECT * FROM ld",
         "global_last_date": base + "SELECT coalesce(max(date), DATE '2023-01-01') AS last_date FROM sink",
+        "global_last_date_footers": base + "SELECT coalesce(max(date), DATE '2023-01-01') AS last_date FROM sink",
+        "last_dates_footers": O.chain("event_type", "bars") + "SELECT ticker, max(date) AS last_date FROM bars_event_type GROUP BY ticker",
         "high_water_mark": base + "SELECT * FROM hwm",
         "ingest_plan": base + """SELECT exchange, ticker, last_date,
   upper(ticker) || '.' || upper(exchange) AS symbol,

@@ -227,3 +227,20 @@ def write_fixture_landing(spark: SparkSession, sf_dir: str, path: str,
         rows = rows.unionByName(stub_rows(spark))
     write_symbol_files(rows, path)
     return path
+
+
+def write_drift_landing(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Landed files of the user bars with two headers: odd tickers have a
+    further column (``Trades``, three times the volume), even ones no volume."""
+    from barlake.schema import LANDING_FIELDS
+    from barlake.sources.landing import landing_rows, write_symbol_files
+
+    odd = F.pmod(ticker_number("user"), F.lit(2)) == 1
+    price = [F.col(c).cast("string") for c in ("open", "high", "low", "close")]
+    day = F.date_format("date", "yyyy-MM-dd")
+    more = F.concat_ws(",", (F.col("volume") * 3).cast("string"), day, *price, F.col("volume").cast("string"))
+    names = [LANDING_FIELDS[c] for c in ("date", "open", "high", "low", "close")]
+    header = F.when(odd, F.lit(",".join(["Trades", *names, LANDING_FIELDS["volume"]]))).otherwise(F.lit(",".join(names)))
+    rows = landing_rows(bars_user(spark, sf_dir), header=header, line=F.when(odd, more).otherwise(F.concat_ws(",", day, *price)))
+    write_symbol_files(rows, path)
+    return path

@@ -52,9 +52,10 @@ def landing_lines(spark: SparkSession, path: str) -> DataFrame:
             .where(F.trim(F.col("line")) != ""))
 
 
-def parse_lines(lines: DataFrame, split: bool = True):
+def parse_lines(lines: DataFrame, split: bool = True, extras: bool = False):
     """Lines -> (typed rows, quarantined lines); with ``split=False`` one frame
-    holding both, told apart by a NULL / non-NULL ``reason``.
+    holding both, told apart by a NULL / non-NULL ``reason``.  With ``extras``
+    rows carry what their file's header names beyond the known columns.
 
     ``lines`` has columns ``line`` and ``file``.  The header of a file is the
     line that names most columns, among them ``Date``; only lines that hold
@@ -95,6 +96,7 @@ def parse_lines(lines: DataFrame, split: bool = True):
         *[field(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close")],
         F.coalesce(volume_text.try_cast("bigint"),
                    volume_text.try_cast("double").try_cast("bigint")).alias("volume"),
+        *([extra_fields().alias("extra")] if extras else []),
     )
     reason = (F.when(F.col("named"), F.lit("stray header"))
               .when(F.col("header").isNull(), F.lit("no header"))
@@ -104,12 +106,40 @@ def parse_lines(lines: DataFrame, split: bool = True):
     if not split:
         return typed
     good = typed.where(F.col("reason").isNull()).select(
-        "ticker", "date", "open", "high", "low", "close", "volume", "exchange")
+        "ticker", "date", "open", "high", "low", "close", "volume", "exchange", *(["extra"] if extras else []))
     bad = typed.where(F.col("reason").isNotNull()).select(
         "file", "ticker", "date_text", "line", "reason")
     return good, bad
 
 
+def extra_fields() -> Column:
+    """The fields of a line under the header names no known column has, as a
+    map of texts; a name that repeats counts once, the first time."""
+    entry = F.transform("header", lambda name, i: F.struct(name.alias("key"), F.try_element_at("fields", i + 1).alias("value"), i.alias("i")))
+    known = F.array(*[F.lit(n) for n in LANDING_FIELDS.values()])
+    own = F.filter(entry, lambda e: ~F.array_contains(known, e["key"]) & (e["key"] != "") & (F.array_position("header", e["key"]) == e["i"] + 1)
+                   & e["value"].isNotNull())
+    return F.map_from_entries(F.transform(own, lambda e: F.struct(e["key"], e["value"])))
+
+
+def union_landing(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """U1 with drift: files whose headers differ become one table by name.  A
+    column a file lacks is NULL, and a column beyond the known ones is kept in
+    ``extra``, so no header change loses a value."""
+    return parse_lines(landing_lines(spark, path), extras=True)
+
+
+def widened(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` with extra columns of their own (texts, NULL where a file lacks
+    them) instead of ``extra``."""
+    return rows.select(*[c for c in rows.columns if c != "extra"], *[F.col("extra")[n].alias(n) for n in names])
+
+
+def extra_names(rows: DataFrame) -> DataFrame:
+    """(name, n_rows) of all extra columns: the merged header beyond the known one."""
+    return rows.select(F.explode(F.map_keys("extra")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def read_landing(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Landed files -> (bars with exchange, quarantine)."""
     return parse_lines(landing_lines(spark, path))
