@@ -52,6 +52,8 @@ NODE = 32
 PIVOTS = 4
 #: Tokens of a leaf, about, whatever the number of its classes.
 LEAF_TOKENS = 2_000_000
+#: Tokens of all pivots that are broadcast, at most (8 bytes each).
+PIVOT_TOKENS = 4_000_000
 #: Ids of candidates are broadcast to the scan of the texts up to this many
 #: (24 bytes each), and joined by a shuffle beyond.
 BROADCAST_ROWS = 200_000
@@ -158,7 +160,14 @@ def _sketch_batches(width: int):
 _SIGNED = "bucket long, keys binary, pivots binary, nodes binary"
 
 
-def _key_batches(width: int, t: Threshold, bits: int):
+def spare_bits(keys: int) -> int:
+    """Low bits of a 64-bit signature, in whole bytes, that ``keys`` of them can
+    do without: by chance one in 2**20 shares its other bits with another, and
+    such classes only meet in one blob."""
+    return max(0, (64 - max(keys, 2).bit_length() - 20) // 8 * 8)
+
+
+def _key_batches(width: int, t: Threshold, bits: int, spare: int):
     """Signatures of about ``KEY_BLOCK`` keys at a time: one entry per key with
     the least node that has it, and an edge from every other such node to it
     (bucket null).  A key of many documents is one entry per block."""
@@ -191,7 +200,7 @@ def _key_batches(width: int, t: Threshold, bits: int):
                     k = signatures(tokens, t)
                     if not len(k):
                         continue
-                    keys.append(k)
+                    keys.append(k >> np.uint64(spare) << np.uint64(spare))
                     nodes.append(node_of(hashlib.md5(tokens.tobytes()).digest()))
                     size += len(k)
                     if size >= KEY_BLOCK:
@@ -234,12 +243,14 @@ def _set_batches(width: int):
                     continue
                 part = part.take(pa.array(new))
                 sets = [shingle_set(w, width) for w in word_hashes(part.column("text").to_pylist())]
-                points = pa.array(np.concatenate([point(s) for s in sets]), pa.int32())
+                at = [point(s) for s in sets]
+                points = pa.array(np.concatenate(at), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("cid"), part.column("blob"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([s.tobytes() for s in sets], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(range(0, GROUPS * len(sets) + 1, GROUPS), pa.int32()), points)],
-                    ["cid", "blob", "n", "tokens", "point"])
+                     pa.ListArray.from_arrays(pa.array(range(0, GROUPS * len(sets) + 1, GROUPS), pa.int32()), points),
+                     pa.array([packed_point(p) for p in at], pa.binary())],
+                    ["cid", "blob", "n", "tokens", "point", "packed"])
     return run
 
 
@@ -324,8 +335,18 @@ def _sets(part: pa.RecordBatch) -> list[np.ndarray]:
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
+def packed_point(p: np.ndarray) -> bytes:
+    """A point in the narrowest integers that hold it."""
+    most = int(p.max(initial=0))
+    return p.astype(np.uint8 if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
 def _points(part: pa.RecordBatch) -> np.ndarray:
-    return part.column("point").flatten().to_numpy(zero_copy_only=False).reshape(-1, GROUPS)
+    kinds = {GROUPS: np.dtype(np.uint8), 2 * GROUPS: np.dtype("<u2"), 4 * GROUPS: np.dtype("<u4")}
+    out = np.empty((len(part), GROUPS), dtype=np.int32)
+    for i, x in enumerate(part.column("packed").to_pylist()):
+        out[i] = np.frombuffer(x, dtype=kinds[len(x)])
+    return out
 
 
 def _unit_batches(t: Threshold):
@@ -379,9 +400,42 @@ def _pivot_batches(t: Threshold):
     return _by_unit(work)
 
 
-def _candidates(docs: DataFrame, width: int, t: Threshold, bits: int) -> DataFrame:
+def _near_pivots(t: Threshold, held):
+    """The links of every set with the pivots of its blob."""
+    def run(batches):
+        pivots = held.value
+        for b in batches:
+            out = [(c, p) for c, blob, x in zip(b.column("cid").to_pylist(), b.column("blob").to_pylist(), _sets(b))
+                   for p, y in pivots.get(blob, ()) if c != p and overlap(x, y) >= t.needs(len(x), len(y))]
+            if out:
+                a, c = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+    return run
+
+
+def _pivot_links(mine: DataFrame, members: DataFrame, marks: DataFrame, t: Threshold, leaf: int, width: int) -> DataFrame:
+    """(a, b): links of the members of each blob with its pivots.  Pivots of up
+    to ``PIVOT_TOKENS`` tokens together go to the sets; beyond that members are
+    dealt in chunks, and each chunk gets its blob's pivots."""
+    pivots = mine.join(marks, ["blob", "cid"])
+    if (pivots.agg(F.sum("n")).first()[0] or 0) <= PIVOT_TOKENS:
+        held: dict = {}
+        for r in pivots.select("blob", "cid", "tokens").toLocalIterator():
+            held.setdefault(r["blob"], []).append((r["cid"], np.frombuffer(bytes(r["tokens"]), dtype=np.uint64)))
+        sent = mine.sparkSession.sparkContext.broadcast({b: sorted(x, key=lambda p: p[0]) for b, x in held.items()})
+        return mine.select("blob", "cid", "tokens").mapInArrow(_near_pivots(t, sent), "a long, b long")
+    chunks = members.groupBy("blob").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("chunks"))
+    own = F.pmod(F.xxhash64("cid"), F.col("chunks"))
+    dealt = mine.join(chunks, "blob").select("blob", own.alias("unit"), F.lit(0).alias("side"), "cid", "tokens")
+    each = pivots.join(chunks, "blob").select(
+        "blob", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("unit"), F.lit(1).alias("side"), "cid", "tokens")
+    first = dealt.unionByName(each).repartition(width, "blob", "unit").sortWithinPartitions("blob", "unit", "side", "cid")
+    return first.mapInArrow(_pivot_batches(t), "a long, b long")
+
+
+def _candidates(docs: DataFrame, width: int, t: Threshold, bits: int, spare: int) -> DataFrame:
     """(a, b): edges whose components hold every pair of sets that may link."""
-    signed = docs.select("text").mapInArrow(_key_batches(width, t, bits), _SIGNED)
+    signed = docs.select("text").mapInArrow(_key_batches(width, t, bits, spare), _SIGNED)
     spread = F.coalesce(F.col("bucket"), F.pmod(F.xxhash64("nodes"), F.lit(1 << bits)))
     return signed.withColumn("bucket_", spread).groupBy("bucket_").applyInArrow(_edge_group, "a long, b long").distinct()
 
@@ -411,14 +465,7 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     # Pivots at even ranks of size, so that every size has one near.
     marks = (members.groupBy("blob", F.floor(F.col("rank") * PIVOTS).alias("part"))
              .agg(F.min(F.struct(F.xxhash64("cid").alias("pick"), F.col("cid"))).alias("m")).select("blob", F.col("m.cid").alias("cid")))
-    # Members are dealt in chunks, and each chunk gets its blob's pivots.
-    chunks = members.groupBy("blob").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("chunks"))
-    own = F.pmod(F.xxhash64("cid"), F.col("chunks"))
-    dealt = mine.join(chunks, "blob").select("blob", own.alias("unit"), F.lit(0).alias("side"), "cid", "tokens")
-    pivots = mine.join(marks, ["blob", "cid"]).join(chunks, "blob").select(
-        "blob", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("unit"), F.lit(1).alias("side"), "cid", "tokens")
-    first = dealt.unionByName(pivots).repartition(width, "blob", "unit").sortWithinPartitions("blob", "unit", "side", "cid")
-    first = materialise(spark, first.mapInArrow(_pivot_batches(t), "a long, b long"), "pivot-links")
+    first = materialise(spark, _pivot_links(mine, members, marks, t, leaf, width), "pivot-links")
     comps = connected_components(first).withColumnRenamed("node", "cid")
     members = members.drop("rank").join(comps, "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
     # A component that fills a leaf has leaves of its own (its zone); the rest
@@ -430,7 +477,7 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     members = materialise(spark, _ranked(members, "blob", "zone").withColumn(
         "leaf", F.xxhash64("zone", F.floor(F.col("rank") * leaves_of))).select(
         "blob", "leaf", "zone", "members", "cid", "comp", "n"), "leaves")
-    pointed = materialise(spark, members.join(mine.select("cid", "point"), "cid"), "leaf-points")
+    pointed = materialise(spark, members.join(mine.select("cid", "point", "packed"), "cid"), "leaf-points")
     # Leaves with the corner of their points, and each blob's largest zone.
     corners = [F.max(F.col("point")[i]).alias(f"c{i}") for i in range(GROUPS)]
     leaves = pointed.groupBy("blob", "leaf").agg(F.min("zone").alias("zone"), F.min("n").alias("n0"), F.max("n").alias("n1"), *corners)
@@ -450,7 +497,7 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     ends = pairs.select("blob", "unit", F.col("x").alias("leaf"), F.lit(0).alias("side")).unionByName(
         pairs.where("x != y").select("blob", "unit", F.col("y").alias("leaf"), F.lit(1).alias("side")))
     order = ("blob", "unit", "n", "cid")
-    units = ends.join(pointed, ["blob", "leaf"]).select(*order, "side", "comp", "point")
+    units = ends.join(pointed, ["blob", "leaf"]).select(*order, "side", "comp", "packed")
     passed = units.repartition(width, "blob", "unit").sortWithinPartitions(*order).mapInArrow(
         _bound_batches(t), "blob long, unit long, n long, cid long, side int, comp long")
     passed = materialise(spark, passed, "leaf-candidates")
@@ -482,7 +529,7 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
         F.col("c.node").alias("node"), "best"), "classes")
     tokens = sketch.agg(F.sum("n")).first()[0] or 0
     bits = max(width - 1, tokens // KEY_PART).bit_length()
-    edges = materialise(spark, _candidates(docs, shingle, t, bits), "candidates")
+    edges = materialise(spark, _candidates(docs, shingle, t, bits, spare_bits(tokens)), "candidates")
     blobs = connected_components(edges).select("node", F.col("root").alias("blob"))
     wanted = materialise(spark, classes.join(blobs, "node").select("cid", "blob", "want_id", "want_h"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
@@ -491,7 +538,7 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
              .join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("h") == F.col("want_h")))
              .select("cid", "blob", "text"))
     sets = materialise(spark, texts.mapInArrow(
-        _set_batches(shingle), "cid long, blob long, n long, tokens binary, point array<int>"), "sets")
+        _set_batches(shingle), "cid long, blob long, n long, tokens binary, point array<int>, packed binary"), "sets")
     count = sets.groupBy("blob").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("all"))
     fits = (F.col("k") <= leaf) & (F.col("all") <= 2 * LEAF_TOKENS)
     count = materialise(spark, count.select("blob", fits.alias("fits")), "blob-sizes")

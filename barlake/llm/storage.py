@@ -15,7 +15,7 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     lineage of ``df``: a lost executor costs its running tasks only.
     """
     path = scratch_dir(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
