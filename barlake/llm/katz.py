@@ -21,9 +21,11 @@ each; a block asks the tables once for each distinct n-gram it holds, as packed
 sorted arrays, and gets the counts back in that order.  One block of those that
 hold an n-gram owns it and adds its discounted count and P(w | h') to its
 context; w was seen after h' too, so no weight of a lower level is needed for
-it.  Hot words and passages are one request per block, so no partition
-grows with a frequent key, and nothing but counts of counts and totals comes to
-the driver.
+it.  A context gets at most ``HOT_DOCS`` entries of documents from a block;
+where more back off from it, they stay in one row of the block, which the
+context's weight is joined to.  So hot words, passages and contexts are one
+request per block, no partition grows with a frequent key, and nothing but
+counts of counts and totals comes to the driver.
 
 Edge cases: null text is the end token alone; without training documents
 every probability is 1; repeated rows are counted and scored each for itself;
@@ -49,6 +51,8 @@ BLOCK_TOKENS = 2_000_000
 #: Tokens per partition of the n-gram tables, about.
 PART_TOKENS = 500_000
 TEXT_BATCH = 512
+#: A context from which more documents of a block back off is hot there.
+HOT_DOCS = 64
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
 _PAIR = np.uint64(0xA0761D6478BD642F)
@@ -237,11 +241,12 @@ class Totals:
 # --- scores -------------------------------------------------------------------
 
 _SENT = ("level int, bucket long, keys binary, seen binary, mass binary, lower binary, use_context binary, use_uid binary, "
-         "use_n binary, uid binary, n_tokens binary, n_known binary, base binary, score binary")
-_SCORED = "uid long, n_tokens long, n_known long, base double, score double, level int, bucket long, keys binary, weights binary"
+         "use_n binary, uid binary, n_tokens binary, n_known binary, base binary, score binary, hot binary, hot_key binary")
+_SCORED = ("uid long, n_tokens long, n_known long, base double, score double, level int, bucket long, keys binary, weights binary, "
+           "hot_key binary, weight double, use_uid binary, use_n binary")
 
 
-def _score_batches(totals, bits: int):
+def _score_batches(totals, bits: int, hot_docs: int):
     names = [c.split()[0] for c in _SENT.split(", ")]
     schema = pa.schema([("level", pa.int32()), ("bucket", pa.int64()), *[(c, pa.binary()) for c in names[2:]]])
 
@@ -291,6 +296,15 @@ def _score_batches(totals, bits: int):
         use_ctx, use_doc = uses // len(uid), uses % len(uid)
         wanted = np.zeros(size, dtype=bool)
         wanted[use_ctx] = True
+        # Documents that back off from a context of many stay with the block:
+        # only the context's weight travels, to one row a block.
+        hot = np.bincount(use_ctx, minlength=size) > hot_docs
+        for h in np.flatnonzero(hot):
+            a, z = np.searchsorted(use_ctx, [h, h + 1])
+            yield {"level": level, "bucket": int((uid[0] + h) % (1 << bits)), "hot_key": hist[h].tobytes(),
+                   "use_uid": pack(uid[use_doc[a:z]]), "use_n": pack(n[a:z].astype(np.uint32))}
+        cold = ~hot[use_ctx]
+        use_ctx, use_doc, n = use_ctx[cold], use_doc[cold], n[cold]
         some = np.flatnonzero(wanted | (mass > 0))
         some = some[np.argsort(hist[some])]
         place = np.full(size, -1, dtype=np.int64)
@@ -301,7 +315,7 @@ def _score_batches(totals, bits: int):
             a, z = np.searchsorted(use_at, [lo, hi])
             cut = some[lo:hi]
             yield {"level": level, "bucket": k, "keys": pack_keys(hist[cut]), "seen": pack(seen_ctx[cut]), "mass": pack(mass[cut]),
-                   "lower": pack(lower[cut]), "use_context": pack((use_at[a:z] - lo).astype(np.uint32)),
+                   "lower": pack(lower[cut]), "hot": pack(hot[cut].astype(np.uint8)), "use_context": pack((use_at[a:z] - lo).astype(np.uint32)),
                    "use_uid": pack(uid[use_doc[a:z]]), "use_n": pack(n[a:z].astype(np.uint32))}
 
     def run(batches):
@@ -317,7 +331,8 @@ def _backoff_group(table: pa.Table) -> pa.Table:
     """Backoff weights of one partition's contexts, what they add to the
     documents that back off there, and the blocks' own sums passed on."""
     names = [c.split()[0] for c in _SCORED.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(),
+             pa.binary(), pa.float64(), pa.binary(), pa.binary()]
     out = []
 
     def add(n, **cols):
@@ -329,6 +344,8 @@ def _backoff_group(table: pa.Table) -> pa.Table:
             uid = unpack(r["uid"], np.int64)
             add(len(uid), uid=uid, n_tokens=unpack(r["n_tokens"], np.int64), n_known=unpack(r["n_known"], np.int64),
                 base=unpack(r["base"], np.float64), score=unpack(r["score"], np.float64))
+        elif r["hot_key"] is not None:
+            add(1, level=[r["level"]], hot_key=[r["hot_key"]], use_uid=[r["use_uid"]], use_n=[r["use_n"]])
     rows = [r for r in rows if r["keys"] is not None]
     if rows:
         own = [unpack_keys(r["keys"]) for r in rows]
@@ -346,10 +363,20 @@ def _backoff_group(table: pa.Table) -> pa.Table:
         sums = np.bincount(of, weights=alpha[inverse[at]] * n, minlength=len(docs))
         add(len(docs), uid=docs, score=sums)
         add(1, level=[rows[0]["level"]], bucket=[rows[0]["bucket"]], keys=[pack_keys(keys)], weights=[pack(alpha)])
+        hot = np.unique(inverse[np.concatenate([unpack(r["hot"], np.uint8) for r in rows]) > 0])
+        add(len(hot), level=[rows[0]["level"]] * len(hot), hot_key=[k.tobytes() for k in keys[hot]], weight=alpha[hot])
     return pa.concat_tables(out)
 
 
-def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, order: int = 2) -> DataFrame:
+def _hot_batches(batches):
+    """What a hot context adds to the documents of one block that back off there."""
+    for b in batches:
+        for r in b.to_pylist():
+            uid = unpack(r["use_uid"], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(uid), pa.array(unpack(r["use_n"], np.uint32) * r["weight"])], ["uid", "score"])
+
+
+def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, order: int = 2, hot_docs: int = HOT_DOCS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     of every document by the model of ``order``, learned from the folds other than
     ``held``."""
@@ -375,9 +402,13 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, order: int =
     totals = Totals(by_level, documents, order)
     replies = counted.where("kind = 'reply'").groupBy("block").agg(
         F.collect_list(F.struct("level", "bucket", "counts", "own")).alias("replies"))
-    sent = blocks.drop("doc_ids").join(replies, "block").mapInArrow(_score_batches(spark.sparkContext.broadcast(totals), bits), _SENT)
+    sent = blocks.drop("doc_ids").join(replies, "block").mapInArrow(_score_batches(spark.sparkContext.broadcast(totals), bits, hot_docs), _SENT)
     scored = materialise(spark, sent.groupBy("level", "bucket").applyInArrow(_backoff_group, _SCORED), "lm-scores")
-    sums = scored.where("uid IS NOT NULL").groupBy("uid").agg(
+    hot = scored.where("use_uid IS NOT NULL").select("level", "hot_key", "use_uid", "use_n").join(
+        scored.where("weight IS NOT NULL").select("level", "hot_key", "weight"), ["level", "hot_key"])
+    hot = hot.select("use_uid", "use_n", "weight").mapInArrow(_hot_batches, "uid long, score double")
+    parts = scored.where("uid IS NOT NULL").select("uid", "n_tokens", "n_known", "base", "score")
+    sums = parts.unionByName(hot, allowMissingColumns=True).groupBy("uid").agg(
         F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"),
         F.sum("score").alias("score"))
     return rows.join(sums, "uid").select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
