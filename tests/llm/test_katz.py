@@ -155,3 +155,31 @@ def test_orders_on_edge_rows_in_small_blocks(spark, order):
             *[(i, f"a b {'a b c'[:i % 5]} z b a {i % 3} b c") for i in range(20, 60)]]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     close(katz.score_documents(df, order=order).collect(), plain_scores_of_order(rows, order))
+
+
+@pytest.mark.parametrize("order, hot_docs", [(2, 0), (2, 3), (3, 1)])
+def test_contexts_from_which_many_documents_back_off(spark, order, hot_docs):
+    rows = [(i, f"the new{i} word of a b") for i in range(120)] + [(1000 + i, "the a b the b") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    close(katz.score_documents(df, order=order, hot_docs=hot_docs).collect(), plain_scores_of_order(rows, order))
+
+
+def test_no_group_holds_a_hot_context_s_documents():
+    """One block whose documents all back off from one context sends one row
+    for them, wherever the context lives."""
+    import pyarrow as pa
+    texts = ["the new%d" % i for i in range(500)] + ["the old"] * 5
+    docs = pa.RecordBatch.from_pydict({"doc_id": range(505), "uid": range(505), "train": [False] * 500 + [True] * 5, "text": texts})
+    block = next(katz._block_batches([docs])).to_pylist()[0]
+    asked = [r for b in katz._ask_batches(0, 2)([pa.RecordBatch.from_pylist([block])]) for r in b.to_pylist()]
+    replies, spectra = [], {}
+    for level in (1, 2):
+        out = katz._count_group(pa.Table.from_pylist([r for r in asked if r["level"] == level])).to_pylist()
+        replies += [r for r in out if r["kind"] == "reply"]
+        spectra |= {level: r["spectrum"] for r in out if r["kind"] == "spectrum"}
+
+    class Held:
+        value = katz.Totals(spectra, 5, 2)
+    sent = [r for b in katz._score_batches(Held, 0, katz.HOT_DOCS)([pa.RecordBatch.from_pylist([{**block, "replies": replies}])]) for r in b.to_pylist()]
+    entries = [len(katz.unpack(r["use_uid"], np.int64)) for r in sent if r["keys"] is not None and r["use_uid"]]
+    assert max(entries) <= katz.HOT_DOCS and [len(katz.unpack(r["use_uid"], np.int64)) for r in sent if r["hot_key"]] == [500]
