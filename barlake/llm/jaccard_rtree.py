@@ -5,7 +5,7 @@ Tokens (shingle hashes) are dealt into groups by their hash; the number of
 tokens per group is a document's point.  The sum over groups of the smaller
 coordinate bounds the overlap of two sets from above, and the same sum with
 the upper corner of a tree node bounds it for all documents below.  Pairs that
-pass are verified on the sets.
+pass meet the same bound over more groups, and are then verified on the sets.
 
 Distribution.  Equal sets are one class and enter once.  Two sets with
 similarity of at least t differ in at most d = (1-t)/(1+t) * (sum of sizes)
@@ -47,6 +47,8 @@ from barlake.llm.storage import materialise, spare
 from barlake.llm.words import mix, shingle_set, word_hashes
 
 GROUPS = 128
+#: Groups of the second, tighter bound on pairs the tree lets through.
+FINE = 1024
 LEAF = 1024
 NODE = 32
 PIVOTS = 4
@@ -254,9 +256,18 @@ def _set_batches(width: int):
     return run
 
 
-def point(tokens: np.ndarray) -> np.ndarray:
+def point(tokens: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Number of tokens per group."""
-    return np.bincount((mix(tokens) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    return np.bincount((mix(tokens) % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
+def fine_points(sets: list[np.ndarray]) -> np.ndarray:
+    """Counts over ``FINE`` groups, a row per set, in the narrowest integers."""
+    most = max((len(s) for s in sets), default=0)
+    out = np.zeros((len(sets), FINE), dtype=np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+    for i, s in enumerate(sets):
+        out[i] = point(s, FINE)
+    return out if out.dtype == np.uint8 or out.max(initial=0) > 255 else out.astype(np.uint8)
 
 
 class CountTree:
@@ -292,13 +303,16 @@ def links_in(sets: list[np.ndarray], points: np.ndarray, comp: np.ndarray, side:
     names, root = np.unique(comp, return_inverse=True)
     root = root.copy()
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    tree = CountTree(points, sizes)
+    tree, fine = CountTree(points, sizes), fine_points(sets)
     two = bool(side.any())
     out = []
     for i in range(1, len(sets)):
         rows = tree.below(i, t)
         if two:
             rows = rows[side[rows] != side[i]]
+        rows = rows[root[rows] != root[i]]
+        if len(rows):
+            rows = rows[np.minimum(fine[rows], fine[i]).sum(axis=1, dtype=np.int64) >= t.needs(sizes[i], sizes[rows])]
         while len(rows := rows[root[rows] != root[i]]):
             j, rows = rows[-1], rows[:-1]
             if overlap(sets[i], sets[j]) >= t.needs(sizes[i], sizes[j]):
@@ -538,7 +552,7 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
              .join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("h") == F.col("want_h")))
              .select("cid", "blob", "text"))
     sets = materialise(spark, texts.mapInArrow(
-        _set_batches(shingle), "cid long, blob long, n long, tokens binary, point array<int>, packed binary"), "sets")
+        _set_batches(shingle), "cid long, blob long, n long, tokens binary, point array<int>, packed binary"), "sets", "zstd")
     count = sets.groupBy("blob").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("all"))
     fits = (F.col("k") <= leaf) & (F.col("all") <= 2 * LEAF_TOKENS)
     count = materialise(spark, count.select("blob", fits.alias("fits")), "blob-sizes")
@@ -568,7 +582,7 @@ def keep_one(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3,
     """``docs`` with one row of each component: the one with the smallest
     doc_id (of repeated rows, one).  All columns are kept."""
     uid = spare(docs.columns, "row_uid")
-    stored = materialise(docs.sparkSession, docs.withColumn(uid, F.monotonically_increasing_id()), "documents")
+    stored = materialise(docs.sparkSession, docs.withColumn(uid, F.monotonically_increasing_id()), "documents", "zstd")
     found = components(stored, part, whole, shingle, leaf, uid)
     stays = found.where("uid = first").select(F.col("uid").alias(uid))
     return stored.join(stays, uid, "left_semi").select(docs.columns)

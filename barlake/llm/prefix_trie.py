@@ -54,7 +54,7 @@ BLOCK = 100
 HEADS = 6
 ROOT = bytes(16)
 #: Nodes of a shard, about.
-SHARD = 200_000
+SHARD = 20_000
 #: Messages a queue keeps in memory, and targets in other shards that a shard
 #: adds up at once.
 IN_MEMORY = 100_000

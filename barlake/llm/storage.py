@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from barlake.session import scratch_dir
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialise(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     What follows then depends on files every executor can read, not on the
     lineage of ``df``: a lost executor costs its running tasks only.
     """
     path = scratch_dir(spark, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

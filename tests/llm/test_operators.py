@@ -286,6 +286,23 @@ def test_jaccard_components(spark, part, whole, k, leaf):
     assert sorted(map(tuple, got), key=str) == expected_components(rows, part, whole, k)
 
 
+def test_jaccard_pivots_beyond_a_broadcast(spark, monkeypatch):
+    rows = near_rows()
+    monkeypatch.setattr(jaccard_rtree, "PIVOT_TOKENS", -1)
+    got = jaccard_rtree.near_duplicates(docs(spark, rows), 9, 10, 3, 8).collect()
+    assert sorted(map(tuple, got), key=str) == expected_components(rows, 9, 10, 3)
+
+
+def test_jaccard_points_and_signature_bits():
+    import pyarrow as pa
+    points = [np.arange(jaccard_rtree.GROUPS, dtype=np.int32) * m for m in (1, 300, 100_000)]
+    packed = [jaccard_rtree.packed_point(p) for p in points]
+    assert [len(x) // jaccard_rtree.GROUPS for x in packed] == [1, 2, 4]
+    got = jaccard_rtree._points(pa.RecordBatch.from_pydict({"packed": pa.array(packed, pa.binary())}))
+    assert (got == np.stack(points)).all()
+    assert [jaccard_rtree.spare_bits(n) for n in (0, 10**8, 10**10, 10**12, 10**14)] == [40, 16, 8, 0, 0]
+
+
 def test_jaccard_keep_one(spark):
     rows = near_rows(5)
     kept = jaccard_rtree.keep_one(docs(spark, rows))
