@@ -162,8 +162,11 @@ def standard_line() -> Column:
 def write_symbol_files(lines: DataFrame, path: str) -> None:
     """Write (symbol, part, date, line) rows as one text file per symbol under
     ``path/symbol={symbol}/``, header first, with Spark's partitioned writer.
-    One file holds one symbol's history, bounded by its trading days."""
-    (lines.repartition("symbol").sortWithinPartitions("symbol", "part", "date")
+    One file holds one symbol's history, bounded by its trading days.  The
+    number of tasks is fixed: opening files is the cost here, not their bytes,
+    by which adaptive execution would merge the tasks into one."""
+    width = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (lines.repartition(width, "symbol").sortWithinPartitions("symbol", "part", "date")
      .select("symbol", "line").write.mode("append").partitionBy("symbol").text(path))
 
 
