@@ -11,8 +11,11 @@ components each bucket gives a spanning forest of the links it found.
 A bucket of more than ``BLOCK`` classes is dealt in blocks, and each pair of
 blocks is one unit of work, so no task holds a whole large bucket.
 
-Two vectors of cosine 0.98 share one of 16 tables of 12 bits with probability
-0.9999, closer ones with more.
+Signs per table grow with the logarithm of the number of vectors, so that a
+bucket of unlike vectors stays small, and the number of tables follows from the
+signs: two vectors of the least cosine share a bucket of one of them with
+probability ``RECALL``, closer ones with more (``plan``; 16 tables of 12 signs
+at 0.98 up to 65,536 vectors).
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
 values, and rows without a label, link with nothing and are their own
@@ -24,6 +27,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +37,23 @@ from pyspark.sql import functions as F
 from barlake.llm.components import connected_components
 from barlake.llm.storage import materialise
 
-TABLES = 16
-BITS = 12
+#: Chance that a pair of the least cosine meets in some table.
+RECALL = 0.9999
+#: Signs of a table at least, and at most.
+LEAST_BITS, MOST_BITS = 12, 30
 BLOCK = 1024
 SEED = 20240
 _NORMALS: dict = {}
 
 
+def plan(n: int, least: float) -> tuple[int, int]:
+    """(tables, signs of each) for ``n`` vectors and pairs of cosine ``least``:
+    about 16 unlike vectors a bucket."""
+    bits = min(max(LEAST_BITS, max(n - 1, 1).bit_length() - 4), MOST_BITS)
+    agree = (1 - math.acos(min(max(least, -1.0), 1.0)) / math.pi) ** bits
+    return 1 if agree >= RECALL else math.ceil(math.log(1 - RECALL) / math.log1p(-agree)), bits
+
+
 def _normals(dim: int, tables: int, bits: int) -> np.ndarray:
     key = (dim, tables, bits)
     if key not in _NORMALS:
@@ -152,11 +166,13 @@ def _bucket_batches(least: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = TABLES, bits: int = BITS,
+def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int | None = None, bits: int | None = None,
                     block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors``
-    (vec_id, embedding, label)."""
+    (vec_id, embedding, label); ``tables`` and ``bits`` as planned unless given."""
     spark = vectors.sparkSession
+    if tables is None or bits is None:
+        tables, bits = plan(vectors.count(), least)
     rows = vectors.select(F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     coded = materialise(spark, rows.mapInArrow(

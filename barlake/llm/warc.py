@@ -55,7 +55,8 @@ def _running_digests(batches):
         for uid, no, data in zip(b.column("uid").to_pylist(), b.column("chunk_no").to_pylist(), b.column("data")):
             if no == 0:
                 current, sha = uid, hashlib.sha1()
-            assert uid == current
+            if uid != current:
+                raise ValueError("the chunks of a record are not together")
             sha.update(data.as_buffer())
             digests.append(_base32(sha))
         yield pa.RecordBatch.from_arrays(
@@ -140,8 +141,14 @@ def write_archives(pages: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES,
      .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
 
 
+_OPENS = b"WARC/1.1\r"
+
+
 class _Records:
-    """Reads the lines of archive files one after another."""
+    """Reads the lines of archive files one after another.
+
+    Where the lines do not follow the format, the record at hand ends there,
+    not intact, and reading goes on at the next line that opens a record."""
 
     def __init__(self):
         self.done: list[dict] = []
@@ -158,32 +165,50 @@ class _Records:
                         self.state, self.blank = "end", 2
                 else:
                     self._take(line[:self.left])
-                    assert line[self.left:] == b"\r", "block longer than its Content-Length"
                     self.state, self.blank = "end", 1
+                    if line[self.left:] != b"\r":
+                        self._lose(line)  # a block longer than its Content-Length
             elif self.state == "end":
-                assert line == b"\r", "blank lines expected after a block"
                 self.blank -= 1
-                if not self.blank:
+                if line != b"\r":
+                    self._lose(line)
+                elif not self.blank:
                     self.state = "start"
+            elif self.state == "lost":
+                if line == _OPENS:
+                    self.state, self.head = "start", [line]
             elif line == b"\r":
-                self._header()
+                try:
+                    self._header()
+                except (KeyError, ValueError):
+                    self._lose(line)
             else:
                 self.head.append(line)
 
+    def _lose(self, line: bytes) -> None:
+        if self.open is not None:
+            self.open["lost"] = True
+        self.finish()
+        self.state, self.head = ("start", [line]) if line == _OPENS else ("lost", [])
+
     def _header(self) -> None:
         if self.state == "http":
             self.open["http"].update(_fields(self.head))
             self.left -= sum(len(x) + 1 for x in self.head) + 2
+            if self.left < 0:
+                raise ValueError("a block shorter than its own header")
         else:
             h = _fields(self.head)
-            assert self.head[0].rstrip() == b"WARC/1.1"
+            if not self.head or self.head[0] != _OPENS:
+                raise ValueError("no record opens here")
             self.left = int(h["content-length"])
             if h["warc-type"] == "continuation":
-                assert self.open and h["warc-segment-origin-id"] == self.open["id"], "segment without its record"
+                if self.open is None or h["warc-segment-origin-id"] != self.open["id"]:
+                    raise ValueError("a segment without its record")
                 self.open["segments"] += 1
             else:
                 self.finish()
-                self.open = {"id": h["warc-record-id"], "h": h, "http": {}, "sha": hashlib.sha1(), "n": 0, "segments": 1}
+                self.open = {"id": h["warc-record-id"], "h": h, "http": {}, "sha": hashlib.sha1(), "n": 0, "segments": 1, "lost": False}
                 self.head, self.state = [], "http"
                 return
         self.head = []
@@ -198,16 +223,21 @@ class _Records:
         if self.open is None:
             return
         o, h = self.open, self.open["h"]
+        self.open = None
         revisit = h["warc-type"] == "revisit"
-        said = h["warc-payload-digest"].removeprefix("sha1:")
-        size = int(o["http"]["content-length"])
+        said, size = h.get("warc-payload-digest", "").removeprefix("sha1:"), _number(o["http"].get("content-length"))
         digest = said if revisit else _base32(o["sha"])
-        page, to = h.get("warc-page-id"), h.get("warc-refers-to-page-id")
         self.done.append({
-            "record_id": o["id"], "page_id": None if page is None else int(page), "record_type": h["warc-type"],
-            "payload_bytes": size if revisit else o["n"], "payload_digest": digest, "refers_to": None if to is None else int(to),
-            "segments": o["segments"], "intact": digest == said and (revisit or o["n"] == size)})
-        self.open = None
+            "record_id": o["id"], "page_id": _number(h.get("warc-page-id")), "record_type": h["warc-type"],
+            "payload_bytes": size if revisit else o["n"], "payload_digest": digest, "refers_to": _number(h.get("warc-refers-to-page-id")),
+            "segments": o["segments"], "intact": not o["lost"] and size is not None and digest == said and (revisit or o["n"] == size)})
+
+
+def _number(text: str | None) -> int | None:
+    try:
+        return int(text)
+    except (TypeError, ValueError):
+        return None
 
 
 def _fields(lines) -> dict:
@@ -231,7 +261,8 @@ def _read_batches(batches):
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives under ``path``; ``intact`` says
     whether the payload read has the size and digest its header states (for a
-    revisit, only the header is there)."""
+    revisit, only the header is there).  A record whose lines break the format
+    is not intact and ends there; a header that names no record gives no row."""
     lines = spark.read.option("lineSep", "\n").text(path).select(F.col("value").cast("binary").alias("line"))
     return lines.mapInArrow(_read_batches, RECORDS)
 

@@ -60,6 +60,26 @@ def test_warc_edge_payloads(spark, tmp_path):
     assert {r["segments"] for r in got if r["page_id"] == 8} == {-(-len(long.encode()) // 64)}
 
 
+def test_warc_reader_of_damaged_archives(spark, tmp_path):
+    import gzip
+    import glob
+    pages = frame(spark, [(i, "http://a/b", f"page {i} " * 20) for i in range(6)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), f"{tmp_path}/w")
+    data = b"".join(gzip.open(f).read() for f in sorted(glob.glob(f"{tmp_path}/w/*.gz")))
+    records = [b"WARC/1.1" + x for x in data.split(b"WARC/1.1")[1:]]
+    page = lambda r: int(re.search(rb"(?i)warc-page-id: *(\d+)", r)[1])
+    records = {page(r): r for r in records}
+    whole = lambda n: records[n]
+    size = re.search(rb"Content-Length: *(\d+)", records[1])
+    damaged = [whole(0), records[1].replace(size[0], b"Content-Length: 7", 1), whole(2), records[3].replace(b"page 3", b"pagE 3", 1),
+               b"junk\r\n\r\nmore junk\r\n", whole(4), re.sub(rb"Content-Length: *\d+", b"Content-Length: x", records[5], count=1), whole(0)[:200]]
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.warc").write_bytes(b"".join(damaged))
+    got = [(r["page_id"], r["intact"]) for r in warc.read_archives(spark, f"{tmp_path}/d").collect()]
+    assert sorted(p for p, ok in got if ok) == [0, 2, 4]
+    assert (3, False) in got and len([1 for p, _ in got if p == 5]) == 0
+
+
 def test_warc_empty_table(spark, tmp_path):
     pages = frame(spark, [], "page_id long, url string, html string")
     assert warc.archive_round_trip(pages, f"{tmp_path}/w").collect() == []
@@ -487,6 +507,28 @@ def test_embedding_query(spark, sf_small):
     assert embedding_lsh.near_duplicates(empty).collect() == []
 
 
+def test_embedding_tables_follow_the_number_of_vectors():
+    assert [embedding_lsh.plan(n, 0.98) for n in (0, 500, 65_536, 10**6, 10**9)] == [(16, 12), (16, 12), (16, 12), (22, 16), (47, 26)]
+    assert embedding_lsh.plan(100, 1.0) == (1, 12)
+
+
+@pytest.mark.parametrize("n", [50_000, 10**8])
+def test_embedding_recall_of_planted_pairs(n):
+    """Pairs of cosine 0.98 to 0.985 that meet in some table."""
+    rng = np.random.default_rng(11)
+    a = rng.standard_normal((20_000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal(a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cos = rng.uniform(0.98, 0.985, (len(a), 1))
+    b = cos * a + np.sqrt(1 - cos ** 2) * b
+    tables, bits = embedding_lsh.plan(n, 0.98)
+    normals = embedding_lsh._normals(64, tables, bits)
+    same = ((a @ normals > 0) == (b @ normals > 0)).reshape(len(a), tables, bits).all(axis=2).any(axis=1)
+    assert same.mean() > 0.9995
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, x) for x in range(200, 260)] + [(7, 7), (300, 301), (301, 300)]
     got = dict(map(tuple, components.connected_components(frame(spark, edges, "a long, b long")).collect()))
