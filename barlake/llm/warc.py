@@ -181,12 +181,13 @@ class _Records:
                 try:
                     self._header()
                 except (KeyError, ValueError):
-                    self._lose(line)
+                    # The record before is whole unless this is its own header.
+                    self._lose(line, hurt=self.state == "http")
             else:
                 self.head.append(line)
 
-    def _lose(self, line: bytes) -> None:
-        if self.open is not None:
+    def _lose(self, line: bytes, hurt: bool = True) -> None:
+        if self.open is not None and hurt:
             self.open["lost"] = True
         self.finish()
         self.state, self.head = ("start", [line]) if line == _OPENS else ("lost", [])
