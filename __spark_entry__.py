@@ -574,7 +574,7 @@ def q_metrics_state_stream(spark, d):
     for i, (lo, hi) in enumerate(cuts):
         days = (F.col("date") > F.lit(lo).cast("date")) & (F.col("date") <= F.lit(hi).cast("date"))
         raw.where(days).write.parquet(f"{root}/raw/run={i}")
-        run_state_metrics_once(spark, f"{root}/raw", f"{root}/out", f"{root}/_checkpoints/state")
+        run_state_metrics_once(spark, f"{root}/raw", f"{root}/out", f"{root}/_checkpoints/state", partitions=8)
     return _round_cols(state_metrics_table(spark, f"{root}/out"), ["close_sma_20", "close_sma_200"])
 
 
@@ -589,7 +589,7 @@ def q_alert_rearm_state(spark, d):
     half = F.col("date") <= F.lit("1995-06-30").cast("date")
     for i, chunk in enumerate((half, ~half)):
         firings.where(chunk).write.parquet(f"{root}/firings/run={i}")
-        run_state_rearm_once(spark, f"{root}/firings", f"{root}/out", f"{root}/_checkpoints/rearm", DEFAULT_REARM)
+        run_state_rearm_once(spark, f"{root}/firings", f"{root}/out", f"{root}/_checkpoints/rearm", DEFAULT_REARM, partitions=2)
     return notices_table(spark, f"{root}/out").where("kind = 'kept'").select("rule_id", "date")
 
 

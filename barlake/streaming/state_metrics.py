@@ -179,23 +179,28 @@ def _day(number: int) -> dt.date:
 
 # --- jobs --------------------------------------------------------------------------
 
-def _run(spark: SparkSession, out: DataFrame, write, checkpoint: str, mode: str) -> None:
-    """One availableNow run; state lives in RocksDB, under the checkpoint."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, PROVIDER)
+def _run(spark: SparkSession, out: DataFrame, write, checkpoint: str, mode: str, partitions: int | None) -> None:
+    """One availableNow run; state lives in RocksDB, under the checkpoint, in as
+    many partitions as the first run shuffles to."""
+    confs = {"spark.sql.streaming.stateStore.providerClass": PROVIDER}
+    if partitions:
+        confs["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         q = (out.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     if q.exception() is not None:
         raise q.exception()
 
 
 def run_state_metrics_once(spark: SparkSession, raw_path: str, root: str, checkpoint: str,
-                           alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS) -> None:
+                           alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS, partitions: int | None = None) -> None:
     """Work every raw file added since the last run into the metrics table,
     then stop.  Each batch writes folders named by its id, which a replay
     overwrites, and nothing older."""
@@ -213,7 +218,7 @@ def run_state_metrics_once(spark: SparkSession, raw_path: str, root: str, checkp
         finally:
             rows.unpersist()
 
-    _run(spark, out, write, checkpoint, "append")
+    _run(spark, out, write, checkpoint, "append", partitions)
 
 
 def state_metrics_table(spark: SparkSession, root: str, alerts: Iterable[tuple[str, int]] = DEFAULT_ALERTS) -> DataFrame:
@@ -233,7 +238,8 @@ def late_rows(spark: SparkSession, root: str) -> DataFrame:
 NOTICES = "rule_id string, date date, kind string"
 
 
-def run_state_rearm_once(spark: SparkSession, firings_dir: str, root: str, checkpoint: str, gap_days: int = DEFAULT_REARM) -> None:
+def run_state_rearm_once(spark: SparkSession, firings_dir: str, root: str, checkpoint: str, gap_days: int = DEFAULT_REARM,
+                         partitions: int | None = None) -> None:
     """Notices of the firing days (rule_id, date) added since the last run:
     kept, late, and the days on which a rule is armed again."""
     tune_listing(spark)
@@ -244,7 +250,7 @@ def run_state_rearm_once(spark: SparkSession, firings_dir: str, root: str, check
     def write(batch: DataFrame, batch_id: int) -> None:
         overwrite(batch, f"{root}/notices/batch={batch_id}")
 
-    _run(spark, out, write, checkpoint, "append")
+    _run(spark, out, write, checkpoint, "append", partitions)
 
 
 def notices_table(spark: SparkSession, root: str) -> DataFrame:
