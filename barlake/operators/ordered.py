@@ -39,17 +39,19 @@ def sum_before(rows: DataFrame, key: str, order: list[Column], amount: Column, n
 def next_value(rows: DataFrame, key: str, order: list[Column], value: Column, name: str,
                block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``rows`` with ``name``, the first ``value`` that is not null of a later
-    row of their key."""
+    row of their key.  Ranges are read from their end, so that a row's frame
+    grows by one row: a frame that shrinks towards the end is added up anew for
+    every row."""
     seg = in_order(rows.withColumn("__v", value), order, block_rows)
-    inside = Window.partitionBy(key, SEG).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
-    own = seg.withColumn("__next", F.first("__v", ignorenulls=True).over(inside))
+    inside = Window.partitionBy(key, SEG).orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    own = seg.withColumn("__next", F.last("__v", ignorenulls=True).over(inside))
     # The first value of each range: that of its least row by order.
     place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     firsts = seg.where("__v IS NOT NULL").groupBy(key, SEG).agg(F.min_by("__v", place).alias("__f"))
-    later = Window.partitionBy(key).orderBy(SEG).rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(key).orderBy(F.col(SEG).desc()).rowsBetween(Window.unboundedPreceding, -1)
     # Ranges without a value of their own still need the next one.
     spans = seg.select(key, SEG).distinct().join(firsts, [key, SEG], "left")
-    after = spans.select(key, SEG, F.first("__f", ignorenulls=True).over(later).alias("__after"))
+    after = spans.select(key, SEG, F.last("__f", ignorenulls=True).over(later).alias("__after"))
     out = own.join(after, [key, SEG]).withColumn(name, F.coalesce("__next", "__after"))
     return out.select(*rows.columns, name)
 

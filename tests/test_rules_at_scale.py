@@ -76,3 +76,12 @@ def test_next_value_skips_empty_ranges(spark):
     df = spark.createDataFrame(rows, "k string, i int, v int")
     got = {(r["k"], r["i"]): r["nxt"] for r in ordered.next_value(df, "k", [F.col("k"), F.col("i")], F.col("v"), "nxt", 5).collect()}
     assert got == {(k, i): next((j for j in range(i + 1, 100) if j % 40 == 39), None) if k == "a" else None for k, i, _ in rows}
+
+
+def test_next_value_reads_no_shrinking_frame(spark, capsys):
+    """A frame to the end of a range is added up anew for every row."""
+    df = spark.createDataFrame([("a", None, 1), ("a", 1, None), ("a", 2, 5), ("a", 3, None)], "k string, i int, v int")
+    out = ordered.next_value(df, "k", [F.col("k"), F.col("i")], F.col("v"), "nxt", 2)
+    out.explain(True)
+    assert "unboundedfollowing" not in capsys.readouterr().out.lower()
+    assert {r["i"]: r["nxt"] for r in out.collect()} == {None: 5, 1: 5, 2: None, 3: None}
