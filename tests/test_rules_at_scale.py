@@ -85,3 +85,17 @@ def test_next_value_reads_no_shrinking_frame(spark, capsys):
     out.explain(True)
     assert "unboundedfollowing" not in capsys.readouterr().out.lower()
     assert {r["i"]: r["nxt"] for r in out.collect()} == {None: 5, 1: 5, 2: None, 3: None}
+
+
+def test_many_rules_meet_rows_in_bounded_cells(spark, monkeypatch):
+    monkeypatch.setattr(A, "CELL_RULES", 8)
+    monkeypatch.setattr(A, "CELL_ROWS", 10)
+    metrics = _metrics(spark)
+    rules = spark.createDataFrame([(f"r{i}", "close_change", i / 10) for i in range(60)] + [("co", "close_sma_20_co", 0.0), ("none", "close_change", None),
+                                  (None, "close_change", 2.0), ("r1", "close_change", 2.0), ("r1", "close_change", 2.0)], "rule_id string, metric string, threshold double")
+    got = A.rule_hits(metrics, rules, latest_only=False)
+    above = lambda v, t: t is not None and v is not None and (v != v or abs(v) > t)
+    want = [(r["rule_id"], m["ticker"], m["date"], float(m[r["metric"]])) for r in rules.collect() for m in metrics.collect() if above(m[r["metric"]], r["threshold"])]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 100 and max(sizes) < len(want) / 20, "the hits are dealt to many tasks"
