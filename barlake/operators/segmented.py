@@ -4,10 +4,11 @@ A window ``partitionBy(key)`` sends a key's whole series to one task.  These
 operators give the same results while no task holds more than a bounded slice
 of any key:
 
-* ``segmented`` deals the rows by ranges of (key, order), about
-  ``block_rows / 2`` rows each, whatever a key's share of the rows and however
-  dense its order values are, and writes them down with their range number, so
-  every later step sees the same segments.
+* ``segmented`` puts the rows in (key, order) and cuts them into segments of
+  at most ``block_rows / 2`` rows, whatever a key's share of the rows and
+  however dense its order values are, and writes them down with their segment's
+  number, so every later step sees the same segments.  A task deals a range of
+  rows, which may hold many small segments.
 * Forward fill: fill inside (key, segment), then fill what is still NULL at
   the start of a segment from a carry: the last non-NULL value of the
   preceding segments, found on a small per-segment summary table.
@@ -37,6 +38,9 @@ IDX = "__idx"
 BLK = "__blk"
 HALO = "__halo"
 BLOCK_ROWS = 1_000_000
+# Rows a range that one task sorts and cuts into segments has at least: the
+# ranges, their sample and their tasks follow the rows, not the segments.
+RANGE_ROWS = 100_000
 
 
 def segmented(df: DataFrame, key: str = KEY, order: str = ORDER, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -45,8 +49,13 @@ def segmented(df: DataFrame, key: str = KEY, order: str = ORDER, block_rows: int
     if SEG in df.columns:
         return df
     base = materialize(df)
-    parts = max(1, -(-2 * base.count() // max(1, block_rows)))
-    return materialize(base.repartitionByRange(parts, key, order).withColumn(SEG, F.spark_partition_id().cast("bigint")))
+    size = max(1, block_rows // 2)
+    parts = max(1, -(-base.count() // max(size, RANGE_ROWS)))
+    ranges = base.repartitionByRange(parts, key, order).sortWithinPartitions(key, order)
+    # The number of a row: its range in the upper bits, its place there in the lower 33.
+    no, lower = F.monotonically_increasing_id(), F.lit((1 << 33) - 1)
+    seg = F.shiftleft(F.shiftright(F.col("__no"), 33), 33) + F.floor(F.col("__no").bitwiseAND(lower) / F.lit(size)).cast("bigint")
+    return materialize(ranges.withColumn("__no", no).withColumn(SEG, seg).drop("__no"))
 
 
 def _same(a: str, b: str, key: str):

@@ -192,3 +192,15 @@ def test_cents_running_sums_equal_direct_frames(spark):
         direct = df.withColumn(name, M.sma_expr(F.col("close"), n, w, exact, cents=True))
         key = lambda r: (r.date, r[name])
         assert sorted(map(key, fast.collect())) == sorted(map(key, direct.collect()))
+
+
+def test_small_segments_share_the_tasks(spark):
+    """Tasks and range samples follow the rows, not the number of segments."""
+    from barlake.operators import segmented as SG
+    rows = [(k, dt.date(2020, 1, 1) + dt.timedelta(days=i)) for k in ("a", "b", None) for i in range(300)]
+    seg = SG.segmented(spark.createDataFrame(rows, "ticker string, date date").repartition(5), block_rows=8)
+    assert seg.rdd.getNumPartitions() == 1
+    found = sorted(((r[SG.SEG], r["ticker"] or "", r["date"]) for r in seg.collect()))
+    assert [x[1:] for x in found] == sorted((k or "", d) for k, d in rows)
+    sizes = seg.groupBy(SG.SEG).count().collect()
+    assert len(sizes) == 225 and max(r["count"] for r in sizes) == 4
