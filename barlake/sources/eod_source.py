@@ -17,6 +17,9 @@ The stream reader (``spark.readStream.format("eod_landing")``) moves by
 many as ``maxFilesPerTrigger`` allows.  A file that appears with a time before
 that offset would be missed, so deliveries must not carry older times.
 
+A bundle (see ``landing``) is read whole by one task, which keeps the members
+of the asked tickers; a member's lines stand together.
+
 Files are read through Arrow's file systems, so a path needs a scheme that
 those know (local, ``hdfs://``, ``s3://``, ``gs://``).  For stores that only
 Spark reads, use the text reader (``landing.read_landing``).
@@ -33,6 +36,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, groupby, islice
 from urllib.parse import unquote_plus
 
 import pyarrow as pa
@@ -49,10 +53,13 @@ STUB_LINE = "Value"
 PARTITION_BYTES, OPEN_BYTES = 64 << 20, 1 << 20
 #: The header stands within so many bytes of a file's head.
 HEAD = 1 << 16
+#: The most lines of a member of a bundle among which its header is looked for.
+HEAD_LINES = 2000
 _ROWS = 8192
 _NAME = re.compile(r"([^/]+)\.csv$")
 _COMMA = re.compile(r"[ \t\n\x0b\f\r]*,[ \t\n\x0b\f\r]*")
 _FOLDER = re.compile(r"/symbol=([^/]+)/")
+_BUNDLE = "/layout=bundle/"
 _ARROW = pa.schema([("file", pa.string()), ("ticker", pa.string()), ("exchange", pa.string()), ("header", pa.list_(pa.string())), ("line", pa.string())])
 
 
@@ -132,11 +139,13 @@ class _Landing:
         held: list[FileRange] = []
         size = 0
         for f in infos:
-            ticker, exchange = split_path(f.path)
-            if (self.tickers is not None and ticker not in self.tickers) or (self.exchanges is not None and exchange not in self.exchanges):
+            bundle = _BUNDLE in f.path
+            ticker, exchange = (None, None) if bundle else split_path(f.path)
+            if not bundle and not self._asked(ticker, exchange):
                 continue
-            for start in range(0, f.size, self.bytes):
-                part = FileRange(f.path, start, min(start + self.bytes, f.size), ticker, exchange)
+            step = f.size if bundle else self.bytes
+            for start in range(0, f.size, step):
+                part = FileRange(f.path, start, min(start + step, f.size), ticker, exchange)
                 cost = part.end - part.start + OPEN_BYTES
                 if held and size + cost > self.bytes:
                     out.append(Ranges(held))
@@ -145,19 +154,34 @@ class _Landing:
                 size += cost
         return out + [Ranges(held)] if held else out
 
+    def _asked(self, ticker: str | None, exchange: str | None) -> bool:
+        return (self.tickers is None or ticker in self.tickers) and (self.exchanges is None or exchange in self.exchanges)
+
+    def _members(self, path: str, lines: Iterator[str]) -> Iterator[tuple]:
+        """The rows of a bundle's asked members, no more than ``HEAD_LINES``
+        lines held."""
+        for name, tagged in groupby(((name if tab else None, line if tab else name) for name, tab, line in (x.partition("\t") for x in lines)),
+                                    key=lambda x: x[0]):
+            file = path if name is None else f"{path}!/symbol={name}/"
+            ticker, exchange = (None, None) if name is None else split_path(file)
+            if not self._asked(ticker, exchange):
+                continue
+            own = (line for _, line in tagged)
+            head = list(islice(own, HEAD_LINES))
+            yield from _rows_of(file, ticker, exchange, _header(head), chain(head, own))
+
     def read(self, partition: Ranges | None) -> Iterator[pa.RecordBatch]:
         system, _ = self._system()
         rows: list[tuple] = []
         for part in partition.ranges if partition else ():  # without any, Spark plans one of nothing
             with system.open_input_file(part.path) as f:
-                head = f.read(HEAD).decode("utf-8", "replace").splitlines()
-                best = max(head, key=known_names, default="")
-                header = fields_of(best) if known_names(best) else None
-                for line in _lines(f, part.start, part.end):
-                    bare = line.strip(" ")
-                    if not bare or bare == STUB_LINE or (header and LANDING_FIELDS["date"] in bare and fields_of(line) == header):
-                        continue
-                    rows.append((part.path, part.ticker, part.exchange, header, line))
+                if _BUNDLE in part.path:
+                    found = self._members(part.path, _lines(f, part.start, part.end))
+                else:
+                    header = _header(f.read(HEAD).decode("utf-8", "replace").splitlines())
+                    found = _rows_of(part.path, part.ticker, part.exchange, header, _lines(f, part.start, part.end))
+                for row in found:
+                    rows.append(row)
                     if len(rows) >= _ROWS:
                         yield _batch(rows)
                         rows = []
@@ -165,6 +189,21 @@ class _Landing:
             yield _batch(rows)
 
 
+def _header(lines: list[str]) -> list[str] | None:
+    """The fields of the line that names most columns, if one names the date."""
+    best = max(lines, key=known_names, default="")
+    return fields_of(best) if known_names(best) else None
+
+
+def _rows_of(file: str, ticker: str | None, exchange: str | None, header: list[str] | None, lines: Iterator[str]) -> Iterator[tuple]:
+    """A file's rows: its lines but blank ones, stubs and the header."""
+    for line in lines:
+        bare = line.strip(" ")
+        if not bare or bare == STUB_LINE or (header and LANDING_FIELDS["date"] in bare and fields_of(line) == header):
+            continue
+        yield file, ticker, exchange, header, line
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 

@@ -215,9 +215,10 @@ def stub_rows(spark: SparkSession, exchange: str = "US") -> DataFrame:
 
 
 def write_fixture_landing(spark: SparkSession, sf_dir: str, path: str,
-                          date_filter: Column | None = None, with_stub: bool = True) -> str:
-    """Landed files for the dirty user bars (optionally only some days)."""
-    from barlake.sources.landing import write_symbol_files
+                          date_filter: Column | None = None, with_stub: bool = True, bundled: bool = False) -> str:
+    """Landed files for the dirty user bars (optionally only some days), one
+    per symbol or the same in bundles."""
+    from barlake.sources.landing import write_bundles, write_symbol_files
 
     b = dirty_bars(spark, sf_dir, "user")
     if date_filter is not None:
@@ -225,15 +226,15 @@ def write_fixture_landing(spark: SparkSession, sf_dir: str, path: str,
     rows = fixture_landing_rows(b, "user")
     if with_stub:
         rows = rows.unionByName(stub_rows(spark))
-    write_symbol_files(rows, path)
+    (write_bundles if bundled else write_symbol_files)(rows, path)
     return path
 
 
-def write_drift_landing(spark: SparkSession, sf_dir: str, path: str) -> str:
+def write_drift_landing(spark: SparkSession, sf_dir: str, path: str, bundled: bool = False) -> str:
     """Landed files of the user bars with two headers: odd tickers have a
     further column (``Trades``, three times the volume), even ones no volume."""
     from barlake.schema import LANDING_FIELDS
-    from barlake.sources.landing import landing_rows, write_symbol_files
+    from barlake.sources.landing import landing_rows, write_bundles, write_symbol_files
 
     odd = F.pmod(ticker_number("user"), F.lit(2)) == 1
     price = [F.col(c).cast("string") for c in ("open", "high", "low", "close")]
@@ -242,5 +243,5 @@ def write_drift_landing(spark: SparkSession, sf_dir: str, path: str) -> str:
     names = [LANDING_FIELDS[c] for c in ("date", "open", "high", "low", "close")]
     header = F.when(odd, F.lit(",".join(["Trades", *names, LANDING_FIELDS["volume"]]))).otherwise(F.lit(",".join(names)))
     rows = landing_rows(bars_user(spark, sf_dir), header=header, line=F.when(odd, more).otherwise(F.concat_ws(",", day, *price)))
-    write_symbol_files(rows, path)
+    (write_bundles if bundled else write_symbol_files)(rows, path)
     return path

@@ -2,7 +2,12 @@
 
 Files are named ``{TICKER}.{EXCHANGE}.csv`` (or sit under a
 ``symbol={TICKER}.{EXCHANGE}`` folder, the layout Spark's partitioned text
-writer produces).  The header names the columns (``Date,Open,High,Low,Close,Volume``
+writer produces).  Symbols by the hundred thousand come in bundles instead,
+files under a ``layout=bundle`` folder that hold the files of many symbols:
+each line is the symbol (percent-encoded), a tab and a line of that symbol's
+file.  A line of a bundle counts as one of the member
+``.../part-0.txt!/symbol={TICKER}.{EXCHANGE}/``, so members are told apart like
+files; a line without a tab belongs to no symbol.  The header names the columns (``Date,Open,High,Low,Close,Volume``
 in any order); every value arrives as text.  A reply with no data is a stub
 holding the single line ``Value``.
 
@@ -24,6 +29,7 @@ from barlake.sources.tables import MAX_FILE_AGE
 
 STUB_LINE = "Value"
 DATE_FORMAT = "yyyy-MM-dd"
+BUNDLE = "layout=bundle"
 
 
 def symbol_of_path(path: Column) -> Column:
@@ -45,11 +51,26 @@ def split_symbol(sym: Column) -> tuple[Column, Column]:
     return ticker, exchange
 
 
+def _members(lines: DataFrame) -> DataFrame:
+    """(line, file, ...) with the lines of bundles as lines of their members."""
+    tab = F.instr("line", "\t")
+    inside = F.col("file").contains(f"/{BUNDLE}/") & (tab > 0)
+    # Like the paths Spark reports, encoded once more than on disk.
+    symbol = F.url_encode(F.substring_index("line", "\t", 1))
+    return lines.withColumns({"line": F.when(inside, F.col("line").substr(tab + 1, F.length("line"))).otherwise(F.col("line")),
+                              "file": F.when(inside, F.concat("file", F.lit("!/symbol="), symbol, F.lit("/"))).otherwise(F.col("file"))})
+
+
+def stored_file(file: Column) -> Column:
+    """The path of the file on disk that holds a landed file, itself or its bundle."""
+    return F.regexp_replace(file, f"(/{BUNDLE}/[^/]+)!/symbol=[^/]*/$", "$1")
+
+
 def landing_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every non-empty line of every landed file, with its file path."""
-    return (spark.read.option("recursiveFileLookup", "true").text(path)
-            .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
-            .where(F.trim(F.col("line")) != ""))
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+             .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")))
+    return _members(lines).where(F.trim(F.col("line")) != "")
 
 
 def parse_lines(lines: DataFrame, split: bool = True, extras: bool = False):
@@ -170,6 +191,14 @@ def write_symbol_files(lines: DataFrame, path: str) -> None:
      .select("symbol", "line").write.mode("append").partitionBy("symbol").text(path))
 
 
+def write_bundles(lines: DataFrame, path: str) -> None:
+    """Write the same rows as bundles under ``path/layout=bundle/``, a file a
+    task, each symbol's lines together and its header first."""
+    width = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (lines.repartition(width, "symbol").sortWithinPartitions("symbol", "part", "date")
+     .select(F.concat(F.url_encode("symbol"), F.lit("\t"), F.coalesce("line", F.lit(""))).alias("value")).write.mode("append").text(f"{path}/{BUNDLE}"))
+
+
 def landing_rows(bars: DataFrame, exchange: str = "US", header: Column | None = None,
                  line: Column | None = None) -> DataFrame:
     """Bars as (symbol, part, date, line) rows: one header row per symbol
@@ -199,8 +228,8 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     """Landed lines as a stream of Spark's text source: (line, file, modified)."""
     reader = spark.readStream.format("text").option("maxFileAge", MAX_FILE_AGE).option("recursiveFileLookup", "true")
     reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader
-    return reader.load(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
-                                    F.col("_metadata.file_modification_time").alias("modified"))
+    return _members(reader.load(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                                             F.col("_metadata.file_modification_time").alias("modified")))
 
 
 def source_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -109,7 +109,7 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str,
         try:
             merge_batch(session, batch.drop("modified"), raw_path, quarantine_path, partition_by, exchange, universe, epoch_id, on_match)
             if "modified" in batch.columns:
-                overwrite(batch.groupBy("file").agg(F.max("modified").alias("modified")), f"{files_path}/batch={epoch_id}")
+                overwrite(batch.groupBy(landing.stored_file(F.col("file")).alias("file")).agg(F.max("modified").alias("modified")), f"{files_path}/batch={epoch_id}")
         finally:
             batch.unpersist()
 
