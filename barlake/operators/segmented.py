@@ -74,8 +74,11 @@ def _filled(seg: DataFrame, columns: Sequence[str], order: str, key: str) -> Dat
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = seg.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols
                          else F.col(c) for c in seg.columns])
+    # A segment's last value; rows without an order come first, so theirs counts
+    # if no other row has one.
     tail = seg.groupBy(key, SEG).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in cols])
+        *[F.coalesce(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))),
+                     F.max_by(F.col(c), F.when(F.col(c).isNotNull() & F.col(order).isNull(), F.lit(1)))).alias(c) for c in cols])
     before = Window.partitionBy(key).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     carry = tail.select(key, SEG, *[F.last(F.col(c), ignorenulls=True).over(before).alias(f"__c_{c}")
                                     for c in cols])

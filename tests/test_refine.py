@@ -67,3 +67,11 @@ def test_fill_idempotent_and_segmented_equal(spark, a, b):
     assert rows(seg) == rows(once)
     assert rows(SG.refine_prices_long(df, ["close"], block_rows=4)) == \
         rows(R.refine_prices(df, ["close"]))
+
+
+def test_a_value_without_a_date_carries_into_the_next_segment(spark):
+    rows = [(k, None if d == 0 else dt.date(2020, 1, d), v) for k, vs in (("a", [5.0, None, None, 7.0, None]), ("b", [None, None, 2.0])) for d, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "ticker string, date date, close double")
+    for block in (2, 4, 100):
+        got = sorted(map(str, SG.forward_fill_long(df, ["close"], block_rows=block).collect()))
+        assert got == sorted(map(str, R.forward_fill(df, ["close"]).collect()))
