@@ -97,24 +97,29 @@ def _digest(spans: list) -> str:
     return hashlib.sha256(said.encode()).hexdigest()
 
 
+def _parts(text: str, base: list) -> list[dict]:
+    """All parts with their scopes where weak candidates could be linked."""
+    weak = weak_spans(text, base)
+    breaks = [m.start() for m in _BREAK.finditer(text)] if weak else []
+    return [{"start": s, "ord": k, "end": e, "scope": bisect.bisect_right(breaks, s)}
+            for s, k, e in (sorted(base + weak) if weak else [])]
+
+
+_SPAN_TYPE = pa.struct([("start", pa.int64()), ("ord", pa.int32()), ("end", pa.int64())])
+_PART_TYPE = pa.struct([("start", pa.int64()), ("ord", pa.int32()), ("end", pa.int64()), ("scope", pa.int64())])
+
+
 def _scan_batches(batches):
     for b in batches:
         rows = []
         for uid, text in zip(b.column("uid").to_pylist(), b.column("text").to_pylist()):
             base = base_spans(text)
-            weak = weak_spans(text, base)
-            parts = []
-            if weak:
-                breaks = [m.start() for m in _BREAK.finditer(text)]
-                parts = [{"start": s, "ord": k, "end": e, "scope": bisect.bisect_right(breaks, s)}
-                         for s, k, e in sorted(base + weak)]
+            parts = _parts(text, base)
             rows.append({"uid": uid, "n_assign": sum(k == 0 for _, k, _ in base), "n_access": sum(k == 1 for _, k, _ in base),
                          "n_hex": sum(k == 2 for _, k, _ in base), "base_sha256": _digest(base),
                          "base": [{"start": s, "ord": k, "end": e} for s, k, e in base], "parts": parts})
-        span = pa.struct([("start", pa.int64()), ("ord", pa.int32()), ("end", pa.int64())])
-        part = pa.struct([("start", pa.int64()), ("ord", pa.int32()), ("end", pa.int64()), ("scope", pa.int64())])
         schema = pa.schema([("uid", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
-                            ("base_sha256", pa.string()), ("base", pa.list_(span)), ("parts", pa.list_(part))])
+                            ("base_sha256", pa.string()), ("base", pa.list_(_SPAN_TYPE)), ("parts", pa.list_(_PART_TYPE))])
         out = pa.RecordBatch.from_pylist(rows, schema=schema)
         yield pa.RecordBatch.from_arrays([*out.columns, b.column("doc_id")], names=[*out.schema.names, "doc_id"])
 
@@ -166,12 +171,19 @@ def link_credentials(parts: DataFrame, reach: int) -> DataFrame:
     return blobs.unionByName(idents).unionByName(both)
 
 
+def _weak(parts: DataFrame, reach: int | None) -> DataFrame:
+    """(uid, weak): the linked candidates of each document that has any."""
+    linked = link_in_scopes(parts) if reach is None else link_credentials(parts, reach)
+    return linked.groupBy("uid").agg(F.collect_list(F.struct("start", "ord", "end")).alias("weak"))
+
+
+def _all_spans(base: Column, weak: Column) -> Column:
+    return F.array_sort(F.concat(base, F.coalesce(weak, F.array().cast(_SPAN))))
+
+
 def _linked(found: DataFrame, reach: int | None) -> DataFrame:
-    parts = found.where(F.size("parts") > 0).select("uid", F.inline("parts"))
-    weak = (link_in_scopes(parts) if reach is None else link_credentials(parts, reach)).groupBy("uid").agg(F.collect_list(F.struct("start", "ord", "end")).alias("weak"))
-    none = F.array().cast(_SPAN)
-    return found.join(weak, "uid", "left").withColumn(
-        "all", F.array_sort(F.concat("base", F.coalesce("weak", none))))
+    weak = _weak(found.where(F.size("parts") > 0).select("uid", F.inline("parts")), reach)
+    return found.join(weak, "uid", "left").withColumn("all", _all_spans(F.col("base"), F.col("weak")))
 
 
 def scan_secrets(docs: DataFrame, reach: int | None = None) -> DataFrame:
@@ -186,12 +198,20 @@ def scan_secrets(docs: DataFrame, reach: int | None = None) -> DataFrame:
 def redact(docs: DataFrame, reach: int | None = None, mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mark``; all rows and
     columns stay, ``n_chars`` follows the new text where the column exists."""
-    spark = docs.sparkSession
     cols = docs.columns
-    uid, spans = spare(cols, "uid"), spare(cols, "spans")
-    stored = materialise(spark, docs.withColumn(uid, F.monotonically_increasing_id()), "to-redact")
-    found = credential_parts(stored.select(F.col(uid).alias("uid"), "doc_id", "text"))
-    marks = _linked(found, reach).where(F.size("all") > 0).select(F.col("uid").alias(uid), F.col("all").alias(spans))
+    uid, found, spans = spare(cols, "uid"), spare(cols, "found"), spare(cols, "spans")
+
+    @F.arrow_udf(f"struct<base:{_SPAN},parts:{_WEAK}>")
+    def scan(text: pa.Array) -> pa.Array:
+        rows = [(t, base_spans(t)) for t in (x or "" for x in text.to_pylist())]
+        return pa.array([{"base": [{"start": s, "ord": k, "end": e} for s, k, e in base], "parts": _parts(t, base)}
+                         for t, base in rows], pa.struct([("base", pa.list_(_SPAN_TYPE)), ("parts", pa.list_(_PART_TYPE))]))
+
+    # Spans lie beside the texts: only documents with candidates to link meet the linked ones.
+    stored = materialise(docs.sparkSession, docs.withColumn(uid, F.monotonically_increasing_id()).withColumn(
+        found, scan(F.col("text"))), "to-redact", "zstd")
+    base, apart = F.col(f"{found}.base"), F.size(F.col(f"{found}.parts")) > 0
+    weak = _weak(stored.where(apart).select(F.col(uid).alias("uid"), F.inline(F.col(f"{found}.parts"))), reach)
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, where: pd.Series) -> pd.Series:
@@ -208,9 +228,15 @@ def redact(docs: DataFrame, reach: int | None = None, mark: str = "[REDACTED]")
             return "".join(out) + t[at:]
         return pd.Series([one(t, w) for t, w in zip(text, where)], dtype=object)
 
-    joined = stored.join(marks, uid, "left")
-    hit = F.col(spans).isNotNull()
-    done = joined.where(hit).withColumn("text", cut(F.col("text"), F.col(spans)))
-    if "n_chars" in cols:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.where(~hit).select(cols).unionByName(done.select(cols))
+    def redacted(rows: DataFrame) -> DataFrame:
+        done = rows.withColumn("text", cut(F.col("text"), F.col(spans)))
+        if "n_chars" in cols:
+            done = done.withColumn("n_chars", F.when(F.size(spans) == 0, F.col("n_chars")).otherwise(
+                F.length("text").cast(docs.schema["n_chars"].dataType)))
+        return done.select(cols)
+
+    linked = stored.where(apart).join(weak.select(F.col("uid").alias(uid), F.col("weak").alias(spans)), uid, "left")
+    linked = linked.withColumn(spans, _all_spans(base, F.col(spans)))
+    plain = stored.where(~apart & (F.size(base) > 0)).withColumn(spans, F.array_sort(base))
+    return (stored.where(~apart & (F.size(base) == 0)).select(cols)
+            .unionByName(redacted(plain)).unionByName(redacted(linked)))

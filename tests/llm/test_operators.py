@@ -550,3 +550,84 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, sf_small):
     total = spark.read.parquet(f"{sf_small}/documents.parquet").count()
     assert total > seen[0] >= seen[1] >= seen[2] == seen[3] > 0
     assert P.run(spark, sf_small).count() == seen[4]
+
+
+def moved(df):
+    """Bytes that the query of ``df`` sends through its own shuffles."""
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        own = node.metrics().get("dataSize").get().value() if name == "Exchange" else 0
+        kids = node.children()
+        return own + sum(walk(kids.apply(i)) for i in range(kids.size()))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def long_texts(n):
+    return [" ".join(hashlib.sha1(f"{i}.{j}".encode()).hexdigest()[:12] for j in range(400)) for i in range(n)]
+
+
+def test_redacting_moves_only_texts_with_candidates_to_link(spark, no_broadcast):
+    texts = [t + " password=hunter2hunter2" for t in long_texts(40)]
+    rows = [*enumerate(texts), (40, "login: alice api_key=" + "q" * 20), (41, None), (42, "plain"), (42, "plain")]
+    got = credentials.redact(docs(spark, rows))
+    assert moved(got) < sum(map(len, texts)) / 10
+    want = [(i, t.replace("password=hunter2hunter2", "[REDACTED]")) for i, t in enumerate(texts)]
+    want += [(40, "login: [REDACTED] [REDACTED]"), (41, None), (42, "plain"), (42, "plain")]
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect() if r["text"]) == sorted(x for x in want if x[1])
+    assert got.count() == len(rows)
+
+
+def test_keeping_one_moves_no_texts(spark, no_broadcast):
+    texts = long_texts(40)
+    rows = [*enumerate(texts), *((100 + i, t) for i, t in enumerate(texts[:10])), (200, None), (None, texts[0]), (7, texts[7])]
+    got = jaccard_rtree.keep_one(docs(spark, rows), 4, 5, 5)
+    assert moved(got) < sum(map(len, texts)) / 10
+    assert sorted((r["doc_id"], r["text"] or "") for r in got.collect()) == sorted([*enumerate(texts), (200, "")])
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_keeping_one_by_either_join(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard_rtree, "DROP_ROWS", most)
+    texts = long_texts(6)
+    rows = [*enumerate(texts), (9, texts[0]), (0, texts[0]), (None, "")]
+    got = jaccard_rtree.keep_one(docs(spark, rows), 4, 5, 5).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in got) == sorted([*enumerate(texts), (-1, "")])
+
+
+def test_wide_points_tell_long_sets_apart():
+    """The bound over few groups lets sets of 6,000 tokens pass that share
+    none; the wide one keeps the linked ones only."""
+    import pyarrow as pa
+    t, rng = jaccard_rtree.Threshold(4, 5), np.random.default_rng(1)
+    sets = [np.unique(rng.integers(1, 2**63, size=k, dtype=np.uint64)) for k in (5900, 6000, 6100, 300, 70_000)]
+    sets.append(np.unique(np.concatenate([sets[1][:5700], sets[2][:300]])))
+    sets.sort(key=len)
+    assert all((jaccard_rtree.folded(jaccard_rtree.point(s, jaccard_rtree.wide_groups(len(s))), g) == jaccard_rtree.point(s, g)).all()
+               for s in sets for g in (128, 1024))
+    n, k = pa.array([len(s) for s in sets], pa.int64()), len(sets)
+    same = pa.array([0] * k, pa.int64())
+    tokens = pa.RecordBatch.from_arrays([pa.array(range(k), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "tokens"])
+    wide = next(jaccard_rtree._wide_batches([tokens])).column("wide")
+    packed = pa.array([jaccard_rtree.packed_point(jaccard_rtree.point(s)) for s in sets], pa.binary())
+    rows = pa.RecordBatch.from_arrays([same, same, n, tokens.column("cid"), pa.array([0] * k, pa.int32()), tokens.column("cid"), packed, wide],
+                                      ["blob", "unit", "n", "cid", "side", "comp", "packed", "wide"])
+    linked = {i for a, b in itertools.combinations(range(k), 2) for i in (a, b)
+              if jaccard_rtree.overlap(sets[a], sets[b]) >= t.needs(len(sets[a]), len(sets[b]))}
+    got = [set(pa.Table.from_batches(list(f(t)([rows]))).column("cid").to_pylist())
+           for f in (jaccard_rtree._bound_batches, jaccard_rtree._wide_bound_batches)]
+    assert len(linked) == 2 and got[0] > linked and got[1] == linked
