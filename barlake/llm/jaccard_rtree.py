@@ -18,8 +18,11 @@ arrays, one entry per signature and block of documents, so a signature of
 many documents is no hot key.  Components of the candidate graph ("blobs") are
 joined apart from each other.
 
-A blob of up to ``LEAF`` classes is one tree.  Larger blobs are packed into
-leaves of ``LEAF`` classes by (component so far, size); a first pass compares
+A blob of up to ``LEAF`` classes is one tree.  Sets that share a passage, or a
+passage each with a third, run together in blobs that grow with the corpus, so
+large blobs are narrowed first: a linked set shares at least t of its tokens
+with other sets of its blob, and candidates are looked for again among the sets
+that do.  Blobs that stay large are packed into leaves of ``LEAF`` classes by (component so far, size); a first pass compares
 each member with a few pivots, so leaves that lie wholly within one component
 are not compared with each other, and leaf pairs whose corners rule a link out
 are dropped.  Inside a tree, pairs already connected are skipped: components
@@ -51,6 +54,8 @@ GROUPS = 128
 FINE = 1024
 LEAF = 1024
 NODE = 32
+#: Blobs of more leaves than this together are narrowed before leaves are paired.
+FEW_LEAVES = 8
 PIVOTS = 4
 #: Tokens of a leaf, about, whatever the number of its classes.
 LEAF_TOKENS = 2_000_000
@@ -172,8 +177,22 @@ def spare_bits(keys: int) -> int:
     return max(0, (64 - max(keys, 2).bit_length() - 20) // 8 * 8)
 
 
-def _key_batches(width: int, t: Threshold, bits: int, spare: int):
-    """Signatures of about ``KEY_BLOCK`` keys at a time: one entry per key with
+def _text_sets(width: int):
+    """(node, token set) of each text of a batch."""
+    def sets(part: pa.RecordBatch):
+        for words in word_hashes(part.column("text").to_pylist()):
+            tokens = shingle_set(words, width)
+            yield node_of(hashlib.md5(tokens.tobytes()).digest()), tokens
+    return sets
+
+
+def _stored_sets(part: pa.RecordBatch):
+    """(cid, token set) of each row of a batch."""
+    return zip(part.column("cid").to_pylist(), _sets(part))
+
+
+def _key_batches(sets, t: Threshold, bits: int, spare: int):
+    """Signatures of the sets of each batch, about ``KEY_BLOCK`` keys at a time: one entry per key with
     the least node that has it, and an edge from every other such node to it
     (bucket null).  A key of many documents is one entry per block."""
     schema = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("pivots", pa.binary()), ("nodes", pa.binary())])
@@ -200,13 +219,12 @@ def _key_batches(width: int, t: Threshold, bits: int, spare: int):
         keys, nodes, size = [], [], 0
         for b in batches:
             for at in range(0, b.num_rows, TEXT_BATCH):
-                for words in word_hashes(b.slice(at, TEXT_BATCH).column("text").to_pylist()):
-                    tokens = shingle_set(words, width)
+                for node, tokens in sets(b.slice(at, TEXT_BATCH)):
                     k = signatures(tokens, t)
                     if not len(k):
                         continue
                     keys.append(k >> np.uint64(spare) << np.uint64(spare))
-                    nodes.append(node_of(hashlib.md5(tokens.tobytes()).digest()))
+                    nodes.append(node)
                     size += len(k)
                     if size >= KEY_BLOCK:
                         yield rows(keys, nodes)
@@ -506,13 +524,100 @@ def _pivot_links(mine: DataFrame, members: DataFrame, marks: DataFrame, t: Thres
     return first.mapInArrow(_pivot_batches(t), "a long, b long")
 
 
-def _candidates(docs: DataFrame, width: int, t: Threshold, bits: int, spare: int) -> DataFrame:
-    """(a, b): edges whose components hold every pair of sets that may link."""
-    signed = docs.select("text").mapInArrow(_key_batches(width, t, bits, spare), _SIGNED)
+def _candidates(rows: DataFrame, sets, t: Threshold, bits: int, spare: int) -> DataFrame:
+    """(a, b): edges whose components hold every pair of sets that may link;
+    ``sets`` gives the sets of a batch of ``rows``."""
+    signed = rows.mapInArrow(_key_batches(sets, t, bits, spare), _SIGNED)
     spread = F.coalesce(F.col("bucket"), F.pmod(F.xxhash64("nodes"), F.lit(1 << bits)))
     return signed.withColumn("bucket_", spread).groupBy("bucket_").applyInArrow(_edge_group, "a long, b long").distinct()
 
 
+_HELD = "bucket long, keys binary, holders binary, cids binary, several binary"
+
+
+def _held_batches(t: Threshold, bits: int):
+    """Tokens of about ``KEY_BLOCK`` at a time, told apart by blob: those one
+    class of the block has, with it, and those several have.  A class's balance
+    so far (bucket null) is ``whole`` for each of the latter less ``part`` for
+    each of its tokens."""
+    schema = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("holders", pa.binary()), ("cids", pa.binary()),
+                        ("several", pa.binary())])
+
+    def rows(sets: list, cids: list):
+        names, sizes = np.array(cids, dtype=np.int64), np.array([len(s) for s in sets])
+        key, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(key, kind="stable")
+        key, of = key[order], of[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        count = np.diff(np.append(first, len(key)))
+        shared = np.bincount(of[np.repeat(count > 1, count)], minlength=len(names))
+        out = [{"holders": pack(t.whole * shared - t.part * sizes), "cids": pack(names)}]
+        for bucket, lo, hi in runs(key[first], bits):
+            k, one = key[first[lo:hi]], count[lo:hi] == 1
+            used, local = np.unique(of[first[lo:hi]][one], return_inverse=True)
+            out.append({"bucket": bucket, "keys": pack_keys(k[one]), "holders": pack(local.astype(np.uint32)),
+                        "cids": pack(names[used]), "several": pack_keys(k[~one])})
+        return pa.RecordBatch.from_pylist(out, schema=schema)
+
+    def run(batches):
+        sets, cids, size = [], [], 0
+        for b in batches:
+            of_blob = mix(b.column("blob").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            for cid, tokens, blob in zip(b.column("cid").to_pylist(), _sets(b), of_blob):
+                sets.append(tokens ^ blob)
+                cids.append(cid)
+                size += len(tokens)
+                if size >= KEY_BLOCK:
+                    yield rows(sets, cids)
+                    sets, cids, size = [], [], 0
+        if size:
+            yield rows(sets, cids)
+    return run
+
+
+def _balance_group(whole: int):
+    """What one range of tokens adds to the balance of its classes: ``whole``
+    for each token that others have too."""
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.select(["keys", "holders", "cids", "several"]).to_pylist()
+        own = [r for r in rows if r["keys"] is None]
+        cids, adds = [unpack(r["cids"], np.int64) for r in own], [unpack(r["holders"], np.int64) for r in own]
+        rows = [r for r in rows if r["keys"] is not None]
+        if rows:
+            key = np.concatenate([unpack_keys(r["keys"]) for r in rows])
+            of = np.concatenate([unpack(r["cids"], np.int64)[unpack(r["holders"], np.uint32)] for r in rows])
+            several = np.unique(np.concatenate([unpack_keys(r["several"]) for r in rows]))
+            order = np.argsort(key, kind="stable")
+            key, of = key[order], of[order]
+            same = np.zeros(len(key) + 1, dtype=bool)
+            same[1:-1] = key[1:] == key[:-1]
+            cid, n = np.unique(of[same[1:] | same[:-1] | np.isin(key, several)], return_counts=True)
+            cids.append(cid)
+            adds.append(whole * n)
+        return pa.table({"cid": pa.array(np.concatenate(cids), pa.int64()), "adds": pa.array(np.concatenate(adds), pa.int64())})
+    return run
+
+
+def _narrowed(large: DataFrame, t: Threshold, width: int) -> DataFrame:
+    """The sets of ``large`` that may link, in the blobs they are left in.
+
+    Linked sets are of one blob and share at least ``part`` / ``whole`` of the
+    tokens of each, so a set of which others of its blob have less links with
+    nothing.  Most sets of a large blob are such; the others are candidates
+    among themselves only."""
+    spark = large.sparkSession
+    tokens = large.agg(F.sum("n")).first()[0] or 0
+    bits = max(width - 1, tokens // KEY_PART).bit_length()
+    held = large.select("cid", "blob", "tokens").mapInArrow(_held_batches(t, bits), _HELD)
+    spread = F.coalesce(F.col("bucket"), F.pmod(F.xxhash64("cids"), F.lit(1 << bits)))
+    balance = held.withColumn("bucket_", spread).groupBy("bucket_").applyInArrow(_balance_group(t.whole), "cid long, adds long")
+    may = materialise(spark, balance.groupBy("cid").agg(F.sum("adds").alias("balance")).where("balance >= 0").select("cid"), "may-link")
+    near = materialise(spark, large.join(_sent(may), "cid", "left_semi"), "near-sets", "zstd")
+    edges = materialise(spark, _candidates(near.select("cid", "tokens"), _stored_sets, t, bits, spare_bits(tokens)), "candidates")
+    blobs = connected_components(edges).select(F.col("node").alias("cid"), F.col("root").alias("blob"))
+    return materialise(spark, near.drop("blob").join(_sent(blobs), "cid"), "narrow-sets", "zstd")
+
+
 def _sent(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``ids``, to be broadcast when there are few."""
     return F.broadcast(ids) if ids.count() <= most else ids
@@ -591,6 +696,29 @@ def _large_blobs(sets: DataFrame, big: DataFrame, t: Threshold, leaf: int, width
     return first.unionByName(found)
 
 
+def _links(sets: DataFrame, t: Threshold, leaf: int, width: int) -> DataFrame:
+    """(a, b): links whose components are those of all links.  Large blobs are
+    narrowed as long as that halves their leaves."""
+    spark, links, before = sets.sparkSession, None, None
+    while True:
+        count = sets.groupBy("blob").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("all"))
+        fits = (F.col("k") <= leaf) & (F.col("all") <= 2 * LEAF_TOKENS)
+        leaves = F.ceil(F.greatest(F.col("k") / leaf, F.col("all") / LEAF_TOKENS))
+        count = materialise(spark, count.select("blob", fits.alias("fits"), leaves.alias("leaves")), "blob-sizes")
+        small = sets.join(count.where("fits").select("blob"), "blob", "left_semi")
+        small = small.select("blob", F.lit(0).cast("long").alias("unit"), F.lit(0).alias("side"), "cid", F.col("cid").alias("comp"), "n", "tokens")
+        found = small.repartition(width, "blob").sortWithinPartitions("blob", "unit", "n", "cid").mapInArrow(
+            _unit_batches(t), "a long, b long")
+        links = found if links is None else links.unionByName(found)
+        big = count.where("NOT fits")
+        left = big.agg(F.sum("leaves")).first()[0] or 0
+        if not left:
+            return links
+        if left <= FEW_LEAVES or before is not None and 2 * left > before:
+            return links.unionByName(_large_blobs(sets, big.select("blob"), t, leaf, width))
+        sets, before = _narrowed(sets.join(_sent(big.select("blob")), "blob", "left_semi"), t, width), left
+
+
 def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3, leaf: int = LEAF,
                uid: str | None = None) -> DataFrame:
     """(uid, doc_id, n_shingles, component_id, first) per row of ``docs``
@@ -614,7 +742,7 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
         F.col("c.node").alias("node"), "best"), "classes")
     tokens = sketch.agg(F.sum("n")).first()[0] or 0
     bits = max(width - 1, tokens // KEY_PART).bit_length()
-    edges = materialise(spark, _candidates(docs, shingle, t, bits, spare_bits(tokens)), "candidates")
+    edges = materialise(spark, _candidates(docs.select("text"), _text_sets(shingle), t, bits, spare_bits(tokens)), "candidates")
     blobs = connected_components(edges).select("node", F.col("root").alias("blob"))
     wanted = materialise(spark, classes.join(blobs, "node").select("cid", "blob", "want_id", "want_h"), "wanted")
     wanted = _sent(wanted)
@@ -623,15 +751,7 @@ def components(docs: DataFrame, part: int = 9, whole: int = 10, shingle: int = 3
              .select("cid", "blob", "text"))
     sets = materialise(spark, texts.mapInArrow(
         _set_batches(shingle), "cid long, blob long, n long, tokens binary, point array<int>, packed binary"), "sets", "zstd")
-    count = sets.groupBy("blob").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("all"))
-    fits = (F.col("k") <= leaf) & (F.col("all") <= 2 * LEAF_TOKENS)
-    count = materialise(spark, count.select("blob", fits.alias("fits")), "blob-sizes")
-    small = sets.join(count.where("fits").select("blob"), "blob", "left_semi")
-    small = small.select("blob", F.lit(0).cast("long").alias("unit"), F.lit(0).alias("side"), "cid", F.col("cid").alias("comp"), "n", "tokens")
-    links = small.repartition(width, "blob").sortWithinPartitions("blob", "unit", "n", "cid").mapInArrow(
-        _unit_batches(t), "a long, b long")
-    if not count.where("NOT fits").isEmpty():
-        links = links.unionByName(_large_blobs(sets, count.where("NOT fits").select("blob"), t, leaf, width))
+    links = _links(sets, t, leaf, width)
     roots = connected_components(materialise(spark, links, "links")).select(F.col("node").alias("cid"), "root")
     joined = classes.select("digest", "cid", "best").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     firsts = joined.groupBy("root").agg(F.min("best").alias("best_of"))

@@ -313,6 +313,51 @@ def test_jaccard_pivots_beyond_a_broadcast(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == expected_components(rows, 9, 10, 3)
 
 
+def test_jaccard_narrows_blobs_of_a_shared_passage(spark, monkeypatch):
+    """Texts that are alike in one passage only run together in one blob, and
+    so few of them may link that no leaves are paired."""
+    passage = " ".join(f"p{i}" for i in range(46))
+    rows = [(i, f"{passage} " + " ".join(f"w{i}_{j}" for j in range(14))) for i in range(150)]
+    rows += [(200 + i, f"{rows[i][1]}x") for i in range(0, 30, 3)] + [(400, rows[9][1]), (None, rows[12][1]), (401, passage), (402, None)]
+    pairs, stored = [], jaccard_rtree.materialise
+
+    def noted(session, df, name, codec=None):
+        out = stored(session, df, name, codec)
+        if name in ("blob-sizes", "leaf-pairs"):
+            pairs.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_rtree, "materialise", noted)
+    got = jaccard_rtree.near_duplicates(docs(spark, rows), 9, 10, 3, 4).collect()
+    assert sorted(map(tuple, got), key=str) == expected_components(rows, 9, 10, 3)
+    assert len([p for p in pairs if p[0] == "blob-sizes"]) > 1, "the blob was too large at first"
+    assert sum(n for name, n in pairs if name == "leaf-pairs") <= jaccard_rtree.FEW_LEAVES * (jaccard_rtree.FEW_LEAVES + 1) // 2
+
+
+def test_jaccard_balance_counts_tokens_that_others_have():
+    """A token of several classes counts for each, met in one block or in two;
+    the same token in another blob does not."""
+    import pyarrow as pa
+    t = jaccard_rtree.Threshold(4, 5)
+    base = np.sort(np.random.default_rng(4).integers(0, 2**64, 60, dtype=np.uint64))
+    sets = {1: (7, base[:50]), 2: (7, base[10:]), 3: (8, base[:50]), 4: (7, base[:1]), -5: (8, base[59:])}
+
+    def block(*cids):
+        return pa.RecordBatch.from_pydict({"cid": pa.array(cids, pa.int64()), "blob": pa.array([sets[c][0] for c in cids], pa.int64()),
+                                           "tokens": pa.array([sets[c][1].tobytes() for c in cids], pa.binary())})
+
+    for blocks in ([(1, 2, 3, 4, -5)], [(1, 3), (2, 4, -5)], [(1,), (2,), (3,), (4,), (-5,)], [(1, 4), (2, 3, -5)]):
+        found: dict = {}
+        parts = [pa.Table.from_batches([b]) for cids in blocks for b in jaccard_rtree._held_batches(t, 2)([block(*cids)])]
+        rows = pa.concat_tables(parts)
+        for bucket in (None, 0, 1, 2, 3):
+            mine = rows.filter(pa.array([x == bucket for x in rows.column("bucket").to_pylist()]))
+            if mine.num_rows:
+                for r in jaccard_rtree._balance_group(t.whole)(mine).to_pylist():
+                    found[r["cid"]] = found.get(r["cid"], 0) + r["adds"]
+        assert found == {1: 5 * 41 - 4 * 50, 2: 5 * 40 - 4 * 50, 3: -4 * 50, 4: 5 - 4, -5: -4}
+
+
 def test_jaccard_points_and_signature_bits():
     import pyarrow as pa
     points = [np.arange(jaccard_rtree.GROUPS, dtype=np.int32) * m for m in (1, 300, 100_000)]
