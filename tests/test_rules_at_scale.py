@@ -99,3 +99,21 @@ def test_many_rules_meet_rows_in_bounded_cells(spark, monkeypatch):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 100 and max(sizes) < len(want) / 20, "the hits are dealt to many tasks"
+
+
+def test_many_rules_of_one_metric_are_dealt_once(spark, monkeypatch):
+    """The planner knows that all rules are of one metric: cells are dealt once
+    all the same, and neither side is broadcast."""
+    monkeypatch.setattr(A, "CELL_RULES", 4)
+    monkeypatch.setattr(A, "CELL_ROWS", 10)
+    metrics = _metrics(spark)
+    rules = spark.range(40).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("rule_id"), F.lit("close_change").alias("metric"),
+                                   (F.col("id") / 5).alias("threshold"))
+    got = A.rule_hits(metrics, rules, latest_only=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "ENSURE_REQUIREMENTS" not in plan
+    want = [(f"r{i}", m["ticker"], m["date"], m["close_change"]) for i in range(40) for m in metrics.collect()
+            if m["close_change"] is not None and (m["close_change"] != m["close_change"] or abs(m["close_change"]) > i / 5)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    other = A.rule_hits(metrics, rules.withColumn("metric", F.lit("no_such")), latest_only=False)
+    assert other.collect() == []
